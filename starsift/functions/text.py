@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Separators between tokens.
@@ -16,6 +16,14 @@ def tokens(text: str | Column, separator: str = WORDS, min_length: int = 1) -> C
     return F.filter(parts, lambda t: F.length(t) >= min_length)
 
 
+def exploded(
+    df: DataFrame, text: str, separator: str, min_length: int, *carry: str
+) -> DataFrame:
+    """One row (``carry``, term) for each token of each text."""
+    term = F.explode(F.split(F.lower(text), separator)).alias("term")
+    return df.select(*carry, term).filter(F.length("term") >= min_length)
+
+
 def _let(value: Column, body) -> Column:
     """Bind ``value`` once, so that ``body`` can refer to it many times."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -25,8 +33,8 @@ def term_counts(words: Column) -> Column:
     """Array of (term, n) for an array of words, counted inside the row.
 
     Sorting puts equal words side by side; the start of each run gives its term
-    and the distance to the next start its count. No shuffle is needed, and the
-    rows that leave the explode are the distinct terms only.
+    and the distance to the next start its count. Worth its sort where the terms
+    are to be shuffled: only distinct ones leave the row.
     """
 
     def is_start(s, i):
@@ -46,7 +54,7 @@ def term_counts(words: Column) -> Column:
         )
         return F.when(F.size(s) > 0, counted)
 
-    return _let(F.array_sort(words), runs)
+    return _let(F.sort_array(words), runs)
 
 
 def normalized(text: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsift.operators.skew import lookup_join
+from starsift.operators.skew import BROADCAST_ROWS, lookup_join
 from starsift.sources.workspace import discard, materialize
 
 
@@ -16,6 +16,19 @@ def _lowest(edges: DataFrame) -> DataFrame:
     )
 
 
+def _hung(
+    edges: DataFrame, lowest: DataFrame, small: bool, written: list[DataFrame]
+) -> DataFrame:
+    """Edges from the far end of each edge to the lowest vertex of its near end."""
+    if small:
+        joined = edges.join(F.broadcast(lowest), "a")
+    else:
+        table = materialize(lowest, "lowest")
+        written.append(table)
+        joined = lookup_join(edges, table, "a", "n")
+    return joined.select(F.col("b").alias("a"), F.col("low").alias("b"))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(vertex, component) for the vertices of an edge list (a, b) of longs.
 
@@ -34,24 +47,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     mark = _fingerprint(current)
     for _ in range(max_rounds):
+        # Each edge has two ends, so this bounds the rows of every table of vertices.
+        small = 2 * mark[0] <= BROADCAST_ROWS
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = (
-            lookup_join(both.filter("b > a"), _lowest(both), "a", "n", total=2 * mark[0])
-            .select(F.col("b").alias("a"), F.col("low").alias("b"))
-            .distinct()
-        )
-        large = materialize(large, "edges")
-        small = _lowest(large)
-        pulled = (
-            lookup_join(large, small, "a", "n", total=large.count())
-            .select(F.col("b").alias("a"), F.col("low").alias("b"))
-            .filter("a <> b")
-        )
-        kept = small.select("a", F.col("low").alias("b"))
-        replaced = current
+        written = [current]
+        large = _hung(both.filter("b > a"), _lowest(both), small, written).distinct()
+        if not small:
+            large = materialize(large, "edges")
+            written.append(large)
+        lowest = _lowest(large)
+        pulled = _hung(large, lowest, small, written).filter("a <> b")
+        kept = lowest.select("a", F.col("low").alias("b"))
         current = materialize(pulled.union(kept).distinct(), "edges")
-        discard(replaced)
-        discard(large)
+        for table in written:
+            discard(table)
         now = _fingerprint(current)
         if now == mark:
             break

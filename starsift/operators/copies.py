@@ -61,18 +61,23 @@ def near_copies(
     buckets = entries.groupBy("bucket").agg(
         F.min("rep").alias("low"), F.count("*").alias("members")
     )
-    edges = lookup_join(
-        entries, buckets.filter(F.col("members") > 1), "bucket", "members"
-    ).select(F.col("rep").alias("a"), F.col("low").alias("b"))
+    shared = materialize(buckets.filter(F.col("members") > 1), "buckets")
+    edges = lookup_join(entries, shared, "bucket", "members").select(
+        F.col("rep").alias("a"), F.col("low").alias("b")
+    )
     linked = connected_components(edges).withColumnRenamed("vertex", "rep")
-    grouped = folded.join(linked, "rep", "left").select(
-        "digest", "copies", F.coalesce("component", "rep").alias("group_id")
+    grouped = materialize(
+        folded.join(linked, "rep", "left").select(
+            "digest", "copies", F.coalesce("component", "rep").alias("group_id")
+        ),
+        "grouped",
     )
     sizes = grouped.groupBy("group_id").agg(
         F.sum("copies").alias("group_size"), F.count("*").alias("texts")
     )
-    wide = sizes.filter(F.col("group_size") > 1)
+    wide = materialize(sizes.filter(F.col("group_size") > 1), "wide")
     named = lookup_join(grouped, wide, "group_id", "texts").drop("texts")
+    named = materialize(named, "named")
     return lookup_join(signed.select(key, "digest"), named, "digest", "copies").select(
         key, "group_id", "group_size"
     )

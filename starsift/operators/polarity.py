@@ -7,16 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starsift.functions.text import LETTERS, term_counts, tokens
-from starsift.operators.skew import lookup_join
+from starsift.functions.text import LETTERS, exploded, term_counts, tokens
+from starsift.operators.skew import BROADCAST_ROWS, lookup_join
 from starsift.sources.workspace import materialize
 
 # Upper limits of the standard score for one to four stars.
 STAR_LIMITS = (-1.5, -0.5, 0.5, 1.5)
 
-# A vocabulary up to this many terms (some tens of megabytes) is broadcast.
-BROADCAST_TERMS = 500_000
-
 
 @dataclass(frozen=True)
 class Polarity:
@@ -26,20 +23,17 @@ class Polarity:
     scale: DataFrame
 
 
-def exploded_terms(df: DataFrame, key: str, *carry: str) -> DataFrame:
-    """Rows (key, term, n): each distinct term of a text with its count."""
-    return df.select(key, *carry, F.inline(term_counts(tokens("text", LETTERS))))
-
-
-def log_odds(counted: DataFrame, term: str = "term") -> DataFrame:
+def log_odds(labelled: DataFrame, term: str = "term") -> DataFrame:
     """Smoothed log-odds ``p`` of each term between positive and negative texts.
 
-    ``counted`` holds (term, n, positive). Totals and vocabulary size are scalar
-    subqueries over the term table.
+    ``labelled`` holds (term, positive), a row for each occurrence. Totals and
+    vocabulary size are scalar subqueries over the term counts.
     """
-    counts = counted.groupBy(term).agg(
-        F.sum(F.when(F.col("positive"), F.col("n")).otherwise(0)).alias("n1"),
-        F.sum(F.when(F.col("positive"), 0).otherwise(F.col("n"))).alias("n0"),
+    counts = materialize(
+        labelled.groupBy(term).agg(
+            F.count_if("positive").alias("n1"), F.count_if(~F.col("positive")).alias("n0")
+        ),
+        "term_counts",
     )
     totals = counts.agg(
         F.sum("n1").alias("t1"), F.sum("n0").alias("t0"), F.count("*").alias("v")
@@ -63,14 +57,15 @@ def mean_polarity(df: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     vocabulary of checked size is broadcast; a larger one meets the tokens in a
     shuffle that spreads frequent terms.
     """
-    counted = exploded_terms(df, key)
     prices = terms.select("term", "p", F.col("n").alias("weight"))
-    if terms.count() <= BROADCAST_TERMS:
-        priced = counted.join(F.broadcast(prices), "term", "left")
-    else:
-        priced = lookup_join(counted, prices, "term", "weight", "left")
-    worth = F.sum(F.col("n") * F.coalesce("p", F.lit(0.0)))
-    return priced.groupBy(key).agg((worth / F.sum("n")).alias("m"))
+    worth = F.coalesce("p", F.lit(0.0))
+    if terms.count() <= BROADCAST_ROWS:
+        words = exploded(df, "text", LETTERS, 1, key)
+        priced = words.join(F.broadcast(prices), "term", "left")
+        return priced.groupBy(key).agg(F.avg(worth).alias("m"))
+    counted = df.select(key, F.inline(term_counts(tokens("text", LETTERS))))
+    priced = lookup_join(counted, prices, "term", "weight", "left")
+    return priced.groupBy(key).agg((F.sum(F.col("n") * worth) / F.sum("n")).alias("m"))
 
 
 def fit_polarity(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Polarity:
@@ -82,7 +77,7 @@ def fit_polarity(docs: DataFrame, labels: DataFrame, target: str = "quality") ->
     """
     marks = labels.select("doc_id", (F.col(target) == 1).alias("positive"))
     training = docs.select("doc_id", "text").join(marks, "doc_id")
-    terms = materialize(log_odds(exploded_terms(training, "doc_id", "positive")), "terms")
+    terms = materialize(log_odds(exploded(training, "text", LETTERS, 1, "positive")), "terms")
     spread = mean_polarity(training, terms, "doc_id").agg(
         F.avg("m").alias("mu"), F.stddev_pop("m").alias("sigma")
     )
@@ -135,16 +130,13 @@ def fit_hashed(docs: DataFrame, labels: DataFrame, target: str = "quality") -> P
     """
     marks = labels.select("doc_id", (F.col(target) == 1).alias("positive"))
     training = docs.select("doc_id", "text").join(marks, "doc_id")
-    counted = exploded_terms(training, "doc_id", "positive").withColumn(
-        "term", bucket(F.col("term"))
-    )
-    terms = materialize(log_odds(counted), "buckets")
-    prices = terms.select("term", "p")
-    worth = F.sum(F.col("n") * F.coalesce("p", F.lit(0.0))) / F.sum("n")
+    words = exploded(training, "text", LETTERS, 1, "doc_id", "positive")
+    words = words.withColumn("term", bucket(F.col("term")))
+    terms = materialize(log_odds(words), "buckets")
     spread = (
-        counted.join(F.broadcast(prices), "term", "left")
+        words.join(F.broadcast(terms.select("term", "p")), "term", "left")
         .groupBy("doc_id")
-        .agg(worth.alias("m"))
+        .agg(F.avg(F.coalesce("p", F.lit(0.0))).alias("m"))
         .agg(F.avg("m").alias("mu"), F.stddev_pop("m").alias("sigma"))
     )
     return Polarity(terms, materialize(spread, "scale"))

@@ -5,51 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy from this share of all rows on. At most 1 / HEAVY_SHARE keys can
-# be heavy, which bounds what is broadcast whatever the size of the data.
+# A lookup table up to this many rows (tens of megabytes) is broadcast whole.
+BROADCAST_ROWS = 500_000
+
+# Beyond that, a key is heavy from this share of all rows on. At most
+# 1 / HEAVY_SHARE keys can be heavy, which bounds what is broadcast then.
 HEAVY_SHARE = 0.001
 SPREAD = 64
 
 
 def lookup_join(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    weight: str,
-    how: str = "inner",
-    share: float = HEAVY_SHARE,
-    total: int | None = None,
+    rows: DataFrame, table: DataFrame, key: str, weight: str, how: str = "inner"
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which has one row for each ``key``.
 
-    ``weight`` is the column of ``table`` that counts the rows of its key. Heavy
-    keys are joined by broadcast, at most ``1 / share`` of them. The other keys
-    meet in a shuffle, through which rows of heavy keys travel spread over many
-    partitions, so no task receives a hot key whole; rows without a key likewise.
-    ``total`` is the sum of the weights where the caller knows it already.
+    ``table`` should be a written table: it is counted, then read. ``weight`` is its
+    column that counts the rows of its key. A table of checked size is broadcast. Of
+    a larger one only the heavy keys are, and the other keys meet in a shuffle,
+    through which rows of heavy keys (and rows without a key) travel spread over
+    many partitions, so no task receives a hot key whole.
     """
+    count, total = table.agg(F.count("*"), F.sum(weight)).first()
+    if count <= BROADCAST_ROWS:
+        fields = [c for c in table.columns if c != key]
+        joined = rows.join(F.broadcast(table), key, how)
+        return joined.select(*rows.columns, *fields)
+    return split_join(rows, table, key, F.col(weight) >= total * HEAVY_SHARE, how)
+
+
+def split_join(rows: DataFrame, table: DataFrame, key: str, heavy, how: str) -> DataFrame:
+    """The join of :func:`lookup_join` with the ``heavy`` rows of ``table`` broadcast."""
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")
     fields = [c for c in table.columns if c != key]
-    if total is None:
-        limit = table.agg(F.sum(weight).alias("n")).scalar() * share
-    else:
-        limit = F.lit(total * share)
-    ranked = table.withColumn("_heavy", F.col(weight) >= limit)
 
     def packed(part, name):
         return part.select(key, F.struct(*fields).alias(name))
 
-    heavy = packed(ranked.filter("_heavy"), "_h")
-    light = packed(ranked.filter("not _heavy"), "_l").withColumn("_salt", F.lit(0))
+    hot = packed(table.filter(heavy), "_h")
+    cold = packed(table.filter(~heavy), "_c").withColumn("_salt", F.lit(0))
     salt = F.when(F.col("_h").isNull() & F.col(key).isNotNull(), 0).otherwise(
         1 + F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("int")
     )
     joined = (
-        rows.join(F.broadcast(heavy), key, "left")
+        rows.join(F.broadcast(hot), key, "left")
         .withColumn("_salt", salt)
-        .join(light, [key, "_salt"], "left")
-        .withColumn("_v", F.coalesce("_h", "_l"))
+        .join(cold, [key, "_salt"], "left")
+        .withColumn("_v", F.coalesce("_h", "_c"))
     )
     if how == "inner":
         joined = joined.filter(F.col("_v").isNotNull())

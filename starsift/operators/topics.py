@@ -10,12 +10,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsift.functions.text import WORDS, normalized, term_counts, tokens
+from starsift.functions.text import WORDS, exploded, normalized, tokens
 from starsift.operators.components import connected_components
 from starsift.operators.numbering import numbered
 from starsift.operators.skew import lookup_join
 from starsift.schema import require, with_review_id
-from starsift.sources.workspace import materialize
+from starsift.sources.workspace import materialize, spread
 
 OUTLIER = -1
 
@@ -46,7 +46,7 @@ def topic_words(text: str | Column = "text") -> Column:
     return tokens(text, WORDS, 2)
 
 
-def vectorize(df: DataFrame, features: int = 1 << 10) -> DataFrame:
+def vectorize(df: DataFrame, features: int = 512) -> DataFrame:
     """Add ``vector``: hashed TF-IDF of the whole text, scaled to length one."""
     stages = [
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
@@ -71,13 +71,15 @@ def assign_topics(
     coords: DataFrame,
     k: int = 5,
     width: float = 0.5,
+    min_points: int = 2,
     min_topic_size: int = 2,
 ) -> DataFrame:
     """(review_id, topic): density clusters of points, -1 for outliers.
 
     Space is cut into cells ``width`` standard deviations wide. Cells that hold at
-    least ``min_topic_size`` points are dense; dense cells that share a face belong
-    to one topic; points elsewhere are outliers. Topics are numbered by size from 0.
+    least ``min_points`` points are dense; dense cells that share a face belong to
+    one topic, of ``min_topic_size`` points at least; points elsewhere are outliers.
+    Topics are numbered by size from 0.
     All work after the first aggregate is on cells, so neither pairs of points nor
     the members of one cell are ever brought together.
     """
@@ -98,7 +100,7 @@ def assign_topics(
     dense = materialize(
         placed.groupBy("cell")
         .agg(F.count("*").alias("n"), F.min("review_id").alias("cell_id"))
-        .filter(F.col("n") >= min_topic_size),
+        .filter(F.col("n") >= min_points),
         "dense",
     )
     steps = F.array(
@@ -113,24 +115,25 @@ def assign_topics(
     merged = dense.join(linked, "cell_id", "left").withColumn(
         "component", F.coalesce("component", "cell_id")
     )
-    topics = relabel_sizes(
-        merged.groupBy("component").agg(
-            F.sum("n").alias("size"), F.min("cell_id").alias("first_id")
-        )
-    )
-    named = merged.join(topics.select("component", "topic"), "component").select(
-        "cell", "n", "topic"
+    merged = materialize(merged, "merged")
+    groups = merged.groupBy("component").agg(
+        F.sum("n").alias("size"), F.min("cell_id").alias("first_id"), F.count("*").alias("cells")
     )
+    ranked = relabel_sizes(groups.filter(F.col("size") >= min_topic_size))
+    named = lookup_join(merged, ranked.select("component", "topic", "cells"), "component", "cells")
+    named = materialize(named.select("cell", "n", "topic"), "named")
     return lookup_join(placed, named, "cell", "n", "left").select(
         "review_id", F.coalesce("topic", F.lit(OUTLIER)).cast("int").alias("topic")
     )
 
 
 def relabel_sizes(groups: DataFrame) -> DataFrame:
-    """Number groups (size, first_id) 0, 1, ... from the largest, ties by first_id."""
-    return numbered(groups, [F.desc("size"), F.asc("first_id")], "topic").withColumn(
-        "topic", F.col("topic").cast("int")
-    )
+    """Number groups (size, first_id) 0, 1, ... from the largest, ties by first_id.
+
+    The result is a written table.
+    """
+    ranked = numbered(groups, [F.desc("size"), F.asc("first_id")], "topic")
+    return materialize(ranked.withColumn("topic", F.col("topic").cast("int")), "ranked")
 
 
 def relabel(df: DataFrame, label: str) -> DataFrame:
@@ -154,10 +157,12 @@ def class_tfidf(df: DataFrame, class_col: str, text_col: str = "text") -> DataFr
     everywhere and A is the mean number of words in a class. The texts are read
     once; everything after works on the term counts.
     """
-    counted = df.select(class_col, F.inline(term_counts(topic_words(text_col))))
-    tf = materialize(counted.groupBy(class_col, "term").agg(F.sum("n").alias("tf")), "tf")
+    words = exploded(df, text_col, WORDS, 2, class_col)
+    tf = materialize(words.groupBy(class_col, "term").agg(F.count("*").alias("tf")), "tf")
     mean = tf.agg(F.sum("tf") / F.count_distinct(F.struct(class_col))).scalar()
-    everywhere = tf.groupBy("term").agg(F.sum("tf").alias("f"), F.count("*").alias("classes"))
+    everywhere = materialize(
+        tf.groupBy("term").agg(F.sum("tf").alias("f"), F.count("*").alias("classes")), "vocabulary"
+    )
     return lookup_join(tf, everywhere, "term", "classes").select(
         class_col,
         "term",
@@ -209,6 +214,7 @@ def representative_docs(
     centres = points.groupBy("topic").agg(
         F.count("*").alias("_n"), *[F.avg(x).alias(f"{x}c") for x in axes]
     )
+    centres = materialize(centres, "centres")
     square = reduce(
         lambda a, b: a + b, [(F.col(x) - F.col(f"{x}c")) * (F.col(x) - F.col(f"{x}c")) for x in axes]
     )
@@ -280,14 +286,19 @@ def topic_bars(documents: DataFrame, n: int = 8, terms: int = 5) -> DataFrame:
 
 
 def find_topics(
-    df: DataFrame, width: float = 0.5, min_topic_size: int = 2, dims: int = 5
+    df: DataFrame,
+    width: float = 0.5,
+    min_points: int = 2,
+    min_topic_size: int = 2,
+    dims: int = 5,
 ) -> DataFrame:
     """The whole topic stage: mismatched reviews in, the topic table out."""
     wanted = with_review_id(df).select("review_id", "text", "rating", "sentiment_star")
-    docs = topic_input(materialize(wanted, "documents"))
+    docs = topic_input(spread(materialize(wanted, "documents")))
     vectors = materialize(vectorize(docs).select("review_id", "vector"), "vectors")
     coords = materialize(reduce_dimensions(vectors, dims), "coords")
-    assigned = materialize(assign_topics(coords, dims, width, min_topic_size), "topics")
+    assigned = assign_topics(coords, dims, width, min_points, min_topic_size)
+    assigned = materialize(assigned, "topics")
     shown = representative_docs(docs, assigned, coords, dims)
     return topic_info(docs.select("review_id", "text").join(assigned, "review_id"), shown)
 
@@ -298,6 +309,7 @@ def embedded_topics(
     vector_col: str,
     dims: int = 5,
     width: float = 0.5,
+    min_points: int = 2,
     min_topic_size: int = 2,
 ) -> DataFrame:
     """(review_id, topic) from embeddings computed elsewhere."""
@@ -308,4 +320,4 @@ def embedded_topics(
         array_to_vector(F.col(vector_col).cast("array<double>")).alias("vector"),
     )
     coords = materialize(reduce_dimensions(ready, dims), "coords")
-    return assign_topics(coords, dims, width, min_topic_size)
+    return assign_topics(coords, dims, width, min_points, min_topic_size)

@@ -23,7 +23,7 @@ from starsift.operators import (
     users,
 )
 from starsift.plans import views
-from starsift.plans.views import clean, conflicting, indicator, reviews, table
+from starsift.plans.views import clean, conflicting, documents, indicator, reviews, table
 from starsift.sources import reviews as review_source
 from starsift.sources import sinks
 from starsift.sources.workspace import table_path
@@ -364,7 +364,7 @@ def repeated_text(spark, sf_dir):
 
 @query
 def near_copies(spark, sf_dir):
-    return copies.near_copies(table(spark, sf_dir, "documents"), "doc_id")
+    return copies.near_copies(documents(spark, sf_dir), "doc_id")
 
 
 @query
@@ -491,13 +491,13 @@ def retention(spark, sf_dir):
 
 @query
 def polarity_terms(spark, sf_dir):
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     return rounded(polarity.fit_polarity(docs, labels).terms, "p")
 
 
 @query
 def score_polarity(spark, sf_dir):
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     model = polarity.fit_polarity(docs, labels)
     scored = polarity.score_polarity(clean(spark, sf_dir), model)
     return scored.select("review_id", "sentiment_star", conf4())
@@ -505,7 +505,7 @@ def score_polarity(spark, sf_dir):
 
 @query
 def score_udf(spark, sf_dir):
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     load = scoring.hashed_model(polarity.fit_hashed(docs, labels))
     scored = scoring.score_reviews(clean(spark, sf_dir), load)
     return scored.select("review_id", "sentiment_star", conf4())
@@ -520,7 +520,7 @@ def score_classifier(spark, sf_dir):
 
 @query
 def scored_rating_report(spark, sf_dir):
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
     model = polarity.fit_polarity(docs, labels)
     scored = polarity.score_polarity(clean(spark, sf_dir), model)
     return rounded(ratings.rating_report(scored), "avg_sentiment_star", "avg_abs_diff")
@@ -550,13 +550,13 @@ def topic_counts(spark, sf_dir):
 
 @query
 def class_tfidf(spark, sf_dir):
-    weights = topics.class_tfidf(table(spark, sf_dir, "documents"), "lang")
+    weights = topics.class_tfidf(documents(spark, sf_dir), "lang")
     return rounded(weights, "weight")
 
 
 @query
 def topic_terms(spark, sf_dir):
-    weights = topics.class_tfidf(table(spark, sf_dir, "documents"), "lang")
+    weights = topics.class_tfidf(documents(spark, sf_dir), "lang")
     return rounded(topics.top_terms(weights, "lang", 10), "weight")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starsift.operators.cleaning import clean_reviews
 from starsift.operators.mismatch import mismatched
 from starsift.sources.indicator import read_indicator
-from starsift.sources.workspace import table_path
+from starsift.sources.workspace import spread, table_path
 
 COUNTRY = "NATION_0"
 BLANK_YEAR = 1998
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def epoch_millis(c: str) -> Column:
     """Milliseconds since 1970 of a timestamp without zone, in any session zone."""
     day = F.unix_date(F.to_date(c)).cast("long")
@@ -32,7 +36,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     Some users always rate 5, some of them with low scores; some texts are null or
     blank; orders without lines have no product.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     documents = table(spark, sf_dir, "documents")
     part = table(spark, sf_dir, "part")
     first_line = (

@@ -50,3 +50,13 @@ def discard(df: DataFrame) -> None:
         if "/starsift/" in folder:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(conf).delete(path, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer splits than there are.
+
+    For small files whose rows need much work. A large input has splits enough and
+    is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
