@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starsift.operators.topk import top_k
 from starsift.schema import (
     REQUIRED_COLUMNS,
     REVIEW_SCHEMA,
@@ -94,12 +95,12 @@ def clean_reviews(df: DataFrame, strict: bool = False) -> DataFrame:
 def sample_rows(df: DataFrame, n: int = 1000, partitions: int | None = None) -> DataFrame:
     """A repeatable pseudo-random sample of ``n`` reviews for trial runs.
 
-    The order by a hash of the id runs as a distributed top-n. The sample then
-    spreads over the cluster again, so that scoring it is parallel.
+    The first rows by a hash of the id, spread over the cluster again so that
+    scoring them is parallel.
     """
     out = with_review_id(df)
     key = F.col("review_id").cast("string")
-    picked = out.orderBy(F.md5(key), key).limit(n)
+    picked = top_k(out, [F.md5(key), key], n)
     return picked.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 

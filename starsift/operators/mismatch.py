@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starsift.functions.grades import shown_fixed, shown_number
+from starsift.operators.topk import top_k
 from starsift.schema import require, with_review_id
 
 NEEDED = ("rating", "text", "sentiment_star", "sentiment_conf")
@@ -38,14 +39,14 @@ def mismatched(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def top_mismatches(df: DataFrame, k: int = 5000, threshold: float = THRESHOLD) -> DataFrame:
     """The ``k`` strongest mismatches, surest score first, ties by review id."""
     found = with_review_id(mismatched(df, threshold))
-    return found.orderBy(F.desc("abs_diff"), F.desc("sentiment_conf"), "review_id").limit(k)
+    return top_k(found, [F.desc("abs_diff"), F.desc("sentiment_conf"), F.asc("review_id")], k)
 
 
 def top_examples(df: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` non-blank mismatches of greatest size, to show in full."""
     size = F.coalesce(F.abs("abs_diff"), F.abs("diff"), F.lit(0.0))
     shown = with_review_id(df).filter(F.length(F.trim("text")) > 0)
-    return shown.orderBy(size.desc(), "review_id").limit(k)
+    return top_k(shown, [size.desc(), F.asc("review_id")], k)
 
 
 def explain_mismatch(df: DataFrame) -> DataFrame:

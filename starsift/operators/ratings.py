@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.functions.grades import mae_grade
@@ -69,9 +69,9 @@ def weighted_mae(summary: DataFrame) -> DataFrame:
 def rating_distribution(summary: DataFrame) -> DataFrame:
     """Reviews, share of all and error of each rating, from a rating summary.
 
-    The total is a scalar subquery over the summary, a few rows at most.
+    The window runs over the summary, one row for each step of the rating scale.
     """
-    total = summary.agg(F.sum("count").alias("n")).scalar()
+    total = F.sum("count").over(Window.partitionBy())
     return summary.select(
         "rating",
         "count",
@@ -81,21 +81,19 @@ def rating_distribution(summary: DataFrame) -> DataFrame:
     ).orderBy("rating")
 
 
-def overview(summary: DataFrame, found: DataFrame, topics: DataFrame) -> DataFrame:
-    """One row of headline figures.
+def overview(scored: DataFrame, topics: DataFrame, threshold: float = 3.0) -> DataFrame:
+    """One row of headline figures, from one pass over the scored reviews.
 
-    ``found`` are the mismatched reviews, counted in full, and ``topics`` a topic
-    table, whose outlier row does not count.
+    Mismatches are counted in full. ``topics`` is a topic table, whose outlier row
+    does not count. ``avg_mae`` is the mean error weighted by reviews per rating.
     """
     topic_count = topics.filter("Topic <> -1").agg(F.count("*").alias("n")).scalar()
-    mismatch_count = found.agg(F.count("*").alias("n")).scalar()
+    summary = scored.groupBy("rating").agg(
+        *_measures(), F.count_if(_error() >= threshold).alias("mismatched")
+    )
     weighted = F.sum(F.col("avg_abs_diff") * F.col("count"))
     return summary.agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("total_ratings"),
+        F.coalesce(F.sum("mismatched"), F.lit(0)).alias("mismatched_count"),
         F.coalesce(F.try_divide(weighted, F.sum("count")), F.lit(0.0)).alias("avg_mae"),
-    ).select(
-        "total_ratings",
-        mismatch_count.alias("mismatched_count"),
-        topic_count.alias("topic_count"),
-        "avg_mae",
-    )
+    ).select("total_ratings", "mismatched_count", topic_count.alias("topic_count"), "avg_mae")

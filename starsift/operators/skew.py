@@ -43,9 +43,12 @@ def split_join(rows: DataFrame, table: DataFrame, key: str, heavy, how: str) ->
         return part.select(key, F.struct(*fields).alias(name))
 
     hot = packed(table.filter(heavy), "_h")
-    cold = packed(table.filter(~heavy), "_c").withColumn("_salt", F.lit(0))
+    # Always 0, but worked out from the key: as a literal the optimizer would move it
+    # out of the join keys, and rows would be shuffled by the hot key alone.
+    none = F.pmod(F.xxhash64(key), F.lit(1))
+    cold = packed(table.filter(~heavy), "_c").withColumn("_salt", none)
     salt = F.when(F.col("_h").isNull() & F.col(key).isNotNull(), 0).otherwise(
-        1 + F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("int")
+        1 + F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD))
     )
     joined = (
         rows.join(F.broadcast(hot), key, "left")

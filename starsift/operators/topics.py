@@ -14,6 +14,7 @@ from starsift.functions.text import WORDS, exploded, normalized, tokens
 from starsift.operators.components import connected_components
 from starsift.operators.numbering import numbered
 from starsift.operators.skew import lookup_join
+from starsift.operators.topk import top_k
 from starsift.schema import require, with_review_id
 from starsift.sources.workspace import materialize, spread
 
@@ -34,7 +35,7 @@ def topic_input(df: DataFrame, min_docs: int = 5, cap: int | None = None) -> Dat
     out = with_review_id(df).select("review_id", "text", "rating", "sentiment_star")
     if cap is not None:
         size = F.abs(F.col("sentiment_star") - F.col("rating"))
-        out = out.orderBy(size.desc(), "review_id").limit(cap)
+        out = top_k(out, [size.desc(), F.asc("review_id")], cap)
     found = out.limit(min_docs).count()
     if found < min_docs:
         raise TooFewDocuments(f"topics need {min_docs} documents, found {found}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.functions.text import normalized
@@ -73,14 +73,12 @@ def suspicious_users(stats: DataFrame) -> DataFrame:
 def top_suspects(report: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` users with most reviews in each cohort, ties by user id.
 
-    One top-k per reason: each stays a per-task limit before anything moves.
+    The rank limit cuts each task's users before a cohort is brought together, and
+    one pass over the report serves both cohorts.
     """
-    order = [F.desc("review_count"), F.asc("user_id")]
-    parts = [
-        report.filter(F.col("reason") == reason).orderBy(*order).limit(k)
-        for reason in (SPAMMER, CONFLICTED)
-    ]
-    return parts[0].unionByName(parts[1])
+    order = Window.partitionBy("reason").orderBy(F.desc("review_count"), F.asc("user_id"))
+    ranked = report.withColumn("_place", F.row_number().over(order))
+    return ranked.filter(F.col("_place") <= k).drop("_place")
 
 
 def repeated_text(df: DataFrame, min_copies: int = 2) -> DataFrame:

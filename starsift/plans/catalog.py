@@ -233,8 +233,7 @@ def mae_grade(spark, sf_dir):
 def overview(spark, sf_dir):
     scored = clean(spark, sf_dir)
     info = topics.topic_counts(topics.relabel(scored, "brand"))
-    summary = ratings.rating_summary(scored)
-    return rounded(ratings.overview(summary, mismatch.mismatched(scored), info), "avg_mae")
+    return rounded(ratings.overview(scored, info), "avg_mae")
 
 
 # Mismatched reviews

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starsift.operators.cleaning import clean_reviews
 from starsift.operators.mismatch import mismatched
 from starsift.sources.indicator import read_indicator
-from starsift.sources.workspace import spread, table_path
+from starsift.sources.workspace import materialize, spread, table_path
 
 COUNTRY = "NATION_0"
 BLANK_YEAR = 1998
@@ -97,7 +97,7 @@ def write_indicator_csv(spark: SparkSession, sf_dir: str) -> str:
         .agg(F.round(F.avg("l_discount") * 100, 4).alias("rate"))
         .withColumn("rate", F.when(F.col("year") != BLANK_YEAR, F.col("rate")))
     )
-    wide = rates.groupBy("n_name").pivot("year").agg(F.first("rate"))
+    wide = materialize(rates, "rates").groupBy("n_name").pivot("year").agg(F.first("rate"))
     years = [c for c in wide.columns if c != "n_name"]
 
     def line(*fields):

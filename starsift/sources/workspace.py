@@ -25,9 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def session_folder(spark: SparkSession) -> str:
+    """Folder of the tables this application writes."""
+    return f"{shared_folder(spark)}/starsift/{spark.sparkContext.applicationId}"
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one table in the shared folder."""
-    return f"{shared_folder(spark)}/starsift/{name}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -44,12 +49,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete the files of a table from :func:`materialize` once it is replaced."""
-    spark = df.sparkSession
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         if "/starsift/" in folder:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            _delete(df.sparkSession, folder)
+
+
+def clear_workspace(spark: SparkSession) -> None:
+    """Delete every table this application has written to the shared folder.
+
+    For the end of a job, when no result that reads them is needed any more.
+    """
+    _delete(spark, session_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(conf).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
