@@ -48,14 +48,21 @@ def topic_words(text: str | Column = "text") -> Column:
 
 
 def vectorize(df: DataFrame, features: int = 512) -> DataFrame:
-    """Add ``vector``: hashed TF-IDF of the whole text, scaled to length one."""
-    stages = [
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="vector"),
-    ]
-    words = df.withColumn("_words", topic_words())
-    return Pipeline(stages=stages).fit(words).transform(words).drop("_words", "_tf", "_tfidf")
+    """(review_id, vector): hashed TF-IDF of the whole text, scaled to length one.
+
+    The texts are split once, into a written table of hashed counts; weighting and
+    every later pass read that.
+    """
+    words = df.select("review_id", topic_words().alias("_words"))
+    hashing = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
+    counts = materialize(hashing.transform(words).select("review_id", "_tf"), "hashed")
+    weigh = Pipeline(
+        stages=[
+            IDF(inputCol="_tf", outputCol="_tfidf"),
+            Normalizer(inputCol="_tfidf", outputCol="vector"),
+        ]
+    )
+    return weigh.fit(counts).transform(counts).select("review_id", "vector")
 
 
 def reduce_dimensions(df: DataFrame, k: int = 5) -> DataFrame:
@@ -296,8 +303,7 @@ def find_topics(
     """The whole topic stage: mismatched reviews in, the topic table out."""
     wanted = with_review_id(df).select("review_id", "text", "rating", "sentiment_star")
     docs = topic_input(spread(materialize(wanted, "documents")))
-    vectors = materialize(vectorize(docs).select("review_id", "vector"), "vectors")
-    coords = materialize(reduce_dimensions(vectors, dims), "coords")
+    coords = materialize(reduce_dimensions(vectorize(docs), dims), "coords")
     assigned = assign_topics(coords, dims, width, min_points, min_topic_size)
     assigned = materialize(assigned, "topics")
     shown = representative_docs(docs, assigned, coords, dims)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -16,12 +17,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, whose executors share the driver's disk, may go without
     the setting; it then gets a temporary folder of its own.
     """
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="starsift-")
-        spark.conf.set(_SETTING, folder)
+        if context.applicationId not in _local:
+            _local[context.applicationId] = tempfile.mkdtemp(prefix="starsift-")
+        folder = _local[context.applicationId]
     return folder.rstrip("/")
 
 

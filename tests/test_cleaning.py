@@ -31,9 +31,9 @@ def test_scoring_needs_the_product(spark):
 
 def test_blank_texts(spark, rows):
     df = raw(spark, None, "", "   ", "\n\t ", " ok ")
-    assert rows(cleaning.filter_nonblank(df), "text") == [(" ok ",), ("\n\t ",)]
+    assert set(rows(cleaning.filter_nonblank(df), "text")) == {("\n\t ",), (" ok ",)}
     assert rows(cleaning.filter_nonblank(df, strict=True), "text") == [(" ok ",)]
-    assert rows(cleaning.filter_nonempty(df), "text") == [("\n\t ",), ("   ",), (" ok ",)]
+    assert set(rows(cleaning.filter_nonempty(df), "text")) == {("\n\t ",), ("   ",), (" ok ",)}
 
 
 @pytest.mark.parametrize(
