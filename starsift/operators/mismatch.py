@@ -36,16 +36,19 @@ def mismatched(df: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return with_diff(require(df, NEEDED)).filter(F.col("abs_diff") >= threshold)
 
 
-def top_mismatches(df: DataFrame, k: int = 5000, threshold: float = THRESHOLD) -> DataFrame:
-    """The ``k`` strongest mismatches, surest score first, ties by review id."""
+def top_mismatches(
+    df: DataFrame, k: int = 5000, threshold: float = THRESHOLD, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """The ``k`` strongest mismatches (per ``by`` if given), surest score first, then by id."""
     found = with_review_id(mismatched(df, threshold))
-    return top_k(found, [F.desc("abs_diff"), F.desc("sentiment_conf"), F.asc("review_id")], k)
+    order = [F.desc("abs_diff"), F.desc("sentiment_conf"), F.asc("review_id")]
+    return top_k(found, order, k, by)
 
 
 def top_examples(df: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` non-blank mismatches of greatest size, to show in full."""
+    """The ``k`` mismatches of greatest size to show in full, texts of mere space left out."""
     size = F.coalesce(F.abs("abs_diff"), F.abs("diff"), F.lit(0.0))
-    shown = with_review_id(df).filter(F.length(F.trim("text")) > 0)
+    shown = with_review_id(df).filter(F.col("text").rlike(r"[^\s\p{Z}]"))
     return top_k(shown, [size.desc(), F.asc("review_id")], k)
 
 

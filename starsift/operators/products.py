@@ -20,11 +20,13 @@ def _measures():
     ]
 
 
-def product_sentiment(df: DataFrame, min_reviews: int = 1) -> DataFrame:
+def product_sentiment(
+    df: DataFrame, min_reviews: int = 1, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Per product: reviews, averages and the count of every sentiment star."""
     return (
         df.filter(F.col("asin").isNotNull())
-        .groupBy("asin")
+        .groupBy(*by, "asin")
         .agg(*_measures())
         .filter(F.col("review_count") >= min_reviews)
     )

@@ -68,7 +68,9 @@ def inspect(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*columns).alias("c")).select(F.inline("c"))
 
 
-def completeness(df: DataFrame, columns: Sequence[str] = ("text", "rating")) -> DataFrame:
+def completeness(
+    df: DataFrame, columns: Sequence[str] = ("text", "rating"), by: tuple[str, ...] = ()
+) -> DataFrame:
     """Nulls of the quality columns present, and the share of filled cells."""
     present = [c for c in columns if c in df.columns]
     if not present:
@@ -78,7 +80,7 @@ def completeness(df: DataFrame, columns: Sequence[str] = ("text", "rating")) ->
     for n in nulls[1:]:
         total = total + n
     cells = F.count("*") * len(present)
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count("*").alias("rows"),
         *[n.alias(f"null_{c}") for n, c in zip(nulls, present, strict=True)],
         F.round((1 - F.try_divide(total, cells)) * 100, 2).alias("completeness"),

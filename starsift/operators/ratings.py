@@ -9,6 +9,7 @@ from starsift.functions.grades import mae_grade
 from starsift.schema import require
 
 NEEDED = ("rating", "sentiment_star", "sentiment_conf")
+REPORT_COLUMNS = ("rating", "avg_sentiment_star", "avg_abs_diff", "count")
 
 
 def _error():
@@ -24,9 +25,10 @@ def _measures():
     ]
 
 
-def global_mae(df: DataFrame) -> DataFrame:
-    """One row: the mean absolute error between rating and sentiment star."""
-    return require(df, ("rating", "sentiment_star")).agg(F.avg(_error()).alias("mae"))
+def global_mae(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """The mean absolute error between rating and sentiment star, one row (per ``by``)."""
+    require(df, ("rating", "sentiment_star"))
+    return df.groupBy(*by).agg(F.avg(_error()).alias("mae"))
 
 
 def rating_summary(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:

@@ -12,17 +12,23 @@ from pyspark.sql import functions as F
 GROUPS = 1024
 
 
-def top_k(df: DataFrame, order_by: Sequence[str | Column], k: int) -> DataFrame:
-    """The first ``k`` rows by ``order_by``, which should break all ties.
+def top_k(
+    df: DataFrame, order_by: Sequence[str | Column], k: int, by: Sequence[str] = ()
+) -> DataFrame:
+    """The first ``k`` rows by ``order_by``, which should break all ties; per ``by`` if given.
 
     A plain limit sends the candidates of every scan task to a single one. Here
     groups of tasks are cut to ``k`` rows first, and one task merges the groups.
     """
     group = F.pmod(F.spark_partition_id(), F.lit(GROUPS))
-    first = Window.partitionBy("_group").orderBy(*order_by)
+    first = Window.partitionBy(*by, "_group").orderBy(*order_by)
     cut = (
         df.withColumn("_group", group)
         .withColumn("_place", F.row_number().over(first))
         .filter(F.col("_place") <= k)
     )
-    return cut.drop("_group", "_place").orderBy(*order_by).limit(k)
+    cut = cut.drop("_group", "_place")
+    if not by:
+        return cut.orderBy(*order_by).limit(k)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order_by))
+    return cut.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")

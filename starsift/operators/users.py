@@ -81,12 +81,14 @@ def top_suspects(report: DataFrame, k: int = 10) -> DataFrame:
     return ranked.filter(F.col("_place") <= k).drop("_place")
 
 
-def repeated_text(df: DataFrame, min_copies: int = 2) -> DataFrame:
+def repeated_text(
+    df: DataFrame, min_copies: int = 2, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Texts a user has posted more than once, up to case and spacing."""
     digest = F.sha2(normalized("text"), 256)
     return (
         df.filter(F.col("text").isNotNull())
-        .groupBy("user_id", digest.alias("text_hash"))
+        .groupBy(*by, "user_id", digest.alias("text_hash"))
         .agg(
             F.count("*").alias("copies"),
             F.min("review_id").alias("first_review_id"),
@@ -101,19 +103,19 @@ def burst_users(
     min_reviews: int = 3,
     user: str = "user_id",
     time: str = "review_time",
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Users who post at least ``min_reviews`` times within one ``per`` bucket.
 
     Gives the fullest bucket (the earliest of equals) and the number of buckets
     that reach the limit.
     """
-    buckets = df.groupBy(F.col(user).alias("user_id"), F.date_trunc(per, time).alias("bucket")).agg(
-        F.count("*").alias("n")
-    )
+    bucket = F.date_trunc(per, time).alias("bucket")
+    buckets = df.groupBy(*by, F.col(user).alias("user_id"), bucket).agg(F.count("*").alias("n"))
     fullest = F.min(F.struct((-F.col("n")).alias("less"), F.col("bucket").alias("bucket")))
     return (
         buckets.filter(F.col("n") >= min_reviews)
-        .groupBy("user_id")
+        .groupBy(*by, "user_id")
         .agg(
             F.max("n").alias("peak_count"),
             fullest["bucket"].alias("peak_bucket"),
@@ -122,11 +124,13 @@ def burst_users(
     )
 
 
-def extreme_users(df: DataFrame, min_share: float = 0.8, min_reviews: int = 5) -> DataFrame:
+def extreme_users(
+    df: DataFrame, min_share: float = 0.8, min_reviews: int = 5, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Users most of whose scored reviews are at one end of the scale."""
     star = F.col("sentiment_star")
     return (
-        df.groupBy("user_id")
+        df.groupBy(*by, "user_id")
         .agg(
             F.count(star).alias("scored_count"),
             F.count_if(star == 1).alias("one_star"),

@@ -183,6 +183,11 @@ def global_mae(spark, sf_dir):
     return rounded(ratings.global_mae(clean(spark, sf_dir)), "mae")
 
 
+@query
+def global_mae_by_category(spark, sf_dir):
+    return rounded(ratings.global_mae(clean(spark, sf_dir), by=("category",)), "mae")
+
+
 @query
 def rating_summary(spark, sf_dir):
     return rounded(
@@ -265,6 +270,12 @@ def top_mismatches(spark, sf_dir):
     )
 
 
+@query
+def top_mismatches_by_category(spark, sf_dir):
+    top = mismatch.top_mismatches(clean(spark, sf_dir), 100, by=("category",))
+    return top.select("category", "review_id", "abs_diff", conf4())
+
+
 @query
 def first_mismatches(spark, sf_dir):
     report = mismatch.top_mismatches(clean(spark, sf_dir), 100)
@@ -475,6 +486,11 @@ def completeness(spark, sf_dir):
     return quality.completeness(reviews(spark, sf_dir), ["text", "rating", "asin"])
 
 
+@query
+def completeness_by_category(spark, sf_dir):
+    return quality.completeness(reviews(spark, sf_dir), ["text", "rating"], by=("category",))
+
+
 @query
 def retention(spark, sf_dir):
     raw = reviews(spark, sf_dir)

@@ -319,6 +319,9 @@ ORDER BY md5(CAST(review_id AS VARCHAR)), CAST(review_id AS VARCHAR) LIMIT 1000"
 ORDER BY abs_diff DESC, sentiment_conf DESC, review_id LIMIT 10""",
     ),
     "global_mae": sql("clean", "SELECT round(avg(abs_diff), 6) AS mae FROM clean"),
+    "global_mae_by_category": sql(
+        "clean", "SELECT category, round(avg(abs_diff), 6) AS mae FROM clean GROUP BY category"
+    ),
     "rating_summary": sql("clean", f"SELECT rating, {_SUMMARY} FROM clean GROUP BY rating"),
     "rating_summary_by_category": sql(
         "clean", f"SELECT category, rating, {_SUMMARY} FROM clean GROUP BY category, rating"
@@ -357,6 +360,12 @@ FROM summary""",
         "found",
         f"""SELECT {_MISMATCH} FROM (SELECT * FROM found
 ORDER BY abs_diff DESC, sentiment_conf DESC, review_id LIMIT 5000)""",
+    ),
+    "top_mismatches_by_category": sql(
+        "found",
+        f"""SELECT category, review_id, abs_diff, {_CONF} FROM (SELECT *, row_number() OVER
+  (PARTITION BY category ORDER BY abs_diff DESC, sentiment_conf DESC, review_id) AS place
+  FROM found) WHERE place <= 100""",
     ),
     "first_mismatches": sql(
         "found",
@@ -366,7 +375,7 @@ ORDER BY abs_diff DESC, sentiment_conf DESC, review_id LIMIT 100)""",
     "top_examples": sql(
         "found",
         """SELECT review_id, rating, sentiment_star, abs_diff FROM found
-WHERE length(trim(text)) > 0 ORDER BY abs_diff DESC, review_id LIMIT 20""",
+WHERE regexp_matches(text, '[^\\s\\p{Z}]') ORDER BY abs_diff DESC, review_id LIMIT 20""",
     ),
     "explain_mismatch": sql(
         "clean",
@@ -516,6 +525,13 @@ FROM clean GROUP BY {k}"""
   round((1 - (null_text + null_rating + null_asin) / (rows * 3)) * 100, 2) AS completeness
 FROM (SELECT count(*) AS rows, count(*) - count(text) AS null_text,
   count(*) - count(rating) AS null_rating, count(*) - count(asin) AS null_asin FROM reviews)""",
+    ),
+    "completeness_by_category": sql(
+        "reviews",
+        """SELECT category, rows, null_text, null_rating,
+  round((1 - (null_text + null_rating) / (rows * 2)) * 100, 2) AS completeness
+FROM (SELECT category, count(*) AS rows, count(*) - count(text) AS null_text,
+  count(*) - count(rating) AS null_rating FROM reviews GROUP BY category)""",
     ),
     "retention": sql(
         "reviews clean",

@@ -44,6 +44,12 @@ def test_ties_at_the_limit_go_to_the_smaller_id(spark):
     assert got == [0, 1, 2, 3]
 
 
+def test_top_k_per_group(spark, rows):
+    df = spark.range(200).select("id", (F.col("id") % 3).alias("g")).repartition(5)
+    got = topk.top_k(df, [F.desc("id")], 2, by=("g",))
+    assert rows(got, "g", "id") == [(0, 195), (0, 198), (1, 196), (1, 199), (2, 194), (2, 197)]
+
+
 @pytest.mark.parametrize("k", [1, 10, 2000])
 def test_top_k_equals_a_plain_limit(spark, k):
     df = spark.range(1500).select("id", F.pmod(F.xxhash64("id"), F.lit(7)).alias("v"))
@@ -119,7 +125,7 @@ def test_sort_by_size_of_difference(spark):
 
 def test_top_examples_fall_back_to_diff(spark):
     df = spark.createDataFrame(
-        [(1, "a", None, -4.0), (2, " ", 9.0, 9.0), (3, "c", 3.0, 3.0), (4, "d", None, None)],
+        [(1, "a", None, -4.0), (2, " \n\u00a0", 9.0, 9.0), (3, "c", 3.0, 3.0), (4, "d", None, None)],
         "review_id INT, text STRING, abs_diff DOUBLE, diff DOUBLE",
     )
     assert [r["review_id"] for r in mismatch.top_examples(df, 2).collect()] == [1, 3]

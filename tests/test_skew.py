@@ -62,8 +62,13 @@ def brute_components(edges):
     return {v: find(v) for v in label}
 
 
-@pytest.mark.parametrize("shape", ["random", "path", "star", "none"])
-def test_components(spark, way, shape):
+@pytest.mark.parametrize(
+    ("shape", "limit"),
+    [("random", 0), ("random", 500_000), ("path", 500_000), ("star", 500_000), ("none", 500_000)],
+)
+def test_components(spark, monkeypatch, shape, limit):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(components, "BROADCAST_ROWS", limit)
     rng = random.Random(5)
     edges = {
         "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(180)],

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from starsift.operators import mismatch, ratings
 from starsift.sources import indicator, reviews, sinks, workspace
 
 # Invented values.
@@ -61,6 +62,26 @@ def test_report_is_one_file_in_order(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(path)).count() == 3
 
 
+def test_report_formats(spark, tmp_path):
+    scored = spark.createDataFrame(
+        [(1, 1.0, 5, 0.75, "good, really"), (2, 1.0, 1, 0.5, "bad"), (3, 2.0, 2, 0.25, "so so")],
+        "review_id INT, rating DOUBLE, sentiment_star INT, sentiment_conf FLOAT, text STRING",
+    )
+
+    def written(df, columns, **options):
+        path = tmp_path / columns[1]
+        sinks.write_report(df.select(*columns), str(path), **options)
+        (part,) = path.glob("part-*.csv")
+        return part.read_text().splitlines()
+
+    summary = written(ratings.rating_summary(scored), ratings.REPORT_COLUMNS, order_by=["rating"])
+    assert summary == ["rating,avg_sentiment_star,avg_abs_diff,count", "1.0,3.0,2.0,2", "2.0,2.0,0.0,1"]
+    assert written(mismatch.top_mismatches(scored), mismatch.REPORT_COLUMNS) == [
+        "rating,sentiment_star,sentiment_conf,diff,abs_diff,text",
+        '1.0,5,0.75,4.0,4.0,"good, really"',
+    ]
+
+
 def test_topic_sinks_keep_arrays(spark, tmp_path):
     df = spark.createDataFrame([(1, ["c"]), (0, ["a", "b"])], "Topic INT, Representation ARRAY<STRING>")
     sinks.write_topics(df, str(tmp_path / "t"))
