@@ -1,4 +1,4 @@
-"""Tokens and term counts as Spark expressions."""
+"""Tokens of texts as Spark expressions."""
 
 from __future__ import annotations
 
@@ -24,39 +24,6 @@ def exploded(
     return df.select(*carry, term).filter(F.length("term") >= min_length)
 
 
-def _let(value: Column, body) -> Column:
-    """Bind ``value`` once, so that ``body`` can refer to it many times."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def term_counts(words: Column) -> Column:
-    """Array of (term, n) for an array of words, counted inside the row.
-
-    Sorting puts equal words side by side; the start of each run gives its term
-    and the distance to the next start its count. Worth its sort where the terms
-    are to be shuffled: only distinct ones leave the row.
-    """
-
-    def is_start(s, i):
-        return (i == 1) | (F.element_at(s, i) != F.element_at(s, F.greatest(i - 1, F.lit(1))))
-
-    def runs(s):
-        starts = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: is_start(s, i))
-        counted = _let(
-            starts,
-            lambda at: F.transform(
-                at,
-                lambda i, k: F.struct(
-                    F.element_at(s, i).alias("term"),
-                    (F.coalesce(F.get(at, k + 1), F.size(s) + 1) - i).alias("n"),
-                ),
-            ),
-        )
-        return F.when(F.size(s) > 0, counted)
-
-    return _let(F.sort_array(words), runs)
-
-
 def normalized(text: str | Column) -> Column:
     """Text with case and spacing differences taken out, for copy detection."""
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))

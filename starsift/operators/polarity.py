@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starsift.functions.text import LETTERS, exploded, term_counts, tokens
-from starsift.operators.skew import BROADCAST_ROWS, lookup_join
+from starsift.functions.text import LETTERS, exploded
+from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize
 
 # Upper limits of the standard score for one to four stars.
@@ -52,20 +52,15 @@ def log_odds(labelled: DataFrame, term: str = "term") -> DataFrame:
 def mean_polarity(df: DataFrame, terms: DataFrame, key: str) -> DataFrame:
     """(key, m): mean polarity over the tokens of each text, unknown ones as 0.
 
-    Texts without any token are absent. The rows of one text leave the explode
-    side by side, so the final sum shrinks them to one row before it shuffles. A
-    vocabulary of checked size is broadcast; a larger one meets the tokens in a
-    shuffle that spreads frequent terms.
+    Texts without any token are absent. The tokens of one text leave the explode
+    side by side, so the mean shrinks them to one row before it shuffles. Frequent
+    terms are priced by broadcast; only rare and unknown ones are shuffled, spread
+    further because a term rare in training may be frequent here.
     """
+    words = exploded(df, "text", LETTERS, 1, key)
     prices = terms.select("term", "p", F.col("n").alias("weight"))
-    worth = F.coalesce("p", F.lit(0.0))
-    if terms.count() <= BROADCAST_ROWS:
-        words = exploded(df, "text", LETTERS, 1, key)
-        priced = words.join(F.broadcast(prices), "term", "left")
-        return priced.groupBy(key).agg(F.avg(worth).alias("m"))
-    counted = df.select(key, F.inline(term_counts(tokens("text", LETTERS))))
-    priced = lookup_join(counted, prices, "term", "weight", "left")
-    return priced.groupBy(key).agg((F.sum(F.col("n") * worth) / F.sum("n")).alias("m"))
+    priced = lookup_join(words, prices, "term", "weight", "left", copies=16)
+    return priced.groupBy(key).agg(F.avg(F.coalesce("p", F.lit(0.0))).alias("m"))
 
 
 def fit_polarity(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Polarity:

@@ -24,21 +24,22 @@ def score(df: DataFrame, load: Callable[[], Model], text: str = "text") -> DataF
 
     ``load`` runs once for each task, then every Arrow batch of whole texts goes
     through the model. The star is the first character of the label; a label of
-    any other form gives a null star rather than a failed job. Map-only: no text
-    is shuffled.
+    any other form gives a null star rather than a failed job, and a null text gives
+    nulls. Map-only: no text is shuffled.
     """
 
     @F.pandas_udf(SCORE_SCHEMA)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load()
         for texts in batches:
-            labels, confs = model([t if t is not None else "" for t in texts])
+            known = texts.notna().to_numpy()
+            labels, confs = model(["" if t is None else t for t in texts])
             first = pd.Series(labels, dtype="object").astype(str).str[:1]
-            star = first.where(first.isin(list("12345")))
+            star = first.where(known & first.isin(list("12345")))
             yield pd.DataFrame(
                 {
                     "sentiment_star": pd.to_numeric(star).astype("Int32"),
-                    "sentiment_conf": np.asarray(confs, dtype="float32"),
+                    "sentiment_conf": pd.Series(confs, dtype="float32").where(known),
                 }
             )
 

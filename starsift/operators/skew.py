@@ -5,57 +5,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table up to this many rows (tens of megabytes) is broadcast whole.
+# At most this many rows of a lookup table (tens of megabytes) are broadcast.
 BROADCAST_ROWS = 500_000
 
-# Beyond that, a key is heavy from this share of all rows on. At most
-# 1 / HEAVY_SHARE keys can be heavy, which bounds what is broadcast then.
-HEAVY_SHARE = 0.001
-SPREAD = 64
-
 
 def lookup_join(
-    rows: DataFrame, table: DataFrame, key: str, weight: str, how: str = "inner"
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    weight: str,
+    how: str = "inner",
+    copies: int = 1,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which has one row for each ``key``.
 
     ``table`` should be a written table: it is counted, then read. ``weight`` is its
-    column that counts the rows of its key. A table of checked size is broadcast. Of
-    a larger one only the heavy keys are, and the other keys meet in a shuffle,
-    through which rows of heavy keys (and rows without a key) travel spread over
-    many partitions, so no task receives a hot key whole.
+    column that counts the rows of its key. A table of checked size is broadcast
+    whole. Of a larger one the heaviest keys are, up to the same size, and the rows
+    they match do not move. Only rows of the other keys are shuffled; each of those
+    keys holds at most 2 / BROADCAST_ROWS of all rows, so none is hot.
+
+    Where ``rows`` may repeat keys the table does not count well, ``copies`` of the
+    shuffled part of the table let each such key spread over as many partitions.
     """
-    count, total = table.agg(F.count("*"), F.sum(weight)).first()
-    if count <= BROADCAST_ROWS:
-        fields = [c for c in table.columns if c != key]
+    if how not in ("inner", "left"):
+        raise ValueError("how is inner or left")
+    fields = [c for c in table.columns if c != key]
+    cut = _heavy_from(table, weight)
+    if cut is None:
         joined = rows.join(F.broadcast(table), key, how)
         return joined.select(*rows.columns, *fields)
-    return split_join(rows, table, key, F.col(weight) >= total * HEAVY_SHARE, how)
 
+    hot = table.filter(F.col(weight) >= cut).select(key, F.struct(*fields).alias("_hot"))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    stay = F.col("_hot").isNotNull()
+    if how == "left":
+        stay = stay | F.col(key).isNull()
+    placed = marked.filter(stay).select(*rows.columns, *[F.col(f"_hot.{c}") for c in fields])
+
+    moved = marked.filter(F.col("_hot").isNull() & F.col(key).isNotNull()).select(*rows.columns)
+    cold = table.filter(F.col(weight) < cut)
+    on = [key]
+    if copies > 1:
+        on = [key, "_copy"]
+        spread = F.pmod(F.xxhash64(*rows.columns), F.lit(copies)).cast("int")
+        moved = moved.withColumn("_copy", spread)
+        cold = cold.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    met = moved.join(cold, on, how).select(*rows.columns, *fields)
+    return placed.unionByName(met)
 
-def split_join(rows: DataFrame, table: DataFrame, key: str, heavy, how: str) -> DataFrame:
-    """The join of :func:`lookup_join` with the ``heavy`` rows of ``table`` broadcast."""
-    if how not in ("inner", "left"):
-        raise ValueError("how is inner or left")
-    fields = [c for c in table.columns if c != key]
 
-    def packed(part, name):
-        return part.select(key, F.struct(*fields).alias(name))
-
-    hot = packed(table.filter(heavy), "_h")
-    # Always 0, but worked out from the key: as a literal the optimizer would move it
-    # out of the join keys, and rows would be shuffled by the hot key alone.
-    none = F.pmod(F.xxhash64(key), F.lit(1))
-    cold = packed(table.filter(~heavy), "_c").withColumn("_salt", none)
-    salt = F.when(F.col("_h").isNull() & F.col(key).isNotNull(), 0).otherwise(
-        1 + F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD))
-    )
-    joined = (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", salt)
-        .join(cold, [key, "_salt"], "left")
-        .withColumn("_v", F.coalesce("_h", "_c"))
-    )
-    if how == "inner":
-        joined = joined.filter(F.col("_v").isNotNull())
-    return joined.select(*rows.columns, *[F.col(f"_v.{c}").alias(c) for c in fields])
+def _heavy_from(table: DataFrame, weight: str) -> float | None:
+    """Weight from which on keys are broadcast; None when all of them can be.
+
+    Keys are counted by power of two of their weight, a few dozen rows, and as many
+    of the upper powers are taken as fit.
+    """
+    power = F.floor(F.log2(F.col(weight))).alias("power")
+    counts = table.groupBy(power).agg(F.count("*").alias("keys")).collect()
+    if sum(r["keys"] for r in counts) <= BROADCAST_ROWS:
+        return None
+    taken, cut = 0, float("inf")
+    for row in sorted(counts, key=lambda r: -r["power"]):
+        taken += row["keys"]
+        if taken > BROADCAST_ROWS:
+            break
+        cut = 2.0 ** row["power"]
+    return cut

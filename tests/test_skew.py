@@ -8,9 +8,9 @@ from starsift.operators import components, copies, numbering, skew
 HOT = "CASE WHEN id % 3 = 0 THEN 0 WHEN id % 11 = 0 THEN NULL ELSE id % 400 END"
 
 
-@pytest.fixture(params=[0, 500_000], ids=["split", "broadcast"])
+@pytest.fixture(params=[3, 500_000], ids=["split", "broadcast"])
 def way(request, monkeypatch):
-    """Run with every lookup too large to broadcast, and with none."""
+    """Run with lookups too large to broadcast whole, and with none."""
     monkeypatch.setattr(skew, "BROADCAST_ROWS", request.param)
     monkeypatch.setattr(components, "BROADCAST_ROWS", request.param)
 
@@ -27,23 +27,50 @@ def test_lookup_join_equals_a_plain_join(spark, way, how):
     assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
 
 
-def test_hot_rows_spread_over_partitions(spark, monkeypatch):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.shuffle.partitions", "16")
+def test_hot_rows_do_not_move_and_the_rest_spreads(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 3)
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    kept = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         rows = spark.range(9000).select(
             "id", F.expr("CASE WHEN id % 3 = 0 THEN 0 ELSE id % 5000 END").alias("k")
         )
         table = rows.groupBy("k").agg(F.count("*").alias("n"))
-        joined = skew.lookup_join(rows, table, "k", "n")
+        for copies in (1, 8):
+            joined = skew.lookup_join(rows, table, "k", "n", copies=copies)
+            sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+            assert sum(r["count"] for r in sizes) == 9000
+            assert max(r["count"] for r in sizes) < 1500
+        # A key in a third of the rows that the table hardly knows spreads over copies.
+        rare = table.withColumn("n", F.lit(1))
+        joined = skew.lookup_join(rows, rare, "k", "n", "left", copies=64)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert max(r["count"] for r in sizes) < 2000
+        assert sum(r["count"] for r in sizes) == 9000
+        assert max(r["count"] for r in sizes) < 1500
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("limit", [0, 1, 3, 50, 500_000])
+def test_what_is_broadcast_is_bounded(spark, monkeypatch, limit):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+    table = spark.range(1, 200).select(F.col("id").alias("k"), (F.lit(5000) / F.col("id")).cast("int").alias("n"))
+    cut = skew._heavy_from(table, "n")
+    if limit >= 199:
+        assert cut is None
+    else:
+        heavy = table.filter(F.col("n") >= cut).count()
+        assert heavy <= limit
+        total = table.agg(F.sum("n")).first()[0]
+        rest = table.filter(F.col("n") < cut).agg(F.max("n")).first()[0]
+        assert rest <= 2 * total / max(limit, 1)
 
 
 def brute_components(edges):
@@ -64,7 +91,7 @@ def brute_components(edges):
 
 @pytest.mark.parametrize(
     ("shape", "limit"),
-    [("random", 0), ("random", 500_000), ("path", 500_000), ("star", 500_000), ("none", 500_000)],
+    [("random", 3), ("random", 500_000), ("path", 500_000), ("star", 500_000), ("none", 500_000)],
 )
 def test_components(spark, monkeypatch, shape, limit):
     monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)

@@ -37,7 +37,7 @@ def cells_by_hand(points, k, width, min_points):
     return [found.get(i, -1) for i in range(len(points))]
 
 
-@pytest.mark.parametrize("limit", [0, 500_000], ids=["split", "broadcast"])
+@pytest.mark.parametrize("limit", [3, 500_000], ids=["split", "broadcast"])
 @pytest.mark.parametrize("min_points", [2, 4])
 def test_assignment_equals_brute_force(spark, monkeypatch, limit, min_points):
     monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
