@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starsift.llm import metric_join, mixing, simhash, sql, topk_search
+from starsift.llm import (
+    bpe,
+    metric_join,
+    mixing,
+    ngram_model,
+    secrets,
+    simhash,
+    sql,
+    topk_search,
+    toxicity,
+)
 from starsift.llm.common import table
 
 
@@ -21,6 +32,28 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), (5, 2, 1), 1.5, 2.0)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), fold=0, sample=20_000)
+    return toxicity.score_toxicity(docs, model, fold=0)
+
+
+def op7_ngram_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_model.score_documents(
+        table(spark, sf_dir, "documents"), fold=1, order=2, weight=0.4
+    )
+
+
+def op8_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k_search(
         table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20, scale=64
@@ -31,6 +64,10 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op6_toxicity": op6_toxicity,
+    "op7_ngram_automaton": op7_ngram_automaton,
+    "op8_bpe_chunk_reuse": op8_bpe_chunk_reuse,
+    "op9_secret_scan": op9_secret_scan,
     "op10_top_k_search": op10_top_k_search,
 }
 
