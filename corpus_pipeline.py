@@ -4,30 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starsift.llm import mixing, simhash
+from starsift.llm import bpe, mixing, secrets, simhash, toxicity
 from starsift.sources.workspace import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.without_toxic(docs, toxicity.fit_toxicity(docs, labels, fold=0))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that of the smallest id."""
     return simhash.without_copies(docs, shingle=5, radius=2)
 
 
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in any layer of a text are masked; every document stays."""
+    return secrets.redacted(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mixed(docs, (5, 2, 1), 1.5, 2.0)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of each document of the mix."""
+    return bpe.token_digests(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
     ("simhash_near_dedup", near_dedup),
+    ("secret_scan", mask_secrets),
     ("mix_sources", mix),
+    ("bpe", encode),
 ]
 
-# No SQL can express SimHash, the classifier or the tokenizer.
+# No SQL can express the classifier, SimHash or the tokenizer.
 ORACLE_SQL = None
 
 

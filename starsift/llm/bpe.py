@@ -402,11 +402,11 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     return whole.unionByName(finished)
 
 
-def token_digests(docs: DataFrame, path: str) -> DataFrame:
+def token_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), one row for each row of ``docs``.
 
     ``ids_sha256`` is over the ids as little-endian 32-bit numbers, ``decoded_sha256``
-    over the UTF-8 of the text that the ids decode to.
+    over the UTF-8 of the text that the ids decode to. ``with_ids`` adds the ids.
     """
     definition = docs.sparkSession.sparkContext.broadcast(read_definition(path))
 
@@ -414,7 +414,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
         encoder = _encoder(definition.value)
         for batch in batches:
             ids = batch.column("ids").to_pylist()
-            yield pa.RecordBatch.from_pydict({
+            out = pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
                 "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
                 "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
@@ -423,8 +423,11 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
                     pa.string(),
                 ),
             })
+            yield out.append_column("ids", batch.column("ids")) if with_ids else out
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return encode_documents(docs, path).select("doc_id", "ids").mapInArrow(
-        digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        digest,
+        f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        + ", ids binary" * with_ids,
     )

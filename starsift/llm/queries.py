@@ -14,12 +14,64 @@ from starsift.llm import (
     secrets,
     simhash,
     sql,
+    toolcalls,
     topk_search,
     toxicity,
+    warc,
 )
 from starsift.llm.common import table
 
 
+# Schemas of the tools that the conversations' derived calls name.
+TOOLS = {
+    "measure": {
+        "unit": {"type": "string", "required": True, "enum": ["chars", "words"]},
+        "value": {"type": "integer", "required": True},
+    },
+    "note": {"tags": {"type": "array"}, "text": {"type": "string", "required": True}},
+    "search": {
+        "limit": {"type": "integer"}, "query": {"type": "string", "required": True},
+    },
+}
+
+
+def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.record_table(warc.page_responses(table(spark, sf_dir, "pages")))
+
+
+def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each assistant turn as a call, each later user turn as the result of the turn before.
+
+    The table has no calls of its own, so tool and arguments follow from the text; some
+    arguments break their schema on purpose. A call builds on the assistant's last one.
+    """
+    turns = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", "role", "text", F.coalesce(F.length("text"), F.lit(0)).alias("n"),
+        F.coalesce(F.regexp_extract("text", "[A-Za-z]+", 0), F.lit("")).alias("word"),
+    )
+    kind, n = F.col("n") % 3, F.col("n").cast("string")
+    value = F.when(F.col("n") % 5 == 0, F.concat(F.lit('"'), n, F.lit('"'))).otherwise(n)
+    unit = F.when(F.col("n") % 4 == 0, "bytes").otherwise("chars")
+    search = F.concat(F.lit('{ "query" : "'), "word", F.lit('", "limit" : '), n, F.lit(" }"))
+    measure = F.concat(F.lit('{"value":'), value, F.lit(', "unit":"'), unit, F.lit('"}'))
+    note = F.concat(
+        F.when(F.col("n") % 7 == 0, '{"mood": null, ').otherwise("{"), F.lit('"text": "'), "word",
+        F.lit('", "tags": ["b", "a"]'), F.when(F.col("n") % 11 == 0, "").otherwise("}"),
+    )
+    called = F.concat(F.lit("c"), F.col("turn").cast("string"))
+    calls = turns.filter("role = 'assistant'").select(
+        "conv_id", "turn", called.alias("call_id"),
+        F.when(kind == 0, "search").when(kind == 1, "measure").otherwise("note").alias("name"),
+        F.when(kind == 0, search).when(kind == 1, measure).otherwise(note).alias("arguments"),
+        F.array(F.concat(F.lit("c"), (F.col("turn") - 2).cast("string"))).alias("after"),
+    )
+    results = turns.filter("role = 'user' AND turn > 0").select(
+        "conv_id", "turn", F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("call_id"),
+        F.col("text").alias("content"),
+    )
+    return toolcalls.link_tool_calls(calls, results, TOOLS)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_documents(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -61,6 +113,8 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_derivatives": op1_warc_derivatives,
+    "op2_tool_calls": op2_tool_calls,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_mix_sources": op5_mix_sources,
@@ -72,6 +126,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_tool_calls": sql.OP2,
     "op5_mix_sources": sql.OP5,
     "op10_top_k_search": sql.OP10,
 }

@@ -2,6 +2,57 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, text, coalesce(length(text), 0) AS n,
+    coalesce(regexp_extract(text, '[A-Za-z]+', 0), '') AS word
+  FROM conversations
+), calls AS (
+  SELECT conv_id, turn, 'c' || turn AS id, n, word,
+    CASE n % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'measure' ELSE 'note' END AS name
+  FROM turns WHERE role = 'assistant'
+), first_calls AS (
+  SELECT *, count(*) OVER (PARTITION BY conv_id, id) AS calls
+  FROM calls
+  QUALIFY row_number() OVER (PARTITION BY conv_id, id ORDER BY turn) = 1
+), results AS (
+  SELECT conv_id, turn, 'c' || (turn - 1) AS id, text,
+    count(*) OVER (PARTITION BY conv_id, turn) AS results
+  FROM turns WHERE role = 'user' AND turn > 0
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) = 1
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, id) AS position
+  FROM first_calls
+), checked AS (
+  SELECT *, CASE name
+      WHEN 'search' THEN '{"limit":' || n || ',"query":"' || word || '"}'
+      WHEN 'measure' THEN '{"unit":"' || CASE WHEN n % 4 = 0 THEN 'bytes' ELSE 'chars' END
+        || '","value":' || CASE WHEN n % 5 = 0 THEN '"' || n || '"' ELSE n::VARCHAR END || '}'
+      ELSE CASE WHEN n % 11 = 0 THEN 'null' ELSE '{' || CASE WHEN n % 7 = 0
+        THEN '"mood":null,' ELSE '' END || '"tags":["b","a"],"text":"' || word || '"}' END
+      END AS shown,
+    CASE name
+      WHEN 'search' THEN ''
+      WHEN 'measure' THEN concat_ws('; ', CASE WHEN n % 4 = 0 THEN 'unit: not allowed' END,
+        CASE WHEN n % 5 = 0 THEN 'value: not integer' END)
+      ELSE CASE WHEN n % 11 = 0 THEN 'not JSON' WHEN n % 7 = 0 THEN 'mood: unknown' ELSE '' END
+      END AS problems
+  FROM placed
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.position, 0) AS position, coalesce(c.id, r.id) AS call_id,
+  c.name,
+  CASE WHEN c.id IS NULL THEN 'orphan' WHEN r.id IS NULL THEN 'pending'
+       WHEN r.turn < c.turn THEN 'early' ELSE 'linked' END AS status,
+  CASE WHEN c.id IS NOT NULL THEN c.problems END AS problems, false AS cyclic,
+  CAST(greatest(coalesce(c.calls, 0) - 1, 0) + greatest(coalesce(r.results, 0) - 1, 0) AS BIGINT)
+    AS repeated,
+  '{"arguments":' || coalesce(c.shown, 'null') || ',"id":' || to_json(coalesce(c.id, r.id))
+    || ',"name":' || coalesce(to_json(c.name), 'null') || ',"result":'
+    || coalesce(to_json(r.text), 'null') || '}' AS json
+FROM checked c FULL JOIN results r
+  ON c.conv_id IS NOT DISTINCT FROM r.conv_id AND c.id = r.id
+"""
+
 OP5 = r"""
 WITH rows AS (
   SELECT doc_id, source,
