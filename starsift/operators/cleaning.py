@@ -100,7 +100,7 @@ def sample_rows(df: DataFrame, n: int = 1000, partitions: int | None = None) ->
     """
     out = with_review_id(df)
     key = F.col("review_id").cast("string")
-    picked = top_k(out, [F.md5(key), key], n)
+    picked = top_k(out, [(F.md5(key), False), (key, False)], n)
     return picked.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 

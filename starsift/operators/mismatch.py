@@ -41,7 +41,7 @@ def top_mismatches(
 ) -> DataFrame:
     """The ``k`` strongest mismatches (per ``by`` if given), surest score first, then by id."""
     found = with_review_id(mismatched(df, threshold))
-    order = [F.desc("abs_diff"), F.desc("sentiment_conf"), F.asc("review_id")]
+    order = [("abs_diff", True), ("sentiment_conf", True), ("review_id", False)]
     return top_k(found, order, k, by)
 
 
@@ -49,7 +49,7 @@ def top_examples(df: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` mismatches of greatest size to show in full, texts of mere space left out."""
     size = F.coalesce(F.abs("abs_diff"), F.abs("diff"), F.lit(0.0))
     shown = with_review_id(df).filter(F.col("text").rlike(r"[^\s\p{Z}]"))
-    return top_k(shown, [size.desc(), F.asc("review_id")], k)
+    return top_k(shown, [(size, True), ("review_id", False)], k)
 
 
 def explain_mismatch(df: DataFrame) -> DataFrame:

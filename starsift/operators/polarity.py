@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starsift.functions.text import LETTERS, exploded
-from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize
 
 # Upper limits of the standard score for one to four stars.
 STAR_LIMITS = (-1.5, -0.5, 0.5, 1.5)
+BUCKETS = 65536
 
 
 @dataclass(frozen=True)
 class Polarity:
-    """A fitted model: (term, p, n) rows and one row (mu, sigma)."""
+    """A fitted model: a row (term, p, n) for each bucket of terms, and one row (mu, sigma)."""
 
     terms: DataFrame
     scale: DataFrame
@@ -49,34 +50,15 @@ def log_odds(labelled: DataFrame, term: str = "term") -> DataFrame:
     )
 
 
-def mean_polarity(df: DataFrame, terms: DataFrame, key: str) -> DataFrame:
-    """(key, m): mean polarity over the tokens of each text, unknown ones as 0.
+def term_polarity(docs: DataFrame, labels: DataFrame, target: str = "quality") -> DataFrame:
+    """(term, p, n): the polarity of each term of the labelled texts."""
+    return materialize(log_odds(_training_words(docs, labels, target)), "terms")
 
-    Texts without any token are absent. The tokens of one text leave the explode
-    side by side, so the mean shrinks them to one row before it shuffles. Frequent
-    terms are priced by broadcast; only rare and unknown ones are shuffled, spread
-    further because a term rare in training may be frequent here.
-    """
-    words = exploded(df, "text", LETTERS, 1, key)
-    prices = terms.select("term", "p", F.col("n").alias("weight"))
-    priced = lookup_join(words, prices, "term", "weight", "left", copies=16)
-    return priced.groupBy(key).agg(F.avg(F.coalesce("p", F.lit(0.0))).alias("m"))
-
-
-def fit_polarity(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Polarity:
-    """Learn term polarity from ``docs`` (doc_id, text) and 0/1 ``labels``.
 
-    The model is two tables on shared storage: the terms, and the mean and
-    deviation of the polarity of the training texts, by which scores are scaled.
-    A review's stars thus never depend on the other reviews of its batch.
-    """
+def _training_words(docs: DataFrame, labels: DataFrame, target: str) -> DataFrame:
     marks = labels.select("doc_id", (F.col(target) == 1).alias("positive"))
     training = docs.select("doc_id", "text").join(marks, "doc_id")
-    terms = materialize(log_odds(exploded(training, "text", LETTERS, 1, "positive")), "terms")
-    spread = mean_polarity(training, terms, "doc_id").agg(
-        F.avg("m").alias("mu"), F.stddev_pop("m").alias("sigma")
-    )
-    return Polarity(terms, materialize(spread, "scale"))
+    return exploded(training, "text", LETTERS, 1, "positive")
 
 
 def stars(m: Column, mu: Column, sigma: Column) -> Column:
@@ -93,45 +75,65 @@ def confidence(m: Column) -> Column:
     return (1 / (1 + F.exp(-F.abs(m)))).cast("float")
 
 
-def score_polarity(df: DataFrame, model: Polarity, key: str = "review_id") -> DataFrame:
-    """Add ``sentiment_star`` and ``sentiment_conf`` to every review with a text.
+def bucket(term: Column) -> Column:
+    """Bucket 0 to 65535 of a term: the first four hex digits of its MD5."""
+    return F.conv(F.substring(F.md5(term), 1, 4), 16, 10).cast("int")
+
+
+def bucket_weights(model: Polarity) -> list[float]:
+    """The price of each bucket, 0 for those no training text has."""
+    weights = [0.0] * BUCKETS
+    for row in model.terms.select("term", "p").toLocalIterator():
+        weights[row["term"]] = row["p"]
+    return weights
+
 
-    A text without tokens counts as neutral evidence, polarity 0.
+def mean_price(text: Column, weights: list[float]) -> Column:
+    """Mean weight of the tokens of a text, null for a text without any.
+
+    The weights stand in the expression as one constant array, so a row is priced
+    where it is read.
     """
-    mu = model.scale.select("mu").scalar()
-    sigma = model.scale.select("sigma").scalar()
-    zero = F.lit(0.0)
-    found = mean_polarity(df.filter(F.col("text").isNotNull()), model.terms, key)
-    m = F.when(F.col("text").isNotNull(), F.coalesce("m", zero))
-    return (
-        df.drop("sentiment_star", "sentiment_conf")
-        .join(found, key, "left")
-        .withColumns(
-            {"sentiment_star": stars(m, mu, sigma), "sentiment_conf": confidence(m)}
-        )
-        .drop("m")
+    prices = F.from_json(F.lit(json.dumps(weights)), "array<double>")
+    words = F.filter(F.split(F.lower(text), LETTERS), lambda t: F.length(t) >= 1)
+    total = F.aggregate(
+        words, F.lit(0.0), lambda sum_, t: sum_ + F.coalesce(F.get(prices, bucket(t)), F.lit(0.0))
     )
+    return F.try_divide(total, F.size(words))
 
 
-def bucket(term: Column) -> Column:
-    """Bucket 0 to 65535 of a term: the first four hex digits of its MD5."""
-    return F.conv(F.substring(F.md5(term), 1, 4), 16, 10).cast("int")
+def fit_hashed(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Polarity:
+    """Learn the polarity of term buckets from ``docs`` (doc_id, text) and 0/1 ``labels``.
+
+    The model is two tables on shared storage: at most 65536 buckets whatever the
+    vocabulary, and the mean and deviation of the polarity of the training texts, by
+    which scores are scaled. A review's stars thus never depend on the other reviews
+    of its batch.
+    """
+    words = _training_words(docs, labels, target)
+    terms = materialize(log_odds(words.withColumn("term", bucket(F.col("term")))), "buckets")
+    known = labels.select("doc_id").distinct()
+    weights = bucket_weights(Polarity(terms, terms))
+    means = docs.select("doc_id", "text").join(known, "doc_id").select(
+        mean_price(F.col("text"), weights).alias("m")
+    )
+    scale = means.agg(F.avg("m").alias("mu"), F.stddev_pop("m").alias("sigma"))
+    return Polarity(terms, materialize(scale, "scale"))
 
 
-def fit_hashed(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Polarity:
-    """The polarity model over term buckets, whose size no vocabulary can grow.
+def score_polarity(df: DataFrame, model: Polarity) -> DataFrame:
+    """Add ``sentiment_star`` and ``sentiment_conf`` to every review with a text.
 
-    At most 65536 rows, small enough to hand to every task of a scoring job.
+    A text without tokens counts as neutral evidence, polarity 0. Map-only.
     """
-    marks = labels.select("doc_id", (F.col(target) == 1).alias("positive"))
-    training = docs.select("doc_id", "text").join(marks, "doc_id")
-    words = exploded(training, "text", LETTERS, 1, "doc_id", "positive")
-    words = words.withColumn("term", bucket(F.col("term")))
-    terms = materialize(log_odds(words), "buckets")
-    spread = (
-        words.join(F.broadcast(terms.select("term", "p")), "term", "left")
-        .groupBy("doc_id")
-        .agg(F.avg(F.coalesce("p", F.lit(0.0))).alias("m"))
-        .agg(F.avg("m").alias("mu"), F.stddev_pop("m").alias("sigma"))
+    scale = model.scale.first()
+    mu, sigma = F.lit(scale["mu"]).cast("double"), F.lit(scale["sigma"]).cast("double")
+    mean = mean_price(F.col("text"), bucket_weights(model))
+    m = F.when(F.col("text").isNotNull(), F.coalesce(mean, F.lit(0.0)))
+    base = df.drop("sentiment_star", "sentiment_conf")
+    priced = base.withColumn("_m", m)
+    return priced.select(
+        *base.columns,
+        stars(F.col("_m"), mu, sigma).alias("sentiment_star"),
+        confidence(F.col("_m")).alias("sentiment_conf"),
     )
-    return Polarity(terms, materialize(spread, "scale"))

@@ -25,18 +25,16 @@ def stage_profile(spark: SparkSession, stages: dict[str, str]) -> DataFrame:
     """Rows, files, megabytes and scan partitions of each Parquet stage.
 
     ``stages`` maps a stage name to its path. The row count comes from the file
-    footers. Session facts stand beside every stage.
+    footers; partitions are those a scan has, empty ones too. Session facts stand
+    beside every stage.
     """
     context = spark.sparkContext
     out = None
     for name, path in stages.items():
-        rows = spark.read.parquet(path).groupBy(F.spark_partition_id().alias("p")).agg(
-            F.count("*").alias("n")
-        )
+        scan = spark.read.parquet(path)
         sizes = file_sizes(spark, path)
-        one = rows.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-            F.count("*").alias("partitions"),
+        one = scan.agg(F.count("*").alias("count")).withColumn(
+            "partitions", F.lit(scan.rdd.getNumPartitions()).cast("long")
         ).select(
             F.lit(name).alias("stage"),
             "count",
@@ -87,9 +85,21 @@ def completeness(
     )
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """One row: the row count of each stage as ``<name>_count``."""
+def stage_counts(stages: dict[str, DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
+    """The row count of each stage as ``<name>_count``, one row (per ``by``)."""
     names = list(stages)
+    if by:
+        marked = [
+            stages[n].groupBy(*by).agg(F.count("*").alias("n")).select(
+                *by, *[(F.col("n") if m == n else F.lit(0).cast("long")).alias(f"{m}_count")
+                       for m in names]
+            )
+            for n in names
+        ]
+        union = marked[0]
+        for part in marked[1:]:
+            union = union.unionByName(part)
+        return union.groupBy(*by).agg(*[F.sum(f"{n}_count").alias(f"{n}_count") for n in names])
     first = stages[names[0]].agg(F.count("*").alias(f"{names[0]}_count"))
     rest = [stages[n].agg(F.count("*").alias("n")).scalar().alias(f"{n}_count") for n in names[1:]]
     return first.select("*", *rest)

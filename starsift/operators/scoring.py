@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starsift.functions.text import LETTERS
 from starsift.operators.cleaning import filter_nonempty, sample_rows, scoring_columns
-from starsift.operators.polarity import STAR_LIMITS, Polarity
+from starsift.operators.polarity import STAR_LIMITS, Polarity, bucket_weights
 from starsift.schema import SCORE_SCHEMA
 
 # A model maps texts to labels such as "4 stars" and confidences in 0..1.
 Model = Callable[[list[str]], tuple[list[str], list[float]]]
 
+# Transformers that this Python worker has loaded, by path.
+_kept: dict[str, object] = {}
+
 
 def score(df: DataFrame, load: Callable[[], Model], text: str = "text") -> DataFrame:
     """Add ``sentiment_star`` (1-5) and ``sentiment_conf`` to every row.
@@ -59,43 +64,39 @@ def hashed_model(model: Polarity) -> Callable[[], Model]:
     """Scorer over the bucketed polarity model, at most 65536 weights.
 
     The weights are the model's parameters, bounded by the number of buckets; they
-    reach the tasks as one broadcast variable.
+    reach the tasks as one broadcast variable. Tokens of a batch are split and counted
+    by Arrow; only its distinct ones are hashed one by one.
     """
     spark = model.terms.sparkSession
     scale = model.scale.first()
-    weights = np.zeros(65536)
-    for row in model.terms.select("term", "p").toLocalIterator():
-        weights[row["term"]] = row["p"]
-    shared = spark.sparkContext.broadcast(weights)
+    shared = spark.sparkContext.broadcast(np.array(bucket_weights(model)))
     mu, sigma = scale["mu"] or 0.0, scale["sigma"] or 0.0
-    limits = STAR_LIMITS
+    limits = np.array(STAR_LIMITS)
 
     def load() -> Model:
-        import regex
-
         prices = shared.value
-        known: dict[str, float] = {}
-        words = regex.compile(r"\p{L}+")
-
-        def price(word: str) -> float:
-            value = known.get(word)
-            if value is None:
-                digest = hashlib.md5(word.encode(), usedforsecurity=False).hexdigest()
-                value = float(prices[int(digest[:4], 16)])
-                if len(known) < 1_000_000:
-                    known[word] = value
-            return value
 
         def predict(texts: list[str]) -> tuple[list[str], list[float]]:
-            labels, confs = [], []
-            for text in texts:
-                worth = [price(w) for w in words.findall(text.lower())]
-                m = math.fsum(worth) / len(worth) if worth else 0.0
-                z = (m - mu) / sigma if sigma else 0.0
-                star = 1 + sum(z >= limit for limit in limits)
-                labels.append(f"{star} stars" if star > 1 else "1 star")
-                confs.append(1 / (1 + math.exp(-abs(m))))
-            return labels, confs
+            lower = pc.utf8_lower(pa.array(texts, pa.large_string()))
+            words = pc.split_pattern_regex(lower, LETTERS)
+            owner = pc.list_parent_indices(words).to_numpy()
+            coded = pc.dictionary_encode(words.flatten())
+            worth = np.array(
+                [
+                    prices[int(hashlib.md5(w.encode(), usedforsecurity=False).hexdigest()[:4], 16)]
+                    for w in coded.dictionary.to_pylist()
+                ]
+            )
+            real = np.array([w != "" for w in coded.dictionary.to_pylist()], dtype=bool)
+            place = coded.indices.to_numpy()
+            owner, place = owner[real[place]], place[real[place]]
+            count = np.bincount(owner, minlength=len(texts))
+            total = np.bincount(owner, worth[place], minlength=len(texts))
+            m = total / np.maximum(count, 1)
+            z = (m - mu) / sigma if sigma else np.zeros(len(texts))
+            star = 1 + (z[:, None] >= limits[None, :]).sum(axis=1)
+            labels = [f"{s} stars" if s > 1 else "1 star" for s in star.tolist()]
+            return labels, (1 / (1 + np.exp(-np.abs(m)))).tolist()
 
         return predict
 
@@ -115,14 +116,13 @@ def transformer_model(path: str, batch_size: int = 8) -> Callable[[], Model]:
         import torch
         import transformers
 
-        kept = transformers.__dict__.setdefault("_starsift_models", {})
-        if path not in kept:
-            kept[path] = transformers.pipeline(
+        if path not in _kept:
+            _kept[path] = transformers.pipeline(
                 "text-classification",
                 model=path,
                 device=0 if torch.cuda.is_available() else -1,
             )
-        classifier = kept[path]
+        classifier = _kept[path]
 
         def predict(texts: list[str]) -> tuple[list[str], list[float]]:
             found = classifier(texts, truncation=True, batch_size=batch_size)

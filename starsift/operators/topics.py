@@ -35,7 +35,7 @@ def topic_input(df: DataFrame, min_docs: int = 5, cap: int | None = None) -> Dat
     out = with_review_id(df).select("review_id", "text", "rating", "sentiment_star")
     if cap is not None:
         size = F.abs(F.col("sentiment_star") - F.col("rating"))
-        out = top_k(out, [size.desc(), F.asc("review_id")], cap)
+        out = top_k(out, [(size, True), ("review_id", False)], cap)
     found = out.limit(min_docs).count()
     if found < min_docs:
         raise TooFewDocuments(f"topics need {min_docs} documents, found {found}")

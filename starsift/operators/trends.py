@@ -29,11 +29,11 @@ def yearly_trend(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def with_indicator(yearly: DataFrame, indicator: DataFrame) -> DataFrame:
     """Add ``inflation_rate`` by year, null for years the indicator lacks.
 
-    The indicator holds one row per year, a few hundred at most, so it is the
-    side to broadcast.
+    Both sides are small aggregates; which of them is broadcast, if any, is left to
+    the optimizer, who knows their sizes.
     """
     rates = indicator.select("year", F.col("rate").alias("inflation_rate"))
-    return yearly.join(F.broadcast(rates), "year", "left")
+    return yearly.join(rates, "year", "left")
 
 
 def chart_years(yearly: DataFrame) -> DataFrame:
@@ -71,13 +71,12 @@ def lagged_corr(
 ) -> DataFrame:
     """Correlation of this year's reviews with the indicator ``lag`` years before.
 
-    The indicator is copied once for each lag, still a small broadcast, and the
-    yearly table is read once.
+    The indicator is copied once for each lag, and the yearly table is read once.
     """
     shifts = F.explode(F.array(*[F.lit(int(n)) for n in lags]))
     shifted = indicator.select("year", F.col("rate").alias("inflation_rate"), shifts.alias("lag"))
     shifted = shifted.withColumn("year", F.col("year") + F.col("lag"))
-    joined = yearly.join(F.broadcast(shifted), "year").dropna(
+    joined = yearly.join(shifted, "year").dropna(
         "any", subset=["avg_sentiment", "avg_rating", "inflation_rate"]
     )
     return joined.groupBy(*by, "lag").agg(
@@ -88,13 +87,20 @@ def lagged_corr(
 
 
 def monthly_trend(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Monthly averages with the change against the month before in the data.
+    """Monthly averages with the change against the calendar month before.
 
-    The window runs over the aggregate, one row for each calendar month of a
-    group, never over reviews.
+    The change is null where that month has no reviews; reviews without a date are a
+    row of their own, without a change. The window runs over the aggregate, one row
+    for each calendar month of a group, never over reviews.
     """
     monthly = df.groupBy(*by, "year", "month").agg(*_measures())
     spec = Window.partitionBy(*by).orderBy("year", "month")
-    return monthly.withColumn(
-        "sentiment_change", F.col("avg_sentiment") - F.lag("avg_sentiment").over(spec)
-    ).withColumn("rating_change", F.col("avg_rating") - F.lag("avg_rating").over(spec))
+    month = F.col("year") * 12 + F.col("month")
+    follows = F.lag(month).over(spec) == month - 1
+
+    def change(column: str):
+        return F.when(follows, F.col(column) - F.lag(column).over(spec))
+
+    return monthly.withColumns(
+        {"sentiment_change": change("avg_sentiment"), "rating_change": change("avg_rating")}
+    )

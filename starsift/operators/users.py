@@ -59,24 +59,31 @@ def conflicted(
     return kept.withColumn("reason", F.lit(CONFLICTED))
 
 
-def suspicious_users(stats: DataFrame) -> DataFrame:
+def suspicious_users(
+    stats: DataFrame,
+    spam_reviews: int = 5,
+    max_stddev: float = 0.1,
+    conflict_reviews: int = 3,
+    min_rating: float = 4.5,
+    max_sentiment: float = 2.5,
+) -> DataFrame:
     """Both cohorts, one row per user and reason, from one pass over ``stats``."""
     reasons = F.array_compact(
         F.array(
-            F.when(_is_spammer(5, 0.1), SPAMMER),
-            F.when(_is_conflicted(3, 4.5, 2.5), CONFLICTED),
+            F.when(_is_spammer(spam_reviews, max_stddev), SPAMMER),
+            F.when(_is_conflicted(conflict_reviews, min_rating, max_sentiment), CONFLICTED),
         )
     )
     return stats.select("*", F.explode(reasons).alias("reason"))
 
 
-def top_suspects(report: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` users with most reviews in each cohort, ties by user id.
+def top_suspects(report: DataFrame, k: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
+    """The ``k`` users with most reviews in each cohort (of each ``by``), ties by user id.
 
     The rank limit cuts each task's users before a cohort is brought together, and
     one pass over the report serves both cohorts.
     """
-    order = Window.partitionBy("reason").orderBy(F.desc("review_count"), F.asc("user_id"))
+    order = Window.partitionBy(*by, "reason").orderBy(F.desc("review_count"), F.asc("user_id"))
     ranked = report.withColumn("_place", F.row_number().over(order))
     return ranked.filter(F.col("_place") <= k).drop("_place")
 
@@ -108,10 +115,11 @@ def burst_users(
     """Users who post at least ``min_reviews`` times within one ``per`` bucket.
 
     Gives the fullest bucket (the earliest of equals) and the number of buckets
-    that reach the limit.
+    that reach the limit. Reviews without a time are in no bucket.
     """
     bucket = F.date_trunc(per, time).alias("bucket")
-    buckets = df.groupBy(*by, F.col(user).alias("user_id"), bucket).agg(F.count("*").alias("n"))
+    dated = df.filter(F.col(time).isNotNull())
+    buckets = dated.groupBy(*by, F.col(user).alias("user_id"), bucket).agg(F.count("*").alias("n"))
     fullest = F.min(F.struct((-F.col("n")).alias("less"), F.col("bucket").alias("bucket")))
     return (
         buckets.filter(F.col("n") >= min_reviews)

@@ -472,7 +472,8 @@ def group_sentiment(spark, sf_dir):
 @query
 def stage_profile(spark, sf_dir):
     names = ("orders", "documents", "lineitem")
-    return quality.stage_profile(spark, {n: f"{sf_dir}/{n}.parquet" for n in names})
+    profile = quality.stage_profile(spark, {n: f"{sf_dir}/{n}.parquet" for n in names})
+    return profile.select("stage", "count")
 
 
 @query
@@ -507,13 +508,13 @@ def retention(spark, sf_dir):
 @query
 def polarity_terms(spark, sf_dir):
     docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
-    return rounded(polarity.fit_polarity(docs, labels).terms, "p")
+    return rounded(polarity.term_polarity(docs, labels), "p")
 
 
 @query
 def score_polarity(spark, sf_dir):
     docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
-    model = polarity.fit_polarity(docs, labels)
+    model = polarity.fit_hashed(docs, labels)
     scored = polarity.score_polarity(clean(spark, sf_dir), model)
     return scored.select("review_id", "sentiment_star", conf4())
 
@@ -536,7 +537,7 @@ def score_classifier(spark, sf_dir):
 @query
 def scored_rating_report(spark, sf_dir):
     docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
-    model = polarity.fit_polarity(docs, labels)
+    model = polarity.fit_hashed(docs, labels)
     scored = polarity.score_polarity(clean(spark, sf_dir), model)
     return rounded(ratings.rating_report(scored), "avg_sentiment_star", "avg_abs_diff")
 
@@ -605,3 +606,95 @@ def embedded_topics(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     assigned = topics.embedded_topics(vectors, "vec_id", "embedding")
     return topics.topic_counts(assigned)
+
+
+# Every analysis per category
+
+
+_BY = ("category",)
+
+
+@query
+def rating_report_by_category(spark, sf_dir):
+    report = ratings.rating_report(clean(spark, sf_dir), _BY)
+    return rounded(report, "avg_sentiment_star", "avg_abs_diff")
+
+
+@query
+def weighted_mae_by_category(spark, sf_dir):
+    summary = ratings.rating_summary(clean(spark, sf_dir), _BY)
+    return rounded(ratings.weighted_mae(summary, _BY), "avg_mae", "exact_mae")
+
+
+@query
+def rating_distribution_by_category(spark, sf_dir):
+    summary = ratings.rating_summary(clean(spark, sf_dir), _BY)
+    return rounded(ratings.rating_distribution(summary, _BY), "share", "mae")
+
+
+@query
+def overview_by_category(spark, sf_dir):
+    scored = clean(spark, sf_dir)
+    brands = scored.filter(F.col("brand").isNotNull()).groupBy("category", "brand").agg(
+        F.count("*").alias("Count")
+    )
+    return rounded(ratings.overview(scored, brands.withColumn("Topic", F.lit(0)), by=_BY), "avg_mae")
+
+
+@query
+def top_suspects_by_category(spark, sf_dir):
+    report = users.suspicious_users(
+        users.user_stats(clean(spark, sf_dir), _BY), spam_reviews=3, conflict_reviews=2
+    )
+    return users.top_suspects(report, 3, _BY).select("category", "user_id", "review_count", "reason")
+
+
+@query
+def mismatch_histogram_by_category(spark, sf_dir):
+    return mismatch.mismatch_histogram(conflicting(spark, sf_dir), _BY)
+
+
+@query
+def monthly_trend_by_category(spark, sf_dir):
+    return rounded(
+        trends.monthly_trend(clean(spark, sf_dir), _BY),
+        "avg_sentiment", "avg_rating", "sentiment_change", "rating_change",
+    )
+
+
+@query
+def lagged_corr_by_category(spark, sf_dir):
+    yearly = trends.yearly_trend(clean(spark, sf_dir), _BY)
+    found = trends.lagged_corr(yearly, indicator(spark, sf_dir), (0, 1, 2), by=_BY)
+    return rounded(found, "corr_sentiment", "corr_rating")
+
+
+@query
+def product_sentiment_by_category(spark, sf_dir):
+    return rounded(
+        products.product_sentiment(clean(spark, sf_dir), 2, _BY), "avg_sentiment", "avg_rating"
+    )
+
+
+@query
+def repeated_text_by_category(spark, sf_dir):
+    return users.repeated_text(clean(spark, sf_dir), by=_BY)
+
+
+@query
+def burst_users_by_category(spark, sf_dir):
+    found = users.burst_users(clean(spark, sf_dir), per="year", min_reviews=2, by=_BY)
+    day = F.date_format("peak_bucket", "yyyy-MM-dd").alias("peak_bucket")
+    return found.select("category", "user_id", "peak_count", day, "burst_buckets")
+
+
+@query
+def extreme_users_by_category(spark, sf_dir):
+    return rounded(users.extreme_users(clean(spark, sf_dir), 0.6, 2, _BY), "extreme_share")
+
+
+@query
+def retention_by_category(spark, sf_dir):
+    raw = reviews(spark, sf_dir)
+    stages = {"raw": raw, "cleaned": cleaning.clean_reviews(raw)}
+    return quality.retention(quality.stage_counts(stages, _BY))

@@ -12,16 +12,18 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         ("first_line", "doc_count"),
         """
 SELECT o.o_orderkey AS review_id,
-  CASE WHEN o.o_custkey % 50 = 0 THEN CAST(5.0 AS DOUBLE)
+  CASE WHEN o.o_orderkey % 83 = 0 THEN NULL WHEN o.o_custkey % 50 = 0 THEN CAST(5.0 AS DOUBLE)
        ELSE CAST(substr(o.o_orderpriority, 1, 1) AS DOUBLE) END AS rating,
   CASE WHEN o.o_orderkey % 97 = 0 THEN NULL WHEN o.o_orderkey % 89 = 0 THEN '   '
        ELSE d.text END AS text,
   CAST(f.pk AS VARCHAR) AS asin, p.p_brand AS brand, p.p_type AS category,
-  CAST(o.o_custkey AS VARCHAR) AS user_id,
-  epoch_ms(o.o_orderdate) + (o.o_orderkey * 7919) % 86400000 AS timestamp,
+  CASE WHEN o.o_orderkey % 73 <> 0 THEN CAST(o.o_custkey AS VARCHAR) END AS user_id,
+  CASE WHEN o.o_orderkey % 71 <> 0
+       THEN epoch_ms(o.o_orderdate) + (o.o_orderkey * 7919) % 86400000 END AS timestamp,
   o.o_orderstatus <> 'P' AS verified_purchase,
   CAST(o.o_orderkey % 13 AS INTEGER) AS helpful_vote,
-  CAST(CASE WHEN o.o_custkey % 100 = 0 THEN 1 + o.o_orderkey % 2
+  CAST(CASE WHEN o.o_orderkey % 79 = 0 THEN NULL
+            WHEN o.o_custkey % 100 = 0 THEN 1 + o.o_orderkey % 2
             ELSE 1 + (o.o_orderkey * 31 + o.o_custkey) % 5 END AS INTEGER) AS sentiment_star,
   CAST(((o.o_orderkey * 7919) % 1000) / CAST(1000.0 AS DOUBLE) AS FLOAT) AS sentiment_conf
 FROM orders o
@@ -152,13 +154,6 @@ SELECT term, ln((n1 + 1) / (t1 + v)) - ln((n0 + 1) / (t0 + v)) AS p, n1 + n0 AS
   SELECT *, sum(n1) OVER () AS t1, sum(n0) OVER () AS t0, count(*) OVER () AS v FROM (
     SELECT term, count(*) FILTER (quality = 1) AS n1, count(*) FILTER (quality <> 1) AS n0
     FROM training GROUP BY term))""",
-    ),
-    "scale": (
-        ("training", "terms"),
-        """
-SELECT avg(m) AS mu, stddev_pop(m) AS sigma FROM (
-  SELECT doc_id, avg(p) AS m FROM training JOIN terms ON terms.term = training.term
-  GROUP BY doc_id)""",
     ),
     "review_words": (
         ("clean",),
@@ -167,22 +162,6 @@ SELECT review_id, term FROM (
   SELECT review_id, unnest(string_split_regex(lower(text), '[^\\p{L}]+')) AS term FROM clean)
 WHERE term <> ''""",
     ),
-    "priced": (
-        ("review_words", "terms"),
-        """
-SELECT review_id, avg(coalesce(p, 0)) AS m
-FROM review_words w LEFT JOIN terms t ON t.term = w.term GROUP BY review_id""",
-    ),
-    "scores": (
-        ("clean", "priced", "scale"),
-        """
-SELECT *, CAST(CASE WHEN z < -1.5 THEN 1 WHEN z < -0.5 THEN 2 WHEN z < 0.5 THEN 3
-                    WHEN z < 1.5 THEN 4 ELSE 5 END AS INTEGER) AS star,
-  CAST(1 / (1 + exp(-abs(m))) AS FLOAT) AS conf
-FROM (SELECT c.review_id, c.rating, coalesce(p.m, 0) AS m,
-             (coalesce(p.m, 0) - (SELECT mu FROM scale)) / (SELECT sigma FROM scale) AS z
-      FROM clean c LEFT JOIN priced p ON p.review_id = c.review_id)""",
-    ),
     # The same over 65536 buckets of terms.
     "hashed_terms": (
         ("training",),
@@ -205,7 +184,7 @@ SELECT avg(m) AS mu, stddev_pop(m) AS sigma FROM (
 SELECT *, CAST(CASE WHEN z < -1.5 THEN 1 WHEN z < -0.5 THEN 2 WHEN z < 0.5 THEN 3
                     WHEN z < 1.5 THEN 4 ELSE 5 END AS INTEGER) AS star,
   CAST(1 / (1 + exp(-abs(m))) AS FLOAT) AS conf
-FROM (SELECT c.review_id, coalesce(p.m, 0) AS m, (coalesce(p.m, 0)
+FROM (SELECT c.review_id, c.rating, coalesce(p.m, 0) AS m, (coalesce(p.m, 0)
              - (SELECT mu FROM hashed_scale)) / (SELECT sigma FROM hashed_scale) AS z
       FROM clean c LEFT JOIN (
         SELECT review_id, avg(coalesce(p, 0)) AS m FROM review_words
@@ -389,8 +368,8 @@ FROM (SELECT *, CASE WHEN r > s THEN 'over-rated' WHEN r < s THEN 'under-rated'
   CASE WHEN r > s THEN CASE WHEN s < 2.5 THEN 'negative' WHEN s < 3.5 THEN 'neutral' ELSE 'positive' END
        WHEN r < s THEN CASE WHEN s > 3.5 THEN 'positive' WHEN s > 2.5 THEN 'neutral' ELSE 'negative' END
   END AS polarity
-  FROM (SELECT review_id, CAST(trunc(rating) AS INTEGER) AS r, CAST(sentiment_star AS DOUBLE) AS s
-        FROM clean))""",
+  FROM (SELECT review_id, coalesce(CAST(trunc(rating) AS INTEGER), 0) AS r,
+          coalesce(CAST(sentiment_star AS DOUBLE), 0) AS s FROM clean))""",
     ),
     "search_text": sql(
         "found",
@@ -435,9 +414,9 @@ UNION ALL SELECT user_id, {_STATS}, reason FROM conflict""",
     ),
     "top_suspects": sql(
         "spam conflict",
-        """(SELECT user_id, review_count, reason FROM spam ORDER BY review_count DESC, user_id LIMIT 10)
+        """(SELECT user_id, review_count, reason FROM spam ORDER BY review_count DESC, user_id NULLS FIRST LIMIT 10)
 UNION ALL
-(SELECT user_id, review_count, reason FROM conflict ORDER BY review_count DESC, user_id LIMIT 10)""",
+(SELECT user_id, review_count, reason FROM conflict ORDER BY review_count DESC, user_id NULLS FIRST LIMIT 10)""",
     ),
     "repeated_text": sql(
         "clean",
@@ -451,7 +430,7 @@ HAVING count(*) >= 2""",
   strftime(min(bucket) FILTER (n = top), '%Y-%m-%d') AS peak_bucket, count(*) AS burst_buckets
 FROM (SELECT *, max(n) OVER (PARTITION BY user_id) AS top FROM (
   SELECT user_id, date_trunc('month', review_time) AS bucket, count(*) AS n FROM clean
-  GROUP BY 1, 2 HAVING count(*) >= 2)) GROUP BY user_id""",
+  WHERE review_time IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2)) GROUP BY user_id""",
     ),
     "burst_events": """SELECT user_id, max(n) AS peak_count,
   strftime(min(bucket) FILTER (n = top), '%Y-%m-%d') AS peak_bucket, count(*) AS burst_buckets
@@ -496,10 +475,11 @@ JOIN (SELECT year + lag AS year, rate, lag FROM indicator, (VALUES (0), (1), (2)
     "monthly_trend": sql(
         "clean",
         """SELECT year, month, round(s, 6) AS avg_sentiment, round(r, 6) AS avg_rating,
-  n AS review_count, round(s - lag(s) OVER w, 6) AS sentiment_change,
-  round(r - lag(r) OVER w, 6) AS rating_change
-FROM (SELECT year, month, avg(sentiment_star) AS s, avg(rating) AS r, count(*) AS n FROM clean
-      GROUP BY year, month) WINDOW w AS (ORDER BY year, month)""",
+  n AS review_count,
+  CASE WHEN lag(m) OVER w = m - 1 THEN round(s - lag(s) OVER w, 6) END AS sentiment_change,
+  CASE WHEN lag(m) OVER w = m - 1 THEN round(r - lag(r) OVER w, 6) END AS rating_change
+FROM (SELECT year, month, year * 12 + month AS m, avg(sentiment_star) AS s, avg(rating) AS r,
+        count(*) AS n FROM clean GROUP BY year, month) WINDOW w AS (ORDER BY m NULLS FIRST)""",
     ),
     "product_sentiment": sql(
         "clean",
@@ -544,9 +524,9 @@ FROM (SELECT (SELECT count(*) FROM reviews) AS raw_count,
     ),
     "polarity_terms": sql("terms", "SELECT term, round(p, 6) AS p, CAST(n AS BIGINT) AS n FROM terms"),
     "score_polarity": sql(
-        "scores",
+        "hashed_scores",
         """SELECT review_id, star AS sentiment_star, round(CAST(conf AS DOUBLE), 4) AS sentiment_conf
-FROM scores""",
+FROM hashed_scores""",
     ),
     "score_udf": sql(
         "hashed_scores",
@@ -554,10 +534,11 @@ FROM scores""",
 FROM hashed_scores""",
     ),
     "scored_rating_report": sql(
-        "scores",
+        "hashed_scores",
         """SELECT rating, CASE WHEN grouping(rating) = 1 THEN 'total' ELSE 'rating' END AS level,
   round(avg(star), 6) AS avg_sentiment_star, round(avg(abs(rating - star)), 6) AS avg_abs_diff,
-  count(*) AS count, count(rating) AS scored_count FROM scores GROUP BY ROLLUP (rating)""",
+  count(*) AS count, count(rating) AS scored_count FROM hashed_scores
+GROUP BY ROLLUP (rating)""",
     ),
     "topic_counts": sql(
         "topics", """SELECT topic AS "Topic", count(*) AS "Count" FROM topics GROUP BY topic"""
@@ -581,4 +562,116 @@ FROM hashed_scores""",
         """SELECT topic, place, term, round(weight, 6) AS weight FROM topic_places
 WHERE topic BETWEEN 0 AND 7 AND place <= 5""",
     ),
+    "stage_profile": "\nUNION ALL ".join(
+        f"SELECT '{t}' AS stage, count(*) AS count FROM {t}"
+        for t in ("orders", "documents", "lineitem")
+    ),
+    "rating_report_by_category": sql(
+        "clean",
+        f"""SELECT category, rating, 'rating' AS level, {_SUMMARY} FROM clean GROUP BY category, rating
+UNION ALL SELECT category, NULL, 'total', {_SUMMARY} FROM clean GROUP BY category""",
+    ),
+    "weighted_mae_by_category": sql(
+        "clean",
+        """SELECT category,
+  round(coalesce(sum(avg_abs_diff * count) / sum(count), 0), 6) AS avg_mae,
+  round(coalesce(sum(avg_abs_diff * scored_count) / nullif(sum(scored_count), 0), 0), 6) AS exact_mae
+FROM (SELECT category, rating, avg(abs_diff) AS avg_abs_diff, count(*) AS count,
+        count(abs_diff) AS scored_count FROM clean GROUP BY category, rating) GROUP BY category""",
+    ),
+    "rating_distribution_by_category": sql(
+        "clean",
+        f"""SELECT category, rating, count,
+  round(count / sum(count) OVER (PARTITION BY category), 6) AS share,
+  round(avg_abs_diff, 6) AS mae, {_GRADE.format("avg_abs_diff")} AS grade
+FROM (SELECT category, rating, avg(abs_diff) AS avg_abs_diff, count(*) AS count
+      FROM clean GROUP BY category, rating)""",
+    ),
+    "overview_by_category": sql(
+        "clean",
+        """SELECT s.category, CAST(sum(n) AS BIGINT) AS total_ratings,
+  CAST(sum(bad) AS BIGINT) AS mismatched_count, coalesce(max(t.topics), 0) AS topic_count,
+  round(coalesce(sum(mae * n) / sum(n), 0), 6) AS avg_mae
+FROM (SELECT category, rating, count(*) AS n, count(*) FILTER (abs_diff >= 3) AS bad,
+        avg(abs_diff) AS mae FROM clean GROUP BY category, rating) s
+LEFT JOIN (SELECT category, count(DISTINCT brand) AS topics FROM clean
+           WHERE brand IS NOT NULL GROUP BY category) t
+  ON t.category IS NOT DISTINCT FROM s.category GROUP BY s.category""",
+    ),
+    "top_suspects_by_category": sql(
+        "clean",
+        """SELECT category, user_id, review_count, reason FROM (
+  SELECT *, row_number() OVER (PARTITION BY category, reason
+    ORDER BY review_count DESC, user_id NULLS FIRST) AS place
+  FROM (SELECT *, unnest(list_filter([
+      CASE WHEN review_count >= 3 AND (dev IS NULL OR dev < 0.1)
+           THEN 'Potential Spammer (High Vol, No Variance)' END,
+      CASE WHEN review_count >= 2 AND avg_rating > 4.5 AND avg_sentiment < 2.5
+           THEN 'Conflicted (High Rating, Low Sentiment)' END],
+      lambda x: x IS NOT NULL)) AS reason
+    FROM (SELECT category, user_id, count(*) AS review_count, avg(rating) AS avg_rating,
+            stddev_samp(rating) AS dev, avg(sentiment_star) AS avg_sentiment
+          FROM clean GROUP BY category, user_id))) WHERE place <= 3""",
+    ),
+    "mismatch_histogram_by_category": sql(
+        "found", "SELECT category, abs(diff) AS size, count(*) AS count FROM found GROUP BY 1, 2"
+    ),
+    "monthly_trend_by_category": sql(
+        "clean",
+        """SELECT category, year, month, round(s, 6) AS avg_sentiment, round(r, 6) AS avg_rating,
+  n AS review_count,
+  CASE WHEN lag(m) OVER w = m - 1 THEN round(s - lag(s) OVER w, 6) END AS sentiment_change,
+  CASE WHEN lag(m) OVER w = m - 1 THEN round(r - lag(r) OVER w, 6) END AS rating_change
+FROM (SELECT category, year, month, year * 12 + month AS m, avg(sentiment_star) AS s,
+        avg(rating) AS r, count(*) AS n FROM clean GROUP BY category, year, month)
+WINDOW w AS (PARTITION BY category ORDER BY m NULLS FIRST)""",
+    ),
+    "lagged_corr_by_category": sql(
+        "clean indicator",
+        f"""SELECT category, CAST(lag AS INTEGER) AS lag, {_CORRS} FROM (
+  SELECT category, year, avg(sentiment_star) AS avg_sentiment, avg(rating) AS avg_rating
+  FROM clean GROUP BY category, year) y
+JOIN (SELECT year + lag AS year, rate, lag FROM indicator, (VALUES (0), (1), (2)) AS l(lag)) i
+  ON i.year = y.year
+WHERE avg_sentiment IS NOT NULL AND avg_rating IS NOT NULL GROUP BY category, lag""",
+    ),
+    "product_sentiment_by_category": sql(
+        "clean",
+        f"""SELECT category, asin, count(*) AS review_count,
+  round(avg(sentiment_star), 6) AS avg_sentiment, round(avg(rating), 6) AS avg_rating, {_STARS}
+FROM clean WHERE asin IS NOT NULL GROUP BY category, asin HAVING count(*) >= 2""",
+    ),
+    "repeated_text_by_category": sql(
+        "clean",
+        """SELECT category, user_id,
+  sha256(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))) AS text_hash, count(*) AS copies,
+  min(review_id) AS first_review_id FROM clean GROUP BY 1, 2, 3 HAVING count(*) >= 2""",
+    ),
+    "burst_users_by_category": sql(
+        "clean",
+        """SELECT category, user_id, max(n) AS peak_count,
+  strftime(min(bucket) FILTER (n = top), '%Y-%m-%d') AS peak_bucket, count(*) AS burst_buckets
+FROM (SELECT *, max(n) OVER (PARTITION BY category, user_id) AS top FROM (
+  SELECT category, user_id, date_trunc('year', review_time) AS bucket, count(*) AS n FROM clean
+  WHERE review_time IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) >= 2)) GROUP BY category, user_id""",
+    ),
+    "extreme_users_by_category": sql(
+        "clean",
+        """SELECT category, user_id, scored_count, one_star, five_star,
+  round((one_star + five_star) / scored_count, 6) AS extreme_share
+FROM (SELECT category, user_id, count(sentiment_star) AS scored_count,
+  count(*) FILTER (sentiment_star = 1) AS one_star, count(*) FILTER (sentiment_star = 5) AS five_star
+  FROM clean GROUP BY category, user_id)
+WHERE scored_count >= 2 AND (one_star + five_star) / scored_count >= 0.6""",
+    ),
+    "retention_by_category": sql(
+        "reviews clean",
+        """SELECT category, raw_count, cleaned_count,
+  round(cleaned_count * 100.0 / raw_count, 2) AS retention_rate,
+  round((raw_count - cleaned_count) * 100.0 / raw_count, 2) AS data_reduction
+FROM (SELECT r.category, r.n AS raw_count, coalesce(c.n, 0) AS cleaned_count
+  FROM (SELECT category, count(*) AS n FROM reviews GROUP BY category) r
+  LEFT JOIN (SELECT category, count(*) AS n FROM clean GROUP BY category) c
+    ON c.category IS NOT DISTINCT FROM r.category)""",
+    ),
 }

@@ -34,7 +34,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per order, its whole text a document.
 
     Some users always rate 5, some of them with low scores; some texts are null or
-    blank; orders without lines have no product.
+    blank; orders without lines have no product; some ratings, scores, users and
+    times are null.
     """
     orders = spread(table(spark, sf_dir, "orders"))
     documents = table(spark, sf_dir, "documents")
@@ -55,16 +56,18 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.substring("o_orderpriority", 1, 1).cast("double")
     return joined.select(
         key.alias("review_id"),
-        F.when(user % 50 == 0, 5.0).otherwise(priority).alias("rating"),
+        F.when(key % 83 == 0, None).when(user % 50 == 0, 5.0).otherwise(priority).alias("rating"),
         F.when(key % 97 == 0, None).when(key % 89 == 0, "   ").otherwise(F.col("text")).alias("text"),
         F.col("pk").cast("string").alias("asin"),
         F.col("p_brand").alias("brand"),
         F.col("p_type").alias("category"),
-        user.cast("string").alias("user_id"),
-        (epoch_millis("o_orderdate") + (key * 7919) % 86_400_000).alias("timestamp"),
+        F.when(key % 73 != 0, user.cast("string")).alias("user_id"),
+        F.when(key % 71 != 0, epoch_millis("o_orderdate") + (key * 7919) % 86_400_000)
+        .alias("timestamp"),
         (F.col("o_orderstatus") != "P").alias("verified_purchase"),
         (key % 13).cast("int").alias("helpful_vote"),
-        F.when(user % 100 == 0, 1 + key % 2)
+        F.when(key % 79 == 0, None)
+        .when(user % 100 == 0, 1 + key % 2)
         .otherwise(1 + (key * 31 + user) % 5)
         .cast("int")
         .alias("sentiment_star"),

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fields kept of one line: four describing ones and one for each year. Years of
-# one country are distinct columns, so the result never exceeds this many rows.
-MAX_FIELDS = 300
-
 
 def read_indicator(
     spark: SparkSession,
@@ -20,14 +16,17 @@ def read_indicator(
 
     The header is the line whose second field reads ``Country Code``, however many
     lines stand before it. Of several rows of the country the first by indicator
-    code counts, unless ``indicator`` names one.
+    code counts, unless ``indicator`` names one. Lines may have any number of fields;
+    the file is read once to see how many.
     """
-    schema = ", ".join(f"c{i} STRING" for i in range(MAX_FIELDS))
-    row = F.from_csv("value", schema, {"mode": "PERMISSIVE"})
-    fields = F.array(*[F.col(f"r.c{i}") for i in range(MAX_FIELDS)])
+    written = spark.read.text(path).filter(F.length(F.trim("value")) > 0)
+    commas = F.length("value") - F.length(F.replace("value", F.lit(",")))
+    width = (written.agg(F.max(commas)).first()[0] or 0) + 1
+    schema = ", ".join(f"c{i} STRING" for i in range(width))
+    row = F.from_csv("value", schema, {"mode": "PERMISSIVE", "maxColumns": str(width + 1)})
+    fields = F.array(*[F.col(f"r.c{i}") for i in range(width)])
     lines = (
-        spark.read.text(path)
-        .filter(F.length(F.trim("value")) > 0)
+        written
         .select(row.alias("r"))
         .select(fields.alias("f"))
     )

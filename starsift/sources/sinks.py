@@ -26,13 +26,13 @@ def write_report(
     df: DataFrame,
     path: str,
     order_by: Sequence[str | Column] = (),
-    single_file: bool = True,
+    single_file: bool = False,
 ) -> None:
-    """Overwrite a CSV report with a header, rows in the order given.
+    """Overwrite a CSV report with headers, rows in the order given.
 
-    One file is made by an exchange after the work, so the aggregation before it
-    keeps its own parallelism; the rows are put in order behind that exchange.
-    Reports too large for one task set ``single_file=False``.
+    As many files as there are tasks, each with a header, in the order of their names.
+    ``single_file`` is for reports of bounded size: one file is made by an exchange
+    after the work, and the rows are put in order behind it.
     """
     if single_file:
         out = df.repartition(1)
@@ -47,10 +47,10 @@ def write_topics(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_topics_csv(df: DataFrame, path: str) -> None:
+def write_topics_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Overwrite a topic table as CSV, arrays rendered as JSON text."""
     flat = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)
         for f in df.schema.fields
     ]
-    write_report(df.select(*flat), path, order_by=["Topic"])
+    write_report(df.select(*flat), path, order_by=["Topic"], single_file=single_file)

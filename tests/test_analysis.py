@@ -46,7 +46,7 @@ def test_ties_at_the_limit_go_to_the_smaller_id(spark):
 
 def test_top_k_per_group(spark, rows):
     df = spark.range(200).select("id", (F.col("id") % 3).alias("g")).repartition(5)
-    got = topk.top_k(df, [F.desc("id")], 2, by=("g",))
+    got = topk.top_k(df, [("id", True)], 2, by=("g",))
     assert rows(got, "g", "id") == [(0, 195), (0, 198), (1, 196), (1, 199), (2, 194), (2, 197)]
 
 
@@ -55,7 +55,22 @@ def test_top_k_equals_a_plain_limit(spark, k):
     df = spark.range(1500).select("id", F.pmod(F.xxhash64("id"), F.lit(7)).alias("v"))
     order = [F.desc("v"), F.asc("id")]
     plain = df.orderBy(*order).limit(k).collect()
-    assert topk.top_k(df.repartition(6), order, k).collect() == plain
+    got = topk.top_k(df.repartition(6), [("v", True), ("id", False)], k)
+    assert got.collect() == plain
+
+
+def test_top_k_moves_no_text_before_the_cut(spark):
+    df = spark.range(50).select("id", F.repeat(F.lit("x"), 10).alias("text"))
+    plan = topk.top_k(df.repartition(3), [("id", True)], 5)._jdf.queryExecution().optimizedPlan()
+    sub = plan.toString().split("scalar-subquery")[-1]
+    assert "repeat" not in sub.split("Range")[0].split("Repartition")[0]
+
+
+def test_top_k_places_nulls_as_a_plain_sort(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i % 3) for i in range(30)], "id INT, v INT")
+    for falls, column in ((True, F.desc("v")), (False, F.asc("v"))):
+        plain = df.orderBy(column, "id").limit(12).collect()
+        assert topk.top_k(df, [("v", falls), ("id", False)], 12).collect() == plain
 
 
 def test_explanations(spark):

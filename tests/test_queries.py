@@ -52,4 +52,4 @@ def test_query_gives_rows(spark, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 6
+    assert entry.entry(spark).count() == 7

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starsift.functions.text import LETTERS, tokens
-from starsift.operators import classifier, cleaning, polarity, scoring, skew
+from starsift.operators import classifier, cleaning, polarity, scoring
 
 DOCS = [
     (0, "good good great fine"),
@@ -62,11 +62,9 @@ def by_hand(texts):
     return out
 
 
-@pytest.mark.parametrize("limit", [3, 500_000], ids=["shuffle", "broadcast"])
-def test_polarity_equals_the_formula(spark, training, monkeypatch, limit):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+def test_polarity_equals_the_formula(spark, training):
     texts = ["good great great", "awful bad", "unknown words", "product", "123 !!"]
-    model = polarity.fit_polarity(*training)
+    model = polarity.fit_hashed(*training)
     got = polarity.score_polarity(review_frame(spark, *texts), model).orderBy("review_id").collect()
     want = by_hand([*texts[:4], ""])
     assert [(r["sentiment_star"], r["sentiment_conf"]) for r in got] == want
@@ -90,7 +88,7 @@ def test_bucketed_model_in_python_equals_the_one_in_spark(spark, training):
 
 
 def test_a_score_does_not_depend_on_its_batch(spark, training):
-    model = polarity.fit_polarity(*training)
+    model = polarity.fit_hashed(*training)
     alone = polarity.score_polarity(review_frame(spark, "good product"), model).first()
     among = polarity.score_polarity(
         review_frame(spark, "good product", *["awful bad"] * 30), model
