@@ -78,59 +78,78 @@ def reduce_dimensions(df: DataFrame, k: int = 5) -> DataFrame:
 def assign_topics(
     coords: DataFrame,
     k: int = 5,
-    width: float = 0.5,
+    width: float | None = None,
     min_points: int = 2,
     min_topic_size: int = 2,
 ) -> DataFrame:
-    """(review_id, topic): density clusters of points, -1 for outliers.
-
-    Space is cut into cells ``width`` standard deviations wide. Cells that hold at
-    least ``min_points`` points are dense; dense cells that share a face belong to
-    one topic, of ``min_topic_size`` points at least; points elsewhere are outliers.
-    Topics are numbered by size from 0.
-    All work after the first aggregate is on cells, so neither pairs of points nor
-    the members of one cell are ever brought together.
+    """(review_id, topic): the hills of the points' density, -1 for outliers.
+
+    ``coords`` may have ``n``, how many documents a point stands for. Space is cut into
+    cells ``width`` standard deviations wide. Each cell points to the fullest of its
+    neighbours over a face if that is fuller than itself (of equals, the one with the
+    smaller id counts as fuller), so that cells climb to the top of their hill. A hill
+    is a topic if its top holds at least ``min_points`` documents and all of it
+    ``min_topic_size``. Topics are numbered by size from 0.
+
+    Without a ``width`` the cells narrow as points get more, like those of a histogram
+    that keeps both its noise and its coarseness down, so the hills stay those of the
+    density whatever the number of rows. All work after the first aggregate is on cells.
     """
-    points = coords.select("review_id", "coords")
-    sizes = points.agg(
-        F.array(*[F.stddev_pop(F.get("coords", F.lit(i))) for i in range(k)]).alias("s")
-    ).scalar()
-    points = points.withColumn("_s", sizes)
+    n = F.col("n") if "n" in coords.columns else F.lit(1)
+    points = coords.select("review_id", "coords", n.cast("long").alias("n"))
+    figures = points.agg(
+        F.count("*").alias("points"),
+        F.array(*[F.stddev_pop(F.get("coords", F.lit(i))) for i in range(k)]).alias("s"),
+    ).first()
+    if width is None:
+        width = round(2.5 * max(1, figures["points"]) ** (-1 / (k + 4)), 6)
+    steps = [(s or 0.0) * width for s in figures["s"] or [0.0] * k]
     cell = [
-        F.floor(
-            F.coalesce(
-                F.try_divide(F.get("coords", F.lit(i)), F.get("_s", F.lit(i)) * width), F.lit(0.0)
-            )
-        )
-        for i in range(k)
+        F.floor(F.get("coords", F.lit(i)) / step).cast("long") if step else F.lit(0).cast("long")
+        for i, step in enumerate(steps)
     ]
-    placed = materialize(points.select("review_id", F.array(*cell).alias("cell")), "cells")
-    dense = materialize(
-        placed.groupBy("cell")
-        .agg(F.count("*").alias("n"), F.min("review_id").alias("cell_id"))
-        .filter(F.col("n") >= min_points),
-        "dense",
+    placed = materialize(points.select("review_id", "n", F.array(*cell).alias("cell")), "cells")
+    full = materialize(
+        placed.groupBy("cell").agg(
+            F.sum("n").alias("n"), F.count("*").alias("points"), F.min("review_id").alias("cell_id")
+        ),
+        "full",
     )
-    steps = F.array(
+    sides = F.array(
         *[
-            F.array(*[F.get("cell", F.lit(j)) + F.lit(1 if i == j else 0) for j in range(k)])
+            F.array(*[F.get("cell", F.lit(j)) + F.lit(d if i == j else 0) for j in range(k)])
             for i in range(k)
+            for d in (-1, 1)
         ]
     )
-    faces = dense.select(F.col("cell_id").alias("a"), F.explode(steps).alias("cell"))
-    edges = faces.join(dense.select("cell", F.col("cell_id").alias("b")), "cell").select("a", "b")
-    linked = connected_components(edges).withColumnRenamed("vertex", "cell_id")
-    merged = dense.join(linked, "cell_id", "left").withColumn(
-        "component", F.coalesce("component", "cell_id")
+    rank = F.struct((-F.col("n")).alias("less"), F.col("cell_id").alias("id"))
+    faces = full.select(F.col("cell_id").alias("a"), rank.alias("own"), F.explode(sides).alias("cell"))
+    above = faces.join(full.select("cell", rank.alias("other")), "cell").filter(
+        F.col("other") < F.col("own")
+    )
+    climbs = materialize(
+        above.groupBy("a").agg(F.min("other")["id"].alias("b")), "climbs"
+    )
+    linked = connected_components(climbs).withColumnRenamed("vertex", "cell_id")
+    tops = full.join(climbs, F.col("cell_id") == F.col("a"), "left").select(
+        "cell_id", "cell", full["n"], "points", F.col("a").isNull().alias("top")
+    )
+    merged = materialize(
+        tops.join(linked, "cell_id", "left").withColumn(
+            "component", F.coalesce("component", "cell_id")
+        ),
+        "merged",
     )
-    merged = materialize(merged, "merged")
     groups = merged.groupBy("component").agg(
-        F.sum("n").alias("size"), F.min("cell_id").alias("first_id"), F.count("*").alias("cells")
+        F.sum("n").alias("size"), F.min("cell_id").alias("first_id"), F.count("*").alias("cells"),
+        F.max(F.when(F.col("top"), F.col("n"))).alias("height"),
+    )
+    ranked = relabel_sizes(
+        groups.filter((F.col("size") >= min_topic_size) & (F.col("height") >= min_points))
     )
-    ranked = relabel_sizes(groups.filter(F.col("size") >= min_topic_size))
     named = lookup_join(merged, ranked.select("component", "topic", "cells"), "component", "cells")
-    named = materialize(named.select("cell", "n", "topic"), "named")
-    return lookup_join(placed, named, "cell", "n", "left").select(
+    named = materialize(named.select("cell", "points", "topic"), "named")
+    return lookup_join(placed, named, "cell", "points", "left").select(
         "review_id", F.coalesce("topic", F.lit(OUTLIER)).cast("int").alias("topic")
     )
 
@@ -158,15 +177,21 @@ def relabel(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def class_tfidf(df: DataFrame, class_col: str, text_col: str = "text") -> DataFrame:
+def class_tfidf(
+    df: DataFrame, class_col: str, text_col: str = "text", copies: str | None = None
+) -> DataFrame:
     """(class, term, tf, weight) by class-based TF-IDF.
 
+    ``copies`` names a column that counts how many documents a row stands for.
+
     weight = tf * ln(1 + A / f), where tf counts the term in the class, f counts it
     everywhere and A is the mean number of words in a class. The texts are read
     once; everything after works on the term counts.
     """
-    words = exploded(df, text_col, WORDS, 2, class_col)
-    tf = materialize(words.groupBy(class_col, "term").agg(F.count("*").alias("tf")), "tf")
+    carried = [class_col] if copies is None else [class_col, copies]
+    words = exploded(df, text_col, WORDS, 2, *carried)
+    times = F.count("*") if copies is None else F.sum(copies)
+    tf = materialize(words.groupBy(class_col, "term").agg(times.alias("tf")), "tf")
     mean = tf.agg(F.sum("tf") / F.count_distinct(F.struct(class_col))).scalar()
     everywhere = materialize(
         tf.groupBy("term").agg(F.sum("tf").alias("f"), F.count("*").alias("classes")), "vocabulary"
@@ -211,35 +236,34 @@ def representative_docs(
 ) -> DataFrame:
     """(topic, Representative_Docs): the ``k`` distinct texts nearest a topic's centre.
 
-    Distances are taken in the reduced space. Equal texts count once, under their
-    lowest id.
+    ``docs`` holds distinct texts. Distances are taken in the reduced space, and texts
+    are fetched for the few documents that were picked.
     """
     axes = [f"_x{i}" for i in range(dims)]
-    points = assigned.join(coords, "review_id").select(
-        "review_id", "topic", *[F.get("coords", F.lit(i)).alias(x) for i, x in enumerate(axes)]
+    weight = F.col("n") if "n" in coords.columns else F.lit(1)
+    points = assigned.join(
+        coords.select(
+            "review_id", weight.alias("_n"),
+            *[F.get("coords", F.lit(i)).alias(x) for i, x in enumerate(axes)],
+        ),
+        "review_id",
     )
-    points = materialize(points, "points")
+    points = materialize(points.select("review_id", "topic", "_n", *axes), "points")
     centres = points.groupBy("topic").agg(
-        F.count("*").alias("_n"), *[F.avg(x).alias(f"{x}c") for x in axes]
+        F.count("*").alias("_rows"),
+        *[(F.sum(F.col(x) * F.col("_n")) / F.sum("_n")).alias(f"{x}c") for x in axes],
     )
     centres = materialize(centres, "centres")
     square = reduce(
         lambda a, b: a + b, [(F.col(x) - F.col(f"{x}c")) * (F.col(x) - F.col(f"{x}c")) for x in axes]
     )
-    near = lookup_join(points, centres, "topic", "_n").select(
+    near = lookup_join(points, centres, "topic", "_rows").select(
         "review_id", "topic", F.round(square, 9).alias("gap")
     )
-    texts = docs.select("review_id", F.sha2(normalized("text"), 256).alias("digest"))
-    first = near.join(texts, "review_id").groupBy("topic", "digest").agg(
-        F.min(F.struct("gap", "review_id")).alias("best")
-    )
     order = Window.partitionBy("topic").orderBy("gap", "review_id")
-    picked = (
-        first.select("topic", "best.gap", "best.review_id")
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= k)
-    )
-    shown = picked.join(docs.select("review_id", "text"), "review_id")
+    picked = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    picked = materialize(picked, "picked").withColumn("_one", F.lit(1))
+    shown = lookup_join(docs.select("review_id", "text"), picked, "review_id", "_one")
     ranked = F.array_sort(F.collect_list(F.struct("place", "text")))
     return shown.groupBy("topic").agg(
         F.transform(ranked, lambda t: t["text"]).alias("Representative_Docs")
@@ -247,14 +271,21 @@ def representative_docs(
 
 
 def topic_info(
-    documents: DataFrame, representatives: DataFrame | None = None, terms: int = 10
+    documents: DataFrame,
+    representatives: DataFrame | None = None,
+    terms: int = 10,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """The topic table: Topic, Count, Name, Representation, Representative_Docs.
 
-    ``documents`` holds (text, topic); the outlier row comes first.
+    ``documents`` holds (text, topic), and ``n`` where a row stands for several equal
+    texts; the outlier row comes first. ``counts`` (Topic, Count) saves a second reading
+    where the sizes are known.
     """
-    counts = topic_counts(documents)
-    names = topic_terms(class_tfidf(documents, "topic"), "topic", terms)
+    copies = "n" if "n" in documents.columns else None
+    if counts is None:
+        counts = topic_counts(documents)
+    names = topic_terms(class_tfidf(documents, "topic", copies=copies), "topic", terms)
     named = names.withColumnRenamed("topic", "_topic")
     out = counts.join(named, F.col("Topic") == F.col("_topic"), "left").select(
         "Topic",
@@ -269,8 +300,9 @@ def topic_info(
 
 
 def topic_counts(documents: DataFrame) -> DataFrame:
-    """Documents of each topic."""
-    return documents.groupBy(F.col("topic").alias("Topic")).agg(F.count("*").alias("Count"))
+    """Documents of each topic; ``n`` counts those a row stands for, if it is there."""
+    size = F.sum("n") if "n" in documents.columns else F.count("*")
+    return documents.groupBy(F.col("topic").alias("Topic")).agg(size.alias("Count"))
 
 
 def drop_outliers(info: DataFrame) -> DataFrame:
@@ -293,21 +325,42 @@ def topic_bars(documents: DataFrame, n: int = 8, terms: int = 5) -> DataFrame:
     return ranked.select("topic", "place", "term", "weight")
 
 
+def fold_texts(docs: DataFrame) -> DataFrame:
+    """(review_id, text, n): each text once, up to case and spacing, with its copies.
+
+    The smallest id of a text stands for it.
+    """
+    first = F.min(F.struct("review_id", "text"))
+    return (
+        docs.groupBy(F.sha2(normalized("text"), 256).alias("digest"))
+        .agg(first.alias("first"), F.count("*").alias("n"))
+        .select("first.review_id", "first.text", "n")
+    )
+
+
 def find_topics(
     df: DataFrame,
-    width: float = 0.5,
+    width: float | None = None,
     min_points: int = 2,
     min_topic_size: int = 2,
     dims: int = 5,
 ) -> DataFrame:
-    """The whole topic stage: mismatched reviews in, the topic table out."""
+    """The whole topic stage: mismatched reviews in, the topic table out.
+
+    Equal texts are one document with a count from the start, so repeated reviews cost
+    nothing and every review is counted once.
+    """
     wanted = with_review_id(df).select("review_id", "text", "rating", "sentiment_star")
-    docs = topic_input(spread(materialize(wanted, "documents")))
-    coords = materialize(reduce_dimensions(vectorize(docs), dims), "coords")
-    assigned = assign_topics(coords, dims, width, min_points, min_topic_size)
-    assigned = materialize(assigned, "topics")
-    shown = representative_docs(docs, assigned, coords, dims)
-    return topic_info(docs.select("review_id", "text").join(assigned, "review_id"), shown)
+    docs = materialize(fold_texts(topic_input(materialize(wanted, "documents"))), "folded")
+    docs = spread(docs)
+    reduced = reduce_dimensions(vectorize(docs), dims)
+    coords = materialize(reduced.join(docs.select("review_id", "n"), "review_id"), "coords")
+    found = assign_topics(coords, dims, width, min_points, min_topic_size)
+    assigned = materialize(found.withColumn("_one", F.lit(1)), "topics")
+    shown = representative_docs(docs, assigned.drop("_one"), coords, dims)
+    placed = lookup_join(docs, assigned, "review_id", "_one").drop("_one")
+    counts = topic_counts(assigned.join(coords.select("review_id", "n"), "review_id"))
+    return topic_info(placed, shown, counts=counts)
 
 
 def embedded_topics(
@@ -315,7 +368,7 @@ def embedded_topics(
     id_col: str,
     vector_col: str,
     dims: int = 5,
-    width: float = 0.5,
+    width: float | None = None,
     min_points: int = 2,
     min_topic_size: int = 2,
 ) -> DataFrame:

@@ -26,7 +26,7 @@ from starsift.plans import views
 from starsift.plans.views import clean, conflicting, documents, indicator, reviews, table
 from starsift.sources import reviews as review_source
 from starsift.sources import sinks
-from starsift.sources.workspace import table_path
+from starsift.sources.workspace import materialize, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -542,6 +542,14 @@ def scored_rating_report(spark, sf_dir):
     return rounded(ratings.rating_report(scored), "avg_sentiment_star", "avg_abs_diff")
 
 
+@query
+def score_bayes(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    model = classifier.fit_bayes(docs.join(labels, "doc_id"), "text", "quality")
+    scored = classifier.score_bayes(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", "label", F.round("margin", 4).alias("margin"))
+
+
 # Topics
 
 
@@ -550,7 +558,21 @@ def _brand_topics(spark, sf_dir):
 
 
 def _brand_info(spark, sf_dir):
-    return topics.topic_info(_brand_topics(spark, sf_dir))
+    named = materialize(_brand_topics(spark, sf_dir).select("topic", "text"), "brand_topics")
+    return topics.topic_info(named)
+
+
+def _vector_axes(spark, sf_dir):
+    """Two fixed projections of each embedding, all dimensions in each."""
+    vector = F.transform(F.col("embedding"), lambda x: x.cast("double"))
+    ups = F.zip_with(
+        vector, F.sequence(F.lit(0), F.size("embedding") - 1),
+        lambda x, i: F.when(i % 2 == 0, x).otherwise(-x),
+    )
+    total = lambda v: F.round(F.aggregate(v, F.lit(0.0), lambda a, x: a + x), 3)
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("review_id"), F.array(total(vector), total(ups)).alias("coords")
+    )
 
 
 def _flat(info):
@@ -601,6 +623,20 @@ def find_topics(spark, sf_dir):
     )
 
 
+@query
+def assign_topics(spark, sf_dir):
+    return topics.assign_topics(_vector_axes(spark, sf_dir), 2, width=0.5)
+
+
+@query
+def representative_docs(spark, sf_dir):
+    coords = _vector_axes(spark, sf_dir)
+    assigned = topics.assign_topics(coords, 2, width=0.5)
+    named = coords.select("review_id", F.concat(F.lit("v"), "review_id").alias("text"))
+    shown = topics.representative_docs(named, materialize(assigned, "topics"), coords, 2)
+    return shown.select("topic", F.concat_ws("|", "Representative_Docs").alias("docs"))
+
+
 @query
 def embedded_topics(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")

@@ -123,6 +123,57 @@ SELECT t.topic AS "Topic", t.n AS "Count",
   string_agg(p.term, '|' ORDER BY p.place) AS "Representation"
 FROM (SELECT topic, count(*) AS n FROM topics GROUP BY topic) t
 JOIN topic_places p ON p.topic = t.topic GROUP BY t.topic, t.n""",
+    ),
+    # Hills of the density of two fixed projections of each embedding.
+    "axes": (
+        (),
+        """
+SELECT vec_id AS review_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 3)
+    AS x,
+  round(list_sum(list_transform(embedding, lambda x, i:
+    CASE WHEN i % 2 = 1 THEN CAST(x AS DOUBLE) ELSE -CAST(x AS DOUBLE) END)), 3) AS y
+FROM embeddings""",
+    ),
+    "cells": (
+        ("axes",),
+        """
+SELECT review_id, CAST(floor(x / sx) AS BIGINT) AS i, CAST(floor(y / sy) AS BIGINT) AS j FROM axes
+CROSS JOIN (SELECT stddev_pop(x) * 0.5 AS sx, stddev_pop(y) * 0.5 AS sy
+            FROM axes)""",
+    ),
+    "full_cells": (
+        ("cells",),
+        "SELECT i, j, count(*) AS n, min(review_id) AS id FROM cells GROUP BY i, j",
+    ),
+    "climbs": (
+        ("full_cells",),
+        """
+SELECT a.id AS a, arg_min(b.id, {'less': -b.n, 'id': b.id}) AS b FROM full_cells a
+JOIN full_cells b ON abs(a.i - b.i) + abs(a.j - b.j) = 1
+  AND (b.n > a.n OR (b.n = a.n AND b.id < a.id)) GROUP BY a.id""",
+    ),
+    "hills": (
+        ("climbs", "full_cells"),
+        """
+SELECT id, top FROM (
+  WITH RECURSIVE walk AS (
+    SELECT id, id AS top FROM full_cells
+    UNION ALL SELECT w.id, c.b FROM walk w JOIN climbs c ON c.a = w.top)
+  SELECT id, top FROM walk WHERE top NOT IN (SELECT a FROM climbs))""",
+    ),
+    "hill_sizes": (
+        ("hills", "full_cells"),
+        """
+SELECT h.top, CAST(row_number() OVER (ORDER BY sum(f.n) DESC, min(h.id)) - 1 AS INTEGER) AS topic
+FROM hills h JOIN full_cells f ON f.id = h.id GROUP BY h.top
+HAVING sum(f.n) >= 2 AND max(f.n) FILTER (f.id = h.top) >= 2""",
+    ),
+    "hill_topics": (
+        ("cells", "full_cells", "hills", "hill_sizes"),
+        """
+SELECT c.review_id, coalesce(s.topic, -1) AS topic FROM cells c
+JOIN full_cells f ON f.i = c.i AND f.j = c.j JOIN hills h ON h.id = f.id
+LEFT JOIN hill_sizes s ON s.top = h.top""",
     ),
     "lang_words": (
         (),
@@ -146,6 +197,14 @@ SELECT lang, term, tf, tf * ln(1 + a / f) AS weight FROM (
 SELECT doc_id, quality, term FROM (
   SELECT d.doc_id, l.quality, unnest(string_split_regex(lower(d.text), '[^\\p{L}]+')) AS term
   FROM documents d JOIN labels l ON l.doc_id = d.doc_id) WHERE term <> ''""",
+    ),
+    "totals": (
+        ("training",),
+        """
+SELECT (SELECT ln(count(*) FILTER (quality <> 1) + 65536) - ln(count(*) FILTER (quality = 1) + 65536)
+        FROM training) AS base,
+  (SELECT ln(count(*) FILTER (quality = 1) + 1) - ln(count(*) FILTER (quality <> 1) + 1)
+   FROM documents JOIN labels USING (doc_id)) AS prior""",
     ),
     "terms": (
         ("training",),
@@ -674,4 +733,28 @@ FROM (SELECT r.category, r.n AS raw_count, coalesce(c.n, 0) AS cleaned_count
   LEFT JOIN (SELECT category, count(*) AS n FROM clean GROUP BY category) c
     ON c.category IS NOT DISTINCT FROM r.category)""",
     ),
+    "assign_topics": sql("hill_topics", "SELECT review_id, topic FROM hill_topics"),
+    "representative_docs": sql(
+        "hill_topics axes",
+        """SELECT topic, string_agg('v' || review_id, '|' ORDER BY place) AS docs FROM (
+  SELECT topic, review_id, row_number() OVER (PARTITION BY topic ORDER BY gap, review_id) AS place
+  FROM (SELECT t.topic, t.review_id,
+      round((x - avg(x) OVER w) * (x - avg(x) OVER w) + (y - avg(y) OVER w) * (y - avg(y) OVER w), 9)
+        AS gap
+    FROM hill_topics t JOIN axes a ON a.review_id = t.review_id WINDOW w AS (PARTITION BY topic)))
+WHERE place <= 3 GROUP BY topic""",
+    ),
+    "score_bayes": sql(
+        "training totals",
+        """SELECT doc_id, round(m, 4) AS margin, CAST(m >= 0 AS INTEGER) AS label
+FROM (SELECT d.doc_id, coalesce(sum(w), 0) + count(t.term) * (SELECT base FROM totals)
+        + (SELECT prior FROM totals) AS m
+  FROM documents d
+  LEFT JOIN (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}]+')) AS term
+             FROM documents) t ON t.doc_id = d.doc_id AND t.term <> ''
+  LEFT JOIN (SELECT substr(md5(term), 1, 4) AS b, ln(count(*) FILTER (quality = 1) + 1)
+               - ln(count(*) FILTER (quality <> 1) + 1) AS w FROM training GROUP BY 1) v
+    ON v.b = substr(md5(t.term), 1, 4)
+  GROUP BY d.doc_id)""",
+    ),
 }

@@ -8,31 +8,37 @@ from pyspark.sql import functions as F
 from starsift.operators import components, skew, topics
 
 
-def cells_by_hand(points, k, width, min_points):
-    """Grid clustering in plain Python: dense cells, joined over shared faces."""
+def hills_by_hand(points, k, width, min_points, weights=None):
+    """Hill climbing over grid cells in plain Python."""
+    weights = weights or [1] * len(points)
     size = [
         math.sqrt(
             sum((p[i] - sum(q[i] for q in points) / len(points)) ** 2 for p in points) / len(points)
         )
         for i in range(k)
     ]
-    cell = [tuple(math.floor(p[i] / (size[i] * width)) if size[i] else 0 for i in range(k)) for p in points]
-    dense = {c for c in cell if cell.count(c) >= min_points}
-    label = {c: c for c in dense}
+    step = [s * width for s in size]
+    cell = [tuple(math.floor(p[i] / step[i]) if step[i] else 0 for i in range(k)) for p in points]
+    full, first = {}, {}
+    for i, c in enumerate(cell):
+        full[c] = full.get(c, 0) + weights[i]
+        first.setdefault(c, i)
+
+    def up(c):
+        near = [c[:i] + (c[i] + d,) + c[i + 1:] for i in range(k) for d in (-1, 1)]
+        best = min([(-full[x], first[x], x) for x in near if x in full], default=None)
+        return best[2] if best and best[:2] < (-full[c], first[c]) else None
 
-    def find(c):
-        while label[c] != c:
-            c = label[c]
+    def top(c):
+        while up(c) is not None:
+            c = up(c)
         return c
 
-    for a, b in combinations(dense, 2):
-        if sum(abs(x - y) for x, y in zip(a, b, strict=True)) == 1:
-            label[find(a)] = find(b)
     groups = {}
     for i, c in enumerate(cell):
-        if c in dense:
-            groups.setdefault(find(c), []).append(i)
-    ordered = sorted(groups.values(), key=lambda g: (-len(g), min(g)))
+        groups.setdefault(top(c), []).append(i)
+    kept = {t: g for t, g in groups.items() if full[t] >= min_points and sum(weights[i] for i in g) >= 2}
+    ordered = sorted(kept.values(), key=lambda g: (-sum(weights[i] for i in g), min(g)))
     found = {i: n for n, g in enumerate(ordered) for i in g}
     return [found.get(i, -1) for i in range(len(points))]
 
@@ -51,7 +57,34 @@ def test_assignment_equals_brute_force(spark, monkeypatch, limit, min_points):
     df = spark.createDataFrame(list(enumerate(points)), "review_id BIGINT, coords ARRAY<DOUBLE>")
     got = topics.assign_topics(df.repartition(3), 2, 0.4, min_points)
     found = {r["review_id"]: r["topic"] for r in got.collect()}
-    assert [found[i] for i in range(len(points))] == cells_by_hand(points, 2, 0.4, min_points)
+    assert [found[i] for i in range(len(points))] == hills_by_hand(points, 2, 0.4, min_points)
+
+
+def test_points_count_for_all_they_stand_for(spark):
+    rng = random.Random(4)
+    points = [[rng.gauss(i % 2 * 5, 1.0), rng.gauss(0, 1.0)] for i in range(60)]
+    weights = [1 + i % 4 for i in range(60)]
+    rows = list(zip(range(60), points, weights, strict=True))
+    df = spark.createDataFrame(rows, "review_id BIGINT, coords ARRAY<DOUBLE>, n INT")
+    got = {r["review_id"]: r["topic"] for r in topics.assign_topics(df, 2, 0.5).collect()}
+    assert [got[i] for i in range(60)] == hills_by_hand(points, 2, 0.5, 2, weights)
+
+
+def test_more_rows_do_not_melt_topics_together(spark):
+    shares = []
+    for n in (300, 6000):
+        rng = random.Random(n)
+        rows = [(i, [rng.gauss(i % 4 * 8, 1.0), rng.gauss(i % 2 * 8, 1.0)]) for i in range(n)]
+        df = spark.createDataFrame(rows, "review_id BIGINT, coords ARRAY<DOUBLE>")
+        sizes = topics.assign_topics(df, 2).groupBy("topic").count().collect()
+        shares.append(max(r["count"] for r in sizes if r["topic"] >= 0) / n)
+    assert shares[1] <= max(0.3, shares[0] + 0.05)
+
+
+def test_repeated_rows_are_counted_once_each(spark, reviews):
+    """Rows without an id that repeat share one; their count must not multiply."""
+    info = topics.find_topics(reviews.drop("review_id").union(reviews.drop("review_id").limit(7)))
+    assert sum(r["Count"] for r in info.collect()) == reviews.count() + 7
 
 
 def test_small_topics_are_outliers(spark):
