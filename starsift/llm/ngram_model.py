@@ -368,14 +368,16 @@ def score_documents(
     fold: int = 1,
     order: int = 2,
     weight: float = 0.4,
-    block_chars: int = 4_000_000,
-    bucket_keys: int = 4_000_000,
+    block_chars: int = 2_000_000,
+    bucket_keys: int = 2_000_000,
 ) -> DataFrame:
     """Log10 probabilities of all texts under a model of the rows outside ``fold``.
 
     (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score):
     ``base_score`` is that of single tokens, ``score`` that of the automaton of n-grams
-    up to ``order``, each order with ``weight`` against the shorter ones.
+    up to ``order``, each order with ``weight`` against the shorter ones. A block of
+    ``block_chars`` characters and a bucket of ``bucket_keys`` n-grams are what a task
+    holds at a time.
     """
     if order < 1 or not 0 < weight < 1:
         raise ValueError("order is at least 1 and weight between 0 and 1")
