@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starsift.llm.common import text_batch
+from starsift.llm.common import sliced, text_batch
 from starsift.llm.groups import forest, grouped
 from starsift.llm.mixing import mix_key
 from starsift.operators.skew import lookup_join
@@ -40,46 +40,79 @@ SEED = 42
 _AT_ONCE = 1 << 14
 
 
-def fingerprint(text: str, shingle: int = 3) -> int:
-    """The 64-bit fingerprint of a text, as a signed number."""
+def _hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of a text's shingles, repeats included, some at a time."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     joined = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     starts = np.cumsum(lengths + 1) - lengths - 1
     n = max(1, len(words) - shingle + 1)
     ends = (starts + lengths)[min(shingle, len(words)) - 1:]
-    set_bits = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
     for low in range(0, n, _AT_ONCE):
         part = slice(low, low + _AT_ONCE)
-        hashes = np.array(
+        yield np.array(
             [digest(joined[s:e], SEED) for s, e in zip(starts[:n][part].tolist(),
                                                        ends[part].tolist(), strict=True)],
-            np.dtype(">u8"),
+            np.uint64,
         )
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
-        set_bits += bits.sum(axis=0, dtype=np.int64)
-    packed = np.packbits(2 * set_bits > n).tobytes()
-    return int.from_bytes(packed, "big", signed=True)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, *carry: Column) -> DataFrame:
-    """(doc_id, carried columns, fp), one row for each row of ``docs``."""
-    held = spread(docs.select("doc_id", *carry, "text"))
-    names = held.columns[:-1]
-    fields = ", ".join(f"`{c}` {t}" for c, t in held.dtypes[:-1])
+def _set_bits(hashes: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def _packed(set_bits: np.ndarray, n: int) -> int:
+    return int.from_bytes(np.packbits(2 * set_bits > n).tobytes(), "big", signed=True)
+
+
+def fingerprint(text: str, shingle: int = 3) -> int:
+    """The 64-bit fingerprint of a text, as a signed number."""
+    set_bits, n = np.zeros(64, np.int64), 0
+    for hashes in _hashes(text, shingle):
+        set_bits += _set_bits(hashes)
+        n += len(hashes)
+    return _packed(set_bits, n)
+
+
+def _rehashed(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Another hash of the same shingles; number 0 is the hash itself."""
+    if not number:
+        return hashes
+    x = hashes + np.uint64(number * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def signature(text: str, shingle: int, prints: int, keep: int) -> tuple[list[int], np.ndarray]:
+    """Fingerprints of a text under several hashes, and its ``keep`` smallest hashes."""
+    set_bits, n = np.zeros((prints, 64), np.int64), 0
+    least = np.zeros(0, np.uint64)
+    for hashes in _hashes(text, shingle):
+        for number in range(prints):
+            set_bits[number] += _set_bits(_rehashed(hashes, number))
+        least = np.unique(np.concatenate([least, _rehashed(hashes, prints)]))[:keep]
+        n += len(hashes)
+    return [_packed(b, n) for b in set_bits], least.view(np.int64)
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """(doc_id, fp), one row for each row of ``docs``."""
+    held = spread(docs.select("doc_id", "text"))
+    kind = held.schema["doc_id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(t, shingle) for t in text_batch(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(prints, pa.int64())],
-                names=[*names, "fp"],
-            )
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "fp": pa.array(prints, pa.int64()),
+            })
 
-    return held.mapInArrow(hashed, f"{fields}, fp long")
+    return held.mapInArrow(hashed, f"doc_id {kind}, fp long")
 
 
 def segment_counts(fp: Column) -> Column:
@@ -100,57 +133,60 @@ def segment_counts(fp: Column) -> Column:
     return F.shiftleft(high, 32).bitwiseOR(half(fp.bitwiseAND(F.lit(0xFFFFFFFF))))
 
 
-def grid_cells(point: Column) -> Column:
+def grid_cells(point: Column, segments: int = 16) -> Column:
     """A point of :func:`segment_counts` and the points one step from it."""
     cells = [point]
-    for segment in range(16):
+    for segment in range(segments):
         one = F.lit(1 << (4 * segment))
         count = F.shiftrightunsigned(point, 4 * segment).bitwiseAND(F.lit(15))
         cells += [F.when(count < 4, point + one), F.when(count > 0, point - one)]
     return F.array_compact(F.array(*cells))
 
 
-def bit_cells(fp: Column) -> Column:
+def bit_cells(fp: Column, width: int = 64) -> Column:
     """A fingerprint and those that differ from it by one bit."""
-    bits = [1 << b for b in range(63)] + [-(1 << 63)]
+    bits = [1 << b if b < 63 else -(1 << 63) for b in range(width)]
     return F.array(fp, *[fp.bitwiseXOR(F.lit(b)) for b in bits])
 
 
 def _met(limit: int, radius: int):
-    """Links within each run of equal cells; runs over the limit come back as they are.
+    """Links of the ids within each run of equal cells; runs over the limit come back.
 
-    Rows arrive sorted by cell. A row out is a link (a, b), or a fingerprint a with
-    null b that the finer grid must take.
+    Rows (cell, fp, id) arrive sorted by cell. A row out is a link (a, b), or an id a
+    with null b that the finer grid must take.
     """
 
     def table(a, b) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()),
                                            "b": pa.array(b, pa.int64())})
 
-    def links(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def links(run: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         apart = np.bitwise_count((run[:, None] ^ run[None, :]).view(np.uint64))
         i, j = np.nonzero(np.triu(apart <= radius, 1))
         if not len(i):
-            return run[:0], run[:0]
+            return ids[:0], ids[:0]
         root = forest(i, j, len(run))
         tied = np.flatnonzero(root != np.arange(len(run)))
-        return run[tied], run[root[tied]]
+        return ids[tied], ids[root[tied]]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, prints, crowded = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        cells, prints, ids = (np.zeros(0, np.int64) for _ in range(3))
+        crowded = None
         for batch in batches:
-            cells = np.concatenate([cells, batch.column("cell").to_numpy(zero_copy_only=False)])
-            prints = np.concatenate([prints, batch.column("fp").to_numpy(zero_copy_only=False)])
-            yield from whole_runs(cells, prints, crowded, False)
+            cells, prints, ids = (
+                np.concatenate([held, batch.column(c).to_numpy(zero_copy_only=False)])
+                for held, c in ((cells, "cell"), (prints, "fp"), (ids, "id"))
+            )
+            yield from whole_runs(cells, prints, ids, crowded, False)
             last = int(np.searchsorted(cells, cells[-1])) if len(cells) else 0
             if len(cells) and (crowded == cells[-1] or len(cells) - last > limit):
                 crowded = int(cells[-1])
-                yield table(prints[last:], [None] * (len(cells) - last))
+                yield table(ids[last:], [None] * (len(cells) - last))
                 last = len(cells)
-            cells, prints = cells[last:], prints[last:]
-        yield from whole_runs(cells, prints, crowded, True)
+            cells, prints, ids = cells[last:], prints[last:], ids[last:]
+        yield from whole_runs(cells, prints, ids, crowded, True)
 
-    def whole_runs(cells, prints, crowded, ended) -> Iterator[pa.RecordBatch]:
+    def whole_runs(cells, prints, ids, crowded, ended) -> Iterator[pa.RecordBatch]:
         starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]])) if len(
             cells) else np.zeros(0, np.int64)
         ends = np.concatenate([starts[1:], [len(cells)]]) if len(cells) else starts
@@ -160,15 +196,20 @@ def _met(limit: int, radius: int):
                 crowded if crowded is not None else -1))].tolist() for x in (starts, ends)),
                 strict=True):
             if crowded is not None and cells[s] == crowded or e - s > limit:
-                yield table(prints[s:e], [None] * (e - s))
+                yield table(ids[s:e], [None] * (e - s))
                 continue
-            a, b = links(prints[s:e])
+            a, b = links(prints[s:e], ids[s:e])
             if len(a):
                 yield table(a, b)
 
     return meet
 
 
+def _meet(cells: DataFrame, limit: int, radius: int) -> DataFrame:
+    dealt = cells.repartition("cell").sortWithinPartitions("cell", "fp", "id")
+    return dealt.mapInArrow(_met(limit, radius), "a long, b long")
+
+
 def linked(prints: DataFrame, radius: int = 2, cell_limit: int = 512) -> DataFrame:
     """(a, b): links that connect all fingerprints within ``radius`` bits of each other.
 
@@ -179,17 +220,16 @@ def linked(prints: DataFrame, radius: int = 2, cell_limit: int = 512) -> DataFra
         raise ValueError("radius is 0, 1 or 2")
     fp = F.col("fp")
 
-    def meet(cells: DataFrame, limit: int) -> DataFrame:
-        dealt = cells.repartition("cell").sortWithinPartitions("cell", "fp")
-        return dealt.mapInArrow(_met(limit, radius), "a long, b long")
-
+    point = segment_counts(fp)
     first = materialize(
-        meet(prints.select(F.explode(grid_cells(segment_counts(fp))).alias("cell"), "fp"),
-             cell_limit),
+        _meet(prints.select(F.explode(grid_cells(point)).alias("cell"), "fp", fp.alias("id")),
+              cell_limit, radius),
         "links",
     )
     crowded = first.filter(F.col("b").isNull()).select(F.col("a").alias("fp")).distinct()
-    finer = meet(crowded.select(F.explode(bit_cells(fp)).alias("cell"), "fp"), 65)
+    finer = _meet(
+        crowded.select(F.explode(bit_cells(fp)).alias("cell"), "fp", fp.alias("id")), 65, radius
+    )
     return first.filter(F.col("b").isNotNull()).unionByName(finer)
 
 
@@ -221,27 +261,111 @@ def _components(prints: DataFrame, radius: int, cell_limit: int) -> DataFrame:
     )
 
 
+def candidate_links(classes: DataFrame, cell_limit: int = 512) -> DataFrame:
+    """(a, b): ids whose fingerprints have a half within two bits of each other.
+
+    ``classes`` has (id, prints). Each half of 32 bits is a fingerprint of its own with
+    eight segments, apart from those of other numbers. In a crowded cell the finer grid
+    ties all to one, for there all are within two bits of each other.
+    """
+    halves = classes.select("id", F.posexplode("prints").alias("number", "fp")).select(
+        "id",
+        F.explode(F.array(
+            F.struct((2 * F.col("number")).alias("table"),
+                     F.shiftrightunsigned("fp", 32).alias("fp")),
+            F.struct((2 * F.col("number") + 1).alias("table"),
+                     F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)).alias("fp")),
+        )).alias("h"),
+    ).select("id", "h.table", "h.fp")
+    fp, place = F.col("fp"), F.col("table").cast("long") * F.lit(1 << 33)
+    point = segment_counts(fp)
+
+    def cells(rows: DataFrame, found: Column) -> DataFrame:
+        return rows.select((F.explode(found)).alias("cell"), "fp", "id", place.alias("place")).select(
+            (F.col("cell") + F.col("place")).alias("cell"), "fp", "id"
+        )
+
+    first = materialize(_meet(cells(halves, grid_cells(point, 8)), cell_limit, 2), "links")
+    crowded = first.filter(F.col("b").isNull()).select(F.col("a").alias("id")).distinct()
+    finer = cells(halves.join(crowded, "id"), bit_cells(fp, 32))
+    lowest = materialize(
+        finer.groupBy("cell").agg(F.min("id").alias("b"), F.count("*").alias("n")).filter("n > 1"),
+        "crowded",
+    )
+    tied = lookup_join(finer.select("cell", F.col("id").alias("a")), lowest, "cell", "n")
+    both = first.filter(F.col("b").isNotNull()).unionByName(tied.select("a", "b"))
+    return both.filter("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    ).distinct()
+
+
+def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
+    """Jaccard similarity of shingle sets from their smallest hashes.
+
+    Exact where both sets have no more than ``keep`` shingles.
+    """
+    union = F.slice(F.array_sort(F.array_union(one, other)), 1, keep)
+    shared = F.size(F.array_intersect(F.array_intersect(one, other), union))
+    return F.coalesce(F.try_divide(shared, F.size(union)), F.lit(1.0))
+
+
 def without_copies(
-    docs: DataFrame, shingle: int = 5, radius: int = 2, cell_limit: int = 512
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, prints: int = 4,
+    keep: int = 128, cell_limit: int = 512,
 ) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id.
+    """``docs`` with one row of each group of near copies: that of the smallest id.
 
+    Candidates have one of ``2 * prints`` half fingerprints within two bits of each
+    other; they are near copies if their shingle sets, judged by the ``keep`` smallest
+    hashes of each, have at least ``similarity``. Groups are what such links connect.
     Of rows with the same id the text decides; rows that agree in both are one.
     """
-    prints = materialize(fingerprints(docs, shingle, mix_key().alias("row_key")), "prints")
-    table = _components(prints, radius, cell_limit)
+    held = spread(docs.select("doc_id", mix_key().alias("row_key"), "text"))
+    kind = held.schema["doc_id"].dataType.simpleString()
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            made = [signature(t, shingle, prints, keep) for t in text_batch(batch.column("text"))]
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "row_key": batch.column("row_key"),
+                "prints": pa.array([p for p, _ in made], pa.list_(pa.int64())),
+                "least": pa.array([h for _, h in made], pa.list_(pa.int64())),
+            })
+
+    rows = materialize(
+        held.mapInArrow(
+            signed, f"doc_id {kind}, row_key string, prints array<long>, least array<long>"
+        ),
+        "signatures",
+    )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
+    classes = materialize(
+        rows.groupBy("prints").agg(first.alias("first"), F.first("least").alias("least"))
+        .withColumn("id", F.monotonically_increasing_id()),
+        "classes",
+    )
+    links = materialize(candidate_links(classes.select("id", "prints"), cell_limit), "candidates")
+    sets = classes.select("id", "least")
+    judged = (
+        links.join(sets.select(F.col("id").alias("a"), F.col("least").alias("one")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("least").alias("other")), "b")
+        .filter(estimated_similarity(F.col("one"), F.col("other"), keep) >= similarity)
+        .select("a", "b")
+    )
+    groups = grouped(
+        classes.select("id", F.col("first.doc_id").alias("key")), materialize(judged, "judged")
+    )
     kept = materialize(
-        lookup_join(prints, table, "fp", "copies").groupBy("root").agg(
-            first.alias("first")
+        classes.select("id", "first").join(groups.select("id", "root"), "id").groupBy("root").agg(
+            F.min("first").alias("first")
         ).select(F.col("first.row_key").alias("_kept_key")),
         "kept",
     )
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    held = docs.select(F.struct(*columns).alias("_row"), mix_key().alias("_kept_key"))
+    named = docs.select(F.struct(*columns).alias("_row"), mix_key().alias("_kept_key"))
     alike = Window.partitionBy("_kept_key").orderBy(F.xxhash64("_row"))
     return (
-        held.withColumn("_place", F.row_number().over(alike))
+        named.withColumn("_place", F.row_number().over(alike))
         .filter(F.col("_place") == 1)
         .join(kept, "_kept_key", "left_semi")
         .select("_row.*")

@@ -106,6 +106,40 @@ def test_one_row_of_each_group_stays(docs):
                           (None, "alone without an id at all")], key=repr)
 
 
+def jaccard(a, b, k=5):
+    def grams(t):
+        w = t.split()
+        return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))}
+
+    return len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+
+
+@pytest.mark.parametrize("limit", [512, 4])
+def test_near_copies_go_and_the_rest_stays(docs, limit):
+    pick = random.Random(8)
+    word = lambda: f"w{pick.randrange(4000)}"
+    base = [[word() for _ in range(pick.randrange(60, 400))] for _ in range(60)]
+    passage = [word() for _ in range(60)]
+    rows, near = [], []
+    for i, words in enumerate(base):
+        rows.append((len(rows), " ".join(words)))
+        for changes in (0, 1, 2, 3) if i < 30 else ():
+            other = list(words)
+            for _ in range(changes):
+                other[pick.randrange(len(other))] = word()
+            if jaccard(" ".join(words), " ".join(other)) >= 0.85:
+                near.append(len(rows))
+            rows.append((len(rows), " ".join(other)))
+    clean = len(rows)
+    rows += [(clean + i, " ".join([word() for _ in range(150)] + passage)) for i in range(20)]
+    kept = {r.doc_id for r in simhash.without_copies(docs(*rows), cell_limit=limit).collect()}
+    assert len([i for i in near if i not in kept]) >= 0.9 * len(near)
+    texts = dict(rows)
+    for i in set(texts) - kept:
+        assert any(jaccard(texts[i], texts[j]) >= 0.65 for j in texts if j < i), i
+    assert set(range(clean, clean + 20)) <= kept
+
+
 def test_empty(docs):
     none = docs((1, "a")).limit(0)
     assert simhash.near_documents(none).collect() == []
