@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,13 @@ def held_out(key: str | Column, fold: int) -> Column:
     return F.coalesce(remainder(key) == fold, F.lit(False))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, for work that makes much of each row."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def text_batch(column) -> list[str]:
     """An Arrow column of texts as a list, null as the empty text."""
     return [t if t is not None else "" for t in column.to_pylist()]
