@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# At most this many rows of a lookup table (tens of megabytes) are broadcast.
+# At most this many rows, and about this many bytes, of a lookup table are broadcast.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def lookup_join(
@@ -20,8 +22,8 @@ def lookup_join(
     """Join ``rows`` to ``table``, which has one row for each ``key``.
 
     ``table`` should be a written table: it is counted, then read. ``weight`` is its
-    column that counts the rows of its key. A table of checked size is broadcast
-    whole. Of a larger one the heaviest keys are, up to the same size, and the rows
+    column that counts the rows of its key. A table of checked size, in rows and bytes,
+    is broadcast whole. Of a larger one the heaviest keys are, up to the same size, and the rows
     they match do not move. Only rows of the other keys are shuffled; each of those
     keys holds at most 2 / BROADCAST_ROWS of all rows, so none is hot.
 
@@ -55,20 +57,37 @@ def lookup_join(
     return placed.unionByName(met)
 
 
+def _row_bytes(table: DataFrame) -> Column:
+    """About how many bytes a row of a table takes."""
+    total = F.lit(16 + 8 * len(table.columns))
+    for field in table.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif not isinstance(field.dataType, T.AtomicType):
+            held = F.to_json(F.struct(c.alias("c")))
+            total = total + F.coalesce(F.octet_length(held), F.lit(0))
+    return total
+
+
 def _heavy_from(table: DataFrame, weight: str) -> float | None:
     """Weight from which on keys are broadcast; None when all of them can be.
 
-    Keys are counted by power of two of their weight, a few dozen rows, and as many
-    of the upper powers are taken as fit.
+    Keys are counted and measured by power of two of their weight, a few dozen rows,
+    and as many of the upper powers are taken as fit in rows and bytes.
     """
     power = F.floor(F.log2(F.col(weight))).alias("power")
-    counts = table.groupBy(power).agg(F.count("*").alias("keys")).collect()
-    if sum(r["keys"] for r in counts) <= BROADCAST_ROWS:
+    sizes = table.groupBy(power).agg(
+        F.count("*").alias("keys"), F.sum(_row_bytes(table)).alias("bytes")
+    )
+    counts = sizes.collect()
+    keys, size = sum(r["keys"] for r in counts), sum(r["bytes"] for r in counts)
+    if keys <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
         return None
-    taken, cut = 0, float("inf")
+    keys, size, cut = 0, 0, float("inf")
     for row in sorted(counts, key=lambda r: -r["power"]):
-        taken += row["keys"]
-        if taken > BROADCAST_ROWS:
+        keys, size = keys + row["keys"], size + row["bytes"]
+        if keys > BROADCAST_ROWS or size > BROADCAST_BYTES:
             break
         cut = 2.0 ** row["power"]
     return cut

@@ -379,3 +379,13 @@ def test_inspect_lists_columns(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a INT, b STRING")
     got = [tuple(r) for r in quality.inspect(df).collect()]
     assert got == [(0, "a", "int", 2, 0), (1, "b", "string", 2, 1)]
+
+
+def test_monthly_change_is_against_the_calendar_month_before(spark):
+    rows = [(2000, 1, 2.0), (2000, 2, 3.0), (2000, 5, 4.0), (2000, 12, 1.0), (2001, 1, 5.0), (None, None, 5.0)]
+    df = spark.createDataFrame(
+        [(y, m, s, s) for y, m, s in rows], "year INT, month INT, sentiment_star DOUBLE, rating DOUBLE"
+    )
+    got = {(r["year"], r["month"]): r["sentiment_change"] for r in trends.monthly_trend(df).collect()}
+    assert got == {(2000, 1): None, (2000, 2): 1.0, (2000, 5): None, (2000, 12): None,
+                   (2001, 1): 4.0, (None, None): None}

@@ -73,6 +73,19 @@ def test_what_is_broadcast_is_bounded(spark, monkeypatch, limit):
         assert rest <= 2 * total / max(limit, 1)
 
 
+def test_long_keys_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 20_000)
+    rows = spark.range(300).select(
+        F.concat(F.repeat(F.lit("k"), 1000), (F.col("id") % 100).cast("string")).alias("k"), "id"
+    )
+    table = rows.groupBy("k").agg(F.count("*").alias("n"))
+    assert skew._heavy_from(table, "n") is not None
+    got = skew.lookup_join(rows, table, "k", "n")
+    assert got.count() == 300 and got.agg(F.sum("n")).first()[0] == 900
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", 1 << 20)
+    assert skew._heavy_from(table, "n") is None
+
+
 def brute_components(edges):
     label = {}
 

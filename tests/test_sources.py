@@ -99,3 +99,12 @@ def test_written_tables_come_and_go(spark):
     workspace.discard(table)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(folder)
+
+
+def test_indicator_reads_every_year(spark, tmp_path):
+    years = list(range(1000, 2000))
+    lines = ['"Source","x",', "", ",".join(["Country Name", "Country Code", "Name", "Code", *map(str, years)])]
+    lines += [",".join([c, c, "n", "i", *[str(y / 10 + k) for y in years]]) for k, c in enumerate(("USA", "FRA"))]
+    (tmp_path / "wide.csv").write_text("\n".join(lines))
+    got = indicator.read_indicator(spark, str(tmp_path / "wide.csv")).orderBy("year").collect()
+    assert [(r["year"], r["rate"]) for r in got] == [(y, y / 10) for y in years]
