@@ -2,72 +2,123 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import HashingTF, MinHashLSH, NGram
-from pyspark.sql import DataFrame
+import hashlib
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starsift.functions.text import WORDS, normalized, tokens
 from starsift.operators.components import connected_components
 from starsift.operators.skew import lookup_join
-from starsift.sources.workspace import materialize
+from starsift.sources.workspace import discard, materialize
 
+# Modulus of the MinHash functions; products of two numbers below it fit a long.
+PRIME = (1 << 31) - 1
 
-def band_keys(
-    df: DataFrame, key: str, bands: int = 8, rows: int = 6, shingle: int = 3, seed: int = 7
-) -> DataFrame:
-    """(key, digest, keys): a digest of the text and one key for each band.
 
-    A band key stands for ``rows`` MinHash values of the word shingles of the whole
-    text. A text shorter than one shingle counts as a single shingle.
+def minhash_functions(n: int) -> list[tuple[int, int]]:
+    """Factor and offset of each MinHash function, from the digest of its number."""
+    digests = [hashlib.md5(str(i).encode(), usedforsecurity=False).hexdigest() for i in range(n)]
+    return [(1 + int(d[:7], 16), int(d[7:14], 16)) for d in digests]
+
+
+def shingle_set(text: str | Column, shingle: int) -> Column:
+    """Distinct 60-bit hashes of the word shingles of a text, in order.
+
+    A text shorter than one shingle is a single shingle; one without words has none.
     """
-    words = df.filter(F.col("text").isNotNull()).select(
-        key,
-        F.sha2(normalized("text"), 256).alias("digest"),
-        tokens("text", WORDS).alias("_words"),
+    words = tokens(text, WORDS)
+    first = F.sequence(F.lit(1), F.greatest(F.size(words) - (shingle - 1), F.lit(1)))
+    grams = F.transform(
+        first,
+        lambda i: F.conv(
+            F.substring(F.md5(F.array_join(F.slice(words, i, F.lit(shingle)), " ").cast("binary")), 1, 15),
+            16, 10,
+        ).cast("long"),
     )
-    grams = NGram(n=shingle, inputCol="_words", outputCol="_grams").transform(words)
-    grams = grams.withColumn(
-        "_grams",
-        F.when(F.size("_grams") > 0, F.col("_grams")).otherwise(
-            F.array(F.concat_ws(" ", "_words"))
-        ),
-    )
-    hashed = HashingTF(
-        inputCol="_grams", outputCol="_set", numFeatures=1 << 20, binary=True
-    ).transform(grams)
-    lsh = MinHashLSH(inputCol="_set", outputCol="_mins", numHashTables=bands * rows, seed=seed)
-    signed = lsh.fit(hashed).transform(hashed)
-    keys = [F.xxhash64(F.lit(b), F.slice("_mins", b * rows + 1, rows)) for b in range(bands)]
-    return signed.select(key, "digest", F.array(*keys).alias("keys"))
+    none = F.array().cast("array<bigint>")
+    return F.when(F.size(words) > 0, F.array_sort(F.array_distinct(grams))).otherwise(none)
+
+
+def _band_keys(grams: Column, bands: int, rows: int) -> Column:
+    """One key for each band: its number and the least values of its functions."""
+
+    def least(a: int, c: int) -> Column:
+        return F.array_min(F.transform(grams, lambda g: (F.lit(a) * (g % PRIME) + F.lit(c)) % PRIME))
+
+    values = [least(a, c) for a, c in minhash_functions(bands * rows)]
+    return F.array(*[
+        F.concat_ws("-", F.lit(b), *values[b * rows:(b + 1) * rows]) for b in range(bands)
+    ])
+
+
+def _written(names: Sequence[str]) -> Column:
+    """The values of some columns as one text, null told from empty."""
+    return F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(n).cast("string")), F.lit("-"))
+                              for n in names])
 
 
 def near_copies(
-    df: DataFrame, key: str = "review_id", bands: int = 8, rows: int = 6, shingle: int = 3
+    df: DataFrame,
+    key: str = "review_id",
+    bands: int = 8,
+    rows: int = 4,
+    shingle: int = 5,
+    similarity: float = 0.8,
+    max_rounds: int = 60,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(key, group_id, group_size) for texts that have a copy or near copy.
+    """(by, key, group_id, group_size) for texts that have a copy or near copy.
 
-    Two texts are near copies when all MinHash values of one band agree; groups are
-    the connected components of that relation and are named by their lowest id.
-    Equal texts are folded into one before bands are compared, and members of a
-    band bucket are tied to its lowest id only, so a bucket of any size costs one
-    edge for each member and no pair is ever formed.
+    Texts equal up to case and spacing are copies, and folded into one. Members of a
+    MinHash bucket are tied to its lowest id only, so a bucket of any size costs one
+    edge for each member, and an edge counts if the shingle sets of its two texts have
+    at least ``similarity``; nothing else links. Groups are what the edges connect,
+    within each ``by``, and are named by their lowest id. Texts without a word have
+    copies but no near ones. ``max_rounds`` bounds the rounds of the components.
     """
-    signed = materialize(band_keys(df, key, bands, rows, shingle), "bands")
-    folded = signed.groupBy("digest").agg(
-        F.min(key).alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys")
+    names = [f"_by{i}" for i in range(len(by))]
+    texts = materialize(
+        df.filter(F.col("text").isNotNull()).select(
+            F.col(key).alias("_key"),
+            *[F.col(c).alias(n) for c, n in zip(by, names, strict=True)],
+            F.sha2(F.concat_ws("|", _written(by), normalized("text")), 256).alias("digest"),
+            shingle_set("text", shingle).alias("grams"),
+        ),
+        "texts",
+    )
+    folded = materialize(
+        texts.groupBy("digest").agg(
+            F.min("_key").alias("rep"), F.count("*").alias("copies"),
+            F.first("grams").alias("grams"), *[F.first(n).alias(n) for n in names],
+        ),
+        "folded",
     )
-    folded = materialize(folded, "folded")
-    entries = folded.select("rep", F.explode("keys").alias("bucket"))
+    worded = folded.filter(F.size("grams") > 0)
+    banded = _band_keys(F.col("grams"), bands, rows)
+    keys = F.transform(banded, lambda k: F.concat_ws("|", _written(names), k)) if names else banded
+    entries = materialize(worded.select("rep", F.explode(keys).alias("bucket")), "entries")
     buckets = entries.groupBy("bucket").agg(
         F.min("rep").alias("low"), F.count("*").alias("members")
     )
     shared = materialize(buckets.filter(F.col("members") > 1), "buckets")
-    edges = lookup_join(entries, shared, "bucket", "members").select(
-        F.col("rep").alias("a"), F.col("low").alias("b")
+    met = lookup_join(entries, shared, "bucket", "members").filter("rep <> low")
+    pairs = materialize(met.select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
+    used = pairs.groupBy("b").agg(F.count("*").alias("uses"))
+    sets = worded.select("rep", "grams")
+    centres = materialize(
+        used.join(sets, used["b"] == sets["rep"]).select("b", "uses", F.col("grams").alias("other")),
+        "centres",
     )
-    linked = connected_components(edges).withColumnRenamed("vertex", "rep")
+    one = pairs.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("one")), "a")
+    both = lookup_join(one, centres, "b", "uses")
+    common = F.size(F.array_intersect("one", "other"))
+    alike = common / (F.size("one") + F.size("other") - common)
+    edges = materialize(both.filter(alike >= similarity).select("a", "b"), "edges")
+    linked = connected_components(edges, max_rounds).withColumnRenamed("vertex", "rep")
     grouped = materialize(
-        folded.join(linked, "rep", "left").select(
+        folded.select("digest", "rep", "copies").join(linked, "rep", "left").select(
             "digest", "copies", F.coalesce("component", "rep").alias("group_id")
         ),
         "grouped",
@@ -76,8 +127,14 @@ def near_copies(
         F.sum("copies").alias("group_size"), F.count("*").alias("texts")
     )
     wide = materialize(sizes.filter(F.col("group_size") > 1), "wide")
-    named = lookup_join(grouped, wide, "group_id", "texts").drop("texts")
-    named = materialize(named, "named")
-    return lookup_join(signed.select(key, "digest"), named, "digest", "copies").select(
-        key, "group_id", "group_size"
+    named = materialize(lookup_join(grouped, wide, "group_id", "texts").drop("texts"), "named")
+    out = materialize(
+        lookup_join(texts.drop("grams"), named, "digest", "copies").select(
+            *[F.col(n).alias(c) for c, n in zip(by, names, strict=True)],
+            F.col("_key").alias(key), "group_id", "group_size",
+        ),
+        "near_copies",
     )
+    for table in (texts, folded, entries, shared, pairs, centres, edges, grouped, wide, named):
+        discard(table)
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from starsift.operators.copies import PRIME, minhash_functions
 from starsift.plans.views import BLANK_YEAR, COUNTRY
 
 # Named relations; each may use those it lists.
@@ -124,6 +125,60 @@ SELECT t.topic AS "Topic", t.n AS "Count",
 FROM (SELECT topic, count(*) AS n FROM topics GROUP BY topic) t
 JOIN topic_places p ON p.topic = t.topic GROUP BY t.topic, t.n""",
     ),
+    # Near copies of documents: shingle sets, MinHash bands, edges to the lowest id.
+    "copy_texts": (
+        (),
+        """
+SELECT doc_id, sha256(trim(regexp_replace(lower(text), '\\s+', ' ', 'g'))) AS digest,
+  list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+'), lambda w: w <> '') AS words
+FROM documents WHERE text IS NOT NULL""",
+    ),
+    "copy_reps": (
+        ("copy_texts",),
+        "SELECT digest, min(doc_id) AS rep, any_value(words) AS words FROM copy_texts GROUP BY digest",
+    ),
+    "copy_grams": (
+        ("copy_reps",),
+        """
+SELECT DISTINCT rep, CAST('0x' || substr(md5(array_to_string(words[i:i + 4], ' ')), 1, 15) AS BIGINT) AS g
+FROM (SELECT rep, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i
+      FROM copy_reps WHERE len(words) > 0)""",
+    ),
+    "copy_bands": (
+        ("copy_grams",),
+        f"""
+SELECT rep, f // 4 AS band, string_agg(low, '-' ORDER BY f) AS bucket FROM (
+  SELECT rep, f, min((a * (g % {PRIME}) + c) % {PRIME}) AS low
+  FROM copy_grams, (VALUES {", ".join(f"({i}, {a}::BIGINT, {c}::BIGINT)" for i, (a, c) in enumerate(minhash_functions(32)))}) AS h(f, a, c)
+  GROUP BY rep, f) GROUP BY rep, band""",
+    ),
+    "copy_pairs": (
+        ("copy_bands",),
+        """
+SELECT DISTINCT rep AS a, low AS b FROM (
+  SELECT rep, min(rep) OVER (PARTITION BY band, bucket) AS low FROM copy_bands) WHERE rep <> low""",
+    ),
+    "copy_edges": (
+        ("copy_pairs", "copy_grams"),
+        """
+SELECT a, b FROM (
+  SELECT p.a, p.b, count(*) AS common,
+    (SELECT count(*) FROM copy_grams WHERE rep = p.a) AS one,
+    (SELECT count(*) FROM copy_grams WHERE rep = p.b) AS other
+  FROM copy_pairs p JOIN copy_grams x ON x.rep = p.a JOIN copy_grams y ON y.rep = p.b AND y.g = x.g
+  GROUP BY p.a, p.b) WHERE common / (one + other - common) >= 0.8""",
+    ),
+    "copy_groups": (
+        ("copy_texts", "copy_reps", "copy_edges"),
+        """
+SELECT t.doc_id, m.low AS group_id FROM copy_texts t JOIN copy_reps r ON r.digest = t.digest
+JOIN (WITH RECURSIVE reach AS (
+        SELECT rep AS v, rep AS low FROM copy_reps
+        UNION SELECT e.v, r.low FROM reach r
+        JOIN (SELECT a AS u, b AS v FROM copy_edges UNION ALL SELECT b, a FROM copy_edges) e
+          ON e.u = r.v)
+      SELECT v, min(low) AS low FROM reach GROUP BY v) m ON m.v = r.rep""",
+    ),
     # Hills of the density of two fixed projections of each embedding.
     "axes": (
         (),
@@ -757,4 +812,10 @@ FROM (SELECT d.doc_id, coalesce(sum(w), 0) + count(t.term) * (SELECT base FROM t
     ON v.b = substr(md5(t.term), 1, 4)
   GROUP BY d.doc_id)""",
     ),
+    "near_copies": sql(
+        "copy_groups",
+        """SELECT doc_id, group_id, group_size FROM (
+  SELECT *, count(*) OVER (PARTITION BY group_id) AS group_size FROM copy_groups)
+WHERE group_size > 1""",
+    ),
 }
