@@ -23,12 +23,12 @@ def minhash_functions(n: int) -> list[tuple[int, int]]:
     return [(1 + int(d[:7], 16), int(d[7:14], 16)) for d in digests]
 
 
-def shingle_set(text: str | Column, shingle: int) -> Column:
-    """Distinct 60-bit hashes of the word shingles of a text, in order.
+def shingle_set(words: Column, shingle: int) -> Column:
+    """Distinct 60-bit hashes of the shingles of a column of words, in order.
 
     A text shorter than one shingle is a single shingle; one without words has none.
+    ``words`` should be a column, for an expression would be evaluated at each place.
     """
-    words = tokens(text, WORDS)
     first = F.sequence(F.lit(1), F.greatest(F.size(words) - (shingle - 1), F.lit(1)))
     grams = F.transform(
         first,
@@ -84,8 +84,10 @@ def near_copies(
             F.col(key).alias("_key"),
             *[F.col(c).alias(n) for c, n in zip(by, names, strict=True)],
             F.sha2(F.concat_ws("|", _written(by), normalized("text")), 256).alias("digest"),
-            shingle_set("text", shingle).alias("grams"),
-        ),
+            tokens("text", WORDS).alias("_words"),
+        )
+        .withColumn("grams", shingle_set(F.col("_words"), shingle))
+        .drop("_words"),
         "texts",
     )
     folded = materialize(

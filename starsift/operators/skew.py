@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 # At most this many rows, and about this many bytes, of a lookup table are broadcast.
 BROADCAST_ROWS = 500_000
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20
 
 
 def lookup_join(
