@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starsift.llm.common import text_batch
+from starsift.llm.common import sliced, text_batch
 from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize, spread
 
@@ -42,7 +42,9 @@ MAP_BITS = 1 << 27
 CHUNK = (256, 1024, 16384)
 _WINDOW = 32
 _SPACE = b" \t\n\r\x0b\x0c"
-_MEMO = 200_000
+# Words, and pieces of words, that a process keeps in each of two generations; digests
+# of chunks that a task remembers to have sent.
+_WORDS, _PIECES, _SENT = 60_000, 120_000, 100_000
 
 # Words of these characters need no library call but the model's own: the letters are
 # composed, have simple lower case, and are told from digits and signs by sight.
@@ -62,8 +64,8 @@ def _byte_letters() -> list[str]:
 class Encoder(dict):
     """Ids of words between ASCII white space, as little-endian 32-bit numbers.
 
-    Words are looked up by their bytes. It holds two generations of at most ``_MEMO``
-    words, so frequent words stay and memory is bounded.
+    Words are looked up by their bytes. It holds two generations of at most ``_WORDS``
+    words and ``_PIECES`` pieces, so frequent ones stay and memory is bounded.
     """
 
     def __init__(self, definition: str):
@@ -83,7 +85,7 @@ class Encoder(dict):
         self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= _MEMO:
+        if len(self) >= _WORDS:
             self.old = dict(self)
             self.clear()
         ids = self.old.get(word)
@@ -106,11 +108,17 @@ class Encoder(dict):
             if ids is None:
                 letters = "".join([self.letters[b] for b in piece.encode("utf-8")])
                 ids = _as_bytes([t.id for t in self.model.tokenize(letters)])
-            if len(self.pieces) >= _MEMO:
+            if len(self.pieces) >= _PIECES:
                 self.old_pieces, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
         return ids
 
+    def forget(self) -> None:
+        """Drop all words and pieces."""
+        self.clear()
+        for held in (self.old, self.pieces, self.old_pieces):
+            held.clear()
+
     def encode(self, raw: bytes) -> bytes:
         """Ids of whole words of UTF-8 text."""
         return b"".join([self[w] for w in raw.split()])
@@ -129,13 +137,29 @@ _loaded: dict[str, Encoder] = {}
 
 
 def _encoder(definition: str) -> Encoder:
-    """The encoder of a task's process, which other tasks in it go on using."""
+    """The encoder of a task's process, without the words of tasks before."""
     mark = hashlib.blake2b(definition.encode(), digest_size=16).hexdigest()
     if mark not in _loaded:
         _loaded[mark] = Encoder(definition)
+    _loaded[mark].forget()
     return _loaded[mark]
 
 
+def _result(encoder: Encoder, docs: pa.Array, ids: list[bytes], digests: bool, keep: bool):
+    """Rows (doc_id, digests if wanted, ids if kept) of encoded documents."""
+    out = {"doc_id": docs}
+    if digests:
+        out["n_tokens"] = pa.array([len(i) // 4 for i in ids], pa.int64())
+        out["ids_sha256"] = pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string())
+        out["decoded_sha256"] = pa.array(
+            [hashlib.sha256(encoder.decode(i).encode("utf-8")).hexdigest() for i in ids],
+            pa.string(),
+        )
+    if keep:
+        out["ids"] = pa.array(ids, pa.binary())
+    return pa.RecordBatch.from_pydict(out)
+
+
 def _gear() -> np.ndarray:
     """A fixed random number for each byte."""
     return np.array(
@@ -200,7 +224,7 @@ def _chunks(raw: bytes) -> Iterator[bytes]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct chunk digests of each batch with their counts."""
-    for batch in batches:
+    for batch in sliced(batches):
         counts: dict[bytes, int] = {}
         for text in text_batch(batch.column("text")):
             for chunk in _chunks(text.encode("utf-8")):
@@ -247,29 +271,46 @@ def _edges(chunk: bytes) -> tuple[int, int]:
 
 
 _PASS = (
-    "key long, doc_id {kind}, whole binary, segments array<struct<i:int,digest:binary,"
+    "key long, doc_id {kind}, segments array<struct<i:int,digest:binary,"
     "solid:boolean,head:binary,ids:binary,tail:binary>>, digest binary, body binary"
 )
 
 
-def _encoded(definition, bits, kind: pa.DataType):
-    """What a scan makes of its documents.
+def _is_shared(bits: bytes, digest: bytes) -> bool:
+    byte, mask = _bit_at(_bit(digest))
+    return bool(bits[byte] & mask)
+
+
+def _wholes(definition, bits, digests: bool, keep: bool):
+    """Results of the documents without shared chunks, encoded where they stand."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, shared = _encoder(definition.value), bits.value
+        for batch in sliced(batches):
+            docs, ids = [], []
+            for row, text in enumerate(text_batch(batch.column("text"))):
+                raw = text.encode("utf-8")
+                if not any(_is_shared(shared, _digest(c)) for c in _chunks(raw)):
+                    docs.append(row)
+                    ids.append(encoder.encode(raw))
+            kept = batch.column("doc_id").take(pa.array(docs, pa.int64()))
+            yield _result(encoder, kept, ids, digests, keep)
+
+    return encode
+
 
-    A document without shared chunks is encoded on the spot (``whole``). Of another one
-    the segments go on, ids of shared chunks left out, and the text of each shared
-    chunk goes out once a task.
+def _parted(definition, bits, kind: pa.DataType):
+    """Segments of the documents with shared chunks, and the text of those chunks.
+
+    Ids of shared chunks are left out of the segments; their text goes out once a task.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shared = _encoder(definition.value), bits.value
         key, sent = TaskContext.get().partitionId() << 40, set()
 
-        def is_shared(digest: bytes) -> bool:
-            byte, mask = _bit_at(_bit(digest))
-            return bool(shared[byte] & mask)
-
-        for batch in batches:
-            out = {c: [] for c in ("key", "doc_id", "whole", "segments", "digest", "body")}
+        for batch in sliced(batches):
+            out = {c: [] for c in ("key", "doc_id", "segments", "digest", "body")}
 
             def put(out=out, **row):
                 for c, held in out.items():
@@ -281,9 +322,8 @@ def _encoded(definition, bits, kind: pa.DataType):
                 key += 1
                 chunks = list(_chunks(raw))
                 marks = [_digest(c) for c in chunks]
-                hits = [is_shared(m) for m in marks]
+                hits = [_is_shared(shared, m) for m in marks]
                 if not any(hits):
-                    put(key=key, doc_id=doc, whole=encoder.encode(raw))
                     continue
                 segments = []
                 for i, (chunk, mark, hit) in enumerate(zip(chunks, marks, hits, strict=True)):
@@ -298,7 +338,7 @@ def _encoded(definition, bits, kind: pa.DataType):
                         "ids": None if hit else encoder.encode(body),
                     })
                     if hit and mark not in sent:
-                        if len(sent) >= _MEMO:
+                        if len(sent) >= _SENT:
                             sent.clear()
                         sent.add(mark)
                         put(digest=mark, body=body)
@@ -309,7 +349,6 @@ def _encoded(definition, bits, kind: pa.DataType):
             ]))
             yield pa.RecordBatch.from_pydict({
                 "key": pa.array(out["key"], pa.int64()), "doc_id": pa.array(out["doc_id"], kind),
-                "whole": pa.array(out["whole"], pa.binary()),
                 "segments": pa.array(out["segments"], part),
                 "digest": pa.array(out["digest"], pa.binary()),
                 "body": pa.array(out["body"], pa.binary()),
@@ -321,7 +360,7 @@ def _encoded(definition, bits, kind: pa.DataType):
 def _bodies(definition):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = [encoder.encode(b) for b in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "digest": batch.column("digest"), "ids": pa.array(ids, pa.binary()),
@@ -344,20 +383,17 @@ def _joined(encoder: Encoder, segments: list[dict], shared: dict[int, bytes]) ->
     return b"".join(out)
 
 
-def _finished(definition):
-    """(doc_id, ids) of documents whose shared chunks have met their ids."""
+def _finished(definition, digests: bool, keep: bool):
+    """Results of documents whose shared chunks have met their ids."""
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = []
             for segments, met in zip(batch.column("segments").to_pylist(),
                                      batch.column("met").to_pylist(), strict=True):
                 ids.append(_joined(encoder, segments, {m["i"]: m["ids"] for m in met or []}))
-            yield pa.RecordBatch.from_pydict({
-                "key": batch.column("key"), "doc_id": batch.column("doc_id"),
-                "ids": pa.array(ids, pa.binary()),
-            })
+            yield _result(encoder, batch.column("doc_id"), ids, digests, keep)
 
     return finish
 
@@ -368,8 +404,15 @@ def read_definition(path: str) -> str:
         return file.read()
 
 
-def encode_documents(docs: DataFrame, path: str) -> DataFrame:
-    """(key, doc_id, ids): the ids of each whole text, as little-endian 32-bit numbers."""
+def encode_documents(
+    docs: DataFrame, path: str, digests: bool = False, keep: bool = True
+) -> DataFrame:
+    """(doc_id, ids): the ids of each whole text, as little-endian 32-bit numbers.
+
+    ``digests`` adds (n_tokens, ids_sha256, decoded_sha256) before the ids, ``keep`` tells
+    whether those stay. Only documents with shared chunks are written between passes;
+    the others are encoded as they are read.
+    """
     spark = docs.sparkSession
     definition = spark.sparkContext.broadcast(read_definition(path))
     rows = spread(docs.select("doc_id", "text"))
@@ -378,7 +421,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     kind = doc_type.simpleString()
     arrow = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     passed = materialize(
-        rows.mapInArrow(_encoded(definition, bits, arrow), _PASS.format(kind=kind)), "encoded"
+        rows.mapInArrow(_parted(definition, bits, arrow), _PASS.format(kind=kind)), "parts"
     )
     bodies = passed.filter(F.col("body").isNotNull()).select("digest", "body")
     encoded = bodies.groupBy("digest").agg(F.first("body").alias("body")).mapInArrow(
@@ -393,12 +436,16 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     met = lookup_join(wanted, table, "digest", "uses").groupBy("key").agg(
         F.collect_list(F.struct("i", "ids")).alias("met")
     )
+    fields = [f"doc_id {kind}"]
+    if digests:
+        fields.append("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    if keep:
+        fields.append("ids binary")
+    schema = ", ".join(fields)
     finished = parts.join(met, "key", "left").mapInArrow(
-        _finished(definition), f"key long, doc_id {kind}, ids binary"
-    )
-    whole = passed.filter(F.col("whole").isNotNull()).select(
-        "key", "doc_id", F.col("whole").alias("ids")
+        _finished(definition, digests, keep), schema
     )
+    whole = rows.mapInArrow(_wholes(definition, bits, digests, keep), schema)
     return whole.unionByName(finished)
 
 
@@ -408,26 +455,4 @@ def token_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFra
     ``ids_sha256`` is over the ids as little-endian 32-bit numbers, ``decoded_sha256``
     over the UTF-8 of the text that the ids decode to. ``with_ids`` adds the ids.
     """
-    definition = docs.sparkSession.sparkContext.broadcast(read_definition(path))
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(definition.value)
-        for batch in batches:
-            ids = batch.column("ids").to_pylist()
-            out = pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
-                "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                "decoded_sha256": pa.array(
-                    [hashlib.sha256(encoder.decode(i).encode("utf-8")).hexdigest() for i in ids],
-                    pa.string(),
-                ),
-            })
-            yield out.append_column("ids", batch.column("ids")) if with_ids else out
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return encode_documents(docs, path).select("doc_id", "ids").mapInArrow(
-        digest,
-        f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-        + ", ids binary" * with_ids,
-    )
+    return encode_documents(docs, path, digests=True, keep=with_ids)

@@ -36,7 +36,8 @@ def test_words_equal_the_library(library, encoder):
 
 
 def test_memory_of_words_is_bounded(encoder, monkeypatch):
-    monkeypatch.setattr(bpe, "_MEMO", 50)
+    monkeypatch.setattr(bpe, "_WORDS", 50)
+    monkeypatch.setattr(bpe, "_PIECES", 50)
     small = bpe.Encoder(bpe.read_definition(PATH))
     for n in range(1000):
         assert small.encode(f"w{n} of the x{n % 7}".encode()) == encoder.encode(
