@@ -261,7 +261,7 @@ def _components(prints: DataFrame, radius: int, cell_limit: int) -> DataFrame:
     )
 
 
-def candidate_links(classes: DataFrame, cell_limit: int = 512) -> DataFrame:
+def candidate_links(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
     """(a, b): ids whose fingerprints have a half within two bits of each other.
 
     ``classes`` has (id, prints). Each half of 32 bits is a fingerprint of its own with
@@ -310,8 +310,8 @@ def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
 
 
 def without_copies(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, prints: int = 4,
-    keep: int = 128, cell_limit: int = 512,
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, prints: int = 3,
+    keep: int = 128, cell_limit: int = 2048,
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest id.
 

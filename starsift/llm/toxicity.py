@@ -49,7 +49,7 @@ TIMES = {"^": 1, "+": 2, "*": 4}
 _SIGNS = string.punctuation + "¡¿«»“”‘’„…–—"
 _SHORTEST, _LONGEST = 3, 6
 _SINGLE, _SHARED = 40, 8
-_MEMO = 400_000
+_MEMO = 100_000
 
 
 class Lexicon(dict):
@@ -124,7 +124,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both[toxic].update(["=" + w for w in words])
             for mark, times in TIMES.items():
                 both[toxic].update([mark + b for b, n in begins.items() if n >= times])
-            if len(both[0]) + len(both[1]) > 1_000_000:
+            if len(both[0]) + len(both[1]) > 300_000:
                 yield rows()
     if both[0] or both[1]:
         yield rows()
