@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -207,6 +208,20 @@ def chunk_ends(raw: bytes, sizes: tuple[int, int, int] = CHUNK, piece: int = 1 <
     return ends
 
 
+def _shrunk(ids: bytes) -> bytes:
+    """Ids for storage: 16 bits each where they fit, compressed."""
+    values = np.frombuffer(ids, "<u4")
+    narrow = not len(values) or int(values.max()) < 1 << 16
+    body = values.astype("<u2").tobytes() if narrow else ids
+    return bytes([narrow]) + zstandard.ZstdCompressor(level=1).compress(body)
+
+
+def _grown(stored: bytes) -> bytes:
+    """Ids as :func:`_shrunk` was given them."""
+    body = zstandard.ZstdDecompressor().decompress(stored[1:])
+    return np.frombuffer(body, "<u2").astype("<u4").tobytes() if stored[0] else body
+
+
 def _digest(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
@@ -335,7 +350,7 @@ def _parted(definition, bits, kind: pa.DataType):
                     segments.append({
                         "i": i, "digest": mark if hit else None, "solid": False,
                         "head": chunk[:first], "tail": chunk[last:],
-                        "ids": None if hit else encoder.encode(body),
+                        "ids": None if hit else _shrunk(encoder.encode(body)),
                     })
                     if hit and mark not in sent:
                         if len(sent) >= _SENT:
@@ -361,7 +376,7 @@ def _bodies(definition):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
         for batch in sliced(batches):
-            ids = [encoder.encode(b) for b in batch.column("body").to_pylist()]
+            ids = [_shrunk(encoder.encode(b)) for b in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "digest": batch.column("digest"), "ids": pa.array(ids, pa.binary()),
             })
@@ -377,7 +392,7 @@ def _joined(encoder: Encoder, segments: list[dict], shared: dict[int, bytes]) ->
         if s["solid"]:
             continue
         out.append(encoder.encode(window))
-        out.append(shared[s["i"]] if s["digest"] is not None else s["ids"])
+        out.append(_grown(shared[s["i"]] if s["digest"] is not None else s["ids"]))
         window = s["tail"]
     out.append(encoder.encode(window))
     return b"".join(out)
