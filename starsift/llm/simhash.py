@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starsift.llm.common import sliced, text_batch
-from starsift.llm.groups import forest, grouped
+from starsift.llm.groups import grouped
 from starsift.llm.mixing import mix_key
 from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize, spread
@@ -162,10 +162,14 @@ def _met(limit: int, radius: int):
 
     def links(run: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         apart = np.bitwise_count((run[:, None] ^ run[None, :]).view(np.uint64))
-        i, j = np.nonzero(np.triu(apart <= radius, 1))
-        if not len(i):
-            return ids[:0], ids[:0]
-        root = forest(i, j, len(run))
+        near, n = apart <= radius, len(run)
+        root = np.arange(n, dtype=np.int32)
+        while True:
+            low = np.where(near, root[None, :], np.int32(n)).min(axis=1)
+            low = low[low]
+            if (low == root).all():
+                break
+            root = low
         tied = np.flatnonzero(root != np.arange(len(run)))
         return ids[tied], ids[root[tied]]
 
