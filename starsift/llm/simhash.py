@@ -89,13 +89,17 @@ def _rehashed(hashes: np.ndarray, number: int) -> np.ndarray:
 
 
 def signature(text: str, shingle: int, prints: int, keep: int) -> tuple[list[int], np.ndarray]:
-    """Fingerprints of a text under several hashes, and its ``keep`` smallest hashes."""
+    """Fingerprints of a text under several hashes, and its ``keep`` smallest hashes.
+
+    The latter have 63 bits, so that they have one order as signed and unsigned numbers.
+    """
     set_bits, n = np.zeros((prints, 64), np.int64), 0
     least = np.zeros(0, np.uint64)
     for hashes in _hashes(text, shingle):
         for number in range(prints):
             set_bits[number] += _set_bits(_rehashed(hashes, number))
-        least = np.unique(np.concatenate([least, _rehashed(hashes, prints)]))[:keep]
+        short = _rehashed(hashes, prints) >> np.uint64(1)
+        least = np.unique(np.concatenate([least, short]))[:keep]
         n += len(hashes)
     return [_packed(b, n) for b in set_bits], least.view(np.int64)
 
@@ -306,9 +310,11 @@ def candidate_links(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
 def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
     """Jaccard similarity of shingle sets from their smallest hashes.
 
-    Exact where both sets have no more than ``keep`` shingles.
+    Exact where both sets have fewer than ``keep`` shingles, for then both are whole.
     """
-    union = F.slice(F.array_sort(F.array_union(one, other)), 1, keep)
+    whole = F.greatest(F.size(one), F.size(other)) < keep
+    every = F.array_sort(F.array_union(one, other))
+    union = F.when(whole, every).otherwise(F.slice(every, 1, keep))
     shared = F.size(F.array_intersect(F.array_intersect(one, other), union))
     return F.coalesce(F.try_divide(shared, F.size(union)), F.lit(1.0))
 

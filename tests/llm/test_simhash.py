@@ -144,3 +144,19 @@ def test_empty(docs):
     none = docs((1, "a")).limit(0)
     assert simhash.near_documents(none).collect() == []
     assert simhash.without_copies(none).collect() == []
+
+
+@pytest.mark.parametrize("sizes", [(120, 100), (160, 140), (200, 170), (220, 190), (250, 220)])
+def test_estimate_is_near_the_similarity_of_unequal_sizes(spark, sizes):
+    pick = random.Random(sizes[0])
+    pairs = []
+    for _ in range(40):
+        words = [f"w{pick.randrange(10**6)}" for _ in range(sizes[0] + 4)]
+        pairs.append((" ".join(words), " ".join(words[:sizes[1] + 4])))
+    rows = [[simhash.signature(t, 5, 3, 128)[1].tolist() for t in p] for p in pairs]
+    frame = spark.createDataFrame(rows, "one array<long>, other array<long>")
+    found = frame.select("*", simhash.estimated_similarity(frame.one, frame.other, 128).alias("s")).collect()
+    want = sizes[1] / sizes[0]
+    if sizes[0] < 128:
+        assert all(abs(r.s - want) < 1e-9 for r in found)
+    assert abs(sum(r.s for r in found) / 40 - want) < 0.02 and all(r.s >= want - 0.13 for r in found)
