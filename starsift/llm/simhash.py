@@ -60,6 +60,12 @@ def _hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
         )
 
 
+def wording(text: str) -> bytes:
+    """A digest of a text's words in order: what its shingles are made of."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
 def _set_bits(hashes: np.ndarray) -> np.ndarray:
     bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
     return bits.sum(axis=0, dtype=np.int64)
@@ -273,8 +279,9 @@ def candidate_links(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
     """(a, b): ids whose fingerprints have a half within two bits of each other.
 
     ``classes`` has (id, prints). Each half of 32 bits is a fingerprint of its own with
-    eight segments, apart from those of other numbers. In a crowded cell the finer grid
-    ties all to one, for there all are within two bits of each other.
+    eight segments, apart from those of other numbers. Ids may share a fingerprint. In a
+    crowded cell the finer grid ties all to one, for there all are within two bits of
+    each other.
     """
     halves = classes.select("id", F.posexplode("prints").alias("number", "fp")).select(
         "id",
@@ -325,6 +332,7 @@ def without_copies(
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest id.
 
+    Texts of the same words in the same order, up to ASCII case, are one from the start.
     Candidates have one of ``2 * prints`` half fingerprints within two bits of each
     other; they are near copies if their shingle sets, judged by the ``keep`` smallest
     hashes of each, have at least ``similarity``. Groups are what such links connect.
@@ -335,23 +343,27 @@ def without_copies(
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            made = [signature(t, shingle, prints, keep) for t in text_batch(batch.column("text"))]
+            texts = text_batch(batch.column("text"))
+            made = [signature(t, shingle, prints, keep) for t in texts]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "row_key": batch.column("row_key"),
+                "wording": pa.array([wording(t) for t in texts], pa.binary()),
                 "prints": pa.array([p for p, _ in made], pa.list_(pa.int64())),
                 "least": pa.array([h for _, h in made], pa.list_(pa.int64())),
             })
 
     rows = materialize(
         held.mapInArrow(
-            signed, f"doc_id {kind}, row_key string, prints array<long>, least array<long>"
+            signed, f"doc_id {kind}, row_key string, wording binary, prints array<long>, "
+            "least array<long>"
         ),
         "signatures",
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
     classes = materialize(
-        rows.groupBy("prints").agg(first.alias("first"), F.first("least").alias("least"))
-        .withColumn("id", F.monotonically_increasing_id()),
+        rows.groupBy("wording").agg(
+            first.alias("first"), F.first("prints").alias("prints"), F.first("least").alias("least")
+        ).drop("wording").withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
     links = materialize(candidate_links(classes.select("id", "prints"), cell_limit), "candidates")

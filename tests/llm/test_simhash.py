@@ -160,3 +160,12 @@ def test_estimate_is_near_the_similarity_of_unequal_sizes(spark, sizes):
     if sizes[0] < 128:
         assert all(abs(r.s - want) < 1e-9 for r in found)
     assert abs(sum(r.s for r in found) / 40 - want) < 0.02 and all(r.s >= want - 0.13 for r in found)
+
+
+@pytest.mark.parametrize("limit", [2048, 4])
+def test_texts_with_one_dominant_word_stay(docs, limit):
+    rows = [(i, " ".join(["0"] * 80 + [f"w{i}x{k}" for k in range(40)])) for i in range(30)]
+    assert len({tuple(simhash.signature(t, 5, 3, 128)[0]) for _, t in rows}) == 1
+    copies = [(100 + i, t.upper().replace(" ", "\n")) for i, t in rows[:5]]
+    kept = simhash.without_copies(docs(*rows, *copies), cell_limit=limit).collect()
+    assert sorted(r.doc_id for r in kept) == list(range(30))
