@@ -38,6 +38,7 @@ from starsift.sources.workspace import materialize, spread
 
 SEED = 42
 _AT_ONCE = 1 << 14
+_ORDERED = 1 << 8
 
 
 def _hashes(text: str, shingle: int) -> Iterator[np.ndarray]:
@@ -94,20 +95,37 @@ def _rehashed(hashes: np.ndarray, number: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def signature(text: str, shingle: int, prints: int, keep: int) -> tuple[list[int], np.ndarray]:
-    """Fingerprints of a text under several hashes, and its ``keep`` smallest hashes.
+def _factors(n: int) -> np.ndarray:
+    """Odd factors, each of which puts hashes in an order of its own."""
+    return _rehashed(np.arange(n, dtype=np.uint64), 1) | np.uint64(1)
 
-    The latter have 63 bits, so that they have one order as signed and unsigned numbers.
+
+def signature(
+    text: str, shingle: int, prints: int, keep: int, bands: int = 0, rows: int = 6
+) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Fingerprints of a text under several hashes, its ``keep`` smallest hashes, its bands.
+
+    The hashes have 63 bits, so that they have one order as signed and unsigned numbers.
+    A band is a digest of the first shingle in each of ``rows`` orders; a text without
+    words has none.
     """
     set_bits, n = np.zeros((prints, 64), np.int64), 0
     least = np.zeros(0, np.uint64)
+    factors = _factors(bands * rows)
+    lowest = np.full(bands * rows, 2**64 - 1, np.uint64)
     for hashes in _hashes(text, shingle):
         for number in range(prints):
             set_bits[number] += _set_bits(_rehashed(hashes, number))
         short = _rehashed(hashes, prints) >> np.uint64(1)
         least = np.unique(np.concatenate([least, short]))[:keep]
+        for low in range(0, len(hashes) if bands else 0, _ORDERED):
+            orders = factors[:, None] * hashes[None, low:low + _ORDERED]
+            lowest = np.minimum(lowest, orders.min(axis=1))
         n += len(hashes)
-    return [_packed(b, n) for b in set_bits], least.view(np.int64)
+    keys = np.arange(bands if n else 0, dtype=np.uint64)
+    for row in lowest.reshape(bands, rows).T if n else ():
+        keys = _rehashed(keys ^ row, 1)
+    return [_packed(b, n) for b in set_bits], least.view(np.int64), keys.view(np.int64)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -314,6 +332,20 @@ def candidate_links(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
     ).distinct()
 
 
+def shared_bands(classes: DataFrame) -> DataFrame:
+    """(id, bucket, b, n): the bands that ``n`` > 1 ids share, ``b`` the lowest of them.
+
+    ``classes`` has (id, bands).
+    """
+    entries = materialize(classes.select("id", F.explode("bands").alias("bucket")), "entries")
+    lowest = materialize(
+        entries.groupBy("bucket").agg(F.min("id").alias("b"), F.count("*").alias("n"))
+        .filter("n > 1"),
+        "buckets",
+    )
+    return materialize(lookup_join(entries, lowest, "bucket", "n"), "shared")
+
+
 def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
     """Jaccard similarity of shingle sets from their smallest hashes.
 
@@ -328,13 +360,15 @@ def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
 
 def without_copies(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, prints: int = 3,
-    keep: int = 128, cell_limit: int = 2048,
+    keep: int = 128, cell_limit: int = 2048, bands: int = 20, rows_each: int = 6,
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest id.
 
     Texts of the same words in the same order, up to ASCII case, are one from the start.
     Candidates have one of ``2 * prints`` half fingerprints within two bits of each
-    other; they are near copies if their shingle sets, judged by the ``keep`` smallest
+    other, or agree in one of ``bands`` bands of ``rows_each`` least hashes, which finds
+    ``1 - (1 - s ** rows_each) ** bands`` of the pairs of similarity ``s`` (99.8% at
+    0.8) where half fingerprints alone find about half; they are near copies if their shingle sets, judged by the ``keep`` smallest
     hashes of each, have at least ``similarity``. Groups are what such links connect.
     Of rows with the same id the text decides; rows that agree in both are one.
     """
@@ -344,29 +378,35 @@ def without_copies(
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             texts = text_batch(batch.column("text"))
-            made = [signature(t, shingle, prints, keep) for t in texts]
+            made = [signature(t, shingle, prints, keep, bands, rows_each) for t in texts]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "row_key": batch.column("row_key"),
                 "wording": pa.array([wording(t) for t in texts], pa.binary()),
-                "prints": pa.array([p for p, _ in made], pa.list_(pa.int64())),
-                "least": pa.array([h for _, h in made], pa.list_(pa.int64())),
+                "prints": pa.array([p for p, _, _ in made], pa.list_(pa.int64())),
+                "least": pa.array([h for _, h, _ in made], pa.list_(pa.int64())),
+                "bands": pa.array([b for _, _, b in made], pa.list_(pa.int64())),
             })
 
     rows = materialize(
         held.mapInArrow(
             signed, f"doc_id {kind}, row_key string, wording binary, prints array<long>, "
-            "least array<long>"
+            "least array<long>, bands array<long>"
         ),
         "signatures",
     )
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
     classes = materialize(
         rows.groupBy("wording").agg(
-            first.alias("first"), F.first("prints").alias("prints"), F.first("least").alias("least")
+            first.alias("first"), *[F.first(c).alias(c) for c in ("prints", "least", "bands")]
         ).drop("wording").withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    links = materialize(candidate_links(classes.select("id", "prints"), cell_limit), "candidates")
+    met = shared_bands(classes.select("id", "bands"))
+    stars = met.filter("id <> b").select(F.col("id").alias("a"), "b")
+    links = materialize(
+        candidate_links(classes.select("id", "prints"), cell_limit).union(stars).distinct(),
+        "candidates",
+    )
     sets = classes.select("id", "least")
     judged = (
         links.join(sets.select(F.col("id").alias("a"), F.col("least").alias("one")), "a")

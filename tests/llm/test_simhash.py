@@ -169,3 +169,15 @@ def test_texts_with_one_dominant_word_stay(docs, limit):
     copies = [(100 + i, t.upper().replace(" ", "\n")) for i, t in rows[:5]]
     kept = simhash.without_copies(docs(*rows, *copies), cell_limit=limit).collect()
     assert sorted(r.doc_id for r in kept) == list(range(30))
+
+
+def test_most_near_copies_at_the_threshold_go(docs):
+    pick = random.Random(12)
+    rows = []
+    for i in range(150):
+        words = [f"w{pick.randrange(10**6)}" for _ in range(pick.randrange(80, 400))]
+        cut = int(0.84 * len(words))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:cut]))]
+    kept = {r.doc_id for r in simhash.without_copies(docs(*rows)).collect()}
+    assert set(range(0, 300, 2)) <= kept
+    assert len([i for i in range(1, 300, 2) if i not in kept]) >= 0.8 * 150
