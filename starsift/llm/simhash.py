@@ -23,6 +23,7 @@ than ``doc_id`` and ``text`` are ignored, or kept by :func:`without_copies`.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from starsift.llm.common import sliced, text_batch
 from starsift.llm.groups import grouped
 from starsift.llm.mixing import mix_key
+from starsift.operators.components import connected_components
 from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize, spread
 
@@ -346,6 +348,94 @@ def shared_bands(classes: DataFrame) -> DataFrame:
     return materialize(lookup_join(entries, lowest, "bucket", "n"), "shared")
 
 
+def _verified(keep: int, similarity: float):
+    """Links of a run of equal cells that its sketches confirm, as a forest over its roots.
+
+    Rows (cell, id, root, least) arrive sorted by cell; ids of one root are connected
+    already. Every pair of different roots is judged until something connects them.
+    """
+
+    def links(ids: list, roots: list, sketches: list) -> Iterator[tuple[int, int]]:
+        group = np.unique(np.array(roots, np.int64), return_inverse=True)[1]
+        size = np.array([len(x) for x in sketches])
+        owner, flat = np.repeat(np.arange(len(ids)), size), np.concatenate(sketches)
+        for i, one in enumerate(sketches):
+            if not len(one):
+                continue
+            at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+            shared = np.bincount(owner[one[at] == flat], minlength=len(ids))
+            enough = shared >= similarity * np.minimum(keep, np.maximum(size, len(one))) - 1e-9
+            for j in np.flatnonzero(enough & (np.arange(len(ids)) > i)).tolist():
+                if group[i] == group[j]:
+                    continue
+                whole = max(size[i], size[j]) < keep
+                union = np.union1d(one, sketches[j])[:None if whole else keep]
+                both = np.intersect1d(one, sketches[j], assume_unique=True)
+                if np.isin(both, union).sum() / len(union) >= similarity:
+                    yield ids[j], ids[i]
+                    group[group == group[j]] = group[i]
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                least = batch.column("least")
+                flat = least.values.to_numpy(zero_copy_only=False)
+                ends = least.offsets.to_numpy()
+                yield from zip(*(batch.column(c).to_pylist() for c in ("cell", "id", "root")),
+                               [flat[a:b].copy() for a, b in zip(ends[:-1], ends[1:], strict=True)],
+                               strict=True)
+
+        for _, run in groupby(rows(), key=lambda r: r[0]):
+            _, ids, roots, sketches = zip(*run, strict=True)
+            found = list(links(ids, roots, sketches))
+            if found:
+                yield pa.RecordBatch.from_pydict({
+                    "a": pa.array([a for a, _ in found], pa.int64()),
+                    "b": pa.array([b for _, b in found], pa.int64()),
+                })
+
+    return judge
+
+
+def rest_links(
+    met: DataFrame, judged: DataFrame, sets: DataFrame, keep: int, similarity: float,
+    block: int = 128,
+) -> DataFrame:
+    """(a, b): links of near copies that share a band and that ``judged`` leaves apart.
+
+    ``met`` is that of :func:`shared_bands`, ``sets`` has (id, least). Of a bucket whose
+    ids ``judged`` does not all connect, every pair of two groups is compared: its ids are
+    dealt to blocks of about ``block``, and pairs of blocks meet in a cell of their own.
+    """
+    roots = connected_components(judged).select(F.col("vertex").alias("id"), "component")
+    placed = materialize(
+        met.join(roots, "id", "left").select(
+            "id", "bucket", "n", F.coalesce("component", "id").alias("root")
+        ),
+        "placed",
+    )
+    open_ = materialize(
+        placed.groupBy("bucket").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.max("n").alias("members")
+        ).filter("low <> high").select("bucket", "members"),
+        "open",
+    )
+    blocks = F.ceil(F.col("members") / block)
+    own = F.pmod(F.xxhash64("id", F.lit("block")), blocks)
+    cells = (
+        lookup_join(placed.select("id", "bucket", "root"), open_, "bucket", "members")
+        .withColumn("own", own)
+        .select("id", "root", "bucket", "own", F.explode(
+            F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("met"))
+        .select("id", "root", F.xxhash64(
+            "bucket", F.least("own", "met"), F.greatest("own", "met")).alias("cell"))
+    )
+    dealt = cells.join(sets, "id").select("cell", "id", "root", "least").repartition("cell")
+    return dealt.sortWithinPartitions("cell", "id").mapInArrow(
+        _verified(keep, similarity), "a long, b long"
+    )
+
+
 def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
     """Jaccard similarity of shingle sets from their smallest hashes.
 
@@ -369,7 +459,8 @@ def without_copies(
     other, or agree in one of ``bands`` bands of ``rows_each`` least hashes, which finds
     ``1 - (1 - s ** rows_each) ** bands`` of the pairs of similarity ``s`` (99.8% at
     0.8) where half fingerprints alone find about half; they are near copies if their shingle sets, judged by the ``keep`` smallest
-    hashes of each, have at least ``similarity``. Groups are what such links connect.
+    hashes of each, have at least ``similarity``. First each candidate is compared with
+    the lowest id it met; then all pairs that share a band and are still apart are. Groups are what such links connect.
     Of rows with the same id the text decides; rows that agree in both are one.
     """
     held = spread(docs.select("doc_id", mix_key().alias("row_key"), "text"))
@@ -414,8 +505,10 @@ def without_copies(
         .filter(estimated_similarity(F.col("one"), F.col("other"), keep) >= similarity)
         .select("a", "b")
     )
+    judged = materialize(judged, "judged")
+    rest = materialize(rest_links(met, judged, sets, keep, similarity), "rest")
     groups = grouped(
-        classes.select("id", F.col("first.doc_id").alias("key")), materialize(judged, "judged")
+        classes.select("id", F.col("first.doc_id").alias("key")), judged.union(rest)
     )
     kept = materialize(
         classes.select("id", "first").join(groups.select("id", "root"), "id").groupBy("root").agg(

@@ -181,3 +181,23 @@ def test_most_near_copies_at_the_threshold_go(docs):
     kept = {r.doc_id for r in simhash.without_copies(docs(*rows)).collect()}
     assert set(range(0, 300, 2)) <= kept
     assert len([i for i in range(1, 300, 2) if i not in kept]) >= 0.8 * 150
+
+
+@pytest.mark.parametrize("block", [128, 2])
+def test_pairs_that_the_lowest_id_does_not_link_are_compared(spark, block):
+    """Ten groups in one bucket, whose lowest id is near none of them."""
+    pick = random.Random(block)
+    rows = [(0, list(range(50)))]
+    for group in range(10):
+        base = [pick.getrandbits(62) for _ in range(100)]
+        rows += [(len(rows) + k, sorted(base[:96] + [pick.getrandbits(62)])) for k in range(3)]
+    sets = spark.createDataFrame(rows, "id long, least array<long>")
+    met = spark.createDataFrame([(i, 7, 0, len(rows)) for i, _ in rows], "id long, bucket long, b long, n long")
+    judged = spark.createDataFrame([(2, 1)], "a long, b long")
+    got = {tuple(r) for r in simhash.rest_links(met, judged, sets, 128, 0.8, block).collect()}
+    root = {i: i for i, _ in rows}
+    for a, b in sorted([*got, (2, 1)], key=min):
+        old, new = root[a], root[b]
+        root = {i: new if r == old else r for i, r in root.items()}
+    assert len(set(root.values())) == 11
+    assert all(root[1 + 3 * g] == root[2 + 3 * g] == root[3 + 3 * g] for g in range(10))
