@@ -2,16 +2,20 @@
 
 A text is the first layer of a worklist. Each layer is scanned for secrets, then
 unwrapped: percent escapes, Unicode escapes and numeric entities give one new layer
-each for the whole text; each base64 run that holds readable text or a compressed
-stream gives a layer of its own, and so does a percent-escaped compressed stream. New
-layers join the list until none is left. A layer that was seen before at the same
-place is left out, which ends cycles; all decodings but decompression shorten a layer,
-and ``max_depth`` nested decompressions end streams that unpack to themselves.
+each for the whole text; each base64 run gives layers of its own, and so does a
+percent-escaped compressed stream. A run is decoded from each of its first four
+characters, for a path or name may stand before it, and as text, as a compressed
+stream or, if it is neither, as Latin-1 and pairs of bytes. Runs at the ends of lines
+are also joined with those that start the next lines. New layers join the list until
+none is left. A layer that was seen before at the same place is left out; all decodings
+but decompression shorten a layer, and ``max_depth`` nested decompressions end streams
+that unpack to themselves.
 
 Each character of a layer knows the code points of the text it came from, so a span
 found in any layer is one of the text. Everything in a compressed stream maps to the
-whole of it. Streams are unpacked and scanned piece by piece, whatever their size; a
-secret is found across pieces if it is no longer than ``_OVERLAP``.
+whole of it. Streams are unpacked and scanned piece by piece, whatever their size.
+Pieces end between encoded runs, up to runs of ``_CARRIED`` bytes; other secrets are
+found across pieces if they are no longer than ``_OVERLAP``.
 
 Null texts are empty and have no spans. Rows with equal or null ids are rows of their
 own. Columns other than ``doc_id`` and ``text`` are ignored, or kept by
@@ -63,9 +67,20 @@ _HEX = _marks(b"0123456789abcdef")
 _BASE64 = _marks(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 _UNREADABLE = bytes(range(9)) + b"\x0b\x0c" + bytes(range(14, 32)) + b"\x7f"
 _MIN_BASE64 = 16
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+"
+    r"(?:[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t]*+[A-Za-z0-9+/_-]{16,}+)*+"
+    r"(?:[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t]*+[A-Za-z0-9+/_-]{1,15}(?![A-Za-z0-9+/_-]))?+"
+)
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+# Bytes of encoded runs, also of those over line breaks.
+_JOINED = _marks(
+    b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\&#;\r\n"
+)
 _PIECE = 1 << 20
 _ZLIB = type(zlib.decompressobj())
 _OVERLAP = 1 << 12
+_CARRIED = 1 << 26
 
 
 def _runs(ascii_: bytes, marks: bytes, least: int) -> Iterator[tuple[int, int]]:
@@ -191,7 +206,7 @@ def _pieces(how, source: Iterator[bytes]) -> Iterator[bytes]:
 def _unpacked(raw: bytes, max_depth: int) -> Iterator[bytes]:
     """Pieces of the innermost stream of ``raw``; empty if it is not compressed."""
     source, seen, depth = iter([raw]), set(), 0
-    while depth <= max_depth:
+    while depth <= max_depth and max_depth > 0:
         head = b""
         for piece in source:
             head += piece
@@ -216,12 +231,17 @@ def _chain(head: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
 
 def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
     """Texts of about a piece each, each with the end of the one before it."""
-    held = b""
+    held, goal = b"", _PIECE + _OVERLAP
     for piece in pieces:
         held += piece
-        while len(held) >= _PIECE + _OVERLAP:
-            yield _as_text(held[: _PIECE + _OVERLAP])
-            held = held[_PIECE:]
+        while len(held) >= goal:
+            cut = held.translate(_JOINED).rfind(b"\x00", _OVERLAP) + 1
+            if not cut and len(held) < _CARRIED:
+                goal = len(held) + _PIECE
+                break
+            cut = cut or len(held)
+            yield _as_text(held[:cut])
+            held, goal = held[cut - _OVERLAP:], _PIECE + _OVERLAP
     if held:
         yield _as_text(held)
 
@@ -246,15 +266,64 @@ def _unescaped(layer: _Layer) -> _Layer | None:
     return _replaced(layer, parts) if parts else None
 
 
-def _children(layer: _Layer, max_depth: int) -> Iterator[_Layer]:
-    """The layers one step below a layer."""
+def _wrapped(text: str) -> Iterator[np.ndarray]:
+    """Places of the characters of each base64 run that goes over line breaks."""
+    if "\n" not in text and "\\n" not in text:
+        return
+    for m in _WRAPPED.finditer(text):
+        breaks = [b.span() for b in _BREAK.finditer(text, m.start(), m.end())]
+        if breaks:
+            starts, ends = [m.start(), *(b for _, b in breaks)], [*(a for a, _ in breaks), m.end()]
+            yield np.concatenate([np.arange(a, b) for a, b in zip(starts, ends, strict=True)])
+
+
+def _decoded(layer: _Layer, places: np.ndarray, max_depth: int) -> Iterator[tuple[_Layer, bool]]:
+    """The layers of a base64 run whose characters stand at ``places``."""
+    text = layer.text
+    end = int(places[-1]) + 1
+    if len(places) == end - places[0]:
+        whole = text[places[0]:end]
+    else:
+        whole = "".join([text[i] for i in places.tolist()])
+    whole = whole.replace("-", "+").replace("_", "/")
+    for skip in range(4):
+        n = len(whole) - skip
+        n -= n % 4 == 1
+        if n < _MIN_BASE64 and skip:
+            break
+        at = places[skip:skip + n]
+        raw = base64.b64decode(whole[skip:skip + n] + "=" * (-n % 4))
+
+        def mapped(chars: str, to: np.ndarray, widths, at=at) -> tuple[_Layer, bool]:
+            a, b = at[(to - widths) * 4 // 3], at[-(-to * 4 // 3) - 1] + 1
+            return _Layer(chars, *layer.origins(a, b)), False
+
+        inner = _readable(raw)
+        if inner is not None:
+            widths = np.fromiter((len(c.encode("utf-8")) for c in inner), np.int64, len(inner))
+            yield mapped(inner, np.cumsum(widths), widths)
+            continue
+        last = end + min(len(text) - end, -n % 4)
+        last = end + len(text[end:last]) - len(text[end:last].lstrip("="))
+        for piece in _texts(_unpacked(raw, max_depth)):
+            yield _Layer(piece, *layer.origin(int(at[0]), last)), True
+        yield mapped(raw.decode("latin-1"), np.arange(1, len(raw) + 1), 1)
+        for odd in (0, 1) if b"\x00" in raw else ():
+            units = np.frombuffer(raw + b"\x00", "<u2", (len(raw) - odd + 1) // 2, odd)
+            chars = "".join(["�" if 0xD800 <= u < 0xE000 else chr(u) for u in units.tolist()])
+            to = odd + 2 * np.arange(1, len(units) + 1)
+            yield mapped(chars, np.minimum(to, len(raw)), 2 - (to > len(raw)))
+
+
+def _children(layer: _Layer, max_depth: int) -> Iterator[tuple[_Layer, bool]]:
+    """The layers one step below a layer, and whether they were unpacked."""
     text = layer.text
     if "%" in text:
         parts = []
         for m in _PERCENT.finditer(text):
             raw = bytes.fromhex(m[0].replace("%", ""))
             for inner in _texts(_unpacked(raw, max_depth)):
-                yield _Layer(inner, *layer.origin(m.start(), m.end()))
+                yield _Layer(inner, *layer.origin(m.start(), m.end())), True
             try:
                 chars = raw.decode("utf-8")
                 widths = [3 * len(c.encode("utf-8")) for c in chars]
@@ -262,27 +331,14 @@ def _children(layer: _Layer, max_depth: int) -> Iterator[_Layer]:
                 chars, widths = raw.decode("latin-1"), [3] * len(raw)
             parts.append((m.start(), m.end(), chars, widths))
         if parts:
-            yield _replaced(layer, parts)
+            yield _replaced(layer, parts), False
     plain = _unescaped(layer)
     if plain is not None:
-        yield plain
+        yield plain, False
     for start, end in _runs(text.encode("ascii", "replace"), _BASE64, _MIN_BASE64):
-        n = end - start
-        if n % 4 == 1:
-            continue
-        blob = text[start:end].replace("-", "+").replace("_", "/")
-        raw = base64.b64decode(blob + "=" * (-n % 4))
-        inner = _readable(raw)
-        if inner is None:
-            last = end + min(len(text) - end, -n % 4)
-            last = end + len(text[end:last]) - len(text[end:last].lstrip("="))
-            for piece in _texts(_unpacked(raw, max_depth)):
-                yield _Layer(piece, *layer.origin(start, last))
-            continue
-        widths = np.fromiter((len(c.encode("utf-8")) for c in inner), np.int64, len(inner))
-        to = np.cumsum(widths)
-        a, b = start + (to - widths) * 4 // 3, start + -(-to * 4 // 3)
-        yield _Layer(inner, *layer.origins(a, np.minimum(b, end)))
+        yield from _decoded(layer, np.arange(start, end), max_depth)
+    for places in _wrapped(text):
+        yield from _decoded(layer, places, max_depth)
 
 
 def all_spans(text: str, max_depth: int = 32) -> tuple[list, list]:
@@ -291,15 +347,15 @@ def all_spans(text: str, max_depth: int = 32) -> tuple[list, list]:
     found = set(base)
     seen = set()
     work = deque([(_Layer(text), 0)])
+    first = True
     while work:
         layer, depth = work.popleft()
-        if depth:
+        if not first:
             for a, kind, b in scan(layer.text):
                 start, end = layer.origin(a, b)
                 found.add((start, kind, end))
-        if depth >= max_depth:
-            continue
-        for child in _children(layer, max_depth):
+        first = False
+        for child, unpacked in _children(layer, max_depth - depth):
             if not child.text:
                 continue
             mark = (
@@ -308,7 +364,7 @@ def all_spans(text: str, max_depth: int = 32) -> tuple[list, list]:
             )
             if mark not in seen:
                 seen.add(mark)
-                work.append((child, depth + 1))
+                work.append((child, depth + unpacked))
     return base, sorted(found)
 
 

@@ -129,3 +129,48 @@ def test_rows(docs):
     assert (4, "[secret] [secret]", 17) in kept and ("clean " * 20000) in {t for _, t, _ in kept}
     assert secrets.find_secrets(frame.limit(0)).collect() == []
     assert secrets.redacted(frame.limit(0)).collect() == []
+
+
+def access(text):
+    return [(s, e) for s, k, e in secrets.all_spans(text)[1] if k == 1]
+
+
+@pytest.mark.parametrize("before", ["", "/files/", "key_", "a/", "abc-", "/x/y/z/"])
+@pytest.mark.parametrize("after", ["", "x", "/ab", "-abc"])
+def test_runs_joined_to_names(before, after):
+    blob = b64("here is a key: " + AWS + " and so on, to the end")
+    text = "see " + before + blob.rstrip("=") + after + " there"
+    at = 4 + len(before) + 20
+    assert access(text) == [(at, at + 27)] or access(text) == [(at, at + 28)]
+
+
+@pytest.mark.parametrize("stop", ["\n", "\r\n", "\n  ", "\\n"])
+def test_wrapped_runs(stop):
+    for shift in range(40):
+        blob = b64("x" * (30 + shift) + " " + AWS + " " + "y" * 90)
+        text = "é: " + stop.join(blob[i:i + 76] for i in range(0, len(blob), 76)) + " end"
+        (span,) = access(text)
+        assert 3 + 40 <= span[0] < span[1] <= len(text) - 4 and span[1] - span[0] <= 28 + len(stop)
+    packed = base64.b64encode(gzip.compress(random.Random(1).randbytes(400) + AWS.encode() + b" ")).decode()
+    assert access(stop.join(packed[i:i + 76] for i in range(0, len(packed), 76)))
+
+
+@pytest.mark.parametrize("raw", [
+    ("né " + AWS + " é").encode("latin-1"), AWS.encode("utf-16"), ("a" + AWS).encode("utf-16-be"),
+    b"\x01" + AWS.encode("utf-16-le"), b"\x00\xff\x01" + AWS.encode() + b"\x07\xfe"])
+def test_runs_that_are_not_utf8(raw):
+    assert access("x " + base64.b64encode(raw).decode() + " y")
+
+
+def test_runs_over_the_border_of_pieces():
+    inner = b64("z" * 30_000 + " " + AWS + " " + "z" * 30_000).encode()
+    for fill in (secrets._PIECE - 30_001, secrets._PIECE - 20_000):
+        packed = gzip.compress(b"a " * (fill // 2) + inner + b" b" * 10_000)
+        assert access(base64.b64encode(packed).decode())
+
+
+def test_depth_counts_decompressions_only():
+    text = AWS + " "
+    for _ in range(40):
+        text = text.replace("%", "%25") if "%" in text else url(text)
+    assert access(text)
