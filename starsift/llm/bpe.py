@@ -22,18 +22,22 @@ null ids are rows of their own; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
+import struct
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starsift.llm.common import sliced, text_batch
+from starsift.llm.common import by_bytes, sliced
 from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize, spread
 
@@ -45,45 +49,78 @@ _WINDOW = 32
 _SPACE = b" \t\n\r\x0b\x0c"
 # Words, and pieces of words, that a process keeps in each of two generations; digests
 # of chunks that a task remembers to have sent.
-_WORDS, _PIECES, _SENT = 60_000, 120_000, 100_000
+_WORDS, _PIECES, _SENT = 160_000, 120_000, 100_000
 
 # Words of these characters need no library call but the model's own: the letters are
 # composed, have simple lower case, and are told from digits and signs by sight.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-# Fixed value: the split pattern of the tokenizer, for those characters.
+# The split pattern of the tokenizer, for those characters and as written.
 _SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 _SPLIT_SOURCE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-
-def _byte_letters() -> list[str]:
+# The other rules that a definition must have for words to be encoded alone.
+_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _SPLIT_SOURCE}, "behavior": "Removed",
+         "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+         "use_regex": False},
+    ]},
+    "post_processor": None,
+}
+_MODEL = {
+    "type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None,
+    "fuse_unk": False, "byte_fallback": False, "ignore_merges": False,
+}
+
+
+def byte_letters() -> list[str]:
     """Byte-level letters: printable bytes stand for themselves, others follow 255."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = iter(range(256, 512))
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+def check_definition(rules: dict) -> None:
+    """Raise for a tokenizer whose rules are not known to keep words apart at white space."""
+    added = rules.get("added_tokens") or []
+    sound = all(rules.get(k) == v for k, v in _RULES.items()) and all(
+        rules["model"].get(k) == v for k, v in _MODEL.items()
+    ) and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+    if not sound:
+        raise ValueError("the rules of this tokenizer may join words over white space")
+
+
 class Encoder(dict):
     """Ids of words between ASCII white space, as little-endian 32-bit numbers.
 
     Words are looked up by their bytes. It holds two generations of at most ``_WORDS``
-    words and ``_PIECES`` pieces, so frequent ones stay and memory is bounded.
+    words and ``_PIECES`` pieces, so frequent ones stay and memory is bounded. Plain
+    words go to the library's model at once, all others through its whole encoder.
     """
 
     def __init__(self, definition: str):
+        rules = json.loads(definition)
+        check_definition(rules)
         self.tokenizer = Tokenizer.from_str(definition)
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.pieces: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.old_pieces: dict[str, bytes] = {}
-        self.direct = _SPLIT_SOURCE.replace("\\", "\\\\") in definition and (
-            '"type": "NFC"' in definition or '"type":"NFC"' in definition
-        )
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.names = [""] * (max(vocabulary.values()) + 1)
-        for name, number in vocabulary.items():
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.names = [""] * (max(names.values()) + 1)
+        for name, number in names.items():
             self.names[number] = name
-        self.special = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.raw_ids = [struct.pack("<I", i) for i in range(len(self.names))]
+        self.plain_decoder = rules.get("decoder") is None
+        added = [str(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _WORDS:
@@ -96,9 +133,9 @@ class Encoder(dict):
         return ids
 
     def _word(self, word: str) -> bytes:
-        if self.direct and len(word) < 200 and _PLAIN.fullmatch(word) and not any(
-            s in word for s in self.special
-        ):
+        if word.isascii() and word.isalpha() and len(word) < 200:
+            return self._piece(word.lower())
+        if len(word) < 200 and _PLAIN.fullmatch(word) and not self.added.search(word):
             return b"".join([self._piece(p) for p in _SPLIT.findall(word.lower())])
         return _as_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
@@ -107,55 +144,91 @@ class Encoder(dict):
         if ids is None:
             ids = self.old_pieces.get(piece)
             if ids is None:
-                letters = "".join([self.letters[b] for b in piece.encode("utf-8")])
-                ids = _as_bytes([t.id for t in self.model.tokenize(letters)])
+                letters = piece if piece.isascii() else "".join(
+                    [self.letters[b] for b in piece.encode("utf-8")]
+                )
+                raw_ids = self.raw_ids
+                ids = b"".join([raw_ids[t.id] for t in self.model.tokenize(letters)])
             if len(self.pieces) >= _PIECES:
                 self.old_pieces, self.pieces = self.pieces, {}
             self.pieces[piece] = ids
         return ids
 
-    def forget(self) -> None:
-        """Drop all words and pieces."""
-        self.clear()
-        for held in (self.old, self.pieces, self.old_pieces):
-            held.clear()
-
     def encode(self, raw: bytes) -> bytes:
         """Ids of whole words of UTF-8 text."""
         return b"".join([self[w] for w in raw.split()])
 
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a column of texts one after the other, and where those of each text start.
+
+        The starts have one more entry than there are texts. Equal words of the column
+        are looked up once.
+        """
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        known = [i if i is not None else self[w]
+                 for w, i in zip(distinct, map(self.get, distinct), strict=True)]
+        held = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.cumsum(sizes) - sizes
+        at = coded.indices.to_numpy()
+        many = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        ids = held[np.repeat(first[at] - ends[:-1], many) + np.arange(ends[-1])]
+        edges = words.offsets.to_numpy()
+        return ids, ends[edges - edges[0]]
+
+    def encode_texts(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of a column."""
+        ids, starts = self.encode_column(texts)
+        raw, at = ids.tobytes(), (starts * 4).tolist()
+        return [raw[low:high] for low, high in pairwise(at)]
+
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens included."""
+        numbers = np.frombuffer(ids, "<u4").tolist()
+        if not self.plain_decoder:
+            return self.tokenizer.decode(numbers, skip_special_tokens=False)
         names = self.names
-        return " ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return " ".join([names[i] for i in numbers])
 
 
 def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _loaded: dict[str, Encoder] = {}
 
 
 def _encoder(definition: str) -> Encoder:
-    """The encoder of a task's process, without the words of tasks before."""
+    """The encoder of a task's process; it keeps the words of tasks before."""
     mark = hashlib.blake2b(definition.encode(), digest_size=16).hexdigest()
     if mark not in _loaded:
         _loaded[mark] = Encoder(definition)
-    _loaded[mark].forget()
     return _loaded[mark]
 
 
+_TOLD = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+
+
+def _digests(encoder: Encoder, ids: list[bytes]) -> dict[str, list]:
+    """Columns that tell what the documents were encoded and are decoded to."""
+    return {
+        "n_tokens": [len(i) // 4 for i in ids],
+        "ids_sha256": [hashlib.sha256(i).hexdigest() for i in ids],
+        "decoded_sha256": [
+            hashlib.sha256(encoder.decode(i).encode("utf-8")).hexdigest() for i in ids
+        ],
+    }
+
+
 def _result(encoder: Encoder, docs: pa.Array, ids: list[bytes], digests: bool, keep: bool):
     """Rows (doc_id, digests if wanted, ids if kept) of encoded documents."""
     out = {"doc_id": docs}
     if digests:
-        out["n_tokens"] = pa.array([len(i) // 4 for i in ids], pa.int64())
-        out["ids_sha256"] = pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string())
-        out["decoded_sha256"] = pa.array(
-            [hashlib.sha256(encoder.decode(i).encode("utf-8")).hexdigest() for i in ids],
-            pa.string(),
-        )
+        told = _digests(encoder, ids)
+        out |= {c: pa.array(v, _TOLD[c]) for c, v in told.items()}
     if keep:
         out["ids"] = pa.array(ids, pa.binary())
     return pa.RecordBatch.from_pydict(out)
@@ -239,10 +312,10 @@ def _chunks(raw: bytes) -> Iterator[bytes]:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct chunk digests of each batch with their counts."""
-    for batch in sliced(batches):
+    for batch in by_bytes(batches, "text"):
         counts: dict[bytes, int] = {}
-        for text in text_batch(batch.column("text")):
-            for chunk in _chunks(text.encode("utf-8")):
+        for raw in batch.column("text").cast(pa.binary()).to_pylist():
+            for chunk in _chunks(raw or b""):
                 mark = _digest(chunk)
                 counts[mark] = counts.get(mark, 0) + 1
         yield pa.RecordBatch.from_pydict({
@@ -285,9 +358,14 @@ def _edges(chunk: bytes) -> tuple[int, int]:
     return min(ends), max(chunk.rfind(c) for c in (b" ", b"\t", b"\n", b"\r", b"\x0b", b"\x0c"))
 
 
+_SEGMENTS = pa.list_(pa.struct([
+    ("i", pa.int32()), ("digest", pa.binary()), ("solid", pa.bool_()),
+    ("head", pa.binary()), ("ids", pa.binary()), ("tail", pa.binary()),
+]))
 _PASS = (
     "key long, doc_id {kind}, segments array<struct<i:int,digest:binary,"
-    "solid:boolean,head:binary,ids:binary,tail:binary>>, digest binary, body binary"
+    "solid:boolean,head:binary,ids:binary,tail:binary>>, digest binary, body binary, "
+    "whole boolean, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
 )
 
 
@@ -296,26 +374,20 @@ def _is_shared(bits: bytes, digest: bytes) -> bool:
     return bool(bits[byte] & mask)
 
 
-def _wholes(definition, bits, digests: bool, keep: bool):
-    """Results of the documents without shared chunks, encoded where they stand."""
+def _segment(encoder: Encoder, i: int, chunk: bytes, mark: bytes, hit: bool) -> dict:
+    """A chunk between its white spaces: ids, or for a shared one its digest."""
+    first, last = _edges(chunk)
+    if first < 0:
+        return {"i": i, "solid": True, "head": chunk}
+    return {
+        "i": i, "digest": mark if hit else None, "solid": False,
+        "head": chunk[:first], "tail": chunk[last:],
+        "ids": None if hit else _shrunk(encoder.encode(chunk[first:last])),
+    }
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shared = _encoder(definition.value), bits.value
-        for batch in sliced(batches):
-            docs, ids = [], []
-            for row, text in enumerate(text_batch(batch.column("text"))):
-                raw = text.encode("utf-8")
-                if not any(_is_shared(shared, _digest(c)) for c in _chunks(raw)):
-                    docs.append(row)
-                    ids.append(encoder.encode(raw))
-            kept = batch.column("doc_id").take(pa.array(docs, pa.int64()))
-            yield _result(encoder, kept, ids, digests, keep)
-
-    return encode
 
-
-def _parted(definition, bits, kind: pa.DataType):
-    """Segments of the documents with shared chunks, and the text of those chunks.
+def _passed(definition, bits, kind: pa.DataType, digests: bool, keep: bool):
+    """Results of documents without shared chunks; segments of the others, and shared text.
 
     Ids of shared chunks are left out of the segments; their text goes out once a task.
     """
@@ -323,55 +395,66 @@ def _parted(definition, bits, kind: pa.DataType):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shared = _encoder(definition.value), bits.value
         key, sent = TaskContext.get().partitionId() << 40, set()
-
-        for batch in sliced(batches):
-            out = {c: [] for c in ("key", "doc_id", "segments", "digest", "body")}
-
-            def put(out=out, **row):
-                for c, held in out.items():
-                    held.append(row.get(c))
-
-            for doc, text in zip(batch.column("doc_id").to_pylist(),
-                                 text_batch(batch.column("text")), strict=True):
-                raw = text.encode("utf-8")
-                key += 1
+        for batch in by_bytes(batches, "text"):
+            texts = pc.fill_null(batch.column("text"), "")
+            keys, docs, segments, alone = [], [], [], []
+            bodies: dict[bytes, bytes] = {}
+            for row, raw in enumerate(texts.cast(pa.binary()).to_pylist()):
                 chunks = list(_chunks(raw))
                 marks = [_digest(c) for c in chunks]
                 hits = [_is_shared(shared, m) for m in marks]
                 if not any(hits):
+                    alone.append(row)
                     continue
-                segments = []
-                for i, (chunk, mark, hit) in enumerate(zip(chunks, marks, hits, strict=True)):
-                    first, last = _edges(chunk)
-                    if first < 0:
-                        segments.append({"i": i, "solid": True, "head": chunk})
-                        continue
-                    body = chunk[first:last]
-                    segments.append({
-                        "i": i, "digest": mark if hit else None, "solid": False,
-                        "head": chunk[:first], "tail": chunk[last:],
-                        "ids": None if hit else _shrunk(encoder.encode(body)),
-                    })
-                    if hit and mark not in sent:
+                keys.append(key + row)
+                docs.append(row)
+                parts = [_segment(encoder, *x) for x in zip(range(len(chunks)), chunks, marks, hits,
+                                                            strict=True)]
+                segments.append(parts)
+                for part, chunk in zip(parts, chunks, strict=True):
+                    mark = part.get("digest")
+                    if mark is not None and mark not in sent:
                         if len(sent) >= _SENT:
                             sent.clear()
                         sent.add(mark)
-                        put(digest=mark, body=body)
-                put(key=key, doc_id=doc, segments=segments)
-            part = pa.list_(pa.struct([
-                ("i", pa.int32()), ("digest", pa.binary()), ("solid", pa.bool_()),
-                ("head", pa.binary()), ("ids", pa.binary()), ("tail", pa.binary()),
-            ]))
-            yield pa.RecordBatch.from_pydict({
-                "key": pa.array(out["key"], pa.int64()), "doc_id": pa.array(out["doc_id"], kind),
-                "segments": pa.array(out["segments"], part),
-                "digest": pa.array(out["digest"], pa.binary()),
-                "body": pa.array(out["body"], pa.binary()),
-            })
+                        bodies[mark] = chunk[len(part["head"]):len(chunk) - len(part["tail"])]
+            key += batch.num_rows
+            ids = batch.column("doc_id")
+            whole = pa.array(alone, pa.int64())
+            coded = encoder.encode_texts(texts.take(whole))
+            many = len(docs) + len(bodies)
+            empty = [None] * many
+            out = {
+                "key": pa.array([*keys, *[None] * (len(bodies) + len(alone))], pa.int64()),
+                "doc_id": pa.concat_arrays([
+                    ids.take(pa.array(docs, pa.int64())), pa.nulls(len(bodies), kind),
+                    ids.take(whole),
+                ]),
+                "segments": pa.array([*segments, *[None] * (len(bodies) + len(alone))], _SEGMENTS),
+                "digest": pa.array([*[None] * len(docs), *bodies, *[None] * len(alone)], pa.binary()),
+                "body": pa.array(
+                    [*[None] * len(docs), *bodies.values(), *[None] * len(alone)], pa.binary()),
+                "whole": pa.array([False] * many + [True] * len(alone)),
+            }
+            told = _digests(encoder, coded) if digests else {c: [None] * len(coded) for c in _TOLD}
+            for c, values in told.items():
+                out[c] = pa.array(empty + values, _TOLD[c])
+            out["ids"] = pa.array(
+                empty + ([_shrunk(i) for i in coded] if keep else [None] * len(coded)), pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
 
     return encode
 
 
+def _regrown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids as they were before :func:`_shrunk`."""
+    for batch in sliced(batches):
+        ids = pa.array([_grown(i) for i in batch.column("ids").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_pydict(
+            {c: ids if c == "ids" else batch.column(c) for c in batch.schema.names}
+        )
+
+
 def _bodies(definition):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
@@ -425,8 +508,8 @@ def encode_documents(
     """(doc_id, ids): the ids of each whole text, as little-endian 32-bit numbers.
 
     ``digests`` adds (n_tokens, ids_sha256, decoded_sha256) before the ids, ``keep`` tells
-    whether those stay. Only documents with shared chunks are written between passes;
-    the others are encoded as they are read.
+    whether those stay. Documents without shared chunks are finished in the pass that
+    parts the others; of them only the result is written between passes.
     """
     spark = docs.sparkSession
     definition = spark.sparkContext.broadcast(read_definition(path))
@@ -434,9 +517,12 @@ def encode_documents(
     bits = spark.sparkContext.broadcast(_shared_bits(rows))
     doc_type = rows.schema["doc_id"].dataType
     kind = doc_type.simpleString()
-    arrow = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
+    arrow = rows.limit(0).toArrow().schema.field("doc_id").type
     passed = materialize(
-        rows.mapInArrow(_parted(definition, bits, arrow), _PASS.format(kind=kind)), "parts"
+        rows.mapInArrow(
+            _passed(definition, bits, arrow, digests, keep), _PASS.format(kind=kind)
+        ),
+        "parts",
     )
     bodies = passed.filter(F.col("body").isNotNull()).select("digest", "body")
     encoded = bodies.groupBy("digest").agg(F.first("body").alias("body")).mapInArrow(
@@ -451,17 +537,19 @@ def encode_documents(
     met = lookup_join(wanted, table, "digest", "uses").groupBy("key").agg(
         F.collect_list(F.struct("i", "ids")).alias("met")
     )
-    fields = [f"doc_id {kind}"]
+    fields, names = [f"doc_id {kind}"], ["doc_id"]
     if digests:
         fields.append("n_tokens long, ids_sha256 string, decoded_sha256 string")
+        names += _TOLD
     if keep:
         fields.append("ids binary")
+        names.append("ids")
     schema = ", ".join(fields)
     finished = parts.join(met, "key", "left").mapInArrow(
         _finished(definition, digests, keep), schema
     )
-    whole = rows.mapInArrow(_wholes(definition, bits, digests, keep), schema)
-    return whole.unionByName(finished)
+    whole = passed.filter("whole").select(*names)
+    return (whole.mapInArrow(_regrown, schema) if keep else whole).unionByName(finished)
 
 
 def token_digests(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:

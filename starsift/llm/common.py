@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,22 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def by_bytes(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of a text column, one row at least."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(
+            zero_copy_only=False
+        )
+        part = np.cumsum(sizes, dtype=np.int64) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for low, high in pairwise(cuts):
+            yield batch.slice(low, high - low)
+
+
 def text_batch(column) -> list[str]:
     """An Arrow column of texts as a list, null as the empty text."""
     return [t if t is not None else "" for t in column.to_pylist()]
