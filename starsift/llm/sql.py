@@ -117,3 +117,38 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+OP11 = r"""
+WITH counted AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words,
+    row_number() OVER () AS r
+  FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT r, doc_id, words, len(words)::BIGINT AS n FROM counted WHERE len(words) > 0),
+corpus AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sized),
+asked AS (
+  SELECT q, item_id, word, count(*) AS times FROM (
+    SELECT row_number() OVER () AS q, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS word
+    FROM benchmark)
+  GROUP BY ALL),
+postings AS (
+  SELECT r, doc_id, n, word, count(*) AS tf FROM (
+    SELECT r, doc_id, n, unnest(words) AS word FROM sized)
+  WHERE word IN (SELECT word FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT word, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT word, count(*) AS df FROM postings GROUP BY word), corpus),
+scored AS (
+  SELECT q, item_id, doc_id, sum(times * w * ((1000000000 * tf)
+    // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN weights USING (word) JOIN postings USING (word), corpus
+  GROUP BY q, item_id, r, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
