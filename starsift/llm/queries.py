@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starsift.llm import (
+    alignment,
     bpe,
+    lexical,
     metric_join,
     mixing,
     ngram_model,
+    packing,
     secrets,
     simhash,
     sql,
@@ -112,6 +115,26 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.lexical_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20
+    )
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+        capacity=4096, closing=1,
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )[0]
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_tool_calls": op2_tool_calls,
@@ -123,10 +146,14 @@ QUERIES = {
     "op8_bpe_chunk_reuse": op8_bpe_chunk_reuse,
     "op9_secret_scan": op9_secret_scan,
     "op10_top_k_search": op10_top_k_search,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE = {
     "op2_tool_calls": sql.OP2,
     "op5_mix_sources": sql.OP5,
     "op10_top_k_search": sql.OP10,
+    "op11_lexical_search": sql.OP11,
 }
