@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,16 +12,6 @@ from starsift.operators.components import connected_components
 from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import discard, materialize
 
-# Modulus of the MinHash functions; products of two numbers below it fit a long.
-PRIME = (1 << 31) - 1
-
-
-def minhash_functions(n: int) -> list[tuple[int, int]]:
-    """Factor and offset of each MinHash function, from the digest of its number."""
-    digests = [hashlib.md5(str(i).encode(), usedforsecurity=False).hexdigest() for i in range(n)]
-    return [(1 + int(d[:7], 16), int(d[7:14], 16)) for d in digests]
-
-
 def shingle_set(words: Column, shingle: int) -> Column:
     """Distinct 60-bit hashes of the shingles of a column of words, in order.
 
@@ -41,29 +30,142 @@ def shingle_set(words: Column, shingle: int) -> Column:
     return F.when(F.size(words) > 0, F.array_sort(F.array_distinct(grams))).otherwise(none)
 
 
-def _band_keys(grams: Column, bands: int, rows: int) -> Column:
-    """One key for each band: its number and the least values of its functions."""
-
-    def least(a: int, c: int) -> Column:
-        return F.array_min(F.transform(grams, lambda g: (F.lit(a) * (g % PRIME) + F.lit(c)) % PRIME))
-
-    values = [least(a, c) for a, c in minhash_functions(bands * rows)]
-    return F.array(*[
-        F.concat_ws("-", F.lit(b), *values[b * rows:(b + 1) * rows]) for b in range(bands)
-    ])
-
-
 def _written(names: Sequence[str]) -> Column:
     """The values of some columns as one text, null told from empty."""
     return F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(n).cast("string")), F.lit("-"))
                               for n in names])
 
 
+def _reachable(n: Column, at: Column, m: Column, met: Column, similarity: float) -> Column:
+    """Whether two sets that share a token at these places can be similar enough.
+
+    They have ``n`` and ``m`` tokens and share none before the places ``at`` and ``met``.
+    """
+    most = F.least(n - at, m - met)
+    return (most >= (n + m) * (similarity / (1 + similarity)) - 1e-9) & (
+        F.least(n, m) >= F.greatest(n, m) * similarity - 1e-9
+    )
+
+
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(token, rep, n, at): the tokens by which similar sets must meet, and their places.
+
+    ``sets`` has (rep, n, tokens). Tokens are ordered by how many sets hold them, rarest
+    first. Two sets of similarity ``s`` share one of the first ``n - ceil(s * n) + 1``
+    tokens of each. Tokens of a single set stand first and meet nothing, so they are
+    never ordered: a set that has enough of them is left out at once.
+    """
+    held = sets.select("rep", "n", F.explode("tokens").alias("token"))
+    shared = materialize(
+        held.groupBy("token").agg(F.count("*").alias("sets")).filter("sets > 1"), "tokens"
+    )
+    ordered = lookup_join(held, shared, "token", "sets").groupBy("rep", "n").agg(
+        F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("held")
+    )
+    alone = F.col("n") - F.size("held")
+    wide = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1 - alone
+    kept = ordered.select(
+        "rep", "n", alone.alias("alone"), "held", wide.cast("int").alias("wide")
+    ).filter("wide > 0")
+    return kept.select(
+        "rep", "n", "alone", F.posexplode(F.slice("held", F.lit(1), F.col("wide"))).alias("i", "t")
+    ).select(F.col("t.token").alias("token"), "rep", "n", (F.col("alone") + F.col("i")).alias("at"))
+
+
+def _with_set(pairs: DataFrame, sets: DataFrame, side: str, name: str) -> DataFrame:
+    """Pairs with the set of one side; sides that many pairs have do not gather in one task."""
+    uses = pairs.groupBy(side).agg(F.count("*").alias("uses"))
+    own = sets.select(F.col("rep").alias(side), F.col("held").alias(name))
+    table = materialize(uses.join(own, side), "sides")
+    return lookup_join(pairs, table.select(side, name, "uses"), side, "uses").drop("uses")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough, of the same scope."""
+    both = _with_set(_with_set(pairs, sets, "a", "one"), sets, "b", "other")
+    one, other = F.col("one.grams"), F.col("other.grams")
+    common = F.size(F.array_intersect(one, other))
+    alike = common >= (F.size(one) + F.size(other) - common) * similarity - 1e-9
+    return both.filter((F.col("one.scope") == F.col("other.scope")) & alike).select("a", "b")
+
+
+def similar_sets(
+    sets: DataFrame, similarity: float, max_rounds: int = 60, block: int = 256
+) -> DataFrame:
+    """(a, b): links that connect all sets of at least this Jaccard similarity.
+
+    ``sets`` is a written table of (rep, scope, grams): distinct tokens, not empty; sets of
+    different scopes never link. Sets meet by the tokens of their prefixes. First each set
+    is compared with the lowest one of every token it has there; the links connect most
+    of what is alike. Of tokens whose sets are still apart, all pairs of two components
+    that can be similar by size and by place are compared: the sets are dealt to blocks of
+    about ``block``, and pairs of blocks meet in a cell of their own. Links are verified by
+    the whole sets. No pair is missed: what is not compared is connected already.
+    """
+    token = F.transform("grams", lambda g: F.xxhash64("scope", g))
+    index = materialize(
+        prefixes(sets.select("rep", F.size("grams").alias("n"), token.alias("tokens")), similarity),
+        "prefixes",
+    )
+    whole = sets.select("rep", F.struct("scope", "grams").alias("held"))
+    lists = materialize(
+        index.groupBy("token").agg(
+            F.min(F.struct("rep", "n", "at")).alias("low"), F.count("*").alias("members")
+        ).filter("members > 1"),
+        "lists",
+    )
+    met = lookup_join(index, lists, "token", "members").filter(
+        (F.col("rep") != F.col("low.rep"))
+        & _reachable(F.col("n"), F.col("at"), F.col("low.n"), F.col("low.at"), similarity)
+    )
+    stars = materialize(
+        met.select(F.col("rep").alias("a"), F.col("low.rep").alias("b")).distinct(), "pairs"
+    )
+    first = materialize(_similar(stars, whole, similarity), "edges")
+    roots = connected_components(first, max_rounds).select(
+        F.col("vertex").alias("rep"), "component"
+    )
+    placed = materialize(
+        index.join(roots, "rep", "left").withColumn("root", F.coalesce("component", "rep"))
+        .drop("component"),
+        "placed",
+    )
+    apart = materialize(
+        placed.groupBy("token").agg(
+            F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")
+        ).filter("low <> high").select("token", "members"),
+        "apart",
+    )
+    if apart.isEmpty():
+        return first
+    dealt = lookup_join(placed, apart.withColumn("many", F.col("members")), "token", "members")
+    cells = (
+        dealt.withColumn("blocks", F.ceil(F.col("many") / block).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("token", F.least("own", "met").alias("lo"), F.greatest("own", "met").alias("hi"),
+                "own", "rep", "n", "at", "root")
+    )
+    other = cells.select("token", "lo", "hi", *[
+        F.col(c).alias(f"b_{c}") for c in ("own", "rep", "n", "at", "root")
+    ])
+    pairs = materialize(
+        cells.join(other, ["token", "lo", "hi"]).filter(
+            (F.col("rep") > F.col("b_rep")) & (F.col("root") != F.col("b_root"))
+            & (F.least("own", "b_own") == F.col("lo")) & (F.greatest("own", "b_own") == F.col("hi"))
+            & _reachable(F.col("n"), F.col("at"), F.col("b_n"), F.col("b_at"), similarity)
+        ).select(F.col("rep").alias("a"), F.col("b_rep").alias("b")).distinct(),
+        "pairs",
+    )
+    rest = materialize(_similar(pairs, whole, similarity), "edges")
+    for table in (index, lists, stars, placed, apart, pairs):
+        discard(table)
+    return first.union(rest)
+
+
 def near_copies(
     df: DataFrame,
     key: str = "review_id",
-    bands: int = 8,
-    rows: int = 4,
     shingle: int = 5,
     similarity: float = 0.8,
     max_rounds: int = 60,
@@ -71,53 +173,30 @@ def near_copies(
 ) -> DataFrame:
     """(by, key, group_id, group_size) for texts that have a copy or near copy.
 
-    Texts equal up to case and spacing are copies, and folded into one. Members of a
-    MinHash bucket are tied to its lowest id only, so a bucket of any size costs one
-    edge for each member, and an edge counts if the shingle sets of its two texts have
-    at least ``similarity``; nothing else links. Groups are what the edges connect,
-    within each ``by``, and are named by their lowest id. Texts without a word have
-    copies but no near ones. ``max_rounds`` bounds the rounds of the components.
+    Texts equal up to case and spacing are copies, and folded into one. Two texts are near
+    copies if their sets of shingles have at least ``similarity``; every such pair counts
+    (see :func:`similar_sets`). Groups are what these links connect, within each ``by``,
+    and are named by their lowest id. Texts without a word have copies but no near ones.
+    ``max_rounds`` bounds the rounds of the components.
     """
     names = [f"_by{i}" for i in range(len(by))]
-    texts = materialize(
-        df.filter(F.col("text").isNotNull()).select(
-            F.col(key).alias("_key"),
-            *[F.col(c).alias(n) for c, n in zip(by, names, strict=True)],
-            F.sha2(F.concat_ws("|", _written(by), normalized("text")), 256).alias("digest"),
-            tokens("text", WORDS).alias("_words"),
-        )
-        .withColumn("grams", shingle_set(F.col("_words"), shingle))
-        .drop("_words"),
-        "texts",
+    marked = df.filter(F.col("text").isNotNull()).select(
+        F.col(key).alias("_key"),
+        *[F.col(c).alias(n) for c, n in zip(by, names, strict=True)],
+        F.sha2(F.concat_ws("|", _written(by), normalized("text")), 256).alias("digest"), "text",
     )
+    texts = materialize(marked.drop("text"), "texts")
     folded = materialize(
-        texts.groupBy("digest").agg(
+        marked.groupBy("digest").agg(
             F.min("_key").alias("rep"), F.count("*").alias("copies"),
-            F.first("grams").alias("grams"), *[F.first(n).alias(n) for n in names],
-        ),
+            F.first("text").alias("text"), F.first(_written(names)).alias("scope"),
+        )
+        .withColumn("_words", tokens("text", WORDS))
+        .select("digest", "rep", "copies", "scope",
+                shingle_set(F.col("_words"), shingle).alias("grams")),
         "folded",
     )
-    worded = folded.filter(F.size("grams") > 0)
-    banded = _band_keys(F.col("grams"), bands, rows)
-    keys = F.transform(banded, lambda k: F.concat_ws("|", _written(names), k)) if names else banded
-    entries = materialize(worded.select("rep", F.explode(keys).alias("bucket")), "entries")
-    buckets = entries.groupBy("bucket").agg(
-        F.min("rep").alias("low"), F.count("*").alias("members")
-    )
-    shared = materialize(buckets.filter(F.col("members") > 1), "buckets")
-    met = lookup_join(entries, shared, "bucket", "members").filter("rep <> low")
-    pairs = materialize(met.select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct(), "pairs")
-    used = pairs.groupBy("b").agg(F.count("*").alias("uses"))
-    sets = worded.select("rep", "grams")
-    centres = materialize(
-        used.join(sets, used["b"] == sets["rep"]).select("b", "uses", F.col("grams").alias("other")),
-        "centres",
-    )
-    one = pairs.join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("one")), "a")
-    both = lookup_join(one, centres, "b", "uses")
-    common = F.size(F.array_intersect("one", "other"))
-    alike = common / (F.size("one") + F.size("other") - common)
-    edges = materialize(both.filter(alike >= similarity).select("a", "b"), "edges")
+    edges = similar_sets(folded.filter(F.size("grams") > 0), similarity, max_rounds)
     linked = connected_components(edges, max_rounds).withColumnRenamed("vertex", "rep")
     grouped = materialize(
         folded.select("digest", "rep", "copies").join(linked, "rep", "left").select(
@@ -131,12 +210,12 @@ def near_copies(
     wide = materialize(sizes.filter(F.col("group_size") > 1), "wide")
     named = materialize(lookup_join(grouped, wide, "group_id", "texts").drop("texts"), "named")
     out = materialize(
-        lookup_join(texts.drop("grams"), named, "digest", "copies").select(
+        lookup_join(texts, named, "digest", "copies").select(
             *[F.col(n).alias(c) for c, n in zip(by, names, strict=True)],
             F.col("_key").alias(key), "group_id", "group_size",
         ),
         "near_copies",
     )
-    for table in (texts, folded, entries, shared, pairs, centres, edges, grouped, wide, named):
+    for table in (texts, folded, grouped, wide, named):
         discard(table)
     return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from starsift.operators.copies import PRIME, minhash_functions
 from starsift.plans.views import BLANK_YEAR, COUNTRY
 
 # Named relations; each may use those it lists.
@@ -125,7 +124,7 @@ SELECT t.topic AS "Topic", t.n AS "Count",
 FROM (SELECT topic, count(*) AS n FROM topics GROUP BY topic) t
 JOIN topic_places p ON p.topic = t.topic GROUP BY t.topic, t.n""",
     ),
-    # Near copies of documents: shingle sets, MinHash bands, edges to the lowest id.
+    # Near copies of documents: shingle sets, edges between all similar pairs.
     "copy_texts": (
         (),
         """
@@ -144,29 +143,14 @@ SELECT DISTINCT rep, CAST('0x' || substr(md5(array_to_string(words[i:i + 4], ' '
 FROM (SELECT rep, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i
       FROM copy_reps WHERE len(words) > 0)""",
     ),
-    "copy_bands": (
+    "copy_edges": (
         ("copy_grams",),
-        f"""
-SELECT rep, f // 4 AS band, string_agg(low, '-' ORDER BY f) AS bucket FROM (
-  SELECT rep, f, min((a * (g % {PRIME}) + c) % {PRIME}) AS low
-  FROM copy_grams, (VALUES {", ".join(f"({i}, {a}::BIGINT, {c}::BIGINT)" for i, (a, c) in enumerate(minhash_functions(32)))}) AS h(f, a, c)
-  GROUP BY rep, f) GROUP BY rep, band""",
-    ),
-    "copy_pairs": (
-        ("copy_bands",),
         """
-SELECT DISTINCT rep AS a, low AS b FROM (
-  SELECT rep, min(rep) OVER (PARTITION BY band, bucket) AS low FROM copy_bands) WHERE rep <> low""",
-    ),
-    "copy_edges": (
-        ("copy_pairs", "copy_grams"),
-        """
-SELECT a, b FROM (
-  SELECT p.a, p.b, count(*) AS common,
-    (SELECT count(*) FROM copy_grams WHERE rep = p.a) AS one,
-    (SELECT count(*) FROM copy_grams WHERE rep = p.b) AS other
-  FROM copy_pairs p JOIN copy_grams x ON x.rep = p.a JOIN copy_grams y ON y.rep = p.b AND y.g = x.g
-  GROUP BY p.a, p.b) WHERE common / (one + other - common) >= 0.8""",
+SELECT x.rep AS a, y.rep AS b
+FROM (SELECT *, count(*) OVER (PARTITION BY rep) AS n FROM copy_grams) x
+JOIN (SELECT *, count(*) OVER (PARTITION BY rep) AS n FROM copy_grams) y
+  ON y.g = x.g AND y.rep < x.rep
+GROUP BY x.rep, y.rep, x.n, y.n HAVING count(*) / (x.n + y.n - count(*)) >= 0.8""",
     ),
     "copy_groups": (
         ("copy_texts", "copy_reps", "copy_edges"),

@@ -147,29 +147,24 @@ def texts():
     return out
 
 
-def by_hand(rows, similarity=0.8, shingle=5, bands=8, per=4):
-    """Groups of near copies in plain Python, by the operator's own hash functions."""
-    import hashlib
+def shingles(text, shingle=5):
+    words = [w for w in re.split(r"\W+", text.lower()) if w]
+    n = max(1, len(words) - shingle + 1)
+    return {tuple(words[k:k + shingle]) for k in range(n)} if words else set()
 
-    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
-    functions = copies.minhash_functions(bands * per)
-    reps, sets = {}, {}
+
+def alike(one, other):
+    return bool(one and other) and len(one & other) >= 0.8 * len(one | other)
+
+
+def by_hand(rows):
+    """Groups of near copies in plain Python, over all pairs."""
+    reps = {}
     for i, t in rows:
-        norm = re.sub(r"\s+", " ", t.lower()).strip()
-        reps.setdefault(norm, i)
-        words = [w for w in re.split(r"\W+", t.lower()) if w]
-        n = max(1, len(words) - shingle + 1)
-        sets[i] = {int(md5(" ".join(words[k:k + shingle]))[:15], 16) for k in range(n)} if words else set()
-    buckets = {}
-    for i in reps.values():
-        mins = [min((a * (g % copies.PRIME) + c) % copies.PRIME for g in sets[i]) for a, c in functions] if sets[i] else []
-        for b in range(bands if mins else 0):
-            buckets.setdefault((b, *mins[b * per:(b + 1) * per]), []).append(i)
+        reps.setdefault(re.sub(r"\s+", " ", t.lower()).strip(), i)
+    sets = {i: shingles(t) for i, t in rows}
     edges = [(i, i) for i in reps.values()]
-    for members in buckets.values():
-        low = min(members)
-        edges += [(low, i) for i in members
-                  if len(sets[i] & sets[low]) / len(sets[i] | sets[low]) >= similarity]
+    edges += [(a, b) for a in reps.values() for b in reps.values() if a < b and alike(sets[a], sets[b])]
     edges += [(reps[re.sub(r"\s+", " ", t.lower()).strip()], i) for i, t in rows]
     return brute_components(edges)
 
@@ -186,6 +181,57 @@ def test_near_copies_equal_brute_force(spark, way):
     assert got[0] == (0, 16) and got[1] == (1, 2) and got[2][1] >= 2
 
 
+def family(pick, size=24, shared=80, own=12):
+    """Texts of one template, under 0.8 to each other, and one near copy of the last."""
+    word = lambda: f"v{pick.randrange(10**6)}"
+    template = [word() for _ in range(shared)]
+    texts = [template + [word() for _ in range(own)] for _ in range(size)]
+    near = list(texts[-1])
+    near[-1] = word()
+    return [" ".join(t) for t in [*texts, near]]
+
+
+@pytest.mark.parametrize("block", [256, 5])
+def test_near_copies_within_template_families(spark, block, monkeypatch):
+    """One pair of each family is alike, and none to the lowest id of what it shares."""
+    pick = random.Random(5)
+    rows = list(enumerate([t for _ in range(8) for t in family(pick)]))
+    sets = {i: shingles(t) for i, t in rows}
+    want = {(a, b) for a, x in sets.items() for b, y in sets.items() if b < a and alike(x, y)}
+    assert len(want) == 8
+    number = {g: n for n, g in enumerate(sorted({g for s in sets.values() for g in s}))}
+    frame = spark.createDataFrame(
+        [(i, "", [number[g] for g in s]) for i, s in sets.items()],
+        "rep long, scope string, grams array<long>",
+    )
+    got = copies.similar_sets(copies.materialize(frame, "sets"), 0.8, block=block)
+    assert {tuple(r) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8])
+def test_similar_sets_miss_no_pair(spark, similarity):
+    """Random sets with common tokens: what is linked is what all pairs link."""
+    pick = random.Random(int(similarity * 10))
+    sets = {}
+    for i in range(150):
+        if i > 20 and pick.random() < 0.6:
+            base = list(sets[pick.randrange(i)])
+            kept = pick.sample(base, max(1, int(len(base) * pick.uniform(0.6, 1))))
+            sets[i] = set(kept) | {pick.randrange(300) for _ in range(pick.randrange(4))}
+        else:
+            sets[i] = {pick.randrange(60) for _ in range(pick.randrange(1, 25))}
+    frame = spark.createDataFrame(
+        [(i, "", list(s)) for i, s in sets.items()], "rep long, scope string, grams array<long>"
+    )
+    got = [tuple(r) for r in copies.similar_sets(
+        copies.materialize(frame, "sets"), similarity, block=20).collect()]
+    near = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= similarity
+    assert all(near(a, b) for a, b in got)
+    every = [(i, i) for i in sets]
+    pairs = [(a, b) for a in sets for b in sets if b < a and near(a, b)]
+    assert brute_components(every + got) == brute_components(every + pairs) and pairs
+
+
 def test_texts_without_words_are_only_copies(spark):
     rows = [(0, "!!"), (1, "??"), (2, "!!"), (3, "😀"), (4, ""), (5, None)]
     df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
