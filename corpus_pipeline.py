@@ -12,9 +12,14 @@ from starsift.sources.workspace import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Rows of whole documents that go to a Python worker at once; Spark's default of ten
+# thousand takes hundreds of megabytes of an executor beside its heap.
+BATCH_ROWS = 500
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, toxicity.fit_toxicity(docs, labels, fold=0))
 
