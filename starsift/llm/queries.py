@@ -46,7 +46,8 @@ def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each assistant turn as a call, each later user turn as the result of the turn before.
 
     The table has no calls of its own, so tool and arguments follow from the text; some
-    arguments break their schema on purpose. A call builds on the assistant's last one.
+    arguments break their schema on purpose. Every sixth length of a text makes a call that
+    builds on the assistant's next one, and so moves behind it; others build on none.
     """
     turns = table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", "role", "text", F.coalesce(F.length("text"), F.lit(0)).alias("n"),
@@ -66,7 +67,9 @@ def op2_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", called.alias("call_id"),
         F.when(kind == 0, "search").when(kind == 1, "measure").otherwise("note").alias("name"),
         F.when(kind == 0, search).when(kind == 1, measure).otherwise(note).alias("arguments"),
-        F.array(F.concat(F.lit("c"), (F.col("turn") - 2).cast("string"))).alias("after"),
+        F.when(F.col("n") % 6 == 0, F.array(
+            F.concat(F.lit("c"), (F.col("turn") + 2).cast("string"))
+        )).alias("after"),
     )
     results = turns.filter("role = 'user' AND turn > 0").select(
         "conv_id", "turn", F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("call_id"),

@@ -11,18 +11,30 @@ WITH turns AS (
   SELECT conv_id, turn, 'c' || turn AS id, n, word,
     CASE n % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'measure' ELSE 'note' END AS name
   FROM turns WHERE role = 'assistant'
-), first_calls AS (
-  SELECT *, count(*) OVER (PARTITION BY conv_id, id) AS calls
+), told AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, id ORDER BY turn, name, n, word) - 1 AS again
   FROM calls
-  QUALIFY row_number() OVER (PARTITION BY conv_id, id ORDER BY turn) = 1
 ), results AS (
   SELECT conv_id, turn, 'c' || (turn - 1) AS id, text,
-    count(*) OVER (PARTITION BY conv_id, turn) AS results
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) - 1 AS again
   FROM turns WHERE role = 'user' AND turn > 0
-  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) = 1
+), linked AS (
+  SELECT c.conv_id, c.turn, c.n % 6 = 0 AND EXISTS (
+    SELECT 1 FROM told d WHERE d.conv_id = c.conv_id AND d.turn = c.turn + 2) AS forward
+  FROM told c WHERE c.again = 0
+), chains AS (
+  SELECT conv_id, turn, min(turn) FILTER (NOT forward) OVER (
+    PARTITION BY conv_id, turn % 2 ORDER BY turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    AS chain_end
+  FROM linked
+), behind AS (
+  SELECT c.*, CASE WHEN c.n % 6 = 0 AND h.turn IS NOT NULL THEN h.chain_end ELSE c.turn END AS place,
+    CASE WHEN c.n % 6 = 0 AND h.turn IS NOT NULL THEN (h.chain_end - c.turn) // 2 ELSE 0 END AS hops
+  FROM told c LEFT JOIN chains h ON h.conv_id = c.conv_id AND h.turn = c.turn + 2
 ), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, id) AS position
-  FROM first_calls
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place, hops, turn, id, again)
+    AS position
+  FROM behind
 ), checked AS (
   SELECT *, CASE name
       WHEN 'search' THEN '{"limit":' || n || ',"query":"' || word || '"}'
@@ -44,13 +56,12 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.position, 0) AS pos
   CASE WHEN c.id IS NULL THEN 'orphan' WHEN r.id IS NULL THEN 'pending'
        WHEN r.turn < c.turn THEN 'early' ELSE 'linked' END AS status,
   CASE WHEN c.id IS NOT NULL THEN c.problems END AS problems, false AS cyclic,
-  CAST(greatest(coalesce(c.calls, 0) - 1, 0) + greatest(coalesce(r.results, 0) - 1, 0) AS BIGINT)
-    AS repeated,
+  coalesce(c.again, r.again) AS again,
   '{"arguments":' || coalesce(c.shown, 'null') || ',"id":' || to_json(coalesce(c.id, r.id))
     || ',"name":' || coalesce(to_json(c.name), 'null') || ',"result":'
     || coalesce(to_json(r.text), 'null') || '}' AS json
 FROM checked c FULL JOIN results r
-  ON c.conv_id IS NOT DISTINCT FROM r.conv_id AND c.id = r.id
+  ON c.conv_id = r.conv_id AND c.id = r.id AND c.again = r.again
 """
 
 OP5 = r"""

@@ -1,19 +1,21 @@
 """Linking tool calls of conversations with their results.
 
-Calls and results meet by conversation and identifier in one hash join of one row for
-each identifier: the first call and the first result of it, by turn; later ones are
-counted as repeated. Arguments are parsed, checked against the schema of their tool
-and written as canonical JSON: keys in order, no spaces.
-
-Calls can name calls they build on. A call stands where its turn puts it, unless it
+Calls and results meet in one hash join by conversation, identifier and the number of
+the call or result among those of its identifier, by turn: the second result of an
+identifier belongs to its second call. Every call and every result is in the output
+once. Arguments are parsed, checked against the schema of their tool and written as
+canonical JSON: keys in order, no spaces.
+
+Calls can name calls they build on; a name stands for the first call of that identifier.
+A call stands where its turn puts it, unless it
 builds on a later one; then it moves behind that one, and calls that build on it move
 along. Places are raised in rounds until all agree, so the number of rounds is the
 length of the longest run of moved calls, none where calls build on earlier ones only.
 A call that moved more often than there are moved calls in its conversation builds on
 itself: it is marked cyclic, and the calls it builds on no longer move it.
 
-Identifiers are strings; a null one links with nothing and is left out. A null
-conversation is one of its own. Missing arguments are an empty object. Rows of other
+Identifiers are strings; what has none links with nothing: its call is pending, its
+result an orphan. Rows without a conversation have one each for themselves. Missing arguments are an empty object. Rows of other
 roles are ignored, as are columns other than the named ones.
 """
 
@@ -139,51 +141,79 @@ def _ordered(calls: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
+def _told_apart(rows: DataFrame, mark: str, order: list) -> DataFrame:
+    """Rows with ``conv``, a number ``row`` and ``again``, their place among equal identifiers.
+
+    Numbers come from a range sort, so an identifier of many rows is in many tasks.
+    """
+    own = materialize(rows.withColumn("_at", F.monotonically_increasing_id()), "rows")
+    conv = F.coalesce(
+        F.concat(F.lit("0"), F.col("conv_id").cast("string")),
+        F.concat(F.lit(mark), F.col("_at").cast("string")),
+    )
+    lined = materialize(
+        numbered(own.withColumn("conv", conv), ["conv", "call_id", *order], "row"), "numbered"
+    ).withColumn("pair", F.struct("conv", "call_id"))
+    starts = materialize(
+        lined.groupBy("pair").agg(F.min("row").alias("start"), F.count("*").alias("size")),
+        "starts",
+    )
+    return lookup_join(lined, starts, "pair", "size").withColumn(
+        "again", F.col("row") - F.col("start")
+    ).drop("pair", "start", "size", "_at")
+
+
 def link_tool_calls(
     calls: DataFrame, results: DataFrame, schemas: Mapping[str, Mapping[str, dict]]
 ) -> DataFrame:
-    """One row for each identifier of a conversation that a call or a result has.
+    """One row for each call, and for each result without one.
 
     ``calls`` has (conv_id, turn, call_id, name, arguments, after), ``after`` an array
     of identifiers; ``results`` has (conv_id, turn, call_id, content). Out come
-    (conv_id, position, call_id, name, status, problems, cyclic, repeated, json):
-    ``status`` is linked, pending (no result), early (the result stands before its
-    call) or orphan (no call); positions count the calls of a conversation from 1, in
-    topological order, and are 0 for orphans; ``json`` is the canonical record.
+    (conv_id, position, call_id, again, name, status, problems, cyclic, json): ``again``
+    counts the calls (or results) of the identifier before this one; ``status`` is linked,
+    pending (no result), early (the result stands before its call) or orphan (no call);
+    positions count the calls of a conversation from 1, in topological order, and are 0
+    for orphans; ``json`` is the canonical record.
     """
-    conv = F.coalesce(F.concat(F.lit("0"), F.col("conv_id").cast("string")), F.lit("1"))
-    first = F.min(F.struct("turn", "name", "arguments", F.to_json(F.struct("after")).alias("a"), "after"))
-    asked = materialize(
-        calls.filter(F.col("call_id").isNotNull()).groupBy(
-            conv.alias("conv"), F.col("call_id").alias("id")
-        ).agg(first.alias("call"), F.count("*").alias("calls"), F.first("conv_id").alias("conv_id")),
-        "calls",
+    asked = _told_apart(
+        calls.select("conv_id", "turn", "call_id", "name", "arguments", "after"), "1",
+        ["turn", "name", "arguments", F.to_json(F.struct("after")), "_at"],
+    )
+    got = _told_apart(
+        results.select("conv_id", "turn", "call_id", "content"), "2", ["turn", "content", "_at"]
     )
-    got = results.filter(F.col("call_id").isNotNull()).groupBy(
-        conv.alias("conv"), F.col("call_id").alias("id")
-    ).agg(F.min(F.struct("turn", "content")).alias("result"), F.count("*").alias("results"),
-          F.first("conv_id").alias("result_conv"))
-    after = asked.select("conv", "id", F.explode("call.after").alias("other")).filter(
-        F.col("other").isNotNull()
+    first = asked.filter(F.col("call_id").isNotNull() & (F.col("again") == 0)).select(
+        "conv", F.col("call_id").alias("named"), F.col("row").alias("other")
     )
-    placed = _ordered(asked.select("conv", "id", F.struct(
-        F.col("call.turn").alias("turn"), F.col("id").alias("tie")).alias("place")), after)
+    after = asked.select(
+        "conv", F.col("row").alias("id"), F.explode("after").alias("named")
+    ).join(first, ["conv", "named"]).select("conv", "id", "other")
+    placed = _ordered(asked.select("conv", F.col("row").alias("id"), F.struct(
+        "turn", F.col("call_id").alias("tie"), "again").alias("place")), after)
     lined = numbered(placed, ["conv", "place", "hops", "own", "id"], "number")
     starts = materialize(
         lined.groupBy("conv").agg(F.min("number").alias("start"), F.count("*").alias("size")),
         "starts",
     )
     lined = lookup_join(lined, starts, "conv", "size").select(
-        "conv", "id", "cyclic", (F.col("number") - F.col("start") + 1).alias("position")
+        F.col("id").alias("row"), "cyclic", (F.col("number") - F.col("start") + 1).alias("position")
     )
-    met = asked.join(got, ["conv", "id"], "full").join(lined, ["conv", "id"], "left")
+    keys = ["conv", "call_id", "again"]
+    met = asked.select(
+        *keys, "row", "conv_id", F.struct("turn", "name", "arguments").alias("call")
+    ).join(
+        got.select(*keys, F.struct("turn", "content").alias("result"),
+                   F.col("conv_id").alias("result_conv")),
+        keys, "full",
+    ).join(lined, "row", "left")
     arguments = F.coalesce("call.arguments", F.lit("{}"))
     status = (
         F.when(F.col("call").isNull(), "orphan").when(F.col("result").isNull(), "pending")
         .when(F.col("result.turn") < F.col("call.turn"), "early").otherwise("linked")
     )
     rest = F.to_json(
-        F.struct(F.col("id"), F.col("call.name").alias("name"),
+        F.struct(F.col("call_id").alias("id"), F.col("call.name").alias("name"),
                  F.col("result.content").alias("result")), {"ignoreNullFields": "false"}
     )
     problems = F.when(F.col("call").isNotNull(), F.array_join(
@@ -191,11 +221,10 @@ def link_tool_calls(
     shown = F.when(F.col("call").isNotNull(), F.coalesce(canonical(arguments), F.lit("null")))
     return met.select(
         F.coalesce("conv_id", "result_conv").alias("conv_id"),
-        F.coalesce("position", F.lit(0)).alias("position"),
-        F.col("id").alias("call_id"), F.col("call.name").alias("name"), status.alias("status"),
+        F.coalesce("position", F.lit(0)).alias("position"), "call_id",
+        F.when(F.col("call_id").isNull(), F.lit(0)).otherwise(F.col("again")).alias("again"),
+        F.col("call.name").alias("name"), status.alias("status"),
         problems.alias("problems"), F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
-        (F.greatest(F.coalesce("calls", F.lit(0)) - 1, F.lit(0))
-         + F.greatest(F.coalesce("results", F.lit(0)) - 1, F.lit(0))).alias("repeated"),
         F.concat(F.lit('{"arguments":'), F.coalesce(shown, F.lit("null")), F.lit(","),
                  F.substring(rest, 2, 2147483647)).alias("json"),
     )

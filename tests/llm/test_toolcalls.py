@@ -22,11 +22,16 @@ def test_links_and_records(spark):
              (1, 6, "a", "g", "{}", []), (None, 0, "a", "g", '{"n":1.5,"o":{"z":1,"é":[ ]}}', []), (1, 8, None, "f", "{}", []),
              (1, 9, "d", None, "[1]", []), (1, 10, "e", "f", "{bad", ["zz", None])]
     results = [(1, 1, "a", "R\n\"1\""), (1, 1, "b", None), (1, 7, "a", "R2"), (2, 0, "q", "only"), (1, 5, None, "x"), (1, 3, "b", "late")]
-    out = {(r.conv_id, r.call_id): r for r in linked(spark, calls, results)}
-    assert len(out) == 7
+    rows = linked(spark, calls, results)
+    out = {(r.conv_id, r.call_id): r for r in rows if r.again == 0}
+    assert len(rows) == 11
     r = out[(1, "a")]
-    assert (r.status, r.problems, r.repeated, r.position) == ("linked", "", 2, 1)
+    assert (r.status, r.problems, r.position) == ("linked", "", 1)
     assert r.json == '{"arguments":{"x":1,"y":"a"},"id":"a","name":"f","result":"R\\n\\"1\\""}'
+    r = next(r for r in rows if (r.conv_id, r.call_id, r.again) == (1, "a", 1))
+    assert (r.status, r.position, json.loads(r.json)["result"]) == ("linked", 4, "R2")
+    assert {(r.status, r.again) for r in rows if r.call_id is None} == {("pending", 0), ("orphan", 0)}
+    assert sorted((r.again, r.status) for r in rows if r.call_id == "b") == [(0, "early"), (1, "orphan")]
     assert out[(1, "b")].status == "early" and out[(1, "b")].problems == "x: missing"
     assert json.loads(out[(1, "b")].json)["result"] is None
     assert out[(1, "c")].problems == "unknown tool" and out[(1, "c")].status == "pending"
@@ -34,7 +39,20 @@ def test_links_and_records(spark):
     assert json.loads(out[(1, "e")].json)["arguments"] is None
     assert out[(2, "q")].status == "orphan" and out[(2, "q")].position == 0
     assert out[(None, "a")].json.startswith('{"arguments":{"n":1.5,"o":{"z":1,"é":[]}},')
-    assert [out[(1, k)].position for k in "abcde"] == [1, 2, 3, 4, 5]
+    assert [out[(1, k)].position for k in "abcde"] == [1, 2, 3, 6, 7]
+
+
+def test_every_call_and_result_is_there_once(spark):
+    """Identifiers that repeat, none at all, and rows without a conversation."""
+    calls = [(1, t, "x", "g", "{}", []) for t in (0, 4, 2)] + [(None, t, "x", "g", "{}", ["x"]) for t in (0, 0, 1)]
+    calls += [(1, 9, None, "g", "{}", ["x"])]
+    results = [(1, t, "x", f"r{t}") for t in (5, 1)] + [(None, 0, "x", "n"), (1, 3, None, "m"), (1, 3, None, "m")]
+    rows = linked(spark, calls, results)
+    assert len([r for r in rows if r.status != "orphan"]) == 7 and len(rows) == 10
+    got = sorted((r.again, r.status, json.loads(r.json)["result"]) for r in rows if r.conv_id == 1 and r.call_id)
+    assert got == [(0, "linked", "r1"), (1, "linked", "r5"), (2, "pending", None)]
+    assert sorted(r.position for r in rows if r.conv_id == 1 and r.status != "orphan") == [1, 2, 3, 4]
+    assert [r.position for r in rows if r.conv_id is None and r.status == "pending"] == [1, 1, 1]
 
 
 @pytest.mark.parametrize("arguments,problems", [
