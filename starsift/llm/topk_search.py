@@ -8,9 +8,9 @@ most the product of the remaining lengths (Cauchy-Schwarz), so candidates that c
 reach any query's k-th score are dropped and the survivors compacted before the next
 run. Dropping is exact: the result is that of brute force.
 
-Query blocks meet candidate blocks by number. A stripe of candidate blocks is one
-unit of work, so any number of tasks can share a query block, and what a stripe
-returns is k rows for each of its queries.
+Blocks are numbered, and a unit of work is a stripe of candidate blocks with a group of
+query blocks; units are dealt to tasks by number. What a unit returns is k rows for each
+of its queries.
 
 Null vectors and those with null or non-finite components take no part. Vectors are
 compared with those of as many components only; empty ones score 0 with each other.
@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starsift.operators.numbering import numbered
+from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize
 
 _BLOCK = "block long, dim int, n int, rows binary, ids binary, wide int, data binary"
@@ -139,7 +141,7 @@ class _Best:
             if low + self.step >= dim:
                 break
             bound = sums + self.rest[step + 1][:, None] * rest[step + 1][None, kept]
-            alive = (bound * (1 + 1e-12) + 1e-6 >= floor[:, None]).any(axis=0)
+            alive = (bound + np.abs(bound) * 1e-12 + 1e-6 >= floor[:, None]).any(axis=0)
             if alive.mean() < 0.8:
                 kept, sums = kept[alive], sums[:, alive]
             if not len(kept):
@@ -191,31 +193,43 @@ def _remaining(real: np.ndarray, step: int) -> np.ndarray:
     return np.sqrt(np.cumsum(np.array(runs)[::-1], axis=0)[::-1])
 
 
-def _searched(k: int, step: int, open_blocks: int = 16):
+def _searched(k: int, step: int):
+    """The best k of the query blocks of a cell over its candidate blocks.
+
+    Rows arrive sorted by cell, query blocks first; candidate blocks pass one by one.
+    """
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[tuple, _Best] = {}
+        cell, held = None, []
         for batch in batches:
-            for r in batch.to_pylist():
-                key = (r["q_block"], r["dim"])
-                best = open_.pop(key, None)
-                if best is None:
-                    best = _Best(
-                        np.frombuffer(r["q_rows"], np.int64), np.frombuffer(r["q_ids"], np.int64),
-                        _unpacked(r["q_n"], r["dim"], r["q_wide"], r["q_data"]), k, step,
-                    )
-                open_[key] = best
-                best.meet(
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
+                if r["cell"] != cell:
+                    yield from (best.table() for best in held)
+                    cell, held = r["cell"], []
+                block = (
                     np.frombuffer(r["rows"], np.int64), np.frombuffer(r["ids"], np.int64),
                     _unpacked(r["n"], r["dim"], r["wide"], r["data"]),
                 )
-                if len(open_) > open_blocks:
-                    yield open_.pop(next(iter(open_))).table()
-        for best in open_.values():
-            yield best.table()
+                if r["candidate"]:
+                    for best in held:
+                        best.meet(*block)
+                else:
+                    held.append(_Best(*block, k, step))
+        yield from (best.table() for best in held)
 
     return search
 
 
+def _dealt(rows: DataFrame, name: str) -> DataFrame:
+    """Blocks with a number ``no`` of their own, without gaps, in order of their length."""
+    numbers = materialize(
+        numbered(rows.select("block", "dim"), ["dim", "block"], "no").withColumn("one", F.lit(1)),
+        name,
+    )
+    return lookup_join(rows, numbers.drop("dim"), "block", "one").drop("one")
+
+
 def top_k_search(
     vectors: DataFrame,
     is_query: Column,
@@ -223,36 +237,63 @@ def top_k_search(
     key: str = "vec_id",
     vector: str = "embedding",
     scale: int = 64,
-    query_rows: int = 512,
-    block_rows: int = 4096,
+    query_rows: int = 128,
+    block_rows: int = 1024,
     stripe_blocks: int = 16,
     step: int = 16,
+    query_blocks: int = 32,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products of each query row.
 
     ``is_query`` is a condition on the column ``id``. Ties go to the smaller id; ranks
-    start from 1; fewer rows come back if there are fewer.
+    start from 1; fewer rows come back if there are fewer. A unit of work is a stripe of at
+    most ``stripe_blocks`` candidate blocks with ``query_blocks`` query blocks, so a block
+    is sent once for each of its units, not for each block that it meets.
     """
     rows = materialize(quantised(vectors, key, vector, scale), "vectors")
-    blocks = materialize(rows.mapInArrow(_packed(block_rows), _BLOCK), "blocks")
-    asked = materialize(
+    blocks = _dealt(materialize(rows.mapInArrow(_packed(block_rows), _BLOCK), "blocks"), "numbers")
+    asked = _dealt(materialize(
         rows.filter(is_query).mapInArrow(_packed(query_rows), _BLOCK), "queries"
-    )
-    counts = {r["dim"]: r["n"] for r in blocks.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    stripes = max(1, -(-max(counts.values(), default=1) // stripe_blocks))
+    ), "numbers")
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    stripe = F.pmod(F.xxhash64("block"), F.lit(stripes)).cast("int")
-    queries = asked.select(
-        F.col("block").alias("q_block"), "dim", F.col("n").alias("q_n"),
-        F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"),
-        F.col("wide").alias("q_wide"), F.col("data").alias("q_data"),
-        F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("stripe"),
+    # One row for each length of the vectors.
+    many = blocks.groupBy("dim").agg(F.count("*").alias("n"), F.min("no").alias("first")).join(
+        asked.groupBy("dim").agg(F.count("*").alias("queries"), F.min("no").alias("first_query")),
+        "dim",
+    ).orderBy("dim").collect()
+    plan, cells = [], 0
+    for r in many:
+        groups = -(-r["queries"] // query_blocks)
+        stripes = min(r["n"], max(-(-r["n"] // stripe_blocks), 3 * cores))
+        plan.append((r["dim"], r["first"], r["first_query"], stripes, groups, cells))
+        cells += stripes * groups
+    if not cells:
+        return rows.sparkSession.createDataFrame(
+            [], "query_id long, rank int, vec_id long, score long"
+        )
+    units = F.broadcast(rows.sparkSession.createDataFrame(
+        plan, "dim int, first long, first_query long, stripes int, groups int, base long"
+    ))
+
+    def parts(df: DataFrame, candidate: bool, number: Column) -> DataFrame:
+        return df.join(units, "dim").withColumn("at", number).select(
+            (F.col("base") + F.col("at")).alias("cell"), F.lit(candidate).alias("candidate"),
+            "block", "dim", "n", "rows", "ids", "wide", "data",
+        )
+
+    stripe = (F.col("no") - F.col("first")) % F.col("stripes")
+    group = F.floor((F.col("no") - F.col("first_query")) / query_blocks)
+    work = parts(blocks, True, F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("groups") - 1), lambda g: stripe * F.col("groups") + g
+    ))).unionByName(parts(asked, False, F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("stripes") - 1), lambda i: i * F.col("groups") + group
+    ))))
+    tasks = min(cells, max(3 * cores, 20_000))
+    found = (
+        work.repartitionById(tasks, (F.col("cell") % tasks).cast("int"))
+        .sortWithinPartitions("cell", "candidate", "block")
+        .mapInArrow(_searched(k, step), _FOUND)
     )
-    names = asked.select(F.col("block").alias("q_block"), "dim")
-    met = blocks.withColumn("stripe", stripe).join(names, "dim")
-    work = met.join(queries, ["q_block", "dim", "stripe"])
-    tasks = max(cores, stripes)
-    found = work.repartition(tasks, "q_block", "stripe").mapInArrow(_searched(k, step), _FOUND)
     order = Window.partitionBy("query_row").orderBy(
         F.desc("score"), F.asc_nulls_last("vec_id")
     )

@@ -53,3 +53,11 @@ def test_fewer_rows_than_k_and_none(spark):
     assert searched(spark, rows) == [(20, 1, 21, 8192)]
     assert searched(spark, [(20, None)]) == []
     assert searched(spark, rows[1:]) == []
+
+
+def test_ties_at_large_negative_scores(spark):
+    """The k-th score is held by id 5; one that equals it in a later block has id 3."""
+    rows = [(20, [-1000.0, 1.0]), (5, [1000.0, 0.0]), (7, [2000.0, 0.0]), (8, [2000.5, 0.0]),
+            (3, [1000.0, 0.0]), (9, [3000.0, 0.0])]
+    got = searched(spark, rows, k=1, scale=1, block_rows=2, step=1)
+    assert got == brute(rows, 1, 1) == [(20, 1, 3, -1_000_000)]
