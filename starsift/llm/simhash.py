@@ -448,6 +448,14 @@ def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
     return F.coalesce(F.try_divide(shared, F.size(union)), F.lit(1.0))
 
 
+def row_key() -> Column:
+    """32 hexadecimal digits for an id and a text; null and empty, and where one ends, differ."""
+    def marked(c: Column) -> Column:
+        return F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+
+    return F.md5(F.concat(marked(F.col("doc_id").cast("string")), marked(F.col("text"))).cast("binary"))
+
+
 def without_copies(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, prints: int = 3,
     keep: int = 128, cell_limit: int = 2048, bands: int = 20, rows_each: int = 6,
@@ -463,7 +471,7 @@ def without_copies(
     the lowest id it met; then all pairs that share a band and are still apart are. Groups are what such links connect.
     Of rows with the same id the text decides; rows that agree in both are one.
     """
-    held = spread(docs.select("doc_id", mix_key().alias("row_key"), "text"))
+    held = spread(docs.select("doc_id", row_key().alias("row_key"), "text"))
     kind = held.schema["doc_id"].dataType.simpleString()
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -517,7 +525,7 @@ def without_copies(
         "kept",
     )
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    named = docs.select(F.struct(*columns).alias("_row"), mix_key().alias("_kept_key"))
+    named = docs.select(F.struct(*columns).alias("_row"), row_key().alias("_kept_key"))
     alike = Window.partitionBy("_kept_key").orderBy(F.xxhash64("_row"))
     return (
         named.withColumn("_place", F.row_number().over(alike))

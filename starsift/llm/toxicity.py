@@ -36,7 +36,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsift.llm.common import held_out, text_batch
+from starsift.llm.common import held_out, sliced, text_batch
 from starsift.sources.workspace import materialize, spread
 
 # Insults that are known without any label.
@@ -442,7 +442,7 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.terms)
-        for batch in batches:
+        for batch in sliced(batches):
             good = [model.score(lexicon.hits(t)) < threshold
                     for t in text_batch(batch.column("text"))]
             yield batch.filter(pa.array(good, pa.bool_()))
