@@ -11,6 +11,11 @@ The text of a page leaves out markup, comments, scripts and styles; block elemen
 break lines, other white space is folded, entities are decoded. A tag that never ends
 takes the rest of the page with it, as in a browser.
 
+Payloads are taken out of their codings: chunked, gzip of any number of members, deflate
+with or without its header, zstd, in the order of the list, up to ``BODY_LIMIT`` bytes. A
+field ``source-decoding`` of the metadata tells of a coding that is not known, a payload
+that is not in its coding, or a cut at the limit; of the first two there is no text.
+
 A response without a block has an empty payload; one without an identifier gets one
 from its target and payload, so repeated rows give equal records. Records of other
 types are left out. Fields keep no line breaks: control characters are percent-encoded.
@@ -30,9 +35,11 @@ from collections.abc import Iterator
 from urllib.parse import urljoin
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starsift.llm.common import sliced
 from starsift.sources.workspace import spread
 
 VERSION = b"WARC/1.1"
@@ -49,6 +56,8 @@ BREAKS = frozenset(
     "title tr ul".split()
 )
 _CLOSERS = {name: re.compile(f"</{name}(?=[\\s/>])", re.IGNORECASE) for name in (*RAW, "title", "textarea")}
+# Bytes that a payload is decoded to at most; a few kilobytes can stand for gigabytes.
+BODY_LIMIT = 64 << 20
 RECORD = "headers map<string,string>, block binary"
 
 
@@ -132,23 +141,84 @@ def _folded(parts: list[str | None]) -> Iterator[str]:
             yield entities.unescape(part).replace("\n", " ").replace("\r", " ")
 
 
-def message(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
-    """Status line, fields and payload of an HTTP response."""
+def message(
+    block: bytes, limit: int = BODY_LIMIT
+) -> tuple[str, list[tuple[str, str]], bytes, str]:
+    """Status line, fields, decoded payload and a remark on the decoding of a response.
+
+    Codings are undone from the last one applied. The remark is empty, or says which coding
+    is not known, that the payload is not in its coding (it is then empty), or that only
+    the first ``limit`` bytes were decoded.
+    """
     head, split, payload = block.partition(b"\r\n\r\n")
     if not split or not head.startswith(b"HTTP/"):
-        return "", [], block
+        return "", [], block, ""
     lines = head.decode("latin-1").split("\r\n")
     fields = [(k.strip(), v.strip()) for k, _, v in (line.partition(":") for line in lines[1:]) if k]
-    low = {k.lower(): v.lower() for k, v in fields}
-    if "chunked" in low.get("transfer-encoding", ""):
-        payload = _unchunked(payload)
-    how = {"gzip": 31, "x-gzip": 31, "deflate": 47}.get(low.get("content-encoding", ""))
-    if how:
+
+    def listed(name: str) -> list[str]:
+        every = ",".join(v for k, v in fields if k.lower() == name).lower()
+        return [c.strip() for c in every.split(",") if c.strip()]
+
+    remark = ""
+    for coding in [*reversed(listed("transfer-encoding")), *reversed(listed("content-encoding"))]:
+        if coding == "chunked":
+            payload = _unchunked(payload)
+        elif coding != "identity" and payload:
+            undo = _CODINGS.get(coding)
+            if undo is None:
+                return lines[0], fields, b"", f"unknown coding {coding}"
+            try:
+                payload, more = undo(payload, limit)
+            except (zlib.error, zstandard.ZstdError):
+                return lines[0], fields, b"", f"not in coding {coding}"
+            if more:
+                remark = f"truncated to {limit} bytes"
+    return lines[0], fields, payload, remark
+
+
+def _inflated(raw: bytes, bits: int, limit: int) -> tuple[bytes, bool]:
+    """All members of a stream up to a limit, and whether there is more."""
+    out, room = [], limit
+    while raw:
+        stream = zlib.decompressobj(bits)
         try:
-            payload = zlib.decompressobj(how).decompress(payload)
+            part = stream.decompress(raw, room)
         except zlib.error:
-            pass
-    return lines[0], fields, payload
+            if out:
+                break  # what follows the last member is no member
+            raise
+        out.append(part)
+        room -= len(part)
+        raw = stream.unused_data
+        if room <= 0:
+            return b"".join(out), bool(raw) or not stream.eof
+        if not stream.eof:
+            break
+    return b"".join(out), False
+
+
+def _gunzipped(raw: bytes, limit: int) -> tuple[bytes, bool]:
+    return _inflated(raw, 31, limit)
+
+
+def _undeflated(raw: bytes, limit: int) -> tuple[bytes, bool]:
+    """With the header that the standard asks for, or without, as many servers send it."""
+    try:
+        return _inflated(raw, 15, limit)
+    except zlib.error:
+        return _inflated(raw, -15, limit)
+
+
+def _unzstd(raw: bytes, limit: int) -> tuple[bytes, bool]:
+    reader = zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True)
+    body = reader.read(limit + 1)
+    return body[:limit], len(body) > limit
+
+
+_CODINGS = {
+    "gzip": _gunzipped, "x-gzip": _gunzipped, "deflate": _undeflated, "zstd": _unzstd,
+}
 
 
 def _unchunked(raw: bytes) -> bytes:
@@ -183,7 +253,7 @@ def _decoded(payload: bytes, content_type: str) -> str:
 def derive(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, str], bytes]]:
     """The metadata and the conversion record of a response record."""
     low = {k.lower(): v for k, v in headers.items() if v is not None}
-    status, fields, payload = message(block)
+    status, fields, payload, remark = message(block)
     kind = next((v for k, v in fields if k.lower() == "content-type"), "")
     own_digest = low.get("warc-payload-digest") or digest(message_payload(block))
     target = low.get("warc-target-uri", "")
@@ -193,7 +263,8 @@ def derive(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, str],
     for name in ("WARC-Target-URI", "WARC-Date", "WARC-IP-Address", "WARC-Warcinfo-ID"):
         if low.get(name.lower()):
             common[name] = _field(low[name.lower()])
-    facts = [("source-status", status), ("source-payload-digest", own_digest)]
+    facts = [("source-status", status), ("source-payload-digest", own_digest),
+             ("source-decoding", remark)]
     facts += [(f"source-header-{k.lower()}", v) for k, v in fields]
     facts += [("title", page["title"]), ("language", page["language"])]
     for link, where in page["links"]:
@@ -242,7 +313,7 @@ def page_responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> Data
     """(page_id, headers, block): each page as the response record it would come from."""
 
     def respond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             headers, blocks = [], []
             for number, url, html in zip(*(batch.column(c).to_pylist() for c in (
                     "page_id", "url", "html")), strict=True):
@@ -276,7 +347,7 @@ def derived_records(records: DataFrame) -> DataFrame:
     """(source_id, headers, block): two records for each response record; map-only."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for headers, block in zip(batch.column("headers").to_pylist(),
                                       batch.column("block").to_pylist(), strict=True):
@@ -298,7 +369,7 @@ def record_table(records: DataFrame) -> DataFrame:
     """Derived records with their fields as columns and a digest of the serialised record."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = [
                 hashlib.sha256(serialised(dict(h), b)).hexdigest()
                 for h, b in zip(batch.column("headers").to_pylist(),
@@ -330,7 +401,7 @@ def write_warc(records: DataFrame, path: str) -> None:
     """
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             made = [
                 serialised(dict(h), b)[:-2].decode("utf-8", "replace")
                 for h, b in zip(batch.column("headers").to_pylist(),

@@ -1,9 +1,13 @@
 import base64
 import gzip
+import zlib
 import hashlib
 import random
 from html.parser import HTMLParser
 
+import pytest
+import zstandard
+
 from starsift.llm import warc
 
 
@@ -116,3 +120,32 @@ def test_pages_and_files(spark, tmp_path):
     assert warc.record_table(records.limit(0)).collect() == []
     other = spark.createDataFrame([({"WARC-Type": "request"}, bytearray(b"x")), (None, None)], warc.RECORD)
     assert warc.record_table(other).collect() == []
+
+
+def _raw_deflate(body):
+    packer = zlib.compressobj(wbits=-15)
+    return packer.compress(body) + packer.flush()
+
+
+BODY = b"<p>one</p>" * 50
+
+
+@pytest.mark.parametrize("coding,payload,want,remark", [
+    ("gzip", gzip.compress(BODY[:100]) + gzip.compress(BODY[100:]), BODY, ""),
+    ("gzip", gzip.compress(BODY) + b"junk", BODY, ""),
+    ("deflate", zlib.compress(BODY), BODY, ""),
+    ("deflate", _raw_deflate(BODY), BODY, ""),
+    ("zstd", zstandard.compress(BODY), BODY, ""),
+    ("gzip, identity", gzip.compress(BODY), BODY, ""),
+    ("deflate, gzip", gzip.compress(zlib.compress(BODY)), BODY, ""),
+    ("br", BODY, b"", "unknown coding br"),
+    ("gzip", BODY, b"", "not in coding gzip"),
+    ("gzip", b"", b"", ""),
+    ("gzip", gzip.compress(BODY * 100), (BODY * 100)[:1000], "truncated to 1000 bytes"),
+    ("zstd", zstandard.compress(BODY * 100), (BODY * 100)[:1000], "truncated to 1000 bytes"),
+])
+def test_codings(coding, payload, want, remark):
+    block = b"HTTP/1.1 200 OK\r\nContent-Encoding: " + coding.encode() + b"\r\n\r\n" + payload
+    assert warc.message(block, 1000)[2:] == (want, remark)
+    facts = warc.derive({}, block)[0][1]
+    assert (b"source-decoding: " in facts) == (remark[:3] in ("unk", "not"))
