@@ -124,8 +124,11 @@ class Aligner:
                 elif len(unit) <= _LONGEST:
                     self.known[unit] = held
             found.append(held)
-        for low in range(0, len(missed), _TOGETHER):
-            part = missed[low:low + _TOGETHER]
+        # White space at the ends of a text's first or last unit would join that of others.
+        alone = [i for i in missed if units[i][:1].isspace() or units[i][-1:].isspace()]
+        rest = sorted(set(missed).difference(alone))
+        parts = [rest[low:low + _TOGETHER] for low in range(0, len(rest), _TOGETHER)]
+        for part in [*parts, *[[i] for i in alone]]:
             for i, held in zip(part, self._aligned([units[i] for i in part]), strict=True):
                 found[i] = held
                 if len(units[i]) <= _LONGEST:
