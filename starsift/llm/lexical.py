@@ -159,7 +159,7 @@ class _Lists:
         tf = np.frombuffer(row["tf"], np.int32).astype(np.int64)
         self.worth = 1_000_000_000 * tf // (1000 * tf + 12 * length[self.at])
         ends = np.cumsum(row["lists"]).tolist()
-        starts = [0, *ends[:-1]]
+        starts = [0, *ends][:-1]
         self.place = dict(zip(row["terms"], zip(starts, ends, strict=True), strict=True))
         self.windows = -(-len(self.docs) // WINDOW)
         self.bounds: dict[int, np.ndarray] = {}
