@@ -1,3 +1,4 @@
+import json
 import hashlib
 import random
 
@@ -108,3 +109,18 @@ def test_shared_chunks_are_found_and_bits_agree(docs, spark):
 
 def test_empty(docs):
     assert bpe.token_digests(docs((1, "a")).limit(0), PATH).collect() == []
+
+
+def test_rules_that_may_join_words_are_refused():
+    with pytest.raises(ValueError):
+        bpe.Encoder(bpe.read_definition(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def test_a_decoder_of_the_definition_is_used():
+    definition = bpe.read_definition(public_tokenizers.path("word_bpe_49k.json"))
+    rules = json.loads(definition)
+    rules["decoder"] = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    encoder = bpe.Encoder(json.dumps(rules))
+    ids = encoder.encode(b"hello world")
+    assert encoder.decode(ids) == encoder.tokenizer.decode(list(np.frombuffer(ids, "<u4")), skip_special_tokens=False)
+    assert encoder.decode(ids) != bpe.Encoder(definition).decode(ids)
