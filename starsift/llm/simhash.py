@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from starsift.llm.common import sliced, text_batch
 from starsift.llm.groups import grouped
-from starsift.llm.mixing import mix_key
 from starsift.operators.components import connected_components
 from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize, spread
@@ -118,7 +117,7 @@ def signature(
     for hashes in _hashes(text, shingle):
         for number in range(prints):
             set_bits[number] += _set_bits(_rehashed(hashes, number))
-        short = _rehashed(hashes, prints) >> np.uint64(1)
+        short = _short(hashes, prints)
         least = np.unique(np.concatenate([least, short]))[:keep]
         for low in range(0, len(hashes) if bands else 0, _ORDERED):
             orders = factors[:, None] * hashes[None, low:low + _ORDERED]
@@ -130,6 +129,18 @@ def signature(
     return [_packed(b, n) for b in set_bits], least.view(np.int64), keys.view(np.int64)
 
 
+def _short(hashes: np.ndarray, number: int) -> np.ndarray:
+    """Hashes of 63 bits, which have one order as signed and unsigned numbers."""
+    return _rehashed(hashes, number) >> np.uint64(1)
+
+
+def shingle_set(text: str, shingle: int, number: int) -> np.ndarray:
+    """All distinct hashes of a text's shingles in order; :func:`signature` has the first."""
+    parts = [np.unique(_short(h, number)) for h in _hashes(text, shingle)]
+    held = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    return held.view(np.int64)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp), one row for each row of ``docs``."""
     held = spread(docs.select("doc_id", "text"))
@@ -179,16 +190,18 @@ def bit_cells(fp: Column, width: int = 64) -> Column:
     return F.array(fp, *[fp.bitwiseXOR(F.lit(b)) for b in bits])
 
 
-def _met(limit: int, radius: int):
+def _met(limit: int, radius: int, with_cell: bool = False):
     """Links of the ids within each run of equal cells; runs over the limit come back.
 
     Rows (cell, fp, id) arrive sorted by cell. A row out is a link (a, b), or an id a
-    with null b that the finer grid must take.
+    with null b that the finer grid must take; ``with_cell`` adds the cell.
     """
 
-    def table(a, b) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()),
-                                           "b": pa.array(b, pa.int64())})
+    def table(a, b, cell) -> pa.RecordBatch:
+        out = {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())}
+        if with_cell:
+            out["cell"] = pa.array(np.full(len(a), cell), pa.int64())
+        return pa.RecordBatch.from_pydict(out)
 
     def links(run: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         apart = np.bitwise_count((run[:, None] ^ run[None, :]).view(np.uint64))
@@ -215,7 +228,7 @@ def _met(limit: int, radius: int):
             last = int(np.searchsorted(cells, cells[-1])) if len(cells) else 0
             if len(cells) and (crowded == cells[-1] or len(cells) - last > limit):
                 crowded = int(cells[-1])
-                yield table(ids[last:], [None] * (len(cells) - last))
+                yield table(ids[last:], [None] * (len(cells) - last), crowded)
                 last = len(cells)
             cells, prints, ids = cells[last:], prints[last:], ids[last:]
         yield from whole_runs(cells, prints, ids, crowded, True)
@@ -230,18 +243,19 @@ def _met(limit: int, radius: int):
                 crowded if crowded is not None else -1))].tolist() for x in (starts, ends)),
                 strict=True):
             if crowded is not None and cells[s] == crowded or e - s > limit:
-                yield table(ids[s:e], [None] * (e - s))
+                yield table(ids[s:e], [None] * (e - s), cells[s])
                 continue
             a, b = links(prints[s:e], ids[s:e])
             if len(a):
-                yield table(a, b)
+                yield table(a, b, cells[s])
 
     return meet
 
 
-def _meet(cells: DataFrame, limit: int, radius: int) -> DataFrame:
+def _meet(cells: DataFrame, limit: int, radius: int, with_cell: bool = False) -> DataFrame:
     dealt = cells.repartition("cell").sortWithinPartitions("cell", "fp", "id")
-    return dealt.mapInArrow(_met(limit, radius), "a long, b long")
+    kind = "a long, b long, cell long" if with_cell else "a long, b long"
+    return dealt.mapInArrow(_met(limit, radius, with_cell), kind)
 
 
 def linked(prints: DataFrame, radius: int = 2, cell_limit: int = 512) -> DataFrame:
@@ -295,13 +309,15 @@ def _components(prints: DataFrame, radius: int, cell_limit: int) -> DataFrame:
     )
 
 
-def candidate_links(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
-    """(a, b): ids whose fingerprints have a half within two bits of each other.
+def half_cells(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
+    """(id, bucket, b, n): groups of ids whose fingerprints have a half in common.
 
     ``classes`` has (id, prints). Each half of 32 bits is a fingerprint of its own with
-    eight segments, apart from those of other numbers. Ids may share a fingerprint. In a
-    crowded cell the finer grid ties all to one, for there all are within two bits of
-    each other.
+    eight segments, apart from those of other numbers. Two ids with a half within two
+    bits of each other are in one bucket at least, whatever ``cell_limit``: in a cell of
+    the grid a bucket is what links of two bits connect there; in a crowded cell the
+    finer grid takes over, where a cell is a bucket, for there all are within two bits.
+    ``b`` is the lowest of a bucket and ``n`` > 1 its size.
     """
     halves = classes.select("id", F.posexplode("prints").alias("number", "fp")).select(
         "id",
@@ -320,18 +336,29 @@ def candidate_links(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
             (F.col("cell") + F.col("place")).alias("cell"), "fp", "id"
         )
 
-    first = materialize(_meet(cells(halves, grid_cells(point, 8)), cell_limit, 2), "links")
+    first = materialize(_meet(cells(halves, grid_cells(point, 8)), cell_limit, 2, True), "links")
     crowded = first.filter(F.col("b").isNull()).select(F.col("a").alias("id")).distinct()
-    finer = cells(halves.join(crowded, "id"), bit_cells(fp, 32))
+    trees = first.filter("b is not null and a <> b")
+    sizes = materialize(
+        trees.groupBy(F.xxhash64("cell", "b").alias("bucket"), "b").agg(
+            (F.count("*") + 1).alias("n")
+        ),
+        "trees",
+    )
+    members = trees.select(F.col("a").alias("id"), F.xxhash64("cell", "b").alias("bucket"))
+    inside = lookup_join(members, sizes, "bucket", "n").unionByName(
+        sizes.select(F.col("b").alias("id"), "bucket", "b", "n")
+    )
+    finer = cells(halves.join(crowded, "id"), bit_cells(fp, 32)).select(
+        "id", F.col("cell").alias("bucket")
+    )
     lowest = materialize(
-        finer.groupBy("cell").agg(F.min("id").alias("b"), F.count("*").alias("n")).filter("n > 1"),
+        finer.groupBy("bucket").agg(F.min("id").alias("b"), F.count("*").alias("n")).filter("n > 1"),
         "crowded",
     )
-    tied = lookup_join(finer.select("cell", F.col("id").alias("a")), lowest, "cell", "n")
-    both = first.filter(F.col("b").isNotNull()).unionByName(tied.select("a", "b"))
-    return both.filter("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    ).distinct()
+    return materialize(
+        inside.unionByName(lookup_join(finer, lowest, "bucket", "n")), "halves"
+    )
 
 
 def shared_bands(classes: DataFrame) -> DataFrame:
@@ -348,46 +375,54 @@ def shared_bands(classes: DataFrame) -> DataFrame:
     return materialize(lookup_join(entries, lowest, "bucket", "n"), "shared")
 
 
-def _verified(keep: int, similarity: float):
-    """Links of a run of equal cells that its sketches confirm, as a forest over its roots.
+def _shared(one: np.ndarray, flat: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How many numbers of ``one`` each of ``n`` owners of the numbers ``flat`` has."""
+    if not len(one) or not len(flat):
+        return np.zeros(n, np.int64)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    return np.bincount(owner[one[at] == flat], minlength=n)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple]:
+    """(cell, ids, roots, arrays of ``column``) of each run of equal cells."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            held = batch.column(column)
+            flat = held.values.to_numpy(zero_copy_only=False)
+            ends = held.offsets.to_numpy()
+            yield from zip(*(batch.column(c).to_pylist() for c in ("cell", "id", "root")),
+                           [flat[a:b].copy() for a, b in zip(ends[:-1], ends[1:], strict=True)],
+                           strict=True)
+
+    for cell, run in groupby(rows(), key=lambda r: r[0]):
+        _, ids, roots, arrays = zip(*run, strict=True)
+        yield cell, ids, np.unique(np.array(roots, np.int64), return_inverse=True)[1], arrays
+
+
+def _verified(similarity: float):
+    """Links of a run of equal cells that the whole sets confirm, as a forest over its roots.
 
-    Rows (cell, id, root, least) arrive sorted by cell; ids of one root are connected
+    Rows (cell, id, root, whole) arrive sorted by cell; ids of one root are connected
     already. Every pair of different roots is judged until something connects them.
     """
 
-    def links(ids: list, roots: list, sketches: list) -> Iterator[tuple[int, int]]:
-        group = np.unique(np.array(roots, np.int64), return_inverse=True)[1]
-        size = np.array([len(x) for x in sketches])
-        owner, flat = np.repeat(np.arange(len(ids)), size), np.concatenate(sketches)
-        for i, one in enumerate(sketches):
-            if not len(one):
-                continue
-            at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
-            shared = np.bincount(owner[one[at] == flat], minlength=len(ids))
-            enough = shared >= similarity * np.minimum(keep, np.maximum(size, len(one))) - 1e-9
-            for j in np.flatnonzero(enough & (np.arange(len(ids)) > i)).tolist():
-                if group[i] == group[j]:
+    def links(ids: tuple, group: np.ndarray, sets: tuple) -> Iterator[tuple[int, int]]:
+        size = np.array([len(x) for x in sets])
+        place = np.arange(len(ids))
+        for i, one in enumerate(sets):
+            for j in np.flatnonzero((group != group[i]) & (place > i)).tolist():
+                low, high = sorted((size[i], size[j]))
+                if group[i] == group[j] or low < similarity * high - 1e-9:
                     continue
-                whole = max(size[i], size[j]) < keep
-                union = np.union1d(one, sketches[j])[:None if whole else keep]
-                both = np.intersect1d(one, sketches[j], assume_unique=True)
-                if np.isin(both, union).sum() / len(union) >= similarity:
+                both = len(np.intersect1d(one, sets[j], assume_unique=True))
+                if both >= similarity * (low + high - both) - 1e-9:
                     yield ids[j], ids[i]
                     group[group == group[j]] = group[i]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                least = batch.column("least")
-                flat = least.values.to_numpy(zero_copy_only=False)
-                ends = least.offsets.to_numpy()
-                yield from zip(*(batch.column(c).to_pylist() for c in ("cell", "id", "root")),
-                               [flat[a:b].copy() for a, b in zip(ends[:-1], ends[1:], strict=True)],
-                               strict=True)
-
-        for _, run in groupby(rows(), key=lambda r: r[0]):
-            _, ids, roots, sketches = zip(*run, strict=True)
-            found = list(links(ids, roots, sketches))
+        for _, ids, group, sets in _runs(batches, "whole"):
+            found = list(links(ids, group, sets))
             if found:
                 yield pa.RecordBatch.from_pydict({
                     "a": pa.array([a for a, _ in found], pa.int64()),
@@ -397,15 +432,70 @@ def _verified(keep: int, similarity: float):
     return judge
 
 
-def rest_links(
-    met: DataFrame, judged: DataFrame, sets: DataFrame, keep: int, similarity: float,
-    block: int = 128,
-) -> DataFrame:
-    """(a, b): links of near copies that share a band and that ``judged`` leaves apart.
+def _likely(keep: int, floor: float):
+    """The rows (cell, id, root) of a run of equal cells that sketches do not rule out.
 
-    ``met`` is that of :func:`shared_bands`, ``sets`` has (id, least). Of a bucket whose
-    ids ``judged`` does not all connect, every pair of two groups is compared: its ids are
-    dealt to blocks of about ``block``, and pairs of blocks meet in a cell of their own.
+    Rows (cell, id, root, least) arrive sorted by cell. A row stays if with any row of
+    another root its estimated similarity is ``floor`` or more.
+    """
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell, ids, group, sketches in _runs(batches, "least"):
+            size = np.array([len(x) for x in sketches])
+            owner, flat = np.repeat(np.arange(len(ids)), size), np.concatenate(sketches)
+            wanted = np.zeros(len(ids), bool)
+            for i, one in enumerate(sketches):
+                apart = (group != group[i]) & (np.arange(len(ids)) > i)
+                if not apart.any():
+                    continue
+                shared = _shared(one, flat, owner, len(ids))
+                apart &= shared >= floor * np.minimum(keep, np.maximum(size, len(one))) - 1e-9
+                wanted |= apart
+                wanted[i] |= apart.any()
+            at = np.flatnonzero(wanted).tolist()
+            if at:
+                yield pa.RecordBatch.from_pydict({
+                    "cell": pa.array([cell] * len(at), pa.int64()),
+                    "id": pa.array([ids[i] for i in at], pa.int64()),
+                    "root": pa.array(group[at], pa.int64()),
+                })
+
+    return judge
+
+
+def _confirmed(cells: DataFrame, wholes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links within the cells (cell, id, root) by the whole sets (id, whole)."""
+    dealt = cells.join(wholes, "id").select("cell", "id", "root", "whole").repartition("cell")
+    return dealt.sortWithinPartitions("cell", "id").mapInArrow(
+        _verified(similarity), "a long, b long"
+    )
+
+
+def star_cells(pairs: DataFrame, block: int = 128) -> DataFrame:
+    """(cell, id, root): the pairs (a, b) as cells of one b and about ``block`` of its a.
+
+    ``pairs`` should be a written table.
+    """
+    centres = materialize(
+        pairs.groupBy("b").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / block)),
+        "centres",
+    )
+    own = F.pmod(F.xxhash64("a", F.lit("block")), F.col("blocks"))
+    members = lookup_join(pairs.select("a", "b"), centres, "b", "n").select(
+        F.xxhash64("b", own).alias("cell"), F.col("a").alias("id")
+    )
+    middle = centres.select(
+        F.col("b").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("own")
+    ).select(F.xxhash64("id", "own").alias("cell"), "id")
+    return members.unionByName(middle).withColumn("root", F.col("id"))
+
+
+def open_cells(met: DataFrame, judged: DataFrame, block: int = 128) -> DataFrame:
+    """(cell, id, root): the buckets of ``met`` whose ids ``judged`` does not all connect.
+
+    ``met`` has (id, bucket, n). The ids of such a bucket are dealt to blocks of about
+    ``block``, and pairs of blocks meet in a cell of their own, so that every pair of two
+    roots shares a cell.
     """
     roots = connected_components(judged).select(F.col("vertex").alias("id"), "component")
     placed = materialize(
@@ -422,7 +512,7 @@ def rest_links(
     )
     blocks = F.ceil(F.col("members") / block)
     own = F.pmod(F.xxhash64("id", F.lit("block")), blocks)
-    cells = (
+    return (
         lookup_join(placed.select("id", "bucket", "root"), open_, "bucket", "members")
         .withColumn("own", own)
         .select("id", "root", "bucket", "own", F.explode(
@@ -430,12 +520,43 @@ def rest_links(
         .select("id", "root", F.xxhash64(
             "bucket", F.least("own", "met"), F.greatest("own", "met")).alias("cell"))
     )
-    dealt = cells.join(sets, "id").select("cell", "id", "root", "least").repartition("cell")
+
+
+def likely_cells(cells: DataFrame, sketches: DataFrame, keep: int, floor: float) -> DataFrame:
+    """The rows of ``cells`` that the sketches (id, least) do not rule out."""
+    dealt = cells.join(sketches, "id").select("cell", "id", "root", "least").repartition("cell")
     return dealt.sortWithinPartitions("cell", "id").mapInArrow(
-        _verified(keep, similarity), "a long, b long"
+        _likely(keep, floor), "cell long, id long, root long"
     )
 
 
+def whole_sets(
+    docs: DataFrame, wanted: DataFrame, shingle: int, number: int, keep: int
+) -> DataFrame:
+    """(id, whole): the shingle sets of the classes ``wanted`` (id, row_key, least).
+
+    Sketches of fewer than ``keep`` hashes are whole; the other sets are made from the
+    texts, of which only those that can have so many shingles move.
+    """
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(iter([batch]), 64):
+                sets = [shingle_set(t, shingle, number) for t in text_batch(part.column("text"))]
+                yield pa.RecordBatch.from_pydict({
+                    "id": part.column("id"), "whole": pa.array(sets, pa.list_(pa.int64())),
+                })
+
+    short = wanted.filter(F.size("least") < keep).select("id", F.col("least").alias("whole"))
+    long_ = wanted.filter(F.size("least") >= keep).select("id", "row_key")
+    texts = docs.select("text", "doc_id").filter(F.length("text") >= 2 * keep).select(
+        "text", row_key().alias("row_key")
+    )
+    found = texts.join(long_, "row_key").select("id", "text").mapInArrow(
+        made, "id long, whole array<long>"
+    )
+    return short.unionByName(found.groupBy("id").agg(F.first("whole").alias("whole")))
+
+
 def estimated_similarity(one: Column, other: Column, keep: int) -> Column:
     """Jaccard similarity of shingle sets from their smallest hashes.
 
@@ -459,6 +580,7 @@ def row_key() -> Column:
 def without_copies(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, prints: int = 3,
     keep: int = 128, cell_limit: int = 2048, bands: int = 20, rows_each: int = 6,
+    margin: float = 0.2,
 ) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest id.
 
@@ -466,9 +588,12 @@ def without_copies(
     Candidates have one of ``2 * prints`` half fingerprints within two bits of each
     other, or agree in one of ``bands`` bands of ``rows_each`` least hashes, which finds
     ``1 - (1 - s ** rows_each) ** bands`` of the pairs of similarity ``s`` (99.8% at
-    0.8) where half fingerprints alone find about half; they are near copies if their shingle sets, judged by the ``keep`` smallest
-    hashes of each, have at least ``similarity``. First each candidate is compared with
-    the lowest id it met; then all pairs that share a band and are still apart are. Groups are what such links connect.
+    0.8) where half fingerprints alone find about half. The ``keep`` smallest hashes of
+    each rule out pairs estimated at ``margin`` or more under ``similarity`` (5.6
+    standard deviations at 0.8); the others are near copies if their whole shingle sets
+    have at least ``similarity``. First each id is compared with the likeliest of the
+    lowest ids it met; then all candidate pairs that are still apart are. Groups are what
+    such links connect; no candidate depends on ``cell_limit``.
     Of rows with the same id the text decides; rows that agree in both are one.
     """
     held = spread(docs.select("doc_id", row_key().alias("row_key"), "text"))
@@ -500,21 +625,33 @@ def without_copies(
         ).drop("wording").withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
-    met = shared_bands(classes.select("id", "bands"))
-    stars = met.filter("id <> b").select(F.col("id").alias("a"), "b")
-    links = materialize(
-        candidate_links(classes.select("id", "prints"), cell_limit).union(stars).distinct(),
-        "candidates",
+    met = shared_bands(classes.select("id", "bands")).unionByName(
+        half_cells(classes.select("id", "prints"), cell_limit)
     )
-    sets = classes.select("id", "least")
-    judged = (
-        links.join(sets.select(F.col("id").alias("a"), F.col("least").alias("one")), "a")
-        .join(sets.select(F.col("id").alias("b"), F.col("least").alias("other")), "b")
-        .filter(estimated_similarity(F.col("one"), F.col("other"), keep) >= similarity)
-        .select("a", "b")
+    sketches = classes.select("id", "least")
+    near = estimated_similarity(F.col("one"), F.col("other"), keep)
+    likely = materialize(
+        met.filter("id <> b").select(F.col("id").alias("a"), "b").distinct()
+        .join(sketches.select(F.col("id").alias("a"), F.col("least").alias("one")), "a")
+        .join(sketches.select(F.col("id").alias("b"), F.col("least").alias("other")), "b")
+        .select("a", "b", near.alias("near"))
+        .filter(F.col("near") >= similarity - margin)
+        .groupBy("a").agg(F.max_by("b", F.struct("near", -F.col("b"))).alias("b")),
+        "likely",
+    )
+
+    def confirmed(cells: DataFrame, name: str) -> DataFrame:
+        wanted = classes.join(cells.select("id").distinct(), "id", "left_semi").select(
+            "id", F.col("first.row_key").alias("row_key"), "least"
+        )
+        wholes = whole_sets(docs, wanted, shingle, prints, keep)
+        return materialize(_confirmed(cells, wholes, similarity), name)
+
+    judged = confirmed(star_cells(likely), "judged")
+    open_ = materialize(
+        likely_cells(open_cells(met, judged), sketches, keep, similarity - margin), "undecided"
     )
-    judged = materialize(judged, "judged")
-    rest = materialize(rest_links(met, judged, sets, keep, similarity), "rest")
+    rest = confirmed(open_, "rest")
     groups = grouped(
         classes.select("id", F.col("first.doc_id").alias("key")), judged.union(rest)
     )
