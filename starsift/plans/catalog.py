@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from starsift.functions import grades
 from starsift.operators import (
+    batches,
+    bursts,
     classifier,
     cleaning,
     copies,
@@ -392,6 +394,49 @@ def burst_events(spark, sf_dir):
     return found.select("user_id", "peak_count", day, "burst_buckets")
 
 
+@query
+def burst_windows(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    found = bursts.burst_windows(events, 86_400, 3, time="ts")
+    end = F.date_format("peak_end", "yyyy-MM-dd HH:mm:ss").alias("peak_end")
+    return found.select("user_id", "peak_count", end, "burst_ends")
+
+
+@query
+def burst_sessions(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    found = bursts.burst_sessions(events, 43_200, 3, time="ts", period=7 * 86_400)
+    start, end = (
+        F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("session_start", "session_end")
+    )
+    return found.select("user_id", start, end, "review_count")
+
+
+def _landed(spark, sf_dir):
+    """Three batches of reviews by year, the second of them landed twice."""
+    scored = materialize(
+        clean(spark, sf_dir).select("user_id", "year", "rating", "sentiment_star", "asin"), "scored"
+    )
+    path = table_path(spark, "states")
+    for batch in (1, 0, 2, 1):
+        batches.add_batch(
+            scored.filter(F.coalesce("year", F.lit(0)) % 3 == batch), path, batch
+        )
+    return path
+
+
+@query
+def user_stats_batches(spark, sf_dir):
+    merged = batches.merged_user_stats(spark, _landed(spark, sf_dir))
+    return rounded(merged, "avg_rating", "rating_stddev", "avg_sentiment")
+
+
+@query
+def yearly_trend_batches(spark, sf_dir):
+    merged = batches.merged_yearly_trend(spark, _landed(spark, sf_dir))
+    return rounded(merged, "avg_sentiment", "avg_rating")
+
+
 @query
 def extreme_users(spark, sf_dir):
     return rounded(users.extreme_users(clean(spark, sf_dir), 0.6, 5), "extreme_share")

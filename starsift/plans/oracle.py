@@ -535,6 +535,20 @@ FROM (SELECT *, max(n) OVER (PARTITION BY user_id) AS top FROM (
 FROM (SELECT *, max(n) OVER (PARTITION BY user_id) AS top FROM (
   SELECT user_id, date_trunc('day', ts) AS bucket, count(*) AS n FROM events
   GROUP BY 1, 2 HAVING count(*) >= 3)) GROUP BY user_id""",
+    "burst_windows": """SELECT user_id, max(c) AS peak_count,
+  strftime(min(ts) FILTER (c = top), '%Y-%m-%d %H:%M:%S') AS peak_end, count(*) AS burst_ends
+FROM (SELECT *, max(c) OVER (PARTITION BY user_id) AS top FROM (
+  SELECT user_id, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts
+    RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW) AS c FROM events WHERE ts IS NOT NULL)
+  WHERE c >= 3) GROUP BY user_id""",
+    "burst_sessions": """SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS session_end, count(*) AS review_count
+FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM (
+  SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts)
+    <= INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens FROM events WHERE ts IS NOT NULL))
+GROUP BY user_id, session HAVING count(*) >= 3""",
+    "user_stats_batches": sql("stats", f"SELECT user_id, {_STATS} FROM stats"),
+    "yearly_trend_batches": sql("clean", f"SELECT year, {_TREND} FROM clean GROUP BY year"),
     "extreme_users": sql(
         "clean",
         """SELECT user_id, scored_count, one_star, five_star,
