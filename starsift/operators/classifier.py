@@ -1,59 +1,355 @@
-"""Sentiment stars from a classifier trained on rated reviews."""
+"""Sentiment stars from a classifier trained on rated reviews, with calibrated confidence."""
 
 from __future__ import annotations
 
+import hashlib
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starsift.functions.text import LETTERS, exploded
 from starsift.operators.polarity import BUCKETS, bucket, mean_price
+from starsift.sources.workspace import materialize
 
+CLASSES = 5
+# Characters of text that a task codes at a time, and rows that a learner goes over again.
+_PIECE = 1 << 22
+_BLOCK, _BATCH = 2048, 128
+_FAN = 32
 
-def fit_classifier(
-    df: DataFrame, features: int = 1 << 12, iterations: int = 10
-) -> PipelineModel:
-    """Train multinomial logistic regression from text to star rating.
 
-    The model is as large as ``features`` times five, whatever the vocabulary.
+@dataclass(frozen=True)
+class Classifier:
+    """Weights by feature and class, and confidence by least raw score (both rising)."""
+
+    weights: np.ndarray
+    scores: np.ndarray
+    confidences: np.ndarray
+
+    def calibrated(self, raw: np.ndarray) -> np.ndarray:
+        """The measured accuracy of reviews outside the training with scores like these."""
+        if not len(self.scores):
+            return raw
+        place = np.searchsorted(self.scores, raw, side="right") - 1
+        return self.confidences[np.maximum(place, 0)]
+
+
+def fold(text: str = "text") -> Column:
+    """Fold 0 to 4 of a text, the same for equal texts."""
+    return F.crc32(F.col(text)) % 5
+
+
+def held_out(text: str = "text") -> Column:
+    """True for texts that :func:`split_rated` keeps for measuring."""
+    return fold(text) == 0
+
+
+def split_rated(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Reviews to train on (folds 2 to 4), to calibrate on (1) and to measure on (0).
+
+    Equal texts are in one fold, so no measured text was trained on in another review.
+    Rows without a text are in none.
     """
+    return df.filter(fold() > 1), df.filter(fold() == 1), df.filter(fold() == 0)
+
+
+def _sparse(texts: pa.Array, features: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(starts, places, values) of lower-cased texts, in pieces of bounded size.
+
+    A value is one plus the logarithm of a count, each row of length one; the last
+    place is the same for all texts.
+    """
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(texts):
+        limit = (sizes[begin - 1] if begin else 0) + _PIECE
+        end = max(begin + 1, int(np.searchsorted(sizes, limit, side="right")))
+        part = texts.slice(begin, end - begin)
+        rows = len(part)
+        words = pc.split_pattern_regex(pc.fill_null(part, ""), LETTERS)
+        owner = pc.list_parent_indices(words).to_numpy()
+        coded = pc.dictionary_encode(pc.list_flatten(words))
+        terms = coded.dictionary.to_pylist()
+        hashed = np.array([_place(t, features) if t else -1 for t in terms], dtype=np.int64)
+        place = hashed[coded.indices.to_numpy()] if terms else np.empty(0, np.int64)
+        cell = (owner * (features + 1) + place)[place >= 0]
+        cells, counts = np.unique(cell, return_counts=True)
+        value = 1.0 + np.log(counts)
+        row = cells // (features + 1)
+        value /= np.sqrt(np.bincount(row, value * value, minlength=rows))[row]
+        # One constant feature ends each row.
+        row = np.concatenate([row, np.arange(rows)])
+        order = np.argsort(row, kind="stable")
+        place = np.concatenate([cells % (features + 1), np.full(rows, features)])[order]
+        value = np.concatenate([value, np.ones(rows)])[order]
+        starts = np.searchsorted(row[order], np.arange(rows))
+        yield starts, place, value
+        begin = end
+
+
+def _place(term: str, features: int) -> int:
+    """Feature of a term, the same in every process."""
+    return int.from_bytes(hashlib.blake2b(term.encode(), digest_size=8).digest(), "little") % features
+
+
+def _probabilities(weights, starts, place, value) -> np.ndarray:
+    logits = np.add.reduceat(weights[place] * value[:, None], starts, axis=0)
+    odds = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return odds / odds.sum(axis=1, keepdims=True)
+
+
+def _coded(df: DataFrame, features: int) -> DataFrame:
+    """(digest, label, copies, places, values): equal rated texts folded, no text in it."""
     rated = df.filter(F.col("rating").between(1, 5) & F.col("text").isNotNull()).select(
-        "text", (F.round("rating") - 1).alias("label")
+        F.xxhash64("text").alias("digest"),
+        (F.round("rating") - 1).cast("int").alias("label"),
+        F.lower("text").alias("text"),
+    )
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_string())
+            done = 0
+            for starts, place, value in _sparse(texts, features):
+                part = batch.slice(done, len(starts))
+                done += len(starts)
+                cuts = pa.array(np.append(starts, len(place)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("digest"),
+                        part.column("label"),
+                        pa.ListArray.from_arrays(cuts, pa.array(place.astype(np.int32))),
+                        pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32))),
+                    ],
+                    names=["digest", "label", "places", "values"],
+                )
+
+    rows = rated.mapInArrow(code, "digest BIGINT, label INT, places ARRAY<INT>, values ARRAY<FLOAT>")
+    folded = rows.groupBy("digest", "label").agg(
+        F.count("*").alias("copies"), F.first("places").alias("places"), F.first("values").alias("values")
+    )
+    return materialize(folded, "coded")
+
+
+def _csr(batch: pa.RecordBatch):
+    places, values = batch.column("places"), batch.column("values")
+    offsets = places.offsets.to_numpy()
+    return (
+        (offsets[:-1] - offsets[0]),
+        places.flatten().to_numpy().astype(np.int64),
+        values.flatten().to_numpy().astype(np.float64),
+        batch.column("label").to_numpy(),
+        batch.column("copies").to_numpy().astype(np.float64),
     )
-    stages = [
-        RegexTokenizer(inputCol="text", outputCol="_words", pattern=LETTERS),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_features"),
-        LogisticRegression(
-            featuresCol="_features",
-            family="multinomial",
-            maxIter=iterations,
-            regParam=0.01,
-            predictionCol="_prediction",
-            probabilityCol="_probability",
-            rawPredictionCol="_raw",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rated)
-
-
-def score_classifier(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Star of the likeliest class, confidence its probability; map-only."""
+
+
+def fit_classifier(
+    df: DataFrame,
+    features: int = 1 << 12,
+    passes: int = 3,
+    calibration: DataFrame | None = None,
+    rate: float = 0.5,
+    learner_rows: int = 50_000,
+    max_learners: int = 1024,
+) -> Classifier:
+    """Train a multinomial logistic model from text to star rating on all rated rows of ``df``.
+
+    Texts become hashed term vectors once, equal ones with equal stars folded into one
+    with a weight, so that one text in a third of all reviews is one row. Learners, one
+    for each ``learner_rows`` vectors up to ``max_learners``, read a part each in the
+    order of the digests, block by block (``passes`` gradient passes over a block of 2048
+    while it is in memory); their models are averaged in a tree. A model is ``features``
+    times five numbers, whatever the vocabulary or the rows.
+
+    With ``calibration`` (rated reviews not trained on), confidence is the accuracy
+    measured there by isotonic regression, else the raw probability.
+    """
+    coded = _coded(df, features)
+    learners = min(max_learners, 1 + coded.count() // learner_rows)
+    shape = (features + 1, CLASSES)
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, squares, seen = np.zeros(shape), np.full(shape, 1e-8), 0
+        for batch in _blocks(batches):
+            starts, place, value, label, copies = _csr(batch)
+            bounds = np.append(starts, len(place))
+            for _ in range(passes):
+                for low in range(0, len(label), _BATCH):
+                    high = min(low + _BATCH, len(label))
+                    cut = slice(bounds[low], bounds[high])
+                    own = bounds[low:high] - bounds[low]
+                    miss = _probabilities(weights, own, place[cut], value[cut])
+                    miss[np.arange(high - low), label[low:high]] -= 1.0
+                    miss *= (copies[low:high] / copies[low:high].sum())[:, None]
+                    lengths = np.diff(np.append(own, len(place[cut])))
+                    touched, where = np.unique(place[cut], return_inverse=True)
+                    pull = np.repeat(miss, lengths, axis=0) * value[cut][:, None]
+                    step = np.stack(
+                        [np.bincount(where, pull[:, c], minlength=len(touched)) for c in range(CLASSES)], 1
+                    )
+                    squares[touched] += step * step
+                    weights[touched] -= rate * step / np.sqrt(squares[touched])
+            seen += len(label)
+        if seen:
+            node = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_pydict(
+                {"node": [node], "seen": [seen], "model": [weights.tobytes()]}
+            )
+
+    def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        return _mean_model(part, int(key[0]))
+
+    partial = (
+        coded.repartition(learners, "digest")
+        .sortWithinPartitions("digest", "label")
+        .mapInArrow(learn, "node BIGINT, seen BIGINT, model BINARY")
+    )
+    halved = partial.groupBy((F.col("node") % _FAN).alias("node")).applyInPandas(
+        merge, "node BIGINT, seen BIGINT, model BINARY"
+    )
+    last = _mean_model(halved.toPandas(), 0)
+    weights = (
+        np.frombuffer(last["model"].iloc[0]).reshape(shape) if last["seen"].iloc[0] else np.zeros(shape)
+    )
+    empty = np.empty(0)
+    model = Classifier(weights, empty, empty)
+    return model if calibration is None else _calibrate(model, _coded(calibration, features))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, _BLOCK):
+            yield batch.slice(low, _BLOCK)
+
+
+def _mean_model(part: pd.DataFrame, node: int) -> pd.DataFrame:
+    """Mean of models by the rows each has seen, added in a fixed order."""
+    part = part.sort_values(["node", "seen", "model"])
+    total = int(part["seen"].sum())
+    mean = sum(
+        (np.frombuffer(m) * (n / total) for m, n in zip(part["model"], part["seen"], strict=True)),
+        np.zeros(1),
+    )
+    return pd.DataFrame({"node": [node], "seen": [total], "model": [mean.tobytes()]})
+
+
+def pool(score: np.ndarray, hits: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Adjacent violators pooled: (least score, hits, rows) of each step, accuracies rising.
+
+    Pools of parts of a sorted series, put one after the other and pooled again, are
+    those of the whole series.
+    """
+    low, hit, count = [], [], []
+    for s, h, n in zip(score.tolist(), hits.tolist(), rows.tolist(), strict=True):
+        while hit and hit[-1] * n >= h * count[-1]:
+            s, h, n = low.pop(), h + hit.pop(), n + count.pop()
+        low.append(s)
+        hit.append(h)
+        count.append(n)
+    return np.array(low), np.array(hit), np.array(count)
+
+
+def _calibrate(model: Classifier, coded: DataFrame) -> Classifier:
+    """Isotonic regression of being right on the raw score, over all rows of ``coded``.
+
+    Scores are folded, ranges of them pooled each by one task; n rows leave at most about
+    n^(2/3) pools, since accuracies of pools are rising fractions of whole numbers.
+    """
+    shared = coded.sparkSession.sparkContext.broadcast(model.weights)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches):
+            starts, place, value, label, copies = _csr(batch)
+            odds = _probabilities(shared.value, starts, place, value)
+            right = odds.argmax(axis=1) == label
+            yield pa.RecordBatch.from_pydict(
+                {"score": odds.max(axis=1), "hits": (copies * right).astype(np.int64), "rows": copies.astype(np.int64)}
+            )
+
+    def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = (np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64))
+        for batch in batches:
+            if batch.num_rows:
+                new = [batch.column(c).to_numpy() for c in ("score", "hits", "rows")]
+                kept = pool(*[np.concatenate(pair) for pair in zip(kept, new, strict=True)])
+        yield pa.RecordBatch.from_pydict(dict(zip(("score", "hits", "rows"), kept, strict=True)))
+
+    schema = "score DOUBLE, hits BIGINT, rows BIGINT"
+    scored = coded.mapInArrow(judge, schema).groupBy("score").agg(
+        F.sum("hits").alias("hits"), F.sum("rows").alias("rows")
+    )
+    pools = (
+        scored.repartitionByRange("score")
+        .sortWithinPartitions("score")
+        .mapInArrow(pooled, schema)
+        .toPandas()
+        .sort_values("score")
+    )
+    low, hits, rows = pool(*[pools[c].to_numpy() for c in ("score", "hits", "rows")])
+    return Classifier(model.weights, low, hits / np.maximum(rows, 1))
+
+
+def score_classifier(df: DataFrame, model: Classifier) -> DataFrame:
+    """Star of the likeliest class and its confidence; map-only.
+
+    A null text has nulls; a text without words has the star of the labels alone.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    kind = pa.struct([("sentiment_star", pa.int32()), ("sentiment_conf", pa.float32())])
+
+    @F.arrow_udf("sentiment_star INT, sentiment_conf FLOAT")
+    def judge(text: pa.Array) -> pa.Array:
+        told = shared.value
+        texts = text.cast(pa.large_string())
+        stars, confs = [np.empty(0, np.int32)], [np.empty(0, np.float32)]
+        for starts, place, value in _sparse(texts, len(told.weights) - 1):
+            odds = _probabilities(told.weights, starts, place, value)
+            stars.append((odds.argmax(axis=1) + 1).astype(np.int32))
+            confs.append(told.calibrated(odds.max(axis=1)).astype(np.float32))
+        unknown = texts.is_null().to_numpy(zero_copy_only=False)
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(np.concatenate(stars), pa.int32(), mask=unknown),
+                pa.array(np.concatenate(confs), pa.float32(), mask=unknown),
+            ],
+            fields=list(kind),
+        )
+
     base = df.drop("sentiment_star", "sentiment_conf")
-    scored = model.transform(base.withColumn("_text", F.col("text")).fillna("", ["text"]))
-    known = F.col("_text").isNotNull()
-    return scored.select(
-        *[F.col("_text").alias("text") if c == "text" else F.col(c) for c in base.columns],
-        F.when(known, F.col("_prediction") + 1).cast("int").alias("sentiment_star"),
-        F.when(known, F.array_max(vector_to_array("_probability")))
-        .cast("float")
-        .alias("sentiment_conf"),
+    return base.withColumn("_p", judge(F.lower("text"))).select(
+        *base.columns, "_p.sentiment_star", "_p.sentiment_conf"
+    )
+
+
+def classifier_report(scored: DataFrame, bins: int = 10) -> DataFrame:
+    """Accuracy and confidence of measured reviews by tenths of confidence, and over all.
+
+    Only rated reviews of the held-out fold count. The row with a null ``bin`` is that of
+    all; ``gap`` is there the expected calibration error, the mean gap over its reviews.
+    """
+    place = F.least(F.floor(F.col("sentiment_conf") * bins), F.lit(bins - 1)).cast("int")
+    right = (F.col("sentiment_star") == F.round("rating")).cast("int")
+    judged = scored.filter(
+        held_out() & F.col("rating").between(1, 5) & F.col("sentiment_star").isNotNull()
+    )
+    by_bin = judged.groupBy(place.alias("bin")).agg(
+        F.count("*").alias("reviews"),
+        F.sum(F.col("sentiment_conf").cast("double")).alias("_conf"),
+        F.sum(right).alias("_right"),
+    ).withColumn("_gap", F.abs(F.col("_conf") - F.col("_right")))
+    return by_bin.rollup("bin").agg(
+        F.sum("reviews").alias("reviews"),
+        (F.sum("_right") / F.sum("reviews")).alias("accuracy"),
+        (F.sum("_conf") / F.sum("reviews")).alias("confidence"),
+        (F.sum("_gap") / F.sum("reviews")).alias("gap"),
     )
 
 

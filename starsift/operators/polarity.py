@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import json
+import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starsift.functions.text import LETTERS, exploded
@@ -14,6 +17,9 @@ from starsift.sources.workspace import materialize
 # Upper limits of the standard score for one to four stars.
 STAR_LIMITS = (-1.5, -0.5, 0.5, 1.5)
 BUCKETS = 65536
+# Terms whose price a task remembers, and bytes of texts that it splits at a time.
+KEPT_TERMS = 500_000
+PIECE = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -88,18 +94,62 @@ def bucket_weights(model: Polarity) -> list[float]:
     return weights
 
 
+class Prices:
+    """Prices of terms by bucket, for lower-cased texts of a task."""
+
+    def __init__(self, weights: np.ndarray):
+        self.weights = weights
+        self.known: dict[str, float] = {}
+
+    def price(self, term: str) -> float:
+        found = self.known.get(term)
+        if found is None:
+            if len(self.known) >= KEPT_TERMS:
+                self.known.clear()
+            digest = hashlib.md5(term.encode(), usedforsecurity=False).hexdigest()
+            found = self.known[term] = float(self.weights[int(digest[:4], 16)])
+        return found
+
+    def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of prices and number of terms of each text, pieces of texts at a time."""
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        totals, counts = [np.empty(0)], [np.empty(0, np.int64)]
+        begin = 0
+        while begin < len(texts):
+            limit = (sizes[begin - 1] if begin else 0) + PIECE
+            end = max(begin + 1, int(np.searchsorted(sizes, limit, side="right")))
+            words = pc.split_pattern_regex(texts.slice(begin, end - begin), LETTERS)
+            owner = pc.list_parent_indices(words).to_numpy()
+            coded = pc.dictionary_encode(pc.list_flatten(words))
+            terms = coded.dictionary.to_pylist()
+            worth = np.array([self.price(t) for t in terms], dtype=np.float64)
+            real = np.array([t != "" for t in terms], dtype=bool)
+            place = coded.indices.to_numpy()
+            owner, place = owner[real[place]], place[real[place]]
+            counts.append(np.bincount(owner, minlength=end - begin))
+            totals.append(np.bincount(owner, worth[place], minlength=end - begin))
+            begin = end
+        return np.concatenate(totals), np.concatenate(counts)
+
+
 def mean_price(text: Column, weights: list[float]) -> Column:
     """Mean weight of the tokens of a text, null for a text without any.
 
-    The weights stand in the expression as one constant array, so a row is priced
-    where it is read.
+    Arrow batches of texts go through Python tasks, which hash each distinct term once:
+    the same sum as an expression is interpreted token by token. The 65536 weights
+    reach the tasks as one broadcast variable.
     """
-    prices = F.from_json(F.lit(json.dumps(weights)), "array<double>")
-    words = F.filter(F.split(F.lower(text), LETTERS), lambda t: F.length(t) >= 1)
-    total = F.aggregate(
-        words, F.lit(0.0), lambda sum_, t: sum_ + F.coalesce(F.get(prices, bucket(t)), F.lit(0.0))
-    )
-    return F.try_divide(total, F.size(words))
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(np.array(weights))
+    kept: list[Prices] = []
+
+    @F.arrow_udf("double")
+    def price(texts: pa.Array) -> pa.Array:
+        if not kept:
+            kept.append(Prices(shared.value))
+        total, count = kept[0].sums(texts.cast(pa.large_string()))
+        return pa.array(total / np.maximum(count, 1), mask=count == 0)
+
+    return price(F.lower(text))
 
 
 def fit_hashed(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Polarity:

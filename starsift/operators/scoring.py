@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,9 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starsift.functions.text import LETTERS
 from starsift.operators.cleaning import filter_nonempty, sample_rows, scoring_columns
-from starsift.operators.polarity import STAR_LIMITS, Polarity, bucket_weights
+from starsift.operators.polarity import STAR_LIMITS, Polarity, Prices, bucket_weights
 from starsift.schema import SCORE_SCHEMA
 
 # A model maps texts to labels such as "4 stars" and confidences in 0..1.
@@ -74,24 +72,10 @@ def hashed_model(model: Polarity) -> Callable[[], Model]:
     limits = np.array(STAR_LIMITS)
 
     def load() -> Model:
-        prices = shared.value
+        prices = Prices(shared.value)
 
         def predict(texts: list[str]) -> tuple[list[str], list[float]]:
-            lower = pc.utf8_lower(pa.array(texts, pa.large_string()))
-            words = pc.split_pattern_regex(lower, LETTERS)
-            owner = pc.list_parent_indices(words).to_numpy()
-            coded = pc.dictionary_encode(words.flatten())
-            worth = np.array(
-                [
-                    prices[int(hashlib.md5(w.encode(), usedforsecurity=False).hexdigest()[:4], 16)]
-                    for w in coded.dictionary.to_pylist()
-                ]
-            )
-            real = np.array([w != "" for w in coded.dictionary.to_pylist()], dtype=bool)
-            place = coded.indices.to_numpy()
-            owner, place = owner[real[place]], place[real[place]]
-            count = np.bincount(owner, minlength=len(texts))
-            total = np.bincount(owner, worth[place], minlength=len(texts))
+            total, count = prices.sums(pc.utf8_lower(pa.array(texts, pa.large_string())))
             m = total / np.maximum(count, 1)
             z = (m - mu) / sigma if sigma else np.zeros(len(texts))
             star = 1 + (z[:, None] >= limits[None, :]).sum(axis=1)

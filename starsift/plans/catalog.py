@@ -572,11 +572,28 @@ def score_udf(spark, sf_dir):
     return scored.select("review_id", "sentiment_star", conf4())
 
 
+def _classified(kept):
+    train, calibrate, _ = classifier.split_rated(kept)
+    return classifier.score_classifier(
+        kept, classifier.fit_classifier(train, calibration=calibrate)
+    )
+
+
 @query
 def score_classifier(spark, sf_dir):
-    kept = clean(spark, sf_dir).select("review_id", "text", "rating")
-    scored = classifier.score_classifier(kept, classifier.fit_classifier(kept))
-    return scored.select("review_id", "sentiment_star", conf4())
+    kept = materialize(clean(spark, sf_dir).select("review_id", "text", "rating"), "rated")
+    held = classifier.held_out().alias("held_out")
+    return _classified(kept).select("review_id", "sentiment_star", conf4(), held)
+
+
+@query
+def classifier_report(spark, sf_dir):
+    docs, labels = documents(spark, sf_dir), table(spark, sf_dir, "labels")
+    rating = (1.0 + 4 * F.col("quality")).alias("rating")
+    rated = materialize(docs.join(labels, "doc_id").select("doc_id", "text", rating), "rated")
+    return rounded(
+        classifier.classifier_report(_classified(rated)), "accuracy", "confidence", "gap"
+    )
 
 
 @query
