@@ -15,13 +15,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starsift.functions.text import LETTERS, exploded
+from starsift.functions.text import LETTERS, exploded, letter_words
 from starsift.operators.polarity import BUCKETS, bucket, mean_price
 from starsift.sources.workspace import materialize
 
 CLASSES = 5
-# Characters of text that a task codes at a time, and rows that a learner goes over again.
-_PIECE = 1 << 22
+# Rows that a learner goes over again, and those of one gradient.
 _BLOCK, _BATCH = 2048, 128
 _FAN = 32
 
@@ -67,20 +66,11 @@ def _sparse(texts: pa.Array, features: int) -> Iterator[tuple[np.ndarray, np.nda
     A value is one plus the logarithm of a count, each row of length one; the last
     place is the same for all texts.
     """
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    begin = 0
-    while begin < len(texts):
-        limit = (sizes[begin - 1] if begin else 0) + _PIECE
-        end = max(begin + 1, int(np.searchsorted(sizes, limit, side="right")))
-        part = texts.slice(begin, end - begin)
-        rows = len(part)
-        words = pc.split_pattern_regex(pc.fill_null(part, ""), LETTERS)
-        owner = pc.list_parent_indices(words).to_numpy()
-        coded = pc.dictionary_encode(pc.list_flatten(words))
+    for rows, owner, words in letter_words(texts):
+        coded = pc.dictionary_encode(words)
         terms = coded.dictionary.to_pylist()
-        hashed = np.array([_place(t, features) if t else -1 for t in terms], dtype=np.int64)
-        place = hashed[coded.indices.to_numpy()] if terms else np.empty(0, np.int64)
-        cell = (owner * (features + 1) + place)[place >= 0]
+        place = np.array([_place(t, features) for t in terms], dtype=np.int64)[coded.indices.to_numpy()]
+        cell = owner * (features + 1) + place
         cells, counts = np.unique(cell, return_counts=True)
         value = 1.0 + np.log(counts)
         row = cells // (features + 1)
@@ -92,7 +82,6 @@ def _sparse(texts: pa.Array, features: int) -> Iterator[tuple[np.ndarray, np.nda
         value = np.concatenate([value, np.ones(rows)])[order]
         starts = np.searchsorted(row[order], np.arange(rows))
         yield starts, place, value
-        begin = end
 
 
 def _place(term: str, features: int) -> int:

@@ -11,15 +11,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starsift.functions.text import LETTERS, exploded
+from starsift.functions.text import LETTERS, exploded, letter_words
 from starsift.sources.workspace import materialize
 
 # Upper limits of the standard score for one to four stars.
 STAR_LIMITS = (-1.5, -0.5, 0.5, 1.5)
 BUCKETS = 65536
-# Terms whose price a task remembers, and bytes of texts that it splits at a time.
+# Terms whose price a task remembers.
 KEPT_TERMS = 500_000
-PIECE = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -112,23 +111,12 @@ class Prices:
 
     def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Sum of prices and number of terms of each text, pieces of texts at a time."""
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
         totals, counts = [np.empty(0)], [np.empty(0, np.int64)]
-        begin = 0
-        while begin < len(texts):
-            limit = (sizes[begin - 1] if begin else 0) + PIECE
-            end = max(begin + 1, int(np.searchsorted(sizes, limit, side="right")))
-            words = pc.split_pattern_regex(texts.slice(begin, end - begin), LETTERS)
-            owner = pc.list_parent_indices(words).to_numpy()
-            coded = pc.dictionary_encode(pc.list_flatten(words))
-            terms = coded.dictionary.to_pylist()
-            worth = np.array([self.price(t) for t in terms], dtype=np.float64)
-            real = np.array([t != "" for t in terms], dtype=bool)
-            place = coded.indices.to_numpy()
-            owner, place = owner[real[place]], place[real[place]]
-            counts.append(np.bincount(owner, minlength=end - begin))
-            totals.append(np.bincount(owner, worth[place], minlength=end - begin))
-            begin = end
+        for size, owner, words in letter_words(texts):
+            coded = pc.dictionary_encode(words)
+            worth = np.array([self.price(t) for t in coded.dictionary.to_pylist()], dtype=np.float64)
+            counts.append(np.bincount(owner, minlength=size))
+            totals.append(np.bincount(owner, worth[coded.indices.to_numpy()], minlength=size))
         return np.concatenate(totals), np.concatenate(counts)
 
 
