@@ -2,6 +2,7 @@ import math
 import random
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +188,69 @@ def test_embeddings_in_place_of_texts(spark):
     df = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>")
     got = {r["review_id"]: r["topic"] for r in topics.embedded_topics(df, "vec_id", "embedding", 2, 1.0).collect()}
     assert len({got[i] for i in range(0, 30, 2)} & {got[i] for i in range(1, 30, 2)} - {-1}) == 0
+
+
+def test_terms_are_counted_from_each_text_once(spark, monkeypatch):
+    """Repeated texts are split once, whatever classes they are in and however batches are cut."""
+    monkeypatch.setattr(topics, "_CLASSES", 2)
+    split = spark.sparkContext.accumulator(0)
+
+    def words(text="text"):
+        @F.udf("array<string>")
+        def parts(text):
+            split.add(1)
+            return [w for w in text.split() if len(w) > 1]
+
+        return parts(F.col(text))
+
+    rows = [("aa bb aa", i % 5 if i % 7 else None) for i in range(60)] + [("bb cc", 1), (None, 2), ("x", 3)]
+    df = spark.createDataFrame(rows, "text STRING, k INT").repartition(3)
+    want = {}
+    for text, k in rows:
+        for w in (text or "").split():
+            if len(w) > 1:
+                want[k, w] = want.get((k, w), 0) + 1
+    plain = {(r["k"], r["term"]): r["tf"] for r in topics.class_counts(df, "k").collect()}
+    twice = df.withColumn("n", F.lit(2))
+    double = {(r["k"], r["term"]): r["tf"] for r in topics.class_counts(twice, "k", copies="n").collect()}
+    monkeypatch.setattr(topics, "_CLASSES", 256)
+    monkeypatch.setattr(topics, "topic_words", words)
+    counted = {(r["k"], r["term"]): r["tf"] for r in topics.class_counts(df, "k").collect()}
+    assert plain == want == counted and double == {key: 2 * n for key, n in want.items()}
+    assert split.value == 3
+
+
+@pytest.mark.parametrize("counters, pairs", [(1, 1), (50, 7), (1 << 22, 1 << 20)])
+def test_counters_of_a_batch_equal_counting_by_hand(monkeypatch, counters, pairs):
+    monkeypatch.setattr(topics, "_COUNTERS", counters)
+    monkeypatch.setattr(topics, "_PAIRS", pairs)
+    rng = random.Random(5)
+    rows, want = [], {}
+    for _ in range(40):
+        words = [rng.choice("abcdefg") * 2 for _ in range(rng.randrange(12))]
+        classes = [{"class": c, "n": rng.randrange(1, 9)} for c in rng.sample([None, *range(8)], rng.randrange(1, 6))]
+        rows.append({"words": words, "classes": classes})
+        for w in words:
+            for c in classes:
+                want[c["class"], w] = want.get((c["class"], w), 0) + c["n"]
+    kind = pa.schema([("words", pa.list_(pa.string())),
+                      ("classes", pa.list_(pa.struct([("class", pa.int32()), ("n", pa.int64())])))])
+    got = {}
+    for part in topics._counters(pa.RecordBatch.from_pylist(rows, kind)):
+        for r in part.to_pylist():
+            for c, x in zip(r["classes"], r["n"], strict=True):
+                got[c, r["term"]] = got.get((c, r["term"]), 0) + x
+    assert got == want
+
+
+def test_top_terms_equal_a_full_sort(spark):
+    rng = random.Random(8)
+    rows = [(c, f"t{i}", rng.choice([0.0, 0.3, 1.0, 1.0 + 1e-9, 7.5, rng.random() * 40]))
+            for c in (None, 1, 2, 3) for i in range(5 if c == 3 else 200)]
+    df = spark.createDataFrame(rows, "topic INT, term STRING, weight DOUBLE")
+    got = sorted((repr(r["topic"]), r["place"], r["term"]) for r in topics.top_terms(df, k=30).collect())
+    want = []
+    for c in (None, 1, 2, 3):
+        mine = sorted((r for r in rows if r[0] == c), key=lambda r: (-round(r[2], 6), r[1]))[:30]
+        want += [(repr(c), i + 1, r[1]) for i, r in enumerate(mine)]
+    assert got == sorted(want)
