@@ -108,3 +108,20 @@ def test_indicator_reads_every_year(spark, tmp_path):
     (tmp_path / "wide.csv").write_text("\n".join(lines))
     got = indicator.read_indicator(spark, str(tmp_path / "wide.csv")).orderBy("year").collect()
     assert [(r["year"], r["rate"]) for r in got] == [(y, y / 10) for y in years]
+
+
+@pytest.mark.parametrize("write, suffix", [("write_parquet", "zstd.parquet"), ("write_lines", "txt.gz")])
+def test_partitioned_writes_move_no_row(spark, tmp_path, rows, write, suffix, monkeypatch):
+    """Each task writes its own values, compressed and in its order; too many values are sorted."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    df = spark.range(60).selectExpr("string(id) || ' text' AS value", "id % 4 AS k").repartition(3)
+    for writers in (64, 2):
+        monkeypatch.setattr(sinks, "WRITERS", writers)
+        path = tmp_path / str(writers)
+        getattr(sinks, write)(df, str(path), ["k"])
+        back = (spark.read.parquet if write == "write_parquet" else spark.read.text)(str(path))
+        assert rows(back, "value", "k") == rows(df, "value", "k")
+        files = [f.name for f in path.glob("k=*/part-*")]
+        assert len(files) == 12 and all(f.endswith(suffix) for f in files)
+    assert spark.conf.get(setting) == before
