@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starsift.functions.text import LETTERS, exploded, letter_words
+from starsift.functions.text import LETTERS, distinct, exploded, letter_words
 from starsift.sources.workspace import materialize
 
 # Upper limits of the standard score for one to four stars.
@@ -97,7 +97,7 @@ class Prices:
     """Prices of terms by bucket, for lower-cased texts of a task."""
 
     def __init__(self, weights: np.ndarray):
-        self.weights = weights
+        self.weights = weights.tolist()
         self.known: dict[str, float] = {}
 
     def price(self, term: str) -> float:
@@ -106,18 +106,19 @@ class Prices:
             if len(self.known) >= KEPT_TERMS:
                 self.known.clear()
             digest = hashlib.md5(term.encode(), usedforsecurity=False).hexdigest()
-            found = self.known[term] = float(self.weights[int(digest[:4], 16)])
+            found = self.known[term] = self.weights[int(digest[:4], 16)]
         return found
 
     def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Sum of prices and number of terms of each text, pieces of texts at a time."""
+        """Sum of prices and number of terms of each text, pieces of distinct texts at a time."""
+        texts, place = distinct(texts)
         totals, counts = [np.empty(0)], [np.empty(0, np.int64)]
         for size, owner, words in letter_words(texts):
             coded = pc.dictionary_encode(words)
             worth = np.array([self.price(t) for t in coded.dictionary.to_pylist()], dtype=np.float64)
             counts.append(np.bincount(owner, minlength=size))
             totals.append(np.bincount(owner, worth[coded.indices.to_numpy()], minlength=size))
-        return np.concatenate(totals), np.concatenate(counts)
+        return np.concatenate(totals)[place], np.concatenate(counts)[place]
 
 
 def mean_price(text: Column, weights: list[float]) -> Column:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starsift.functions.text import distinct, pieces
 from starsift.operators.cleaning import filter_nonempty, sample_rows, scoring_columns
 from starsift.operators.polarity import STAR_LIMITS, Polarity, Prices, bucket_weights
 from starsift.schema import SCORE_SCHEMA
@@ -18,6 +18,9 @@ from starsift.schema import SCORE_SCHEMA
 # A model maps texts to labels such as "4 stars" and confidences in 0..1.
 Model = Callable[[list[str]], tuple[list[str], list[float]]]
 
+# Bytes of texts that a model gets at once, and the first characters of a label.
+_PIECE_BYTES, _STARS = 1 << 20, frozenset("12345")
+
 # Transformers that this Python worker has loaded, by path.
 _kept: dict[str, object] = {}
 
@@ -25,26 +28,29 @@ _kept: dict[str, object] = {}
 def score(df: DataFrame, load: Callable[[], Model], text: str = "text") -> DataFrame:
     """Add ``sentiment_star`` (1-5) and ``sentiment_conf`` to every row.
 
-    ``load`` runs once for each task, then every Arrow batch of whole texts goes
-    through the model. The star is the first character of the label; a label of
+    ``load`` runs once for each task, then the distinct whole texts of every
+    Arrow batch go through the model, about a megabyte at a time. The star is the first character of the label; a label of
     any other form gives a null star rather than a failed job, and a null text gives
     nulls. Map-only: no text is shuffled.
     """
 
-    @F.pandas_udf(SCORE_SCHEMA)
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(SCORE_SCHEMA)
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
-        for texts in batches:
-            known = texts.notna().to_numpy()
-            labels, confs = model(["" if t is None else t for t in texts])
-            first = pd.Series(labels, dtype="object").astype(str).str[:1]
-            star = first.where(known & first.isin(list("12345")))
-            yield pd.DataFrame(
-                {
-                    "sentiment_star": pd.to_numeric(star).astype("Int32"),
-                    "sentiment_conf": pd.Series(confs, dtype="float32").where(known),
-                }
-            )
+        for batch in batches:
+            texts, place = distinct(batch.cast(pa.large_string()))
+            stars, confs = [], []
+            for part in pieces(texts, _PIECE_BYTES):
+                labels, sure = model(["" if t is None else t for t in part.to_pylist()])
+                stars += [int(s[0]) if s[:1] in _STARS else None for s in map(str, labels)]
+                confs += list(sure)
+            known = pc.is_valid(texts)
+            values = [
+                pc.if_else(known, pa.array(stars, pa.int32()), None),
+                pc.if_else(known, pa.array(confs, pa.float32(), from_pandas=True), None),
+            ]
+            names = ["sentiment_star", "sentiment_conf"]
+            yield pa.StructArray.from_arrays([v.take(pa.array(place)) for v in values], names)
 
     base = df.drop("sentiment_star", "sentiment_conf")
     return base.withColumn("_p", predict(F.col(text))).select(

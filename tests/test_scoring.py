@@ -152,3 +152,44 @@ def test_classifier_learns_its_training_texts(spark):
     got = classifier.score_classifier(df, model).orderBy("review_id").collect()
     assert [r["sentiment_star"] for r in got] == [5] * 6 + [1] * 6 + [None]
     assert all(0.5 < r["sentiment_conf"] <= 1 for r in got[:12])
+
+
+def test_equal_texts_of_a_batch_are_scored_once(spark):
+    """A model sees each distinct text once, in parts of bounded size, and rows keep their order."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            seen.add(len(texts))
+            return [f"{len(t) % 5 + 1} stars" if len(t) != 3 else "none" for t in texts], [0.5] * len(texts)
+
+        return model
+
+    texts = ["a", "bb", "ccc", None, "", "dddd" * 300_000] * 30
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "review_id INT, text STRING").coalesce(1)
+    got = [tuple(r) for r in scoring.score(df, load).select("sentiment_star", "sentiment_conf").collect()]
+    want = [(None, None) if t is None else (None if len(t) == 3 else len(t) % 5 + 1, 0.5) for t in texts]
+    assert got == want and seen.value == 6
+
+
+def test_terms_of_equal_texts_are_priced_once():
+    import numpy as np
+    import pyarrow as pa
+
+    prices = polarity.Prices(np.arange(polarity.BUCKETS, dtype=float))
+    split = []
+    plain = polarity.letter_words
+    texts = ["good bad", None, "", "bad"] * 50
+
+    def counted(array, *args):
+        split.append(len(array))
+        return plain(array, *args)
+
+    polarity.letter_words, kept = counted, plain
+    try:
+        total, count = prices.sums(pa.array(texts, pa.large_string()))
+    finally:
+        polarity.letter_words = kept
+    good, bad = prices.price("good"), prices.price("bad")
+    assert split == [4] and count.tolist() == [2, 0, 0, 1] * 50
+    assert total.tolist() == [good + bad, 0.0, 0.0, bad] * 50
