@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starsift.functions.text import LETTERS, exploded, letter_words
+from starsift.functions.text import LETTERS, distinct, exploded, letter_words
 from starsift.operators.polarity import BUCKETS, bucket, mean_price
 from starsift.sources.workspace import materialize
 
@@ -95,6 +95,34 @@ def _probabilities(weights, starts, place, value) -> np.ndarray:
     return odds / odds.sum(axis=1, keepdims=True)
 
 
+def _coded_rows(batch: pa.RecordBatch, features: int) -> Iterator[pa.RecordBatch]:
+    """Vectors of a batch of (digest, label, text): rows of equal texts and labels leave as one."""
+    texts, own = distinct(batch.column("text").cast(pa.large_string()))
+    first = np.unique(own, return_index=True)[1]
+    cell, copies = np.unique(
+        own.astype(np.int64) * CLASSES + batch.column("label").to_numpy(), return_counts=True
+    )
+    digests = batch.column("digest").take(pa.array(first))
+    done = 0
+    for starts, place, value in _sparse(texts, features):
+        cuts = pa.array(np.append(starts, len(place)).astype(np.int32))
+        places = pa.ListArray.from_arrays(cuts, pa.array(place.astype(np.int32)))
+        values = pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32)))
+        here = slice(*np.searchsorted(cell, [done * CLASSES, (done + len(starts)) * CLASSES]))
+        text = pa.array(cell[here] // CLASSES)
+        yield pa.RecordBatch.from_arrays(
+            [
+                digests.take(text),
+                pa.array((cell[here] % CLASSES).astype(np.int32)),
+                pa.array(copies[here]),
+                places.take(pc.subtract(text, done)),
+                values.take(pc.subtract(text, done)),
+            ],
+            names=["digest", "label", "copies", "places", "values"],
+        )
+        done += len(starts)
+
+
 def _coded(df: DataFrame, features: int) -> DataFrame:
     """(digest, label, copies, places, values): equal rated texts folded, no text in it."""
     rated = df.filter(F.col("rating").between(1, 5) & F.col("text").isNotNull()).select(
@@ -105,25 +133,13 @@ def _coded(df: DataFrame, features: int) -> DataFrame:
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_string())
-            done = 0
-            for starts, place, value in _sparse(texts, features):
-                part = batch.slice(done, len(starts))
-                done += len(starts)
-                cuts = pa.array(np.append(starts, len(place)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("digest"),
-                        part.column("label"),
-                        pa.ListArray.from_arrays(cuts, pa.array(place.astype(np.int32))),
-                        pa.ListArray.from_arrays(cuts, pa.array(value.astype(np.float32))),
-                    ],
-                    names=["digest", "label", "places", "values"],
-                )
-
-    rows = rated.mapInArrow(code, "digest BIGINT, label INT, places ARRAY<INT>, values ARRAY<FLOAT>")
+            yield from _coded_rows(batch, features)
+
+    rows = rated.mapInArrow(
+        code, "digest BIGINT, label INT, copies BIGINT, places ARRAY<INT>, values ARRAY<FLOAT>"
+    )
     folded = rows.groupBy("digest", "label").agg(
-        F.count("*").alias("copies"), F.first("places").alias("places"), F.first("values").alias("values")
+        F.sum("copies").alias("copies"), F.first("places").alias("places"), F.first("values").alias("values")
     )
     return materialize(folded, "coded")
 
@@ -297,7 +313,7 @@ def score_classifier(df: DataFrame, model: Classifier) -> DataFrame:
     @F.arrow_udf("sentiment_star INT, sentiment_conf FLOAT")
     def judge(text: pa.Array) -> pa.Array:
         told = shared.value
-        texts = text.cast(pa.large_string())
+        texts, row = distinct(text.cast(pa.large_string()))
         stars, confs = [np.empty(0, np.int32)], [np.empty(0, np.float32)]
         for starts, place, value in _sparse(texts, len(told.weights) - 1):
             odds = _probabilities(told.weights, starts, place, value)
@@ -306,8 +322,8 @@ def score_classifier(df: DataFrame, model: Classifier) -> DataFrame:
         unknown = texts.is_null().to_numpy(zero_copy_only=False)
         return pa.StructArray.from_arrays(
             [
-                pa.array(np.concatenate(stars), pa.int32(), mask=unknown),
-                pa.array(np.concatenate(confs), pa.float32(), mask=unknown),
+                pa.array(np.concatenate(stars)[row], pa.int32(), mask=unknown[row]),
+                pa.array(np.concatenate(confs)[row], pa.float32(), mask=unknown[row]),
             ],
             fields=list(kind),
         )

@@ -86,3 +86,21 @@ def test_nulls_blanks_and_no_rows(spark):
     assert classifier.classifier_report(classifier.score_classifier(df.filter("false"), model)).count() <= 1
     long = spark.createDataFrame([(1, 5.0, "great " * 2_000_000)], df.schema)
     assert classifier.score_classifier(long, model).count() == 1
+
+
+def test_rows_of_equal_texts_and_stars_leave_a_batch_as_one():
+    import pyarrow as pa
+
+    rows = [("good fine", 4), ("bad", 0), ("good fine", 4), ("", 2), ("good fine", 0), ("bad", 0)] * 3
+    batch = pa.RecordBatch.from_pydict({
+        "digest": pa.array([len(t) for t, _ in rows], pa.int64()),
+        "label": pa.array([s for _, s in rows], pa.int32()),
+        "text": pa.array([t for t, _ in rows], pa.string()),
+    })
+    got = [r for part in classifier._coded_rows(batch, 64) for r in part.to_pylist()]
+    assert sorted((r["digest"], r["label"], r["copies"]) for r in got) == [(0, 2, 3), (3, 0, 6), (9, 0, 3), (9, 4, 6)]
+    alone = {}
+    for text in ("good fine", "bad", ""):
+        _, place, value = next(classifier._sparse(pa.array([text], pa.large_string()), 64))
+        alone[len(text)] = (place.tolist(), pytest.approx(value.tolist()))
+    assert all((r["places"], r["values"]) == alone[r["digest"]] for r in got)
