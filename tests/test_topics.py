@@ -254,3 +254,26 @@ def test_top_terms_equal_a_full_sort(spark):
         mine = sorted((r for r in rows if r[0] == c), key=lambda r: (-round(r[2], 6), r[1]))[:30]
         want += [(repr(c), i + 1, r[1]) for i, r in enumerate(mine)]
     assert got == sorted(want)
+
+
+def test_labelled_info_equals_the_table_of_relabelled_rows(spark):
+    rows = [(i % 50 if i % 9 else None, f"{'abcdefghij'[i % 10] * 2} word w{i % 4} w{i % 4}", f"b{i % 6}")
+            for i in range(120)]
+    rows += [(200, None, "b1"), (201, "aa bb", None), (201, "cc dd", "b0"), (203, "?", "b7")]
+    df = spark.createDataFrame(rows, "review_id INT, text STRING, brand STRING").repartition(3)
+    want = topics.topic_info(topics.relabel(df, "brand").select("text", "topic"), terms=3).collect()
+    assert topics.labelled_info(df, "brand", terms=3).collect() == want
+    bars = topics.topic_bars(topics.relabel(df, "brand"), 2, 3)
+    got = topics.labelled_bars(df, "brand", 2, 3)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, bars.collect()))
+
+
+def test_heaviest_terms_of_a_batch_keep_all_ties():
+    batch = pa.RecordBatch.from_pylist(
+        [{"term": t, "classes": [1, None], "n": [n, 1], "f": n + 1} for t, n in zip("abcd", (5, 5, 5, 1), strict=True)],
+        pa.schema([("term", pa.string()), ("classes", pa.list_(pa.int32())),
+                   ("n", pa.list_(pa.int64())), ("f", pa.int64())]),
+    )
+    got = topics._heaviest(batch, "k", 8.0, 2).to_pylist()
+    assert sorted(r["term"] for r in got if r["k"] == 1) == ["a", "b", "c"]
+    assert sorted(r["term"] for r in got if r["k"] is None) == ["a", "b", "c", "d"]
