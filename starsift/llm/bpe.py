@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from starsift.functions.text import distinct
 from starsift.llm.common import by_bytes, sliced
 from starsift.operators.skew import lookup_join
 from starsift.sources.workspace import materialize, spread
@@ -311,10 +312,11 @@ def _chunks(raw: bytes) -> Iterator[bytes]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct chunk digests of each batch with their counts."""
+    """Distinct chunk digests of each batch with their counts; equal texts of a batch count once."""
     for batch in by_bytes(batches, "text"):
         counts: dict[bytes, int] = {}
-        for raw in batch.column("text").cast(pa.binary()).to_pylist():
+        texts, _ = distinct(batch.column("text"))
+        for raw in texts.cast(pa.binary()).to_pylist():
             for chunk in _chunks(raw or b""):
                 mark = _digest(chunk)
                 counts[mark] = counts.get(mark, 0) + 1
@@ -390,27 +392,27 @@ def _passed(definition, bits, kind: pa.DataType, digests: bool, keep: bool):
     """Results of documents without shared chunks; segments of the others, and shared text.
 
     Ids of shared chunks are left out of the segments; their text goes out once a task.
+    Equal texts of a batch are encoded once, and their chunks are not shared by that alone.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shared = _encoder(definition.value), bits.value
         key, sent = TaskContext.get().partitionId() << 40, set()
         for batch in by_bytes(batches, "text"):
-            texts = pc.fill_null(batch.column("text"), "")
+            texts, place = distinct(pc.fill_null(batch.column("text"), ""))
             keys, docs, segments, alone = [], [], [], []
             bodies: dict[bytes, bytes] = {}
-            for row, raw in enumerate(texts.cast(pa.binary()).to_pylist()):
+            split: dict[int, list[dict]] = {}
+            for text, raw in enumerate(texts.cast(pa.binary()).to_pylist()):
                 chunks = list(_chunks(raw))
                 marks = [_digest(c) for c in chunks]
                 hits = [_is_shared(shared, m) for m in marks]
                 if not any(hits):
-                    alone.append(row)
+                    alone.append(text)
                     continue
-                keys.append(key + row)
-                docs.append(row)
                 parts = [_segment(encoder, *x) for x in zip(range(len(chunks)), chunks, marks, hits,
                                                             strict=True)]
-                segments.append(parts)
+                split[text] = parts
                 for part, chunk in zip(parts, chunks, strict=True):
                     mark = part.get("digest")
                     if mark is not None and mark not in sent:
@@ -418,29 +420,40 @@ def _passed(definition, bits, kind: pa.DataType, digests: bool, keep: bool):
                             sent.clear()
                         sent.add(mark)
                         bodies[mark] = chunk[len(part["head"]):len(chunk) - len(part["tail"])]
+            # Every row has the result of its text.
+            at = {text: i for i, text in enumerate(alone)}
+            rows, known = [], []
+            for row, text in enumerate(place.tolist()):
+                if text in split:
+                    keys.append(key + row)
+                    docs.append(row)
+                    segments.append(split[text])
+                else:
+                    rows.append(row)
+                    known.append(at[text])
             key += batch.num_rows
             ids = batch.column("doc_id")
-            whole = pa.array(alone, pa.int64())
-            coded = encoder.encode_texts(texts.take(whole))
+            whole = pa.array(rows, pa.int64())
+            coded = encoder.encode_texts(texts.take(pa.array(alone, pa.int64())))
             many = len(docs) + len(bodies)
             empty = [None] * many
             out = {
-                "key": pa.array([*keys, *[None] * (len(bodies) + len(alone))], pa.int64()),
+                "key": pa.array([*keys, *[None] * (len(bodies) + len(rows))], pa.int64()),
                 "doc_id": pa.concat_arrays([
                     ids.take(pa.array(docs, pa.int64())), pa.nulls(len(bodies), kind),
                     ids.take(whole),
                 ]),
-                "segments": pa.array([*segments, *[None] * (len(bodies) + len(alone))], _SEGMENTS),
-                "digest": pa.array([*[None] * len(docs), *bodies, *[None] * len(alone)], pa.binary()),
+                "segments": pa.array([*segments, *[None] * (len(bodies) + len(rows))], _SEGMENTS),
+                "digest": pa.array([*[None] * len(docs), *bodies, *[None] * len(rows)], pa.binary()),
                 "body": pa.array(
-                    [*[None] * len(docs), *bodies.values(), *[None] * len(alone)], pa.binary()),
-                "whole": pa.array([False] * many + [True] * len(alone)),
+                    [*[None] * len(docs), *bodies.values(), *[None] * len(rows)], pa.binary()),
+                "whole": pa.array([False] * many + [True] * len(rows)),
             }
             told = _digests(encoder, coded) if digests else {c: [None] * len(coded) for c in _TOLD}
             for c, values in told.items():
-                out[c] = pa.array(empty + values, _TOLD[c])
-            out["ids"] = pa.array(
-                empty + ([_shrunk(i) for i in coded] if keep else [None] * len(coded)), pa.binary())
+                out[c] = pa.array(empty + [values[i] for i in known], _TOLD[c])
+            stored = [_shrunk(i) for i in coded] if keep else [None] * len(coded)
+            out["ids"] = pa.array(empty + [stored[i] for i in known], pa.binary())
             yield pa.RecordBatch.from_pydict(out)
 
     return encode

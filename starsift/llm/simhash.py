@@ -443,9 +443,12 @@ def _likely(keep: int, floor: float):
         for cell, ids, group, sketches in _runs(batches, "least"):
             size = np.array([len(x) for x in sketches])
             owner, flat = np.repeat(np.arange(len(ids)), size), np.concatenate(sketches)
-            wanted = np.zeros(len(ids), bool)
-            for i, one in enumerate(sketches):
-                apart = (group != group[i]) & (np.arange(len(ids)) > i)
+            wanted, ahead = np.zeros(len(ids), bool), np.ones(len(ids), bool)
+            # Of two rows of different roots one at least is not of the root with most rows.
+            for i in np.flatnonzero(group != np.bincount(group).argmax()).tolist():
+                one = sketches[i]
+                ahead[i] = False
+                apart = (group != group[i]) & ahead
                 if not apart.any():
                     continue
                 shared = _shared(one, flat, owner, len(ids))
@@ -490,7 +493,7 @@ def star_cells(pairs: DataFrame, block: int = 128) -> DataFrame:
     return members.unionByName(middle).withColumn("root", F.col("id"))
 
 
-def open_cells(met: DataFrame, judged: DataFrame, block: int = 128) -> DataFrame:
+def open_cells(met: DataFrame, judged: DataFrame, block: int = 512) -> DataFrame:
     """(cell, id, root): the buckets of ``met`` whose ids ``judged`` does not all connect.
 
     ``met`` has (id, bucket, n). The ids of such a bucket are dealt to blocks of about

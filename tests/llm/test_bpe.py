@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -124,3 +125,19 @@ def test_a_decoder_of_the_definition_is_used():
     ids = encoder.encode(b"hello world")
     assert encoder.decode(ids) == encoder.tokenizer.decode(list(np.frombuffer(ids, "<u4")), skip_special_tokens=False)
     assert encoder.decode(ids) != bpe.Encoder(definition).decode(ids)
+
+
+def test_copies_next_to_each_other_do_not_share_chunks(spark):
+    words = random.Random(4)
+    texts = [" ".join(words.choice("abcdefgh") * words.randrange(1, 9) for _ in range(600)) for _ in range(3)]
+    rows = [(i, t) for i, t in enumerate([texts[0]] * 3 + [texts[1], None, None, texts[2], texts[2]])]
+    batch = pa.RecordBatch.from_pylist([{"text": t} for _, t in rows], pa.schema([("text", pa.string())]))
+    for told in bpe._counted(iter([batch])):
+        assert set(told.column("n").to_pylist()) == {1}
+    docs = spark.createDataFrame(rows, "doc_id INT, text STRING").coalesce(1)
+    library = Tokenizer.from_file(PATH)
+    got = {r["doc_id"]: r["ids_sha256"] for r in bpe.token_digests(docs, PATH).collect()}
+    assert got == {
+        i: hashlib.sha256(np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes()).hexdigest()
+        for i, t in rows
+    }

@@ -234,3 +234,9 @@ def test_pairs_that_the_lowest_id_does_not_link_are_compared(spark, block):
         root = {i: new if r == old else r for i, r in root.items()}
     assert len(set(root.values())) == 11
     assert all(root[1 + 3 * g] == root[2 + 3 * g] == root[3 + 3 * g] for g in range(10))
+
+
+def test_rows_of_an_open_bucket_of_some_hundred_ids_are_not_multiplied(spark):
+    met = spark.createDataFrame([(i, 7, 400) for i in range(400)], "id LONG, bucket LONG, n LONG")
+    judged = spark.createDataFrame([(i, 0) for i in range(1, 300)], "a LONG, b LONG")
+    assert simhash.open_cells(met, judged).count() == 400
