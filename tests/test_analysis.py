@@ -389,3 +389,22 @@ def test_monthly_change_is_against_the_calendar_month_before(spark):
     got = {(r["year"], r["month"]): r["sentiment_change"] for r in trends.monthly_trend(df).collect()}
     assert got == {(2000, 1): None, (2000, 2): 1.0, (2000, 5): None, (2000, 12): None,
                    (2001, 1): 4.0, (None, None): None}
+
+
+def test_repeated_text_strips_each_distinct_text_once(spark, monkeypatch):
+    split = spark.sparkContext.accumulator(0)
+
+    def lowered(text):
+        @F.udf("string")
+        def once(text):
+            split.add(1)
+            return " ".join(text.lower().split())
+
+        return once(F.col(text))
+
+    monkeypatch.setattr(users, "normalized", lowered)
+    rows = [(i, f"u{i % 3}", "A  b" if i % 2 else "a b") for i in range(60)] + [(60, "u1", None), (61, None, "z")]
+    df = spark.createDataFrame(rows, "review_id INT, user_id STRING, text STRING").repartition(4)
+    got = sorted((r["user_id"], r["copies"], r["first_review_id"]) for r in users.repeated_text(df).collect())
+    assert got == [("u0", 20, 0), ("u1", 20, 1), ("u2", 20, 2)]
+    assert split.value <= 2 * 3
