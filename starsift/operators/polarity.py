@@ -18,7 +18,7 @@ from starsift.sources.workspace import materialize
 STAR_LIMITS = (-1.5, -0.5, 0.5, 1.5)
 BUCKETS = 65536
 # Terms whose price a task remembers.
-KEPT_TERMS = 500_000
+KEPT_TERMS = 120_000
 
 
 @dataclass(frozen=True)

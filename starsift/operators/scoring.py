@@ -18,8 +18,9 @@ from starsift.schema import SCORE_SCHEMA
 # A model maps texts to labels such as "4 stars" and confidences in 0..1.
 Model = Callable[[list[str]], tuple[list[str], list[float]]]
 
-# Bytes of texts that a model gets at once, and the first characters of a label.
-_PIECE_BYTES, _STARS = 1 << 20, frozenset("12345")
+# Bytes of a batch whose equal texts are found at once, bytes of texts that a model gets at
+# once, and the first characters of a label.
+_BATCH_BYTES, _PIECE_BYTES, _STARS = 1 << 23, 1 << 20, frozenset("12345")
 
 # Transformers that this Python worker has loaded, by path.
 _kept: dict[str, object] = {}
@@ -29,7 +30,8 @@ def score(df: DataFrame, load: Callable[[], Model], text: str = "text") -> DataF
     """Add ``sentiment_star`` (1-5) and ``sentiment_conf`` to every row.
 
     ``load`` runs once for each task, then the distinct whole texts of every
-    Arrow batch go through the model, about a megabyte at a time. The star is the first character of the label; a label of
+    Arrow batch, or of about 8 megabytes of a larger one, go through the model, about a
+    megabyte at a time. The star is the first character of the label; a label of
     any other form gives a null star rather than a failed job, and a null text gives
     nulls. Map-only: no text is shuffled.
     """
@@ -38,19 +40,23 @@ def score(df: DataFrame, load: Callable[[], Model], text: str = "text") -> DataF
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for batch in batches:
-            texts, place = distinct(batch.cast(pa.large_string()))
-            stars, confs = [], []
-            for part in pieces(texts, _PIECE_BYTES):
-                labels, sure = model(["" if t is None else t for t in part.to_pylist()])
-                stars += [int(s[0]) if s[:1] in _STARS else None for s in map(str, labels)]
-                confs += list(sure)
-            known = pc.is_valid(texts)
-            values = [
-                pc.if_else(known, pa.array(stars, pa.int32()), None),
-                pc.if_else(known, pa.array(confs, pa.float32(), from_pandas=True), None),
-            ]
-            names = ["sentiment_star", "sentiment_conf"]
-            yield pa.StructArray.from_arrays([v.take(pa.array(place)) for v in values], names)
+            found = [judged(model, part) for part in pieces(batch, _BATCH_BYTES)]
+            yield pa.concat_arrays(found) if found else judged(model, batch)
+
+    def judged(model: Model, batch: pa.Array) -> pa.Array:
+        texts, place = distinct(batch.cast(pa.large_string()))
+        stars, confs = [], []
+        for part in pieces(texts, _PIECE_BYTES):
+            labels, sure = model(["" if t is None else t for t in part.to_pylist()])
+            stars += [int(s[0]) if s[:1] in _STARS else None for s in map(str, labels)]
+            confs += list(sure)
+        known = pc.is_valid(texts)
+        values = [
+            pc.if_else(known, pa.array(stars, pa.int32()), None),
+            pc.if_else(known, pa.array(confs, pa.float32(), from_pandas=True), None),
+        ]
+        names = ["sentiment_star", "sentiment_conf"]
+        return pa.StructArray.from_arrays([v.take(pa.array(place)) for v in values], names)
 
     base = df.drop("sentiment_star", "sentiment_conf")
     return base.withColumn("_p", predict(F.col(text))).select(

@@ -193,3 +193,22 @@ def test_terms_of_equal_texts_are_priced_once():
     good, bad = prices.price("good"), prices.price("bad")
     assert split == [4] and count.tolist() == [2, 0, 0, 1] * 50
     assert total.tolist() == [good + bad, 0.0, 0.0, bad] * 50
+
+
+def test_large_batches_are_scored_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "_BATCH_BYTES", 40)
+    rows = [(i, None if i % 7 == 0 else "" if i % 5 == 0 else f"text {i % 3} " * 3) for i in range(50)]
+    most = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(texts):
+            most.add(int(sum(map(len, texts)) > 60))
+            return [f"{1 + len(t) % 5} stars" for t in texts], [0.5] * len(texts)
+
+        return model
+
+    df = spark.createDataFrame(rows, "review_id INT, text STRING").coalesce(1)
+    got = {r["review_id"]: r["sentiment_star"] for r in scoring.score(df, load).collect()}
+    assert got == {i: None if t is None else 1 + len(t) % 5 for i, t in rows}
+    assert most.value == 0
+    assert scoring.score(df.limit(0), load).collect() == []
