@@ -125,7 +125,7 @@ class Aligner:
                     self.known[unit] = held
             found.append(held)
         # White space at the ends of a text's first or last unit would join that of others.
-        alone = [i for i in missed if units[i][:1].isspace() or units[i][-1:].isspace()]
+        alone = [i for i in missed if units[i] != units[i].strip()]
         rest = sorted(set(missed).difference(alone))
         parts = [rest[low:low + _TOGETHER] for low in range(0, len(rest), _TOGETHER)]
         for part in [*parts, *[[i] for i in alone]]:
@@ -142,13 +142,16 @@ class Aligner:
         coded = self.a.encode(text, add_special_tokens=False)
         proto = self.b.encode(text[1:], out_type="proto")
         ids_a = np.array(coded.ids, np.int64)
-        spans = [(p.id, p.end) for p in proto.pieces]
-        ids_b, ends_b = np.array(spans, np.int64).reshape(-1, 2).T
-        if b"".join([self.bytes_a[i] for i in coded.ids]) != raw:
+        numbers, ends = [], []
+        for piece in proto.pieces:
+            numbers.append(piece.id)
+            ends.append(piece.end)
+        if b"".join([self.bytes_a[i] for i in ids_a.tolist()]) != raw:
             return None
-        if b"".join([self.bytes_b[i] for i in ids_b.tolist()]) != raw:
+        if b"".join([self.bytes_b[i] for i in numbers]) != raw:
             return None
-        ends_a = np.array(coded.offsets, np.int64).reshape(-1, 2)[:, 1]
+        ids_b, ends_b = np.array(numbers, np.int64), np.array(ends, np.int64)
+        ends_a = np.array([end for _, end in coded.offsets], np.int64)
         if len(raw) != len(text):
             points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
             wide = 1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)
@@ -169,7 +172,10 @@ class Aligner:
             half = len(units) // 2
             return self._aligned(units[:half]) + self._aligned(units[half:])
         ids_a, ends_a, ids_b, ends_b = read
-        cuts = np.intersect1d(ends_a, ends_b)
+        # Both rise; ends of one side may repeat.
+        met = ends_a[np.minimum(np.searchsorted(ends_a, ends_b), len(ends_a) - 1)] == ends_b
+        cuts = ends_b[met]
+        cuts = cuts[np.diff(cuts, prepend=-1) > 0]
         at_a = np.searchsorted(ends_a, cuts, side="right")
         at_b = np.searchsorted(ends_b, cuts, side="right")
         links = ((ids_a[at_a - 1] << _BITS) | ids_b[at_b - 1]).astype("<i8")
@@ -178,7 +184,8 @@ class Aligner:
         name_a, name_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
         edges_a, edges_b = [0, *at_a.tolist()], [0, *at_b.tolist()]
         groups = [
-            f"{','.join(name_a[a:c])}|{','.join(name_b[b:d])}"
+            f"{name_a[a]}|{name_b[b]}" if c - a == 1 and d - b == 1
+            else f"{','.join(name_a[a:c])}|{','.join(name_b[b:d])}"
             for (a, c), (b, d) in zip(pairwise(edges_a), pairwise(edges_b), strict=True)
         ]
         out = []
