@@ -277,3 +277,22 @@ def test_heaviest_terms_of_a_batch_keep_all_ties():
     got = topics._heaviest(batch, "k", 8.0, 2).to_pylist()
     assert sorted(r["term"] for r in got if r["k"] == 1) == ["a", "b", "c"]
     assert sorted(r["term"] for r in got if r["k"] is None) == ["a", "b", "c", "d"]
+
+
+def test_folding_strips_each_distinct_text_once(spark, monkeypatch):
+    split = spark.sparkContext.accumulator(0)
+
+    def lowered(text):
+        @F.udf("string")
+        def once(text):
+            split.add(1)
+            return " ".join(text.lower().split())
+
+        return once(F.col(text))
+
+    monkeypatch.setattr(topics, "normalized", lowered)
+    rows = [(i, "A  b" if i % 2 else "a b") for i in range(3, 43)] + [(None, "c"), (1, "c"), (2, "C")]
+    df = spark.createDataFrame(rows, "review_id INT, text STRING").repartition(3)
+    got = sorted((r["text"], r["review_id"], r["n"]) for r in topics.fold_texts(df).collect())
+    assert got == [("A  b", 3, 40), ("c", None, 3)]
+    assert split.value <= 2 * 4
