@@ -493,16 +493,18 @@ def star_cells(pairs: DataFrame, block: int = 128) -> DataFrame:
     return members.unionByName(middle).withColumn("root", F.col("id"))
 
 
-def open_cells(met: DataFrame, judged: DataFrame, block: int = 512) -> DataFrame:
+def open_cells(
+    met: DataFrame, judged: DataFrame, block: int = 512, roots: DataFrame | None = None
+) -> DataFrame:
     """(cell, id, root): the buckets of ``met`` whose ids ``judged`` does not all connect.
 
-    ``met`` has (id, bucket, n). The ids of such a bucket are dealt to blocks of about
+    ``met`` has (id, bucket, n); ``roots`` are the components of ``judged`` if known. The ids of such a bucket are dealt to blocks of about
     ``block``, and pairs of blocks meet in a cell of their own, so that every pair of two
     roots shares a cell.
     """
-    roots = connected_components(judged).select(F.col("vertex").alias("id"), "component")
+    roots = connected_components(judged) if roots is None else roots
     placed = materialize(
-        met.join(roots, "id", "left").select(
+        met.join(roots.withColumnRenamed("vertex", "id"), "id", "left").select(
             "id", "bucket", "n", F.coalesce("component", "id").alias("root")
         ),
         "placed",
@@ -651,12 +653,15 @@ def without_copies(
         return materialize(_confirmed(cells, wholes, similarity), name)
 
     judged = confirmed(star_cells(likely), "judged")
+    roots = connected_components(judged)
     open_ = materialize(
-        likely_cells(open_cells(met, judged), sketches, keep, similarity - margin), "undecided"
+        likely_cells(open_cells(met, judged, roots=roots), sketches, keep, similarity - margin), "undecided"
     )
     rest = confirmed(open_, "rest")
+    # The components found so far stand for the links that made them.
     groups = grouped(
-        classes.select("id", F.col("first.doc_id").alias("key")), judged.union(rest)
+        classes.select("id", F.col("first.doc_id").alias("key")),
+        roots.select(F.col("vertex").alias("a"), F.col("component").alias("b")).union(rest),
     )
     kept = materialize(
         classes.select("id", "first").join(groups.select("id", "root"), "id").groupBy("root").agg(
