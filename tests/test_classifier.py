@@ -104,3 +104,53 @@ def test_rows_of_equal_texts_and_stars_leave_a_batch_as_one():
         _, place, value = next(classifier._sparse(pa.array([text], pa.large_string()), 64))
         alone[len(text)] = (place.tolist(), pytest.approx(value.tolist()))
     assert all((r["places"], r["values"]) == alone[r["digest"]] for r in got)
+
+
+def test_one_pass_gives_what_fit_and_score_give(spark):
+    df = reviews(spark, 600).withColumn("rating", F.when(F.col("review_id") % 11 > 0, F.col("rating")))
+    copies = df.filter("review_id % 3 = 0").withColumns(
+        {"review_id": F.col("review_id") + 1000, "rating": F.lit(2.0)}
+    )
+    odd = spark.createDataFrame(
+        [(5000, 3.0, None), (5001, 3.0, ""), (5002, None, "\u0130STANBUL \u039f\u0394\u039f\u03a3"), (None, 1.0, "Great")],
+        df.schema,
+    )
+    df = df.union(copies).union(odd)
+    train, calibrate, _ = classifier.split_rated(df)
+    model = classifier.fit_classifier(train, calibration=calibrate)
+    want = classifier.score_classifier(df, model).select(
+        "review_id", "rating", classifier.fold().alias("fold"), "sentiment_star", "sentiment_conf"
+    )
+    got = classifier.classify(df)
+    assert got.columns == want.columns
+    known = F.col("review_id") != 5000
+    assert got.filter(~known).drop("fold").collect() == want.filter(~known).drop("fold").collect()
+    assert sorted(map(str, got.filter(known | F.col("review_id").isNull()).collect())) == sorted(
+        map(str, want.filter(known | F.col("review_id").isNull()).collect())
+    )
+
+
+def test_a_text_is_one_vector_whatever_its_stars(spark):
+    df = reviews(spark, 20).crossJoin(spark.range(1, 6).select(F.col("id").cast("double").alias("r")))
+    coded = classifier._coded(df.withColumn("rating", F.col("r")), 64)
+    assert coded.count() == 20
+    assert coded.filter("n0 = 1 and n4 = 1 and copies = 5").count() == 20
+
+
+def test_blocks_do_not_depend_on_batches(spark):
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    counts = draw.integers(0, 2, (30_000, 5))
+    whole = pa.RecordBatch.from_pydict({f"n{c}": counts[:, c] for c in range(5)})
+    sizes = []
+    for size in (30_000, 777, 10_000):
+        batches = (whole.slice(i, size) for i in range(0, 30_000, size))
+        rows = []
+        for batch, skip, n in classifier._pair_blocks(batches):
+            pairs = np.stack([batch.column(f"n{c}").to_numpy() for c in range(5)], 1)
+            assert len(np.nonzero(pairs)[0]) >= skip + n
+            rows.append(n)
+        sizes.append(rows)
+    assert sum(sizes[0]) == counts.sum() and sizes[0] == sizes[1] == sizes[2]
+    assert sizes[0][:6] == [2048, 2048, 2048, 2048, 1808, 2048]
