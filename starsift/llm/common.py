@@ -37,16 +37,23 @@ def held_out(key: str | Column, fold: int) -> Column:
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in small batches, for work that makes much of each row."""
+    """The same rows in small batches, for work that makes much of each row.
+
+    After each given batch, memory that Arrow keeps for later goes back to the system.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+        pa.default_memory_pool().release_unused()
 
 
 def by_bytes(
-    batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``limit`` bytes of a text column, one row at least."""
+    """The same rows in batches of about ``limit`` bytes of a text column, one row at least.
+
+    After each given batch, memory that Arrow keeps for later goes back to the system.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -57,6 +64,7 @@ def by_bytes(
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for low, high in pairwise(cuts):
             yield batch.slice(low, high - low)
+        pa.default_memory_pool().release_unused()
 
 
 def text_batch(column) -> list[str]:

@@ -82,3 +82,19 @@ def test_queries_and_sql_are_registered():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES]
     assert sorted(numbers) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
     assert zlib.crc32(b"1") and bpe.CHUNK
+
+
+def test_unused_arrow_memory_goes_back_after_each_batch(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from starsift.llm import common
+
+    calls = []
+    pool = SimpleNamespace(release_unused=lambda: calls.append(1))
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 700_000, None, "b" * 700_000, ""]})
+    parts = list(common.by_bytes(iter([batch, batch]), "text"))
+    assert len(calls) == 2 and sum(p.num_rows for p in parts) == 8 and len(parts) == 4
+    assert sum(p.num_rows for p in common.sliced(iter([batch] * 3), 3)) == 12 and len(calls) == 5
