@@ -17,8 +17,8 @@ from starsift.sources.workspace import materialize
 # Upper limits of the standard score for one to four stars.
 STAR_LIMITS = (-1.5, -0.5, 0.5, 1.5)
 BUCKETS = 65536
-# Terms whose price a task remembers.
-KEPT_TERMS = 120_000
+# Terms whose price a task remembers, and bytes of texts that it splits at once.
+KEPT_TERMS, _PIECE_BYTES = 120_000, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -113,7 +113,7 @@ class Prices:
         """Sum of prices and number of terms of each text, pieces of distinct texts at a time."""
         texts, place = distinct(texts)
         totals, counts = [np.empty(0)], [np.empty(0, np.int64)]
-        for size, owner, words in letter_words(texts):
+        for size, owner, words in letter_words(texts, _PIECE_BYTES):
             coded = pc.dictionary_encode(words)
             worth = np.array([self.price(t) for t in coded.dictionary.to_pylist()], dtype=np.float64)
             counts.append(np.bincount(owner, minlength=size))
@@ -136,6 +136,8 @@ def mean_price(text: Column, weights: list[float]) -> Column:
         if not kept:
             kept.append(Prices(shared.value))
         total, count = kept[0].sums(texts.cast(pa.large_string()))
+        # A worker does not hold between batches what Arrow keeps for later.
+        pa.default_memory_pool().release_unused()
         return pa.array(total / np.maximum(count, 1), mask=count == 0)
 
     return price(F.lower(text))

@@ -42,6 +42,8 @@ def score(df: DataFrame, load: Callable[[], Model], text: str = "text") -> DataF
         for batch in batches:
             found = [judged(model, part) for part in pieces(batch, _BATCH_BYTES)]
             yield pa.concat_arrays(found) if found else judged(model, batch)
+            # A worker does not hold between batches what Arrow keeps for later.
+            pa.default_memory_pool().release_unused()
 
     def judged(model: Model, batch: pa.Array) -> pa.Array:
         texts, place = distinct(batch.cast(pa.large_string()))

@@ -212,3 +212,22 @@ def test_large_batches_are_scored_in_parts(spark, monkeypatch):
     assert got == {i: None if t is None else 1 + len(t) % 5 for i, t in rows}
     assert most.value == 0
     assert scoring.score(df.limit(0), load).collect() == []
+
+
+def test_pricing_takes_little_memory_at_once():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from starsift.operators.polarity import Prices
+
+    texts = pa.array([f"good {'fine bad ' * 30_000}{i % 10}x" + "a" * i for i in range(30)], pa.large_string())
+    prices = Prices(np.ones(65536))
+    prices.sums(texts[:1])
+    tracemalloc.start()
+    total, count = prices.sums(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total.tolist() == count.tolist() and count.min() > 60_000
+    assert peak < 25 << 20
