@@ -1,5 +1,8 @@
 import math
 import random
+import string
+from datetime import date, datetime
+from decimal import Decimal
 from itertools import combinations
 
 import pyarrow as pa
@@ -7,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starsift.operators import components, skew, topics
+from starsift.plans.catalog import QUERIES
 
 
 def hills_by_hand(points, k, width, min_points, weights=None):
@@ -268,6 +272,135 @@ def test_labelled_info_equals_the_table_of_relabelled_rows(spark):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, bars.collect()))
 
 
+@pytest.fixture(scope="module")
+def long_texts(tmp_path_factory, spark):
+    """Star-schema tables of 1,500 reviews that share 20 texts of 40,000 random letters."""
+    folder = str(tmp_path_factory.mktemp("long"))
+    rng = random.Random(6)
+    docs = [(i, " ".join("".join(rng.choices(string.ascii_lowercase, k=1999)) for _ in range(20))) for i in range(20)]
+    tables = {
+        "documents": (docs, "doc_id BIGINT, text STRING"),
+        "orders": ([(i, i % 7, "O", datetime(1995, 1, 1), "3-MEDIUM") for i in range(1500)],
+                   "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+        "lineitem": ([(i, i % 11) for i in range(1500)], "l_orderkey BIGINT, l_partkey BIGINT"),
+        "part": ([(i, f"Brand#{i % 4}", "TYPE") for i in range(10)], "p_partkey BIGINT, p_brand STRING, p_type STRING"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["topic_bars"])
+def test_texts_do_not_move_for_each_review(spark, long_texts, name):
+    """60 MB of review texts, 0.8 MB of distinct ones, where no table is small enough to broadcast."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        executors = store.executorList(False)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, least = written(), spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert QUERIES[name](spark, long_texts).collect()
+    finally:
+        spark.conf.set(key, least)
+    assert 800_000 < written() - before < 8_000_000
+
+
+_DAYS = [date(2020, 1, 1 + i) for i in range(5)]
+
+
+@pytest.mark.parametrize(
+    "labels, kind, ids, id_kind",
+    [
+        (["a", "b", None, "", "é"], "STRING", range(90), "BIGINT"),
+        ([1, 2, None, 3, 4], "INT", [f"r{i % 80}" for i in range(90)], "STRING"),
+        ([0.0, float("nan"), None, 1.5, 2.0], "DOUBLE", [None if i % 4 else i for i in range(90)], "INT"),
+        (_DAYS, "DATE", [Decimal(i) for i in range(90)], "DECIMAL(9,0)"),
+        ([True, False, None, True, False], "BOOLEAN", [float(i) for i in range(90)], "DOUBLE"),
+        ([("a", 1), ("b", None), None, ("c", 2), ("d", 3)], "STRUCT<x: STRING, y: INT>", range(90), "BIGINT"),
+        (["a", "b", None, "c", "d"], "STRING", [datetime(2020, 1, 1, i % 24) for i in range(90)], "TIMESTAMP"),
+    ],
+)
+def test_folded_labels_equal_counting_rows(spark, labels, kind, ids, id_kind):
+    texts = ["one two", "three", "", None, "one two", "sech\u00e9", "three"]
+    rows = [(texts[i % 7], labels[i % 5 if i % 3 else 1], x) for i, x in enumerate(ids)]
+    df = spark.createDataFrame(rows, f"text STRING, label {kind}, review_id {id_kind}").repartition(3)
+    folded = topics.fold_rows(df)
+    sizes = lambda t, n, first: sorted(
+        repr(tuple(r)) for r in t.groupBy("text", "label").agg(F.sum(n), F.min(first)).collect()
+    )
+    got = folded.select("digest", "text", F.inline("classes"))
+    assert sizes(got, "n", "first_id") == sizes(df.withColumn("n", F.lit(1)), "n", "review_id")
+    wrong = F.hex("digest").eqNullSafe(F.upper(F.sha2("text", 256)))
+    assert folded.filter(~wrong).count() == 0
+    _, once, _ = topics.fold_labels(df, "label")
+    assert sorted(r["text"] for r in once.collect()) == ["", "one two", "sech\u00e9", "three"]
+
+
+def test_folding_holds_a_bounded_part(monkeypatch):
+    """Parts are passed on when they are large; lists of labels are cut; nothing is lost or doubled."""
+    monkeypatch.setattr(topics, "_CLASSES", 2)
+    monkeypatch.setattr(topics, "_PIECE", 100)
+    rng = random.Random(3)
+    rows = [(rng.choice(["a" * 40, "b" * 30, "", None, "c"]), rng.choice([None, 1, 2, 3, 4]), i) for i in range(400)]
+    kind = pa.schema([("text", pa.string()), ("label", pa.int32()), ("review_id", pa.int64())])
+    names = ["text", "label", "review_id"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i:i + 50]], kind)
+               for i in range(0, 400, 50)]
+    want = {}
+    for text, label, i in rows:
+        n, first = want.get((text, label), (0, i))
+        want[text, label] = n + 1, min(first, i)
+    for limit in (1, 600, 5000, 1 << 20):
+        parts = (topics._folded([topics._unfolded(b)]) for b in batches)
+        size = lambda part: part[0].nbytes + part[1].nbytes
+        got, passed = {}, 0
+        for texts, cells in topics._gathered(parts, size, topics._folded, limit):
+            passed += 1
+            for out in topics._folded_rows(texts, cells):
+                for r in out.to_pylist():
+                    assert 1 <= len(r["classes"]) <= 2
+                    for c in r["classes"]:
+                        n, first = got.get((r["text"], c["label"]), (0, c["first_id"]))
+                        got[r["text"], c["label"]] = n + c["n"], min(first, c["first_id"])
+        assert got == want
+        assert passed == {1: 8, 1 << 20: 1}.get(limit, passed)
+
+
+@pytest.mark.parametrize("limit", [1, 40, 200, 1 << 20])
+def test_counters_of_a_task_are_merged(limit):
+    """A term has one row for all batches that fit; frequent terms stay when rarer ones are passed on."""
+    rng = random.Random(limit)
+    kind = pa.schema([("words", pa.list_(pa.string())),
+                      ("classes", pa.list_(pa.struct([("class", pa.int32()), ("n", pa.int64())])))])
+    batches, want = [], {}
+    for i in range(12):
+        rows = []
+        for j in range(5):
+            words = ["aa", "aa", "bb", f"w{i}", f"w{i}x{j}", rng.choice("cdefgh") * 2]
+            classes = [{"class": c, "n": rng.randrange(1, 4)} for c in rng.sample([None, *range(6)], 3)]
+            rows.append({"words": words, "classes": classes})
+            for w in words:
+                for c in classes:
+                    want[c["class"], w] = want.get((c["class"], w), 0) + c["n"]
+        batches.append(pa.RecordBatch.from_pylist(rows, kind))
+    parts = [part for batch in batches for part in topics._counters(batch)]
+    got, rows = {}, []
+    for out in topics._gathered(iter(parts), topics._width, topics._merged, limit, topics._by_use):
+        for r in out.to_pylist():
+            rows.append(r["term"])
+            for c, n in zip(r["classes"], r["n"], strict=True):
+                got[c, r["term"]] = got.get((c, r["term"]), 0) + n
+    assert got == want
+    if limit == 200:
+        assert rows.count("aa") == 1 < rows.count("cc") + rows.count("dd")
+    if limit == 1 << 20:
+        assert len(rows) == len({w for _, w in want})
+
+
 def test_heaviest_terms_of_a_batch_keep_all_ties():
     batch = pa.RecordBatch.from_pylist(
         [{"term": t, "classes": [1, None], "n": [n, 1], "f": n + 1} for t, n in zip("abcd", (5, 5, 5, 1), strict=True)],
