@@ -290,7 +290,7 @@ def long_texts(tmp_path_factory, spark):
     return folder
 
 
-@pytest.mark.parametrize("name", ["topic_bars", "topic_info"])
+@pytest.mark.parametrize("name", ["topic_bars", "topic_info", "top_topics"])
 def test_texts_do_not_move_for_each_review(spark, long_texts, name):
     """60 MB of review texts, 0.8 MB of distinct ones, where no table is small enough to broadcast."""
     store = spark.sparkContext._jsc.sc().statusStore()
