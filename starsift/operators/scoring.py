@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,29 +30,34 @@ _kept: dict[str, object] = {}
 def score(df: DataFrame, load: Callable[[], Model], text: str = "text") -> DataFrame:
     """Add ``sentiment_star`` (1-5) and ``sentiment_conf`` to every row.
 
-    ``load`` runs once for each task, then the distinct whole texts of every
-    Arrow batch, or of about 8 megabytes of a larger one, go through the model, about a
-    megabyte at a time. The star is the first character of the label; a label of
-    any other form gives a null star rather than a failed job, and a null text gives
-    nulls. Map-only: no text is shuffled.
+    ``load`` runs once for each task, then the distinct whole texts of every Arrow batch
+    go through the model, about a megabyte at a time. Equal texts are found in about 8
+    megabytes of a batch at once, and over all of it by digest. The star is the first
+    character of the label; a label of any other form gives a null star rather than a
+    failed job, and a null text gives nulls. Map-only: no text is shuffled.
     """
 
     @F.arrow_udf(SCORE_SCHEMA)
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for batch in batches:
-            found = [judged(model, part) for part in pieces(batch, _BATCH_BYTES)]
-            yield pa.concat_arrays(found) if found else judged(model, batch)
+            seen = {}
+            found = [judged(model, part, seen) for part in pieces(batch, _BATCH_BYTES)]
+            yield pa.concat_arrays(found) if found else judged(model, batch, seen)
             # A worker does not hold between batches what Arrow keeps for later.
             pa.default_memory_pool().release_unused()
 
-    def judged(model: Model, batch: pa.Array) -> pa.Array:
+    def judged(model: Model, batch: pa.Array, seen: dict) -> pa.Array:
         texts, place = distinct(batch.cast(pa.large_string()))
-        stars, confs = [], []
-        for part in pieces(texts, _PIECE_BYTES):
+        keys = [hashlib.sha256(t.as_buffer()).digest() if t.is_valid else None for t in texts]
+        new = [i for i, key in enumerate(keys) if key not in seen]
+        at = 0
+        for part in pieces(texts.take(pa.array(new, pa.int64())), _PIECE_BYTES):
             labels, sure = model(["" if t is None else t for t in part.to_pylist()])
-            stars += [int(s[0]) if s[:1] in _STARS else None for s in map(str, labels)]
-            confs += list(sure)
+            stars = [int(s[0]) if s[:1] in _STARS else None for s in map(str, labels)]
+            seen.update(zip([keys[i] for i in new[at:at + len(part)]], zip(stars, sure, strict=True), strict=True))
+            at += len(part)
+        stars, confs = [seen[key][0] for key in keys], [seen[key][1] for key in keys]
         known = pc.is_valid(texts)
         values = [
             pc.if_else(known, pa.array(stars, pa.int32()), None),
