@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -408,3 +410,28 @@ def test_repeated_text_strips_each_distinct_text_once(spark, monkeypatch):
     got = sorted((r["user_id"], r["copies"], r["first_review_id"]) for r in users.repeated_text(df).collect())
     assert got == [("u0", 20, 0), ("u1", 20, 1), ("u2", 20, 2)]
     assert split.value <= 2 * 3
+
+
+def test_repeated_text_reads_its_input_once(spark):
+    rows = [(1, "u", "A  b", "x"), (2, "u", "a b ", "x"), (2, "u", "a b ", "x"), (3, "u", "a b", None),
+            (4, "u", "a B", None), (5, None, "a b", "x"), (6, None, "a b", "x"), (7, "u", None, "x"),
+            (8, "u", None, "x"), (9, "v", "", "x"), (9, "v", " \t", "x"), (None, "v", "a b", "x"),
+            (10, "v", "a b", "x"), (11, "w", "alone", "x"), (None, None, "n", None), (None, None, "N", None)]
+    schema = "review_id INT, user_id STRING, text STRING, category STRING"
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, schema).repartition(4).mapInArrow(counted, schema)
+    found = users.repeated_text(df, by=("category",))
+    assert found.columns == ["category", "user_id", "text_hash", "copies", "first_review_id"]
+    got = {(r["category"], r["user_id"], r["text_hash"][:4], r["copies"], r["first_review_id"])
+           for r in found.collect()}
+    short = {t: hashlib.sha256(t.encode()).hexdigest()[:4] for t in ("a b", "", "n")}
+    assert got == {("x", "u", short["a b"], 3, 1), (None, "u", short["a b"], 2, 3),
+                   ("x", None, short["a b"], 2, 5), ("x", "v", short[""], 2, 9),
+                   ("x", "v", short["a b"], 2, 10), (None, None, short["n"], 2, None)}
+    assert read.value == len(rows)
