op3_simhash_near_dedup: segment counts of a fingerprint are computed once

Symptom: the stage of op3 that sends each fingerprint to its grid cells took 3 CPU microseconds a cell, and its longest task grew from 4 to 9 s with the input.
Evidence: the profiler op3_simhash_near_dedup at 0.51 GB: stage 235 took 22 s of JVM CPU for 7,304,785 rows; its plan holds the expression that counts the bits about 50 times over, once or more for each of 33 cells.
Fix: the point is a column under the explode, in the grid of whole fingerprints and in that of their halves, which the pipeline uses; the cells are the same.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 354 -> 315 s, shuffle 0.24 -> 0.16 GB, spill 0.00 -> 0.00 GB, read 0.64 -> 0.64 GB, longest task 14 -> 12 s, most memory of a task 68 -> 68 MB; at 6 GB of input CPU 1954 -> 1471 s, shuffle 2.66 -> 1.90 GB, spill 0.00 -> 0.00 GB, read 6.74 -> 6.74 GB, longest task 55 -> 24 s, most memory of a task 168 -> 101 MB; with hot keys, at 0.6 GB of input CPU 283 -> 273 s, shuffle 0.19 -> 0.13 GB, spill 0.00 -> 0.00 GB, read 0.21 -> 0.21 GB, longest task 13 -> 8 s, most memory of a task 70 -> 70 MB.

@@ -175,7 +175,11 @@ def segment_counts(fp: Column) -> Column:
 
 
 def grid_cells(point: Column, segments: int = 16) -> Column:
-    """A point of :func:`segment_counts` and the points one step from it."""
+    """A point of :func:`segment_counts` and the points one step from it.
+
+    ``point`` is read for each of them, so it should be a column, not the expression
+    that counts the bits.
+    """
     cells = [point]
     for segment in range(segments):
         one = F.lit(1 << (4 * segment))
@@ -268,9 +272,9 @@ def linked(prints: DataFrame, radius: int = 2, cell_limit: int = 512) -> DataFra
         raise ValueError("radius is 0, 1 or 2")
     fp = F.col("fp")
 
-    point = segment_counts(fp)
+    points = prints.select("fp", segment_counts(fp).alias("point"))
     first = materialize(
-        _meet(prints.select(F.explode(grid_cells(point)).alias("cell"), "fp", fp.alias("id")),
+        _meet(points.select(F.explode(grid_cells(F.col("point"))).alias("cell"), "fp", fp.alias("id")),
               cell_limit, radius),
         "links",
     )
@@ -329,14 +333,14 @@ def half_cells(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
         )).alias("h"),
     ).select("id", "h.table", "h.fp")
     fp, place = F.col("fp"), F.col("table").cast("long") * F.lit(1 << 33)
-    point = segment_counts(fp)
+    points = halves.withColumn("point", segment_counts(fp))
 
     def cells(rows: DataFrame, found: Column) -> DataFrame:
         return rows.select((F.explode(found)).alias("cell"), "fp", "id", place.alias("place")).select(
             (F.col("cell") + F.col("place")).alias("cell"), "fp", "id"
         )
 
-    first = materialize(_meet(cells(halves, grid_cells(point, 8)), cell_limit, 2, True), "links")
+    first = materialize(_meet(cells(points, grid_cells(F.col("point"), 8)), cell_limit, 2, True), "links")
     crowded = first.filter(F.col("b").isNull()).select(F.col("a").alias("id")).distinct()
     trees = first.filter("b is not null and a <> b")
     sizes = materialize(

@@ -3,6 +3,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from starsift.llm import simhash
 
@@ -94,6 +95,31 @@ def test_links_connect_what_is_near(spark, limit, radius):
     assert len(set(zip(got, want))) == len(set(want))
 
 
+def popcounts(plan):
+    """How often a plan counts the bits of a half of a fingerprint."""
+    return plan.count("& 858993459)")
+
+
+def test_bits_are_counted_once_for_each_fingerprint(spark, monkeypatch):
+    plans = []
+
+    def seen(cells, *rest):
+        plans.append(cells._jdf.queryExecution().optimizedPlan().toString())
+        return simhash_meet(cells, *rest)
+
+    simhash_meet = simhash._meet
+    monkeypatch.setattr(simhash, "_meet", seen)
+    frame = spark.createDataFrame([(1,), (None,), (-1,)], "fp long")
+    counted = frame.select(simhash.segment_counts(F.col("fp")).alias("point"))
+    once = popcounts(counted._jdf.queryExecution().optimizedPlan().toString())
+    simhash.linked(frame)
+    assert popcounts(plans[0]) == once
+    classes = spark.createDataFrame([(1, [5, -7]), (2, [4, 0]), (3, None), (4, [])], "id long, prints array<long>")
+    met = sorted(map(tuple, simhash.half_cells(classes).select("id", "b", "n").distinct().collect()))
+    assert (2, 1, 2) in met and {i for i, *_ in met} <= {1, 2}
+    assert popcounts(plans[2]) == once
+
+
 def test_one_row_of_each_group_stays(docs):
     same = " ".join(f"w{i}" for i in range(60))
     rows = [(7, same), (4, same), (4, same), (9, same.upper()), (None, same), (1, "other words here"),
