op3_simhash_near_dedup: a fingerprint and a step cross the exchange

Symptom: shuffle of op3 grew with power 1.19 of the input, though the rows it sends to grid cells grow in proportion.
Evidence: the profiler op3_simhash_near_dedup: 1,462,832 rows took 19.7 MB at 0.10 GB and 7,304,785 rows 140.3 MB at 0.51 GB, 13.5 and 19.2 bytes a row: cell, fingerprint and the fingerprint once more as an id compress well only while rows of one fingerprint stand side by side in a part.
Fix: rows hold the fingerprint and the step from its point to the cell, mostly zero bytes, and the cell is made from them after the exchange; parts are as many as the session shuffles to, so that narrower rows are not merged to parts of more rows. Links, cells and order within them are the same.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 354 -> 315 s, shuffle 0.24 -> 0.16 GB, spill 0.00 -> 0.00 GB, read 0.64 -> 0.64 GB, longest task 14 -> 12 s, most memory of a task 68 -> 68 MB; at 6 GB of input CPU 1954 -> 1471 s, shuffle 2.66 -> 1.90 GB, spill 0.00 -> 0.00 GB, read 6.74 -> 6.74 GB, longest task 55 -> 24 s, most memory of a task 168 -> 101 MB; with hot keys, at 0.6 GB of input CPU 283 -> 273 s, shuffle 0.19 -> 0.13 GB, spill 0.00 -> 0.00 GB, read 0.21 -> 0.21 GB, longest task 13 -> 8 s, most memory of a task 70 -> 70 MB.

@@ -257,11 +257,33 @@ def _met(limit: int, radius: int, with_cell: bool = False):
 
 
 def _meet(cells: DataFrame, limit: int, radius: int, with_cell: bool = False) -> DataFrame:
-    dealt = cells.repartition("cell").sortWithinPartitions("cell", "fp", "id")
+    """Links within the cells of ``cells`` (cell, fp, id), which are dealt by cell.
+
+    Without a column ``id`` a fingerprint is its own id.
+    """
+    columns = [c for c in ("cell", "fp", "id") if c in cells.columns]
+    dealt = cells.sortWithinPartitions(*columns)
+    if "id" not in columns:
+        dealt = dealt.withColumn("id", F.col("fp"))
     kind = "a long, b long, cell long" if with_cell else "a long, b long"
     return dealt.mapInArrow(_met(limit, radius, with_cell), kind)
 
 
+def _dealt_by_step(points: DataFrame) -> DataFrame:
+    """(cell, fp): the cells of ``points`` (fp, point), dealt by cell.
+
+    A fingerprint crosses the exchange with the step that leads from its point to the
+    cell, mostly zero bytes; the cell follows from both on the other side. There are as
+    many parts as the session shuffles to: merged by size, such narrow rows would come
+    to parts of more rows.
+    """
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    point, cell = F.col("point"), F.explode(grid_cells(F.col("point"))).alias("cell")
+    steps = points.select("fp", "point", cell).select("fp", (F.col("cell") - point).alias("step"))
+    there = segment_counts(F.col("fp")) + F.col("step")
+    return steps.repartition(parts, there).select(there.alias("cell"), "fp")
+
+
 def linked(prints: DataFrame, radius: int = 2, cell_limit: int = 512) -> DataFrame:
     """(a, b): links that connect all fingerprints within ``radius`` bits of each other.
 
@@ -273,15 +295,10 @@ def linked(prints: DataFrame, radius: int = 2, cell_limit: int = 512) -> DataFra
     fp = F.col("fp")
 
     points = prints.select("fp", segment_counts(fp).alias("point"))
-    first = materialize(
-        _meet(points.select(F.explode(grid_cells(F.col("point"))).alias("cell"), "fp", fp.alias("id")),
-              cell_limit, radius),
-        "links",
-    )
+    first = materialize(_meet(_dealt_by_step(points), cell_limit, radius), "links")
     crowded = first.filter(F.col("b").isNull()).select(F.col("a").alias("fp")).distinct()
-    finer = _meet(
-        crowded.select(F.explode(bit_cells(fp)).alias("cell"), "fp", fp.alias("id")), 65, radius
-    )
+    finer = crowded.select(F.explode(bit_cells(fp)).alias("cell"), "fp", fp.alias("id"))
+    finer = _meet(finer.repartition("cell"), 65, radius)
     return first.filter(F.col("b").isNotNull()).unionByName(finer)
 
 
@@ -340,7 +357,8 @@ def half_cells(classes: DataFrame, cell_limit: int = 2048) -> DataFrame:
             (F.col("cell") + F.col("place")).alias("cell"), "fp", "id"
         )
 
-    first = materialize(_meet(cells(points, grid_cells(F.col("point"), 8)), cell_limit, 2, True), "links")
+    spots = cells(points, grid_cells(F.col("point"), 8)).repartition("cell")
+    first = materialize(_meet(spots, cell_limit, 2, True), "links")
     crowded = first.filter(F.col("b").isNull()).select(F.col("a").alias("id")).distinct()
     trees = first.filter("b is not null and a <> b")
     sizes = materialize(
